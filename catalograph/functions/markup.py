@@ -143,7 +143,8 @@ def container(page: Column, *options: Sel) -> Column:
 
 def containers(page: Column, sel: Sel) -> Column:
     """Source inside every match; each is cut where its own tag is closed."""
-    rests = F.slice(F.split(page, "(?is)" + sel.pattern(), -1), F.lit(2), F.lit(2147483647))
+    parts = F.split(page, "(?is)" + sel.pattern(), -1)
+    rests = F.slice(parts, F.lit(2), F.size(parts))
     rests = F.coalesce(rests, F.array().cast("array<string>"))
     return F.transform(rests, lambda rest: _to_own_close(rest, sel.tag))
 
