@@ -95,9 +95,9 @@ def first_tag(page: Column, sel: Sel) -> Column:
 
 def attribute(tag: Column, name: str) -> Column:
     """Attribute value of an opening tag; null when absent or empty."""
-    found = f"(?is)\\s{name}\\s*=\\s*(?:\"([^\"]*)\"|'([^']*)'|([^\\s\"'>]+))"
-    groups = [F.nullif(F.regexp_extract(tag, found, g), F.lit("")) for g in (1, 2, 3)]
-    return decode(F.coalesce(*groups))
+    found = f"(?is)\\s{name}\\s*=\\s*(\"[^\"]*\"|'[^']*'|[^\\s\"'>]+)"
+    value = F.regexp_replace(F.regexp_extract(tag, found, 1), "^[\"']|[\"']\\z", "")
+    return decode(F.nullif(value, F.lit("")))
 
 
 def first_attribute(page: Column, sel: Sel, name: str) -> Column:
@@ -110,41 +110,50 @@ def elements(page: Column, sel: Sel) -> Column:
     return F.regexp_extract_all(page, F.lit(f"(?is){sel.pattern()}.*?(?:{close}|\\z)"), F.lit(0))
 
 
+def let(value: Column, use) -> Column:
+    """``use(value)`` with the value computed once per row, however often it is used."""
+    return F.get(F.transform(F.array(value), use), F.lit(0))
+
+
+def after(page: Column, sel: Sel) -> Column:
+    """Source after the opening tag of the first match; null when there is no match."""
+    return F.get(F.split(page, "(?is)" + sel.pattern(), 2), F.lit(1))
+
+
 def inner(page: Column, sel: Sel) -> Column:
     """Source inside the first match up to the first closing tag; null when there is no match."""
-    close = f"</{sel.tag}\\s*>"
-    found = F.regexp_extract(page, f"(?is){sel.pattern()}(.*?)(?:{close}|\\z)", 1)
-    return F.when(first_tag(page, sel).isNotNull(), found)
+    return F.get(F.split(after(page, sel), f"(?i)</{sel.tag}\\s*>", 2), F.lit(0))
 
 
 def _to_own_close(rest: Column, tag: str) -> Column:
     """Cut source that follows an opening tag where that tag is closed, counting nested ones."""
-    parts = F.split(rest, f"(?i)</{tag}\\s*>", -1)
     opening = F.lit(f"(?i)<{tag}(?=[\\s/>])")
     start = F.struct(F.lit(0).alias("depth"), F.lit(0).alias("seen"), F.lit(0).alias("end"))
 
     def step(acc: Column, part: Column) -> Column:
-        depth = acc["depth"] + F.regexp_count(part, opening)
+        closed = acc["end"] > 0
+        depth = acc["depth"] + F.when(closed, 1).otherwise(F.regexp_count(part, opening))
         seen = acc["seen"] + 1
-        end = F.when(acc["end"] > 0, acc["end"]).when(depth == 0, seen).otherwise(F.lit(0))
+        end = F.when(closed, acc["end"]).when(depth == 0, seen).otherwise(F.lit(0))
         return F.struct((depth - 1).alias("depth"), seen.alias("seen"), end.alias("end"))
 
-    end = F.aggregate(parts, start, step, lambda acc: acc["end"])
-    kept = F.when(end > 0, F.slice(parts, F.lit(1), end)).otherwise(parts)
-    return F.array_join(kept, f"</{tag}>")
+    def cut(parts: Column) -> Column:
+        end = F.aggregate(parts, start, step, lambda acc: acc["end"])
+        return F.array_join(F.slice(parts, F.lit(1), F.coalesce(
+            F.nullif(end, F.lit(0)), F.size(parts))), f"</{tag}>")
+
+    return let(F.split(rest, f"(?i)</{tag}\\s*>", -1), cut)
 
 
 def container(page: Column, *options: Sel) -> Column:
     """Source inside the first element that one of the options finds, nesting respected."""
-    found = [F.when(first_tag(page, sel).isNotNull(), _to_own_close(
-        F.regexp_extract(page, f"(?is){sel.pattern()}(.*)\\z", 1), sel.tag)) for sel in options]
-    return F.coalesce(*found)
+    return F.coalesce(*[_to_own_close(after(page, sel), sel.tag) for sel in options])
 
 
 def containers(page: Column, sel: Sel) -> Column:
     """Source inside every match; each is cut where its own tag is closed."""
-    parts = F.split(page, "(?is)" + sel.pattern(), -1)
-    rests = F.slice(parts, F.lit(2), F.size(parts))
+    rests = let(F.split(page, "(?is)" + sel.pattern(), -1),
+                lambda parts: F.slice(parts, F.lit(2), F.size(parts)))
     rests = F.coalesce(rests, F.array().cast("array<string>"))
     return F.transform(rests, lambda rest: _to_own_close(rest, sel.tag))
 
@@ -216,20 +225,19 @@ class PageRules:
 
 
 def _first_text(page: Column, options: tuple[Sel, ...], joined: bool = False) -> Column:
+    """Cleaned text of the first element that one of the options finds; null without any."""
     found = F.coalesce(*[inner_any(page, sel) for sel in options])
-    read = text_joined(found) if joined else text(found)
-    return F.when(found.isNotNull(), clean_text(read))
+    read = text_joined if joined else text
+    return let(found, lambda f: F.when(f.isNotNull(), clean_text(read(f))))
 
 
 def inner_any(page: Column, sel: Sel) -> Column:
     """Like ``inner`` for a selector that may leave the tag open: close it by its own name."""
     if sel.tag != ANY_TAG:
         return inner(page, sel)
-    opening = first_tag(page, sel)
-    rest = F.regexp_extract(page, f"(?is){sel.pattern()}(.*)\\z", 1)
-    name = F.lower(F.regexp_extract(opening, "^<([a-zA-Z0-9]+)", 1))
-    cut = F.split(rest, F.concat(F.lit("(?i)</"), name, F.lit("\\s*>")), 2)
-    return F.when(opening.isNotNull(), F.get(cut, F.lit(0)))
+    name = F.lower(F.regexp_extract(first_tag(page, sel), "^<([a-zA-Z0-9]+)", 1))
+    return F.get(F.split(after(page, sel), F.concat(F.lit("(?i)</"), name, F.lit("\\s*>")), 2),
+                 F.lit(0))
 
 
 def page_rating(page: Column, rules: PageRules) -> Column:
@@ -290,7 +298,8 @@ def page_credits(page: Column, rules: PageRules, labels: tuple[str, ...] | None)
     def values(column: Column) -> Column:
         items = elements(column, rules.credit_item)
         links = F.flatten(F.transform(items, lambda item: elements(item, Sel("a"))))
-        return F.when(F.size(links) > 0, texts(links)).otherwise(texts(items, joined=True))
+        return let(links, lambda found: F.when(F.size(found) > 0, texts(found)).otherwise(
+            texts(items, joined=True)))
 
     return F.flatten(F.transform(F.filter(columns, headed), values))
 
@@ -304,7 +313,8 @@ def page_metadata(page: Column, rules: PageRules, labels: tuple[str, ...] | None
     items = F.filter(containers(page, rules.info_item), labelled)
     values = F.flatten(F.transform(items, lambda item: split_clean(
         text_joined(inner(item, rules.info_value), ", "))))
-    return F.when(F.size(values) > 0, values).otherwise(page_credits(page, rules, labels))
+    return let(values, lambda found: F.when(F.size(found) > 0, found).otherwise(
+        page_credits(page, rules, labels)))
 
 
 def page_genres(page: Column, rules: PageRules) -> Column:
@@ -314,8 +324,8 @@ def page_genres(page: Column, rules: PageRules) -> Column:
                     F.lit(0))
     names = texts(elements(primary, rules.genre_link))
     kept = F.array_distinct(F.filter(names, lambda n: ~F.lower(n).isin(list(rules.genre_skip))))
-    return F.when(F.size(kept) > 0, kept).otherwise(
-        page_metadata(page, rules, rules.genre_labels))
+    return let(kept, lambda found: F.when(F.size(found) > 0, found).otherwise(
+        page_metadata(page, rules, rules.genre_labels)))
 
 
 def page_body(page: Column, rules: PageRules) -> Column:
@@ -324,8 +334,8 @@ def page_body(page: Column, rules: PageRules) -> Column:
     An unclosed paragraph ends where the next one or another block begins or ends.
     """
     body = container(page, *rules.bodies)
-    chunks = F.split(body, "(?i)<p(?:\\s[^>]*)?>", -1)
-    chunks = F.slice(chunks, F.lit(2), F.size(chunks))
+    chunks = let(F.split(body, "(?i)<p(?:\\s[^>]*)?>", -1),
+                 lambda parts: F.slice(parts, F.lit(2), F.size(parts)))
     ends = f"(?is)^(.*?)(?:</?(?:{BLOCK_TAGS})(?:[\\s/][^>]*)?>|\\z)"
     paragraphs = F.transform(chunks, lambda c: text_joined(F.regexp_extract(c, ends, 1)))
     joined = F.array_join(F.filter(paragraphs, lambda p: p != ""), " ")
@@ -334,9 +344,11 @@ def page_body(page: Column, rules: PageRules) -> Column:
 
 def page_details(page: Column, rules: PageRules) -> list[Column]:
     """All fields of one review page."""
-    title, body = page_title(page, rules), page_body(page, rules)
+    title = page_title(page, rules)
+    text_of = let(page_body(page, rules),
+                  lambda body: falsy_fallback(body, page_summary(page, rules)))
     return [
-        falsy_fallback(body, page_summary(page, rules)).alias("review_text"),
+        text_of.alias("review_text"),
         page_rating(page, rules).alias("rating_value"),
         page_date(page, rules).alias("review_date"),
         page_author(page, rules).alias("critic"),

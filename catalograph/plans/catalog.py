@@ -7,11 +7,12 @@ from pyspark.sql import functions as F
 
 from catalograph.functions.scalars import digits_int, prefix_id, split_list_field
 from catalograph.operators.filters import filter_category, filter_two_tier
-from catalograph.operators.joins import join_inner, join_lookup, join_one_to_one, join_semi
+from catalograph.operators.joins import join_inner, join_lookup, join_semi, require_unique
 from catalograph.operators.lists import (LIST_ROWS, attach_lists, collect_in_order, top_n_collect)
 from catalograph.operators.ordering import top_k_global, top_n_per_group
 from catalograph.schema import (ACTOR_CATEGORIES, CATALOGUE_LIMIT, DIRECTOR_CATEGORIES,
                                 SOURCE_BASE, STRINGS, TITLE_TYPE, TOP_CREDITS)
+from catalograph.session import materialize
 
 
 def popular_titles(basics: DataFrame, ratings: DataFrame, types=(TITLE_TYPE,),
@@ -73,10 +74,10 @@ def catalog_build(basics: DataFrame, ratings: DataFrame, principals: DataFrame,
     ``pos``. Credits are reduced to the selected titles before any name is looked up.
     """
     order = list(order)
-    titles = popular_titles(basics, ratings, types, limit, **tiers)
+    # Written once: at most ``limit`` rows, used by the check, the credits and the assembly.
+    titles = materialize(popular_titles(basics, ratings, types, limit, **tiers), "titles")
     if validate:
-        scored = titles.select("tconst", "averageRating", "numVotes")
-        titles = join_one_to_one(titles.drop("averageRating", "numVotes"), scored, "tconst")
+        require_unique(titles, "tconst", "titles or ratings")
     credits = join_semi(principals, titles.select("tconst"), "tconst")
     return assemble_items(
         titles, director_lists(credits, names, order, director_categories, part_rows),

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from catalograph.operators.filters import condition
 from catalograph.operators.ordering import first_rows, paginate, random_keys, sort_keys
-from catalograph.retrieval.index import Index
+from catalograph.retrieval.index import Index, fetch_items
 from catalograph.retrieval.request import SearchRequest, matched_items
 from catalograph.retrieval.scoring import Clause, boolean_terms, search_phrase_boost
 from catalograph.retrieval.similar import more_like_this
@@ -17,8 +17,7 @@ from catalograph.schema import PAGE_SIZE
 def task_known_item(index: Index, title: str) -> DataFrame:
     """The best hit for a title, with its rating."""
     hit = first_rows(search_phrase_boost(index, title), [F.col("score").desc(), F.col("id")], 1)
-    return (index.items.where("part = 0").join(hit, "id")
-            .select("id", "title", "rating", "score"))
+    return fetch_items(index, hit).select("id", "title", "rating", "score")
 
 
 def task_faceted(index: Index, genre: str, min_rating: float, year_from: int,
@@ -64,4 +63,5 @@ def task_complex(index: Index, genre: str, word: str, year_from: int, year_to: i
 def lucky(index: Index, seed: int, size: int = PAGE_SIZE) -> DataFrame:
     """First page of everything in the random order of a seed."""
     every = matched_items(index, SearchRequest())
-    return paginate(every, random_keys(seed), 1, size).select("id", "title", "year", "rating")
+    page = paginate(every, random_keys(seed), 1, size).select("id")
+    return fetch_items(index, page).select("id", "title", "year", "rating")

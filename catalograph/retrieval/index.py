@@ -109,11 +109,12 @@ def build_postings(items: DataFrame, profile: Profile) -> DataFrame:
     return grouped.select("id", "part", "field", "term", "tf", length.alias("dl"), "positions")
 
 
-def term_stats(postings: DataFrame) -> DataFrame:
-    """Items per (field, term). Distinct items are found within their bucket; only partial counts,
-    one per term and task, are shuffled."""
-    return (postings.select("id", "field", "term").distinct()
-            .groupBy("field", "term").agg(F.count("*").alias("df")))
+def term_stats(postings: DataFrame, has_parts: bool = True) -> DataFrame:
+    """Items per (field, term). Parts of one item are united within their bucket; only partial
+    counts, one per term and task, are shuffled."""
+    rows = postings.select("id", "field", "term")
+    rows = rows.distinct() if has_parts else rows
+    return rows.groupBy("field", "term").agg(F.count("*").alias("df"))
 
 
 def field_stats(postings: DataFrame) -> DataFrame:
@@ -123,30 +124,78 @@ def field_stats(postings: DataFrame) -> DataFrame:
         F.count("*").alias("n"), (F.sum("dl") / F.count("*")).alias("avgdl"))
 
 
+def _create(spark: SparkSession, name: str, path: str, buckets: int, sort: str) -> None:
+    """Name the files under ``path`` as a bucketed table of this session."""
+    columns = spark.read.parquet(path).schema.toDDL()
+    spark.sql(f"CREATE TABLE {name} ({columns}) USING parquet CLUSTERED BY (id) SORTED BY ({sort}) "
+              f"INTO {buckets} BUCKETS LOCATION '{path}'")
+
+
 def _bucketed(df: DataFrame, name: str, path: str, buckets: int, sort: list[str]) -> None:
     (df.write.bucketBy(buckets, "id").sortBy(*sort).format("parquet").mode("overwrite")
      .option("path", path).saveAsTable(name))
 
 
+def _names() -> tuple[str, str]:
+    name = f"catalograph_{uuid.uuid4().hex}"
+    return f"{name}_items", f"{name}_postings"
+
+
 def build_index(items: DataFrame, profile: Profile, path: str | None = None,
                 buckets: int | None = None) -> Index:
-    """Write the index tables under ``path`` (by default in the shared scratch folder)."""
+    """Write the index tables under ``path`` (by default in the shared scratch folder).
+
+    Items are shuffled once, by id; tokens and postings are made from the bucketed items in place.
+    """
     spark = items.sparkSession
     buckets = buckets or int(spark.conf.get("spark.sql.shuffle.partitions"))
     path = path or scratch_path(spark, "index")
-    name = f"catalograph_{uuid.uuid4().hex}"
-    items_table, postings_table = f"{name}_items", f"{name}_postings"
+    items_table, postings_table = _names()
     stored = items if "part" in items.columns else items.withColumn("part", F.lit(0))
     _bucketed(stored.repartition(buckets, "id"), items_table, f"{path}/items", buckets, ["id"])
+    sizes = spark.table(items_table).agg(
+        F.count_if(F.col("part") == 0).alias("n"), F.max("part").alias("parts")).first()
     _bucketed(build_postings(spark.table(items_table), profile), postings_table,
               f"{path}/postings", buckets, ["field", "term"])
     postings = spark.table(postings_table)
-    terms_path = f"{path}/terms"
-    term_stats(postings).repartitionByRange("field", "term").sortWithinPartitions(
-        "field", "term").write.parquet(terms_path)
+    has_parts = bool(sizes["parts"])
+    term_stats(postings, has_parts).sortWithinPartitions("field", "term").write.parquet(
+        f"{path}/terms")
     # One row per field comes to the driver.
     fields = {r["field"]: FieldStats(r["n"], r["avgdl"]) for r in field_stats(postings).collect()}
-    sizes = spark.table(items_table).agg(
-        F.count_if(F.col("part") == 0).alias("n"), F.max("part").alias("parts")).first()
-    return Index(spark, profile, items_table, postings_table, terms_path, fields, sizes["n"],
-                 bool(sizes["parts"]))
+    meta = [(profile.stem, list(profile.stop), buckets, sizes["n"], has_parts,
+             [(name, f.items, f.average) for name, f in fields.items()])]
+    spark.createDataFrame(meta, META).coalesce(1).write.json(f"{path}/meta")
+    return Index(spark, profile, items_table, postings_table, f"{path}/terms", fields, sizes["n"],
+                 has_parts)
+
+
+META = ("stem boolean, stop array<string>, buckets int, total bigint, has_parts boolean, "
+        "fields array<struct<field:string,items:bigint,average:double>>")
+
+
+def open_index(spark: SparkSession, path: str) -> Index:
+    """An index that an earlier session has written."""
+    meta = spark.read.schema(META).json(f"{path}/meta").first()
+    items_table, postings_table = _names()
+    _create(spark, items_table, f"{path}/items", meta["buckets"], "id")
+    _create(spark, postings_table, f"{path}/postings", meta["buckets"], "field, term")
+    fields = {f["field"]: FieldStats(f["items"], f["average"]) for f in meta["fields"]}
+    return Index(spark, Profile(meta["stem"], tuple(meta["stop"])), items_table, postings_table,
+                 f"{path}/terms", fields, meta["total"], meta["has_parts"])
+
+
+def fetch_items(index: Index, top: DataFrame) -> DataFrame:
+    """Full items of a page of hits, with the page's other columns and ``rank``.
+
+    The page's few rows come to the driver. As literals their ids prune buckets and row groups, so
+    the wide columns are read for the page alone and never travel through scoring and sorting.
+    """
+    rows = top.collect()
+    ids = [r["id"] for r in rows]
+    ranked = index.spark.createDataFrame(
+        [(i + 1, *r) for i, r in enumerate(rows)],
+        T.StructType([T.StructField("rank", T.IntegerType()), *top.schema.fields]))
+    found = index.items.where(F.col("id").isin(ids) & (F.col("part") == 0))
+    rest = [c for c in found.columns if c == "id" or c not in top.columns]
+    return found.select(*rest).join(F.broadcast(ranked), "id")

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from dataclasses import dataclass, field
 
+from pyspark import StorageLevel
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -12,7 +13,7 @@ from catalograph.operators.grouping import facet_terms, num_found
 from catalograph.operators.ordering import first_rows, paginate, random_keys, sort_keys
 from catalograph.retrieval.analysis import tokenize
 from catalograph.retrieval.highlight import result_page
-from catalograph.retrieval.index import Index
+from catalograph.retrieval.index import Index, fetch_items
 from catalograph.retrieval.scoring import search_phrase_boost
 from catalograph.retrieval.similar import more_like_this
 from catalograph.schema import PAGE_SIZE, SEARCH_FIELDS
@@ -42,11 +43,15 @@ class SearchRequest:
 
 @dataclass(frozen=True)
 class SearchResult:
-    matched: DataFrame               # every matching item with its score
-    page: DataFrame                  # display columns of the requested page, in order
+    matched: DataFrame               # every matching item: id, score, facet and sort fields
+    page: DataFrame                  # display columns of the requested page, with rank
     num_found: DataFrame
     facets: dict[str, DataFrame]
 
+    def release(self) -> None:
+        """Give back the storage of the matched set."""
+        self.matched.unpersist()
+
 
 def order_of(request: SearchRequest) -> list[Column]:
     sort = request.sort
@@ -58,27 +63,37 @@ def order_of(request: SearchRequest) -> list[Column]:
 
 
 def matched_items(index: Index, request: SearchRequest) -> DataFrame:
-    """Items that pass the filters and match the query, with scores.
+    """Items that pass the filters and match the query: id, score, facet and sort fields only.
 
     Filters come first and never change a score: statistics are those of the whole collection.
     Items and postings share their buckets, so both joins stay in place.
     """
     own = index.items.where("part = 0")
     passing = own.where(condition(own, request.filters)) if request.filters else own
+    sort = (request.sort or "").split(" ")[0]
+    wanted = {"id", *request.facets, *([sort] if sort in own.columns else [])}
+    narrow = passing.select(*[c for c in own.columns if c in wanted])
     if request.all_items:
-        return passing.withColumn("score", F.lit(1.0))
+        return narrow.withColumn("score", F.lit(1.0))
     scores = search_phrase_boost(index, request.text,
                                  ids=passing if request.filters else None)
-    return passing.join(scores, "id")
+    return narrow.join(scores, "id")
+
 
+def search(index: Index, request: SearchRequest, keep: bool = True) -> SearchResult:
+    """Page, count and facets of one request over one matched set.
 
-def search(index: Index, request: SearchRequest) -> SearchResult:
-    """Page, count and facets of one request, as lazy frames over one matched set."""
+    ``keep`` stores the narrow matched set for the three results (memory, then disk; recomputed if
+    an executor is lost) until ``release``.
+    """
     matched = matched_items(index, request)
-    top = paginate(matched, order_of(request), request.page, request.size)
-    shown = result_page(top, "" if request.all_items else request.text, index.profile)
+    matched = matched.persist(StorageLevel.MEMORY_AND_DISK) if keep else matched
+    top = paginate(matched, order_of(request), request.page, request.size).select("id", "score")
+    shown = result_page(fetch_items(index, top), "" if request.all_items else request.text,
+                        index.profile)
     columns = [c for c in SEARCH_FIELDS if c in shown.columns]
-    page = shown.select(*columns, "highlighted_plot", "highlighted_reviews", "snippet", "score")
+    page = shown.select("rank", *columns, "highlighted_plot", "highlighted_reviews", "snippet",
+                        "score").orderBy("rank")
     facets = {f: facet_terms(matched, f) for f in request.facets}
     return SearchResult(matched, page, num_found(matched), facets)
 

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import math
 from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame
@@ -15,7 +16,11 @@ K1, B = 1.2, 0.75        # fixed values of the ranking function
 SCORE_PLACES = 6         # scores are compared and returned at this precision
 
 
-def idf(n: Column | int, df: Column) -> Column:
+def idf_value(n: int, df: int) -> float:
+    return math.log(1 + (n - df + 0.5) / (df + 0.5))
+
+
+def idf(n: Column, df: Column) -> Column:
     return F.log(1 + (n - df + 0.5) / (df + 0.5))
 
 
@@ -23,29 +28,26 @@ def tf_factor(tf: Column, dl: Column, average: Column) -> Column:
     return tf / (tf + K1 * ((1 - B) + B * dl / average))
 
 
-def _averages(index: Index, fields) -> Column:
-    """Mean length of the row's field, as a literal per field."""
-    column = F.lit(None).cast("double")
-    for name in fields:
+def per_field(index: Index, fields, read) -> Column:
+    """A statistic of the row's field, as one literal per field."""
+    column = F.lit(None)
+    for name in sorted(fields):
         if name in index.fields:
-            column = F.when(F.col("field") == name, index.fields[name].average).otherwise(column)
+            column = F.when(F.col("field") == name, read(index.fields[name])).otherwise(column)
     return column
 
 
-def _field_items(index: Index, fields) -> Column:
-    column = F.lit(None).cast("bigint")
-    for name in fields:
-        if name in index.fields:
-            column = F.when(F.col("field") == name, index.fields[name].items).otherwise(column)
-    return column
+def term_factor(index: Index, fields) -> Column:
+    """Frequency part of BM25. Whole-value fields have no length: factor 1/2.2."""
+    keyword = F.col("field").isin(list(KEYWORD_FIELDS))
+    return F.when(keyword, F.lit(1.0 / (1.0 + K1))).otherwise(tf_factor(
+        F.col("tf"), F.col("dl"), per_field(index, fields, lambda f: f.average)))
 
 
 def posting_score(index: Index, fields) -> Column:
-    """BM25 of one posting that carries ``df``. Whole-value fields have no length: factor 1/2.2."""
-    keyword = F.col("field").isin(list(KEYWORD_FIELDS))
-    factor = F.when(keyword, F.lit(1.0 / (1.0 + K1))).otherwise(
-        tf_factor(F.col("tf"), F.col("dl"), _averages(index, fields)))
-    return idf(_field_items(index, fields), F.col("df")) * factor
+    """BM25 of one posting that carries ``df``."""
+    items = per_field(index, fields, lambda f: f.items)
+    return idf(items, F.col("df")) * term_factor(index, fields)
 
 
 @dataclass(frozen=True)
@@ -57,64 +59,79 @@ class Wanted:
     boost: float = 1.0
 
 
-def _lookup(index: Index, wanted: list[Wanted]) -> DataFrame:
-    """The wanted terms with their item counts: one row per query word and field."""
-    rows = index.spark.createDataFrame(
-        [(w.slot, w.field, w.term, w.boost) for w in wanted],
-        "slot int, field string, term string, boost double")
-    stats = index.term_stats.where(_any_of(wanted))
-    return stats.join(F.broadcast(rows), ["field", "term"])
-
-
 def _any_of(wanted: list[Wanted]) -> Column:
     """Literal membership, so that it reaches the Parquet scan."""
     return (F.col("field").isin(sorted({w.field for w in wanted}))
             & F.col("term").isin(sorted({w.term for w in wanted})))
 
 
+def item_counts(index: Index, wanted: list[Wanted]) -> dict[tuple[str, str], int]:
+    """Items per wanted field and term: one row per query word and field comes to the driver."""
+    if not wanted:
+        return {}
+    rows = index.term_stats.where(_any_of(wanted)).collect()
+    return {(r["field"], r["term"]): r["df"] for r in rows}
+
+
 def slot_scores(index: Index, wanted: list[Wanted], ids: DataFrame | None = None) -> DataFrame:
     """(id, slot, s): best boosted score over fields per item and slot.
 
-    Both broadcast frames hold one row per query word and field. Grouping by id stays in the bucket.
+    The broadcast frame holds one row per query word and field. Grouping by id, and the restriction
+    to given ids, stay in the bucket.
     """
-    if not wanted:
+    counts = item_counts(index, wanted)
+    rows = [(w.slot, w.field, w.term,
+             w.boost * idf_value(index.fields[w.field].items, counts[w.field, w.term]))
+            for w in wanted if (w.field, w.term) in counts]
+    if not rows:
         return index.spark.createDataFrame([], "id string, slot int, s double")
-    rows = index.frequencies().where(_any_of(wanted))
+    weights = index.spark.createDataFrame(rows, "slot int, field string, term string, w double")
+    found = index.frequencies().where(_any_of([w for w in wanted if (w.field, w.term) in counts]))
     if ids is not None:
-        rows = rows.join(ids.select("id"), "id", "left_semi")
-    hits = rows.join(F.broadcast(_lookup(index, wanted)), ["field", "term"])
-    score = F.col("boost") * posting_score(index, {w.field for w in wanted})
+        found = found.join(ids.select("id"), "id", "left_semi")
+    hits = found.join(F.broadcast(weights), ["field", "term"])
+    score = F.col("w") * term_factor(index, {w.field for w in wanted})
     return hits.groupBy("id", "slot").agg(F.max(score).alias("s"))
 
 
-def phrase_hits(index: Index, field: str, terms: list[tuple[int, str]]) -> DataFrame:
-    """(id, tf): places where the terms stand at their relative positions."""
+def phrase_hits(index: Index, phrases: dict[str, list[tuple[int, str]]]) -> DataFrame:
+    """(id, field, dl, tf): places where a field has the terms at their relative positions.
+
+    All fields are read in one scan; places are counted within the bucket.
+    """
     places = index.spark.createDataFrame(
-        [(t, p - terms[0][0], i) for i, (p, t) in enumerate(terms)],
-        "term string, shift int, nth int")
-    rows = index.postings.where(
-        (F.col("field") == field) & F.col("term").isin([t for _, t in terms]))
-    starts = (rows.select("id", "term", F.explode("positions").alias("pos"))
-              .join(F.broadcast(places), "term")
-              .groupBy("id", (F.col("pos") - F.col("shift")).alias("start"))
-              .agg(F.count("*").alias("met")).where(F.col("met") == len(terms)))
-    return starts.groupBy("id").agg(F.count("*").alias("tf"))
-
-
-def phrase_scores(index: Index, field: str, terms: list[tuple[int, str]]) -> DataFrame:
-    """(id, s) for one field: summed idf of the terms times the factor of the phrase count."""
-    if len(terms) < 2 or field not in index.fields:
+        [(field, term, place - terms[0][0], len(terms))
+         for field, terms in phrases.items() for place, term in terms],
+        "field string, term string, shift int, size int")
+    wanted = [Wanted(0, field, t) for field, terms in phrases.items() for _, t in terms]
+    rows = index.postings.where(_any_of(wanted)).select("id", "field", "term", "dl", "positions")
+    starts = (rows.join(F.broadcast(places), ["field", "term"])
+              .select("id", "field", "dl", "size", "shift", F.explode("positions").alias("pos"))
+              .groupBy("id", "field", (F.col("pos") - F.col("shift")).alias("start"))
+              .agg(F.count("*").alias("met"), F.max("size").alias("size"), F.max("dl").alias("dl"))
+              .where(F.col("met") == F.col("size")))
+    return starts.groupBy("id", "field").agg(F.max("dl").alias("dl"), F.count("*").alias("tf"))
+
+
+def phrase_scores(index: Index, text: str, boosts: dict[str, float]) -> DataFrame:
+    """(id, s): best boosted phrase score over text fields; none for fewer than two terms.
+
+    A phrase scores the summed idf of its terms times the frequency factor of its count.
+    """
+    phrases = {f: index.profile.query_terms(text, f) for f in boosts if f not in KEYWORD_FIELDS}
+    wanted = [Wanted(0, f, t) for f, terms in phrases.items() for _, t in terms]
+    counts = item_counts(index, wanted)
+    # A field that lacks one of the terms cannot have the phrase.
+    phrases = {f: terms for f, terms in phrases.items()
+               if len(terms) > 1 and all((f, t) in counts for _, t in terms)}
+    if not phrases:
         return index.spark.createDataFrame([], "id string, s double")
-    stats = index.fields[field]
-    wanted = [Wanted(i, field, t) for i, (_, t) in enumerate(terms)]
-    weight = _lookup(index, wanted).agg(F.sum(idf(F.lit(stats.items), F.col("df"))).alias("w"))
-    lengths = (index.frequencies(("id", "field", "term", "dl"))
-               .where((F.col("field") == field) & (F.col("term") == terms[0][1]))
-               .select("id", "dl"))
-    # One row: the weight of the phrase.
-    hits = phrase_hits(index, field, terms).join(lengths, "id").crossJoin(F.broadcast(weight))
-    return hits.select("id", (F.col("w") * tf_factor(
-        F.col("tf"), F.col("dl"), F.lit(stats.average))).alias("s"))
+    weight = F.lit(None).cast("double")
+    for f, terms in phrases.items():
+        w = boosts[f] * sum(idf_value(index.fields[f].items, counts[f, t]) for _, t in terms)
+        weight = F.when(F.col("field") == f, w).otherwise(weight)
+    score = weight * term_factor(index, phrases)
+    return phrase_hits(index, phrases).groupBy("id").agg(F.max(score).alias("s"))
 
 
 def search_field(index: Index, field: str, text: str) -> DataFrame:
@@ -171,19 +188,11 @@ def search_weighted(index: Index, text: str, boosts: dict[str, float] = FIELD_BO
 
 def phrase_boost(index: Index, text: str, boosts: dict[str, float] = PHRASE_BOOSTS) -> DataFrame:
     """(id, boost): best boosted phrase score over fields, for queries of at least two words."""
-    parts = []
-    for field, boost in boosts.items():
-        if field in KEYWORD_FIELDS:
-            if len(index.profile.query_terms(text, "title")) < 2:
-                continue
-            scores = slot_scores(index, [Wanted(0, field, text.strip())]).select("id", "s")
-        else:
-            scores = phrase_scores(index, field, index.profile.query_terms(text, field))
-        parts.append(scores.select("id", (boost * F.col("s")).alias("s")))
-    union = parts[0] if parts else index.spark.createDataFrame([], "id string, s double")
-    for part in parts[1:]:
-        union = union.unionByName(part)
-    return union.groupBy("id").agg(F.max("s").alias("boost"))
+    scores = phrase_scores(index, text, boosts)
+    if len(index.profile.query_terms(text, "title")) > 1:
+        whole = [Wanted(0, f, text.strip(), b) for f, b in boosts.items() if f in KEYWORD_FIELDS]
+        scores = scores.unionByName(slot_scores(index, whole).select("id", "s"))
+    return scores.groupBy("id").agg(F.max("s").alias("boost"))
 
 
 def search_phrase_boost(index: Index, text: str, boosts: dict[str, float] = FIELD_BOOSTS,
@@ -205,15 +214,13 @@ class Clause:
     phrase: bool = False
 
 
-def _clause_scores(index: Index, number: int, clause: Clause, boosts) -> list[DataFrame]:
+def _clause_scores(index: Index, number: int, clause: Clause, boosts) -> DataFrame:
     fields = {clause.field: 1.0} if clause.field else dict(boosts)
     number = F.lit(number).alias("clause")
-    if not clause.phrase:
-        slots = slot_scores(index, _words(index, clause.text, fields))
-        return [slots.groupBy("id").agg(F.sum("s").alias("s")).select("id", number, "s")]
-    return [phrase_scores(index, f, index.profile.query_terms(clause.text, f))
-            .select("id", number, (b * F.col("s")).alias("s"))
-            for f, b in fields.items() if f not in KEYWORD_FIELDS]
+    if clause.phrase:
+        return phrase_scores(index, clause.text, fields).select("id", number, "s")
+    slots = slot_scores(index, _words(index, clause.text, fields))
+    return slots.groupBy("id").agg(F.sum("s").alias("s")).select("id", number, "s")
 
 
 def boolean_terms(index: Index, must: list[Clause] = (), should: list[Clause] = (),
@@ -221,16 +228,15 @@ def boolean_terms(index: Index, must: list[Clause] = (), should: list[Clause] =
                   boosts: dict[str, float] = FIELD_BOOSTS) -> DataFrame:
     """Items with every required, no excluded and, if nothing is required, some optional clause.
 
-    All clauses are looked up once and settled per item by one grouping.
+    One row per item and clause; one grouping settles all clauses of an item.
     """
     clauses = [*must, *should, *must_not]
-    parts = [p for i, c in enumerate(clauses) for p in _clause_scores(index, i, c, boosts)]
+    parts = [_clause_scores(index, i, c, boosts) for i, c in enumerate(clauses)]
     union = parts[0]
     for part in parts[1:]:
         union = union.unionByName(part)
-    best = union.groupBy("id", "clause").agg(F.max("s").alias("s"))
     wanted = len(must) + len(should)
-    scored = best.groupBy("id").agg(
+    scored = union.groupBy("id").agg(
         F.count_if(F.col("clause") < len(must)).alias("required"),
         F.count_if(F.col("clause") >= wanted).alias("excluded"),
         F.count_if(F.col("clause") < wanted).alias("met"),

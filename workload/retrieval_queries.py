@@ -9,7 +9,7 @@ from catalograph.retrieval import analysis as A
 from catalograph.retrieval import similar as S
 from catalograph.retrieval import scoring as X
 from catalograph.retrieval.highlight import highlight_fragment, result_page
-from catalograph.retrieval.index import field_stats
+from catalograph.retrieval.index import fetch_items, field_stats, token_rows
 from catalograph.retrieval.request import SearchRequest, get_with_similar, search
 from workload import tables as T
 from workload.registry import query
@@ -33,7 +33,6 @@ def _(spark, sf):
 @query("analyze_general", f"""WITH {T.TOKENS} SELECT field, term, count(*) AS n, min(pos) AS first_pos,
     max(pos) AS last_pos FROM tokens GROUP BY field, term""")
 def _(spark, sf):
-    from catalograph.retrieval.index import token_rows
     rows = token_rows(T.items(spark, sf), A.PLAIN).where(F.col("field").isin(list(A.TEXT_FIELDS)))
     return rows.groupBy("field", "term").agg(
         F.count("*").alias("n"), F.min("pos").alias("first_pos"), F.max("pos").alias("last_pos"))
@@ -247,8 +246,8 @@ def _(spark, sf):
 def _(spark, sf):
     index = T.index(spark, sf)
     ranked = X.search_phrase_boost(index, WORDS)
-    hits = first_rows(index.items.join(ranked, "id"), [F.col("score").desc(), F.col("id")], 10)
-    shown = result_page(hits, WORDS, A.PLAIN)
+    hits = first_rows(ranked, [F.col("score").desc(), F.col("id")], 10)
+    shown = result_page(fetch_items(index, hits), WORDS, A.PLAIN)
     review = F.coalesce(F.get("reviews", F.lit(0)), F.lit(""))
     return shown.select("id", "title", "score", "highlighted_plot", review.alias("review"), "snippet")
 

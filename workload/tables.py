@@ -7,15 +7,19 @@ from pyspark.sql import functions as F
 
 from catalograph.retrieval.analysis import STOP_WORDS, TOKEN, Profile
 from catalograph.retrieval.index import Index, build_index
-from catalograph.operators.lists import collect_in_order
+from catalograph.operators.lists import attach_lists, collect_in_order
 from catalograph.session import tune
+from catalograph.sources.tables import read_table
 
 FIRST_SENTENCE = "^[^.!?\\n]*"
 
 
+TEXT_TABLES = ("documents", "pages", "conversations")     # costly per row
+
+
 def table(spark: SparkSession, sf: str, name: str) -> DataFrame:
     tune(spark)
-    return spark.read.parquet(f"{sf}/{name}.parquet")
+    return read_table(spark, f"{sf}/{name}.parquet", heavy=name in TEXT_TABLES)
 
 
 # ---- documents as searched items ----
@@ -23,7 +27,8 @@ def table(spark: SparkSession, sf: str, name: str) -> DataFrame:
 def items(spark: SparkSession, sf: str) -> DataFrame:
     turns = table(spark, sf, "conversations").select(
         F.col("conv_id").cast("string").alias("id"), "turn", "text")
-    reviews = collect_in_order(turns, "id", "text", ["turn"], "reviews").where("part = 0")
+    reviews = collect_in_order(turns, "id", "text", ["turn"], "reviews")
+    counts = turns.groupBy("id").agg(F.count("*").cast("int").alias("num_reviews"))
     docs = table(spark, sf, "documents")
     base = docs.select(
         F.col("doc_id").cast("string").alias("id"), F.lit(0).alias("part"),
@@ -34,8 +39,9 @@ def items(spark: SparkSession, sf: str) -> DataFrame:
         (F.col("n_chars") % 100 / F.lit(10.0)).alias("rating"), F.col("text").alias("plot"),
         F.lit(None).cast("string").alias("poster"), F.lit(None).cast("string").alias("url"),
         F.lit(None).cast("int").alias("tomatometer"))
-    joined = base.join(reviews.drop("part"), "id", "left")
-    return joined.withColumn("num_reviews", F.coalesce(F.size("reviews"), F.lit(0)))
+    counted = base.join(counts, "id", "left").withColumn(
+        "num_reviews", F.coalesce("num_reviews", F.lit(0)))
+    return attach_lists(counted, reviews, "id", ["reviews"])
 
 
 ITEMS = f"""review_lists AS (
