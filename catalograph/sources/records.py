@@ -5,9 +5,6 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import types as T
 
-CORRUPT = "_corrupt_record"
-
-
 def path_exists(spark: SparkSession, path: str) -> bool:
     jvm = spark.sparkContext._jvm
     target = jvm.org.apache.hadoop.fs.Path(path)
@@ -23,10 +20,8 @@ def read_json_array(spark: SparkSession, path: str, schema: T.StructType) -> Dat
     """Records of files that each hold one JSON array; a missing or unreadable file gives none."""
     if not path_exists(spark, path):
         return empty(spark, schema)
-    marked = T.StructType([*schema.fields, T.StructField(CORRUPT, T.StringType())])
-    rows = (spark.read.schema(marked).option("multiLine", "true").option("mode", "PERMISSIVE")
-            .option("columnNameOfCorruptRecord", CORRUPT).json(path))
-    return rows.where(f"{CORRUPT} IS NULL").drop(CORRUPT)
+    return (spark.read.schema(schema).option("multiLine", "true").option("mode", "DROPMALFORMED")
+            .json(path))
 
 
 def read_json_lines(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
