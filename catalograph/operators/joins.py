@@ -111,49 +111,45 @@ def title_year_lookup(items: DataFrame, title: str = "title", year: str = "year"
 
 
 def match_reviews(items: DataFrame, recs: DataFrame, values: list[str], pos: str = "pos",
-                  tolerance: int = 1, exact: bool = True) -> DataFrame:
+                  tolerance: int = 1) -> DataFrame:
     """Resolve each distinct (title, year) of the items to one record.
 
     First the exact key as in ``join_title_year``. Without one, the first record in load order under
     the trimmed title whose year is 0 or within the tolerance; a record without a year met before
     that ends the search with no match.
 
-    Records are reduced to the first position per (title, year), and an item asks for the few years
-    it could accept, so equal titles never pair up: the work is linear however often one occurs.
+    Records are reduced to one per (title, year) for either search, and an item asks for the few
+    years it could accept, so equal titles never pair up: the work is linear however often one
+    occurs. The answers of both searches meet in one grouping.
     """
     wanted = (items.select("title", "year")
               .where((F.col("title") != "") & F.col("year").isNotNull() & (F.col("year") != 0))
               .distinct())
-    # Records whose year is null act in the title-only search alone: their exact key is "title_None".
-    exact_side = (recs.where(F.col("year").isNotNull())
-                  .select(F.lower("title").alias("_t"), F.col("year").alias("_y"),
-                          F.struct(*values).alias("_hit"), pos)
-                  .transform(dedup_last_wins, ["_t", "_y"], pos).drop(pos))
-    keyed = wanted.withColumns({"_t": F.lower("title"), "_y": F.col("year")})
-    found = keyed.join(exact_side, ["_t", "_y"], "left")
-    if not exact:
-        found = found.withColumn("_hit", F.lit(None).cast(found.schema["_hit"].dataType))
-    # Null years are asked for under a value that no year takes.
+    hit = F.struct(F.col("year").alias("found_year"), *values).alias("_hit")
+    titled = recs.where(F.col("title").isNotNull())
+    exact = (titled.where(F.col("year").isNotNull())
+             .groupBy(F.lower("title").alias("_t"), F.col("year").alias("_y"))
+             .agg(F.max_by(hit, F.col(pos)).alias("_hit")))
+    # A record without a year is asked for under a value that no year takes.
     no_year = F.lit(-2147483648)
-    firsts = (recs.where(F.col("title").isNotNull())
-              .groupBy(F.lower(strip("title")).alias("_t"),
-                       F.coalesce("year", no_year).alias("_y"))
-              .agg(F.min(F.struct(F.col(pos).alias("_p"), F.col("year").alias("_ry"),
-                                  F.struct(*values).alias("_near"))).alias("_c")))
+    first = (titled.groupBy(F.lower(strip("title")).alias("_t"),
+                            F.coalesce("year", no_year).alias("_y"))
+             .agg(F.min_by(hit, F.col(pos)).alias("_hit"), F.min(pos).alias("_pos")))
     asked = F.array_distinct(F.concat(
         F.array(no_year, F.lit(0)),
         F.sequence(F.col("year") - tolerance, F.col("year") + tolerance)))
-    nearest = (found.where(F.col("_hit").isNull())
-               .select("title", "year", F.lower(strip("title")).alias("_t"),
-                       F.explode(asked).alias("_y"))
-               .join(firsts, ["_t", "_y"])
-               .groupBy("title", "year").agg(F.min_by("_c", F.col("_c._p")).alias("_c"))
-               .where(F.col("_c._ry").isNotNull())
-               .select("title", "year", "_c._near"))
-    return (found.select("title", "year", "_hit").join(nearest, ["title", "year"], "left")
-            .select("title", "year", F.coalesce("_hit", "_near").alias("_hit"))
-            .where(F.col("_hit").isNotNull())
-            .select("title", "year", "_hit.*"))
+    exact_hits = (wanted.withColumns({"_t": F.lower("title"), "_y": F.col("year")})
+                  .join(exact, ["_t", "_y"]).select("title", "year", F.lit(0).alias("_try"),
+                                                    F.lit(None).cast(recs.schema[pos].dataType)
+                                                    .alias("_pos"), "_hit"))
+    near_hits = (wanted.select("title", "year", F.lower(strip("title")).alias("_t"),
+                               F.explode(asked).alias("_y"))
+                 .join(first, ["_t", "_y"]).select("title", "year", F.lit(1).alias("_try"),
+                                                   "_pos", "_hit"))
+    best = (exact_hits.unionByName(near_hits).groupBy("title", "year")
+            .agg(F.min_by("_hit", F.struct("_try", "_pos")).alias("_hit")))
+    return best.where(F.col("_hit.found_year").isNotNull()).select(
+        "title", "year", *[F.col(f"_hit.{v}").alias(v) for v in values])
 
 
 def join_year_tolerance(items: DataFrame, recs: DataFrame, values: list[str], pos: str = "pos",

@@ -21,18 +21,14 @@ def _largest_group(df: DataFrame, keys: list[str]) -> int:
     return row["n"] or 0
 
 
-def numbered(df: DataFrame, key, order: list[str], part_rows: int = LIST_ROWS) -> DataFrame:
-    """Add ``_n``, the 0-based place of a row within its key; ``order`` must be unique per key.
+def numbered(df: DataFrame, keys: list[str], order: list[str]) -> DataFrame:
+    """Add ``_n``, the 0-based place of a row within its key, for keys of any size.
 
-    While every key has at most ``part_rows`` rows (counted first, with partial aggregation) this is
-    an ordinary row number. Otherwise the table is cut into ranges of (key, order), which also cuts
-    the large keys; rows are numbered within (range, key), and a key that crosses a border gets the
-    count of its rows in earlier ranges added. The ranges are written, so that they cannot move.
+    The table is cut into ranges of (key, order), which also cuts the large keys; rows are numbered
+    within (range, key), and a key that crosses a border gets the count of its rows in earlier
+    ranges added. The ranges are written first: their borders come from a sample and must not move
+    when a task runs again. ``order`` must be unique per key, and keys must not be null.
     """
-    keys = [key] if isinstance(key, str) else list(key)
-    if _largest_group(df, keys) <= part_rows:
-        place = F.row_number().over(W.partitionBy(*keys).orderBy(*order))
-        return df.withColumn("_n", (place - 1).cast("bigint"))
     ranged = materialize(df.repartitionByRange(*keys, *order)
                          .withColumn("_range", F.spark_partition_id()), "lists")
     counts = ranged.groupBy(*keys, "_range").agg(F.count("*").alias("_rows"))
@@ -52,15 +48,27 @@ def numbered(df: DataFrame, key, order: list[str], part_rows: int = LIST_ROWS) -
 
 def collect_in_order(df: DataFrame, key, value: Column | str, order: list[str],
                      name: str = "values", part_rows: int = LIST_ROWS) -> DataFrame:
-    """Values per key in order, nulls kept, as rows (key, part, values)."""
+    """Values per key in order, nulls kept, as rows (key, part, values); rows without a key are
+    left out.
+
+    Group sizes are counted first, with partial aggregation. While every key has at most
+    ``part_rows`` rows one grouping collects them, and ``part`` is the literal 0, so that plans built
+    on the lists lose their branch for further parts. Otherwise rows are numbered by range and
+    grouped by (key, part).
+    """
     keys = [key] if isinstance(key, str) else list(key)
     value = F.col(value) if isinstance(value, str) else value
-    rows = numbered(df.select(*keys, *[c for c in order if c not in keys], value.alias("_v")),
-                    keys, order, part_rows)
-    part = F.floor(F.col("_n") / part_rows).cast("int")
-    lists = rows.groupBy(*keys, part.alias("part")).agg(
-        F.array_sort(F.collect_list(F.struct("_n", "_v"))).alias("_l"))
-    return lists.select(*keys, "part", F.transform("_l", lambda e: e["_v"]).alias(name))
+    rows = df.select(*keys, *[c for c in order if c not in keys], value.alias("_v")).dropna(
+        subset=keys)
+    if _largest_group(rows, keys) <= part_rows:
+        part, by, place = F.lit(0), keys, order
+    else:
+        rows = numbered(rows, keys, order).withColumn(
+            "part", F.floor(F.col("_n") / part_rows).cast("int"))
+        part, by, place = F.col("part"), [*keys, "part"], ["_n"]
+    lists = rows.groupBy(*by).agg(
+        F.array_sort(F.collect_list(F.struct(*place, "_v"))).alias("_l"))
+    return lists.select(*keys, part.alias("part"), F.transform("_l", lambda e: e["_v"]).alias(name))
 
 
 def group_records(df: DataFrame, key: str, pos: str, part_rows: int = LIST_ROWS) -> DataFrame:

@@ -14,6 +14,7 @@ from catalograph.operators.lists import LIST_ROWS, attach_lists
 from catalograph.operators.ordering import dedup_last_wins
 from catalograph.schema import (SOURCE_ARTICLES, SOURCE_BASE, SOURCE_ENRICH, SOURCE_REVIEWS,
                                 STRINGS)
+from catalograph.session import materialize
 
 ARTICLE_FIELDS = ["headline", "abstract", "snippet"]
 
@@ -41,7 +42,8 @@ def merge_entities(items: DataFrame, enrich: DataFrame, reviews: DataFrame,
     """
     part = [] if "part" not in items.columns else ["part"]
     base = dedup_last_wins(items.where(F.col("tconst").isNotNull()), ["tconst", *part], pos)
-    base = base if part else base.withColumn("part", F.lit(0))
+    # Written once: the items are read here for the joins and again for their titles.
+    base = materialize(base if part else base.withColumn("part", F.lit(0)), "base")
     own = base.where("part = 0")
     merged = join_overlay(own, enrich, "tconst", "imdb_id", pos)
 
