@@ -13,6 +13,7 @@ from pyspark.sql import functions as F
 from catalograph.functions.scalars import falsy_fallback, overlay_values, strip, try_year
 from catalograph.operators.lists import LIST_ROWS, attach_lists, collect_in_order
 from catalograph.operators.ordering import dedup_last_wins
+from catalograph.operators.sets import unseen
 from catalograph.schema import STRINGS
 
 
@@ -37,11 +38,12 @@ def join_one_to_one(left: DataFrame, right: DataFrame, on: str) -> DataFrame:
 
 
 def join_semi(df: DataFrame, ids: DataFrame, on: str) -> DataFrame:
-    return df.join(ids.select(on), on, "left_semi")
+    """Rows whose key is among the ids; repeated ids are united before the shuffle."""
+    return df.join(ids.select(on).distinct(), on, "left_semi")
 
 
 def join_anti(candidates: DataFrame, known: DataFrame, on: str) -> DataFrame:
-    return candidates.join(known.select(on), on, "left_anti")
+    return unseen(candidates, known, on)
 
 
 def join_lookup(df: DataFrame, names: DataFrame, key: str, value: str, pos: str) -> DataFrame:

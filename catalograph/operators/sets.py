@@ -11,8 +11,12 @@ def union_append(old: DataFrame, new: DataFrame) -> DataFrame:
 
 
 def unseen(candidates: DataFrame, known: DataFrame, key: str) -> DataFrame:
-    """Candidates whose key is not known."""
-    return candidates.join(known.select(key), key, "left_anti")
+    """Candidates whose key is not known.
+
+    Known keys are made distinct first: a key stored very often shrinks to one row per task before
+    the shuffle, and the join then uses the same partitioning.
+    """
+    return candidates.join(known.select(key).distinct(), key, "left_anti")
 
 
 def ordered_distinct(xs: Column | str) -> Column:

@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from catalograph.functions.markup import PageRules
+from catalograph.operators.joins import join_semi
 from catalograph.operators.ordering import dedup_last_wins, first_per_group
 from catalograph.operators.pages import page_details, page_links, review_documents
 from catalograph.operators.sets import union_append, unseen
@@ -26,10 +27,9 @@ def collect_reviews(listing: DataFrame, pages: DataFrame, rules: PageRules,
     if existing is not None:
         fresh = unseen(fresh, existing, "url")
     fetched = pages.where(F.col("html").isNotNull())
-    wanted = limited(fresh.join(fetched.select("url").distinct(), "url", "left_semi"),
-                     [F.col("seen_at").asc()], limit)
+    wanted = limited(join_semi(fresh, fetched, "url"), [F.col("seen_at").asc()], limit)
     # A page stored more than once counts once, with its latest copy.
-    needed = fetched.join(wanted.select("url"), "url", "left_semi")
+    needed = join_semi(fetched, wanted, "url")
     latest = dedup_last_wins(needed.select("page_id", "url", "html"), "url", "page_id")
     made = review_documents(wanted, page_details(latest, rules), site, scale)
     return union_append(existing, made) if existing is not None else made

@@ -44,12 +44,6 @@ def term_factor(index: Index, fields) -> Column:
         F.col("tf"), F.col("dl"), per_field(index, fields, lambda f: f.average)))
 
 
-def posting_score(index: Index, fields) -> Column:
-    """BM25 of one posting that carries ``df``."""
-    items = per_field(index, fields, lambda f: f.items)
-    return idf(items, F.col("df")) * term_factor(index, fields)
-
-
 @dataclass(frozen=True)
 class Wanted:
     """One term looked for in one field; hits of one slot compete, slots add up."""

@@ -10,11 +10,13 @@ from pyspark.sql import functions as F
 
 from catalograph.operators.ordering import top_n_per_group
 from catalograph.retrieval.index import Index
-from catalograph.retrieval.scoring import SCORE_PLACES, posting_score
+from catalograph.retrieval.scoring import SCORE_PLACES, idf, per_field, term_factor
 from catalograph.schema import SIMILAR_BY
 from catalograph.session import materialize
 
 MAX_TERMS = 25
+RARE_ITEMS = 1_000_000   # items a seed's terms may reach before common terms are set apart
+SLACK = 1e-5             # covers rounding of scores when they are compared with a floor
 WEIGHT_PLACES = 9
 
 
@@ -39,19 +41,27 @@ def mlt_terms(index: Index, seeds: DataFrame | list[str], fields=SIMILAR_BY,
                            [F.col("weight").desc(), F.col("field"), F.col("term")], max_terms)
 
 
-def _like(index: Index, terms: DataFrame, wanted: Column | None, fields, k: int,
-          boost: bool) -> DataFrame:
-    """Top k per seed of the summed scores. Grouping by (seed, id) stays in the item's bucket, and
-    the cut to k is applied there too, so only k rows per seed and task move."""
+def _weighed(index: Index, terms: DataFrame, fields, boost: bool) -> DataFrame:
+    """Seed terms with ``w``, the most that one of them can add to an item's score."""
     best = F.max("weight").over(W.partitionBy("seed"))
     factor = F.col("weight") / best if boost else F.lit(1.0)
-    terms = terms.withColumn("factor", factor)
-    rows = index.frequencies() if wanted is None else index.frequencies().where(wanted)
-    hits = rows.join(terms, ["field", "term"]).where(F.col("id") != F.col("seed"))
-    scored = hits.groupBy("id", "seed").agg(F.round(F.sum(
-        F.col("factor") * posting_score(index, fields)), SCORE_PLACES).alias("score"))
-    return top_n_per_group(scored, "seed", [F.col("score").desc(), F.col("id")], k).select(
-        "seed", "id", "score")
+    items = per_field(index, fields, lambda f: f.items)
+    return terms.withColumn("w", factor * idf(items, F.col("df"))).drop("weight")
+
+
+def _sums(index: Index, terms: DataFrame, wanted: Column, fields) -> DataFrame:
+    """(id, seed, s): summed scores of the given terms. Grouping by id and seed stays in the item's
+    bucket; the seed itself is left out."""
+    hits = (index.frequencies().where(wanted).join(terms, ["field", "term"])
+            .where(F.col("id") != F.col("seed")))
+    return hits.groupBy("id", "seed").agg(
+        F.sum(F.col("w") * term_factor(index, fields)).alias("s"))
+
+
+def _best(sums: DataFrame, k: int) -> DataFrame:
+    """Top k per seed; the cut is applied in each task first, so only k rows per seed and task move."""
+    scored = sums.select("seed", "id", F.round("s", SCORE_PLACES).alias("score"))
+    return top_n_per_group(scored, "seed", [F.col("score").desc(), F.col("id")], k)
 
 
 def more_like_this(index: Index, item_id: str, fields=SIMILAR_BY, k: int = 5,
@@ -67,15 +77,56 @@ def more_like_this(index: Index, item_id: str, fields=SIMILAR_BY, k: int = 5,
         "seed string, field string, term string, df bigint, weight double")
     pairs = [(F.col("field") == r["field"]) & (F.col("term") == r["term"]) for r in rows]
     wanted = reduce(lambda a, b: a | b, pairs, F.lit(False))
-    return _like(index, F.broadcast(terms), wanted, fields, k, boost)
+    weighed = F.broadcast(_weighed(index, terms, fields, boost))
+    return _best(_sums(index, weighed, wanted, fields), k)
 
 
 def more_like_this_batch(index: Index, seeds: DataFrame, fields=SIMILAR_BY, k: int = 5,
-                         boost: bool = False) -> DataFrame:
-    """``more_like_this`` for a table of seed ids, in one pass over the postings.
+                         boost: bool = False, rare_items: int = RARE_ITEMS) -> DataFrame:
+    """``more_like_this`` for a table of seed ids.
+
+    Many seeds share common terms, and pairing each of them with every item that has such a term is
+    what would not scale. Where a seed's terms are in more than ``rare_items`` items together, its
+    rarest terms are scored first: their k-th best sum is a floor for the final top k. The most common
+    terms whose weights together stay below that floor cannot bring in an item alone, so only the
+    other terms look for candidates, candidates out of reach of the floor are dropped, and the
+    common terms are then added for the remaining ones. The result is the same as without.
 
     The seeds' terms are written first: then their size is known, and Spark broadcasts them only
     under its own threshold and shuffles both sides by term beyond it.
     """
-    terms = materialize(mlt_terms(index, seeds, fields), "seed-terms")
-    return _like(index, terms, F.col("field").isin(list(fields)), fields, k, boost)
+    terms = materialize(_weighed(index, mlt_terms(index, seeds, fields), fields, boost), "seed-terms")
+    own_fields = F.col("field").isin(list(fields))
+    widest = terms.groupBy("seed").agg(F.sum("df").alias("n")).agg(F.max("n")).first()[0] or 0
+    if widest <= rare_items:
+        return _best(_sums(index, terms, own_fields, fields), k)
+
+    def running(value: str, *order: Column) -> Column:
+        return F.sum(value).over(W.partitionBy("seed").orderBy(*order).rowsBetween(
+            W.unboundedPreceding, W.currentRow))
+
+    first = W.partitionBy("seed").orderBy("df", "field", "term")
+    rarest = terms.withColumns({
+        "_sum": running("df", F.col("df"), F.col("field"), F.col("term")),
+        "_nth": F.row_number().over(first)}).where(
+        (F.col("_sum") <= rare_items) | (F.col("_nth") == 1)).drop("_sum", "_nth")
+    floors = (_best(_sums(index, rarest, own_fields, fields), k).groupBy("seed")
+              .agg(F.count("*").alias("found"), F.min("score").alias("floor"))
+              .where(F.col("found") == k).select("seed", (F.col("floor") - SLACK).alias("floor")))
+    # At most MAX_TERMS rows per seed; written, because both halves are read below.
+    split = materialize(terms.join(floors, "seed", "left").withColumn("common", F.coalesce(
+        running("w", F.col("df").desc(), F.col("field"), F.col("term")) < F.col("floor"),
+        F.lit(False))), "seed-split")
+    common = split.where("common").select("seed", "field", "term", "w")
+    limits = split.groupBy("seed").agg(
+        F.max("floor").alias("floor"), F.sum(F.when(F.col("common"), F.col("w"))).alias("rest"))
+    leading = split.where("NOT common").select("seed", "field", "term", "w")
+    candidates = (_sums(index, leading, own_fields, fields).join(limits, "seed")
+                  .where(F.coalesce(F.col("s") + F.coalesce("rest", F.lit(0.0)) >= F.col("floor"),
+                                    F.lit(True))).select("id", "seed", "s"))
+    of_common = index.frequencies().where(own_fields).join(
+        common.select("field", "term").distinct(), ["field", "term"], "left_semi")
+    added = (candidates.select("id", "seed").join(common, "seed")
+             .join(of_common, ["id", "field", "term"])
+             .select("id", "seed", (F.col("w") * term_factor(index, fields)).alias("s")))
+    return _best(candidates.unionByName(added).groupBy("id", "seed").agg(F.sum("s").alias("s")), k)

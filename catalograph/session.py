@@ -14,6 +14,8 @@ SQL_SETTINGS = {
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.adaptive.forceOptimizeSkewedJoin": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
+    # Tables bucketed by item id may be joined on (id, field, term) without being shuffled again.
+    "spark.sql.requireAllClusterKeysForCoPartition": "false",
     "spark.sql.session.timeZone": "UTC",
 }
 

@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from catalograph.operators.joins import join_semi
 from catalograph.schema import NULL_TOKENS
 
 
@@ -42,4 +43,4 @@ def scan_filtered(df: DataFrame, key: str, ids: DataFrame | None = None) -> Data
     """Rows whose key is in the given set; without a set, or with an empty one, all rows."""
     if ids is None or ids.isEmpty():
         return df
-    return df.join(ids.select(key), key, "left_semi")
+    return join_semi(df, ids, key)

@@ -12,6 +12,9 @@ from catalograph.retrieval.highlight import highlight_fragment
 from catalograph.retrieval.index import build_index, open_index
 from catalograph.retrieval.request import (SearchRequest, autocomplete, get_with_similar, search)
 from catalograph.retrieval.stemming import stem
+from workload import tables
+
+SF = "/root/testdata/sf0.001"
 
 DDL = ("id string, part int, title string, year int, rating double, genres array<string>, "
        "directors array<string>, cast array<string>, site string, plot string, "
@@ -180,6 +183,18 @@ def test_similar_items(index):
     assert get_with_similar(index, "5").first()["similar"] == []
 
 
+@pytest.mark.parametrize("boost", [False, True])
+@pytest.mark.parametrize("rare_items", [0, 40, 400])
+def test_batch_similarity_is_exact_whatever_is_set_apart(spark, rare_items, boost):
+    """Common terms are treated apart at any bound; the result must not change."""
+    items = tables.items(spark, SF).where("id % 2 = 0")
+    small = build_index(items, PLAIN, buckets=4)
+    seeds = items.where("id % 10 = 0").select("id")
+    plain = S.more_like_this_batch(small, seeds, k=3, boost=boost)
+    apart = S.more_like_this_batch(small, seeds, k=3, boost=boost, rare_items=rare_items)
+    assert sorted(map(tuple, apart.collect())) == sorted(map(tuple, plain.collect()))
+
+
 def test_highlighting(spark):
     text = "x" * 199 + " dark dark " + "y" * 190 + " dark"
     df = spark.createDataFrame([("1", text), ("2", "Nothing here"), ("3", None)], "id string, plot string")

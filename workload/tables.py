@@ -53,7 +53,7 @@ items AS (
     cast(1990 + doc_id % 35 AS INTEGER) AS year, [lang, source] AS genres,
     [source] AS directors, [lang] AS "cast", source AS site,
     cast(n_chars % 100 AS DOUBLE) / cast(10 AS DOUBLE) AS rating, text AS plot, reviews,
-    cast(NULL AS VARCHAR) AS poster, coalesce(len(reviews), 0) AS num_reviews
+    cast(NULL AS VARCHAR) AS poster, cast(coalesce(len(reviews), 0) AS INTEGER) AS num_reviews
   FROM documents LEFT JOIN review_lists ON review_lists.id = cast(doc_id AS VARCHAR))"""
 
 SQL_TOKEN = TOKEN.replace("'", "''")
