@@ -29,7 +29,7 @@ def run(build, spark, sf_dir: str) -> float:
 def main() -> None:
     sf_dir = os.environ.get("BENCH_SF_DIR", "/root/testdata/sf0.1")
     cpus = int(os.environ.get("BENCH_CPUS", "8"))
-    repeats = int(os.environ.get("BENCH_REPEATS", "3"))
+    repeats = int(os.environ.get("BENCH_REPEATS", "2"))
     names = os.environ.get("BENCH_QUERIES", "").split() or HEADLINE
     spark = build_session(f"local[{cpus}]", cpus, os.environ.get("BENCH_MEMORY", "16g"), "bench")
     spark.sparkContext.setLogLevel("ERROR")

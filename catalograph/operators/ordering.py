@@ -56,7 +56,7 @@ def first_rows(df: DataFrame, order: list[Column], limit: int, skip: int = 0,
     task sees more than one range. The ranges are written first: their borders come from a sample
     and must not move when a task runs again.
     """
-    if skip + limit <= heap_rows or df.limit(one_task_rows + 1).count() <= one_task_rows:
+    if skip + limit <= heap_rows or df.count() <= one_task_rows:
         ordered = df.orderBy(*order)
         return (ordered.offset(skip) if skip else ordered).limit(limit)
     return _cut_by_range(df, order, limit, skip)

@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 from catalograph.operators.filters import condition, request_filters, starts_token
 from catalograph.operators.grouping import facet_terms, num_found
 from catalograph.operators.ordering import first_rows, paginate, random_keys, sort_keys
-from catalograph.retrieval.analysis import tokenize
+from catalograph.retrieval.analysis import STOP_WORDS, analyze_title
 from catalograph.retrieval.highlight import result_page
 from catalograph.retrieval.index import Index, fetch_items
 from catalograph.retrieval.scoring import search_phrase_boost
@@ -103,16 +103,25 @@ def facet_values(items: DataFrame, name: str, k: int = 20) -> DataFrame:
     return facet_terms(items, name, k)
 
 
-def prefix_match(items: DataFrame, name: str, prefix: str) -> DataFrame:
-    """Items with a word of the field that begins with the prefix."""
-    return items.where(starts_token(tokenize(name), prefix))
+def prefix_match(items: DataFrame, name: str, prefix: str, stop=STOP_WORDS) -> DataFrame:
+    """Items with a word of the field that begins with the prefix; removed words do not count."""
+    return items.where(starts_token(analyze_title(name, stop), prefix))
 
 
-def autocomplete(items: DataFrame, q: str, k: int = 10) -> DataFrame:
+def prefix_ids(index: Index, name: str, prefix: str) -> DataFrame:
+    """Ids with a term of the field that begins with the prefix. Postings are sorted by term, so the
+    prefix reaches the scan; ids are made distinct within their bucket."""
+    return index.postings.where(
+        (F.col("field") == name) & F.col("term").startswith(prefix.lower())).select("id").distinct()
+
+
+def autocomplete(index: Index, q: str, k: int = 10) -> DataFrame:
     """Suggestions for typed text of at least two characters: title, year or '', id."""
     typed = q.strip()
-    found = prefix_match(items, "title", typed) if len(typed) >= 2 else items.where(F.lit(False))
-    return first_rows(found, [F.col("id").asc()], k).select(
+    found = prefix_ids(index, "title", typed)
+    found = found if len(typed) >= 2 else found.where(F.lit(False))
+    items = fetch_items(index, first_rows(found, [F.col("id").asc()], k))
+    return items.orderBy("rank").select(
         "title", F.coalesce(F.col("year").cast("string"), F.lit("")).alias("year"), "id")
 
 

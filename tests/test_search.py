@@ -10,7 +10,8 @@ from catalograph.retrieval import similar as S
 from catalograph.retrieval.analysis import PLAIN, STEMMED, Profile, analyze_general, tokenize
 from catalograph.retrieval.highlight import highlight_fragment
 from catalograph.retrieval.index import build_index, open_index
-from catalograph.retrieval.request import (SearchRequest, autocomplete, get_with_similar, search)
+from catalograph.retrieval.request import (SearchRequest, autocomplete, get_with_similar,
+                                           prefix_ids, prefix_match, search)
 from catalograph.retrieval.stemming import stem
 from workload import tables
 
@@ -165,9 +166,13 @@ def test_search_page_order_and_columns(index):
 
 
 def test_autocomplete(index, items):
-    assert [r["id"] for r in autocomplete(items, "Kn").collect()] == ["1", "3"]
-    assert autocomplete(items, " k ").count() == 0
-    assert autocomplete(items, "incep").first()["year"] == "2010"
+    assert [r["id"] for r in autocomplete(index, "Kn").collect()] == ["1", "3"]
+    assert autocomplete(index, " k ").count() == 0
+    assert autocomplete(index, "th").count() == 0                  # "The" is not indexed
+    assert autocomplete(index, "incep").first()["year"] == "2010"
+    assert {r["id"] for r in prefix_match(items, "title", "KN").collect()} == {"1", "3"}
+    plan = prefix_ids(index, "title", "kn")._jdf.queryExecution().executedPlan().toString()
+    assert "StartsWith(term" in plan and "Exchange" not in plan
 
 
 def test_similar_items(index):

@@ -14,12 +14,12 @@ from catalograph.sources.tables import read_table
 FIRST_SENTENCE = "^[^.!?\\n]*"
 
 
-TEXT_TABLES = ("documents", "pages", "conversations")     # costly per row
+HEAVY_TABLES = ("documents", "pages", "conversations", "orders")
 
 
 def table(spark: SparkSession, sf: str, name: str) -> DataFrame:
     tune(spark)
-    return read_table(spark, f"{sf}/{name}.parquet", heavy=name in TEXT_TABLES)
+    return read_table(spark, f"{sf}/{name}.parquet", heavy=name in HEAVY_TABLES)
 
 
 # ---- documents as searched items ----
@@ -106,7 +106,10 @@ def index(spark: SparkSession, sf: str, stem: bool = False) -> Index:
     """The index over all documents; built on first use and kept for the application's life."""
     key = (spark.sparkContext.applicationId, sf, stem)
     if key not in _INDEXES:
-        _INDEXES[key] = build_index(items(spark, sf), Profile(stem=stem))
+        # As many buckets as the documents have splits, so that a bucket stays one task's work.
+        splits = table(spark, sf, "documents").rdd.getNumPartitions()
+        buckets = max(splits, spark.sparkContext.defaultParallelism)
+        _INDEXES[key] = build_index(items(spark, sf), Profile(stem=stem), buckets=buckets)
     return _INDEXES[key]
 
 
