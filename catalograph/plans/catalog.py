@@ -64,13 +64,15 @@ def assemble_items(titles: DataFrame, directors: DataFrame, cast: DataFrame) ->
 
 
 def catalog_build(basics: DataFrame, ratings: DataFrame, principals: DataFrame, names: DataFrame,
-                  order: list[str] = ("ordering",), types=(TITLE_TYPE,),
+                  order: list[str] = ("ordering",), director_order: list[str] | None = None,
+                  types=(TITLE_TYPE,),
                   limit: int = CATALOGUE_LIMIT, director_categories=DIRECTOR_CATEGORIES,
                   actor_categories=ACTOR_CATEGORIES, part_rows: int = LIST_ROWS,
                   validate: bool = True, **tiers) -> DataFrame:
     """Selection, joins and credits together.
 
-    ``order`` names the columns that order the credits of a title uniquely; ``names`` carries
+    ``order`` names the columns that order the credits of a title uniquely, ``director_order`` those
+    for directors where they differ (file order: the position column of the read); ``names`` carries
     ``pos``. Credits are reduced to the selected titles before any name is looked up.
     """
     order = list(order)
@@ -80,5 +82,6 @@ def catalog_build(basics: DataFrame, ratings: DataFrame, principals: DataFrame,
         require_unique(titles, "tconst", "titles or ratings")
     credits = join_semi(principals, titles.select("tconst"), "tconst")
     return assemble_items(
-        titles, director_lists(credits, names, order, director_categories, part_rows),
+        titles, director_lists(credits, names, list(director_order or order),
+                               director_categories, part_rows),
         cast_lists(credits, names, order, actor_categories))

@@ -16,7 +16,8 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from catalograph.retrieval.analysis import (KEYWORD_FIELDS, TEXT_FIELDS, Profile, positioned)
+from catalograph.retrieval.analysis import (CATCH_ALL, CATCH_ALL_FIELD, KEYWORD_FIELDS, TEXT_FIELDS,
+                                            Profile, positioned)
 from catalograph.session import scratch_path
 
 # Positions of continuation rows start at multiples of this.
@@ -79,6 +80,10 @@ def token_rows(items: DataFrame, profile: Profile) -> DataFrame:
         values = _values(items, name)
         if values is not None:
             texts[name] = positioned(values, profile, name).alias(f"_{name}")
+    if profile.catch_all:
+        every = [v for v in (_values(items, name) for name in CATCH_ALL) if v is not None]
+        texts[CATCH_ALL_FIELD] = positioned(F.concat(*every), profile, CATCH_ALL_FIELD).alias(
+            f"_{CATCH_ALL_FIELD}")
     for name in KEYWORD_FIELDS:
         values = _values(items, name)
         if values is not None:
@@ -163,14 +168,14 @@ def build_index(items: DataFrame, profile: Profile, path: str | None = None,
         f"{path}/terms")
     # One row per field comes to the driver.
     fields = {r["field"]: FieldStats(r["n"], r["avgdl"]) for r in field_stats(postings).collect()}
-    meta = [(profile.stem, list(profile.stop), buckets, sizes["n"], has_parts,
+    meta = [(profile.stem, list(profile.stop), profile.catch_all, buckets, sizes["n"], has_parts,
              [(name, f.items, f.average) for name, f in fields.items()])]
     spark.createDataFrame(meta, META).coalesce(1).write.json(f"{path}/meta")
     return Index(spark, profile, items_table, postings_table, f"{path}/terms", fields, sizes["n"],
                  has_parts)
 
 
-META = ("stem boolean, stop array<string>, buckets int, total bigint, has_parts boolean, "
+META = ("stem boolean, stop array<string>, catch_all boolean, buckets int, total bigint, has_parts boolean, "
         "fields array<struct<field:string,items:bigint,average:double>>")
 
 
@@ -181,7 +186,7 @@ def open_index(spark: SparkSession, path: str) -> Index:
     _create(spark, items_table, f"{path}/items", meta["buckets"], "id")
     _create(spark, postings_table, f"{path}/postings", meta["buckets"], "field, term")
     fields = {f["field"]: FieldStats(f["items"], f["average"]) for f in meta["fields"]}
-    return Index(spark, Profile(meta["stem"], tuple(meta["stop"])), items_table, postings_table,
+    return Index(spark, Profile(meta["stem"], tuple(meta["stop"]), meta["catch_all"]), items_table, postings_table,
                  f"{path}/terms", fields, meta["total"], meta["has_parts"])
 
 

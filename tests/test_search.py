@@ -217,6 +217,13 @@ def test_stemmed_index_finds_inflections(items):
     assert scores(X.search_field(index, "title", "knights")) == {}        # titles are not stemmed
 
 
+def test_catch_all_field(items):
+    index = build_index(items, Profile(stem=True, catch_all=True), buckets=2)
+    assert set(scores(X.search_field(index, "text", "nolan"))) == {"1", "4"}
+    assert set(scores(X.search_field(index, "text", "knights"))) == {"1", "3"}
+    assert "text" not in build_index(items, PLAIN, buckets=2).fields
+
+
 def test_reopened_index_answers_alike(spark, items, tmp_path):
     path = str(tmp_path / "index")
     built = build_index(items, PLAIN, path, buckets=3)
