@@ -15,8 +15,8 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from catalograph.functions.scalars import (clean_text, date_part, extract_year, falsy_fallback,
-                                           split_clean, star_class_rating, strip)
+from catalograph.functions.scalars import (clean_text, date_part, split_clean, star_class_rating,
+                                           strip)
 
 ANY_TAG = "[a-zA-Z][a-zA-Z0-9]*"
 NODE_BREAK = "\x01"
@@ -286,11 +286,18 @@ def _labelled(label: Column, labels: tuple[str, ...] | None) -> Column:
     return F.lower(label).isin([name.lower() for name in labels])
 
 
-def page_credits(page: Column, rules: PageRules, labels: tuple[str, ...] | None) -> Column:
-    """Link texts, or else item texts, of the credit columns whose heading is one of the labels."""
-    columns = F.coalesce(containers(_credit_area(page, rules), rules.credit_column),
-                         F.array().cast("array<string>"))
+def credit_columns(page: Column, rules: PageRules) -> Column:
+    """Source of the credit columns of a page."""
+    return F.coalesce(containers(_credit_area(page, rules), rules.credit_column),
+                      F.array().cast("array<string>"))
+
 
+def info_items(page: Column, rules: PageRules) -> Column:
+    """Source of the labelled info items of a page."""
+    return containers(page, rules.info_item)
+
+
+def credits_of(columns: Column, rules: PageRules, labels: tuple[str, ...] | None) -> Column:
     def headed(column: Column) -> Column:
         heading = inner(column, rules.credit_heading)
         return heading.isNotNull() & _labelled(clean_text(text(heading)), labels)
@@ -304,28 +311,40 @@ def page_credits(page: Column, rules: PageRules, labels: tuple[str, ...] | None)
     return F.flatten(F.transform(F.filter(columns, headed), values))
 
 
-def page_metadata(page: Column, rules: PageRules, labels: tuple[str, ...] | None) -> Column:
-    """Comma-separated values of the labelled info items; without any, the credits."""
+def metadata_of(items: Column, columns: Column, rules: PageRules,
+                labels: tuple[str, ...] | None) -> Column:
     def labelled(item: Column) -> Column:
         label, value = inner(item, rules.info_label), inner(item, rules.info_value)
         return label.isNotNull() & value.isNotNull() & _labelled(clean_text(text(label)), labels)
 
-    items = F.filter(containers(page, rules.info_item), labelled)
-    values = F.flatten(F.transform(items, lambda item: split_clean(
+    values = F.flatten(F.transform(F.filter(items, labelled), lambda item: split_clean(
         text_joined(inner(item, rules.info_value), ", "))))
     return let(values, lambda found: F.when(F.size(found) > 0, found).otherwise(
-        page_credits(page, rules, labels)))
+        credits_of(columns, rules, labels)))
 
 
-def page_genres(page: Column, rules: PageRules) -> Column:
-    """Genre links of the primary credit column in first-seen order; without any, the metadata."""
-    columns = containers(_credit_area(page, rules), rules.credit_column)
+def genres_of(items: Column, columns: Column, rules: PageRules) -> Column:
     primary = F.get(F.filter(columns, lambda c: first_tag(c, rules.primary_heading).isNotNull()),
                     F.lit(0))
     names = texts(elements(primary, rules.genre_link))
     kept = F.array_distinct(F.filter(names, lambda n: ~F.lower(n).isin(list(rules.genre_skip))))
     return let(kept, lambda found: F.when(F.size(found) > 0, found).otherwise(
-        page_metadata(page, rules, rules.genre_labels)))
+        metadata_of(items, columns, rules, rules.genre_labels)))
+
+
+def page_credits(page: Column, rules: PageRules, labels: tuple[str, ...] | None) -> Column:
+    """Link texts, or else item texts, of the credit columns whose heading is one of the labels."""
+    return credits_of(credit_columns(page, rules), rules, labels)
+
+
+def page_metadata(page: Column, rules: PageRules, labels: tuple[str, ...] | None) -> Column:
+    """Comma-separated values of the labelled info items; without any, the credits."""
+    return metadata_of(info_items(page, rules), credit_columns(page, rules), rules, labels)
+
+
+def page_genres(page: Column, rules: PageRules) -> Column:
+    """Genre links of the primary credit column in first-seen order; without any, the metadata."""
+    return genres_of(info_items(page, rules), credit_columns(page, rules), rules)
 
 
 def page_body(page: Column, rules: PageRules) -> Column:
@@ -340,20 +359,3 @@ def page_body(page: Column, rules: PageRules) -> Column:
     paragraphs = F.transform(chunks, lambda c: text_joined(F.regexp_extract(c, ends, 1)))
     joined = F.array_join(F.filter(paragraphs, lambda p: p != ""), " ")
     return F.coalesce(joined, F.lit(""))
-
-
-def page_details(page: Column, rules: PageRules) -> list[Column]:
-    """All fields of one review page."""
-    title = page_title(page, rules)
-    text_of = let(page_body(page, rules),
-                  lambda body: falsy_fallback(body, page_summary(page, rules)))
-    return [
-        text_of.alias("review_text"),
-        page_rating(page, rules).alias("rating_value"),
-        page_date(page, rules).alias("review_date"),
-        page_author(page, rules).alias("critic"),
-        extract_year(title).alias("item_year"),
-        title.alias("item_title"),
-        page_genres(page, rules).alias("item_genres"),
-        page_metadata(page, rules, rules.director_labels).alias("item_directors"),
-        page_credits(page, rules, rules.cast_labels).alias("item_cast")]

@@ -113,7 +113,21 @@ def expand_frontier(pages: DataFrame, frontier: DataFrame, rules: PageRules) ->
 
 
 def page_details(pages: DataFrame, rules: PageRules) -> DataFrame:
-    return prepared(pages, rules).select("page_id", "url", *M.page_details(F.col("page"), rules))
+    """All fields of each review page. Pieces that several fields need are cut out once per page."""
+    page = F.col("page")
+    cut = prepared(pages, rules).select(
+        "page_id", "url", "page", M.page_title(page, rules).alias("item_title"),
+        M.page_body(page, rules).alias("body"), M.page_summary(page, rules).alias("deck"),
+        M.credit_columns(page, rules).alias("columns"), M.info_items(page, rules).alias("infos"))
+    infos, columns = F.col("infos"), F.col("columns")
+    return cut.select(
+        "page_id", "url", falsy_fallback("body", "deck").alias("review_text"),
+        M.page_rating(page, rules).alias("rating_value"),
+        M.page_date(page, rules).alias("review_date"), M.page_author(page, rules).alias("critic"),
+        extract_year("item_title").alias("item_year"), "item_title",
+        M.genres_of(infos, columns, rules).alias("item_genres"),
+        M.metadata_of(infos, columns, rules, rules.director_labels).alias("item_directors"),
+        M.credits_of(columns, rules, rules.cast_labels).alias("item_cast"))
 
 
 def make_document(df: DataFrame, site: str) -> DataFrame:
