@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import tempfile
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
@@ -41,12 +40,11 @@ def tune(spark: SparkSession) -> SparkSession:
 
 
 def scratch_dir(spark: SparkSession) -> str:
-    """The shared folder of ``spark.checkpoint.dir``; a local one is made only where it is unset."""
-    folder = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getConf().get(
-        "spark.checkpoint.dir")
+    """The shared folder of ``spark.checkpoint.dir``, or the one given to ``setCheckpointDir``."""
+    folder = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
     if not folder:
-        folder = tempfile.mkdtemp(prefix="catalograph-")
-        spark.conf.set("spark.checkpoint.dir", folder)
+        raise RuntimeError("intermediate tables need a folder that the driver and all executors share: "
+                           "set spark.checkpoint.dir, or call sparkContext.setCheckpointDir(folder)")
     return folder
 
 

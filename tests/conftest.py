@@ -13,7 +13,7 @@ def spark(tmp_path_factory):
     session = build_session("local[4]", 4, "4g", "tests")
     session.sparkContext.setLogLevel("ERROR")
     if not session.conf.get("spark.checkpoint.dir", None):
-        session.conf.set("spark.checkpoint.dir", str(tmp_path_factory.mktemp("scratch")))
+        session.sparkContext.setCheckpointDir(str(tmp_path_factory.mktemp("scratch")))
     yield session
     session.stop()
 
