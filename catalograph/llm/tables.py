@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 from collections.abc import Iterator
 
 import pyarrow as pa
@@ -39,3 +40,18 @@ def text_slices(column: pa.Array, most_bytes: int = 4_000_000) -> Iterator[list[
         total += size
     if start < len(column):
         yield [x or "" for x in column.slice(start).to_pylist()]
+
+
+_SPACE = re.compile(r"\s")
+
+
+def cut_at_space(text: str, most: int = 1 << 20) -> Iterator[str]:
+    """A text in parts of about ``most`` characters that end before white space, so no word is cut."""
+    start = 0
+    while len(text) - start > most:
+        found = _SPACE.search(text, start + most)
+        if not found:
+            break
+        yield text[start:found.start()]
+        start = found.start()
+    yield text[start:] if start else text

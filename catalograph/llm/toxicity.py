@@ -21,7 +21,8 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from catalograph.llm.tables import held_out, text_slices
+from catalograph.llm.labelled import training_rows
+from catalograph.llm.tables import text_slices
 
 WINDOW, STRIDE = 48, 32
 PIECES = (3, 4, 5, 6)         # first characters of a word that are inputs of their own
@@ -357,30 +358,10 @@ def train(texts: list[str], labels: list[int], bounds: TrainingBounds = Training
 
 # ---------------------------------------------------------------- over DataFrames
 
-def training_rows(docs: DataFrame, labels: DataFrame, label_col: str, bounds: TrainingBounds = TrainingBounds(),
-                  id_col: str = "doc_id", text_col: str = "text") -> tuple[list[str], list[int]]:
-    """A bounded sample of labelled rows outside the held-out fold: texts and 0/1 labels.
-
-    The sample is chosen from ids alone, then only its texts are read. Rows without id, text or label do not
-    take part; an id labelled more than once has its largest label, repeated documents count once.
-    """
-    known = (labels.select(F.col(id_col).alias("i"), F.col(label_col).cast("int").alias("y"))
-             .where(F.col("i").isNotNull() & F.col("y").isin(0, 1) & ~held_out(F.col("i")))
-             .groupBy("i").agg(F.max("y").alias("y")))
-    order = (F.xxhash64("i"), F.col("i"))
-    ids = (known.where("y = 1").orderBy(*order).limit(bounds.toxic)
-           .unionByName(known.where("y = 0").orderBy(*order).limit(bounds.other)))
-    texts = docs.select(F.col(id_col).alias("i"), F.col(text_col).alias("t")).where(
-        F.col("t").isNotNull() & (F.length("t") <= bounds.chars))
-    # at most bounds.toxic + bounds.other ids of 12 bytes are broadcast
-    found = texts.join(F.broadcast(ids), "i").groupBy("i").agg(F.min("t").alias("t"), F.max("y").alias("y"))
-    rows = found.toPandas().sort_values("i")
-    return rows["t"].tolist(), rows["y"].tolist()
-
-
 def fit(docs: DataFrame, labels: DataFrame, label_col: str = "toxic", bounds: TrainingBounds = TrainingBounds(),
         id_col: str = "doc_id", text_col: str = "text") -> Network:
-    return train(*training_rows(docs, labels, label_col, bounds, id_col, text_col), bounds)
+    texts, ys = training_rows(docs, labels, label_col, bounds.toxic, bounds.other, bounds.chars, id_col, text_col)
+    return train(texts, ys, bounds)
 
 
 def score_column(net: Network, text: Column) -> Column:

@@ -7,6 +7,7 @@ import numpy as np
 import pytest
 
 from catalograph.llm import toxicity as T
+from catalograph.llm.labelled import training_rows
 from tests.llm.conftest import sentence
 
 BOUNDS = T.TrainingBounds(steps=60, texts_a_step=64)
@@ -132,10 +133,10 @@ def test_training_rows_leave_out_the_held_out_fold(spark, documents):
     docs = documents([(i, f"text {i}") for i in range(60)] + [(None, "no id"), (61, None), (5, "text 5")])
     labels = spark.createDataFrame([(i, i % 2) for i in range(60)] + [(None, 1), (61, 1), (5, 0), (7, None)],
                                    "doc_id long, toxic int")
-    texts, ys = T.training_rows(docs, labels, "toxic")
+    texts, ys = training_rows(docs, labels, "toxic", 100, 100, 1000)
     fold = [i for i in range(60) if zlib.crc32(str(i).encode()) % 5]
     assert [int(re.sub(r"\D", "", t)) for t in texts] == fold and ys == [i % 2 for i in fold]
-    few = T.training_rows(docs, labels, "toxic", T.TrainingBounds(toxic=3, other=4))
+    few = training_rows(docs, labels, "toxic", 3, 4, 1000)
     assert len(few[0]) == 7 and sum(few[1]) == 3
 
 
