@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import importlib
 
-MODULES = ("toxicity_queries", "token_count_queries", "near_duplicate_queries", "quality_queries")
+MODULES = ("toxicity_queries", "token_count_queries", "near_duplicate_queries", "quality_queries", "packing_queries", "pii_queries")
 
 
 def load() -> tuple[dict, dict]:
