@@ -4,7 +4,8 @@ from __future__ import annotations
 
 import importlib
 
-MODULES = ("toxicity_queries", "token_count_queries", "near_duplicate_queries", "quality_queries", "packing_queries", "pii_queries")
+MODULES = ("toxicity_queries", "token_count_queries", "near_duplicate_queries", "pii_queries", "packing_queries",
+           "quality_queries")
 
 
 def load() -> tuple[dict, dict]:
@@ -14,4 +15,8 @@ def load() -> tuple[dict, dict]:
         module = importlib.import_module(f"catalograph.llm.{name}")
         queries |= module.QUERIES
         oracles |= module.ORACLES
+    pipeline = importlib.import_module("corpus_pipeline")
+    queries["pipeline"] = pipeline.run
+    if pipeline.ORACLE_SQL:
+        oracles["pipeline"] = pipeline.ORACLE_SQL
     return queries, oracles
