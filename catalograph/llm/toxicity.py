@@ -37,13 +37,16 @@ class TrainingBounds:
     """What the driver may gather to learn from: so many toxic and so many other labelled rows, taken by a
     hash of the id, of texts up to ``chars`` characters (longer ones are scored, not learnt from)."""
 
-    toxic: int = 1500
-    other: int = 5000
-    chars: int = 20_000
-    least_texts: int = 4  # a word or piece of fewer texts is unknown
+    toxic: int = 1200
+    other: int = 3600
+    chars: int = 8_000
+    least_texts: int = 5  # a word or piece of fewer texts is unknown
     steps: int = 150
     texts_a_step: int = 192
-    rate: float = 0.012
+    rate: float = 0.02
+    dropped: float = 0.2
+    forms_rate: float = 0.25
+    weak: float = 1.0
 
 
 # ---------------------------------------------------------------- words as numbers
@@ -157,7 +160,7 @@ class Network:
     names: tuple = field(default=("words", "pieces", "inputs", "bias", "recurrent", "attend", "out", "base"), repr=False)
 
     @classmethod
-    def fresh(cls, word_forms: Forms, piece_forms: Forms, seed: int = 7) -> Network:
+    def fresh(cls, word_forms: Forms, piece_forms: Forms, seed: int = 8) -> Network:
         rng = np.random.default_rng(seed)
 
         def normal(*shape, scale):
@@ -234,14 +237,14 @@ class Network:
 # ---------------------------------------------------------------- training
 
 def _step(net: Network, numbers: np.ndarray, first: np.ndarray, size: np.ndarray, label: np.ndarray,
-          weight: np.ndarray, rng) -> dict[str, np.ndarray]:
-    """Gradients of the weighted log loss over one window per text; words are dropped now and then."""
+          weight: np.ndarray, rng, dropped: float) -> dict[str, np.ndarray]:
+    """Gradients of the weighted log loss over one window per text; a share of the words is unknown."""
     n, longest = len(first), int(size.max())
     place = np.minimum(first[None, :] + np.arange(longest)[:, None], len(numbers) - 1)
     live = (np.arange(longest)[:, None] < size).astype(np.float32)  # (T, n)
     num = numbers[place]
-    seen = (rng.random((longest, n, 1)) > 0.2).astype(np.float32)
-    given = np.concatenate((net.words[num[..., 0]] * seen, net.pieces[num[..., 1:]].mean(2)), 2)
+    num[..., 0][rng.random((longest, n)) < dropped] = 0
+    given = np.concatenate((net.words[num[..., 0]], net.pieces[num[..., 1:]].mean(2)), 2)
     gates = given @ net.inputs + net.bias
     states = np.zeros((2, longest, n, HIDDEN), np.float32)
     kept = {}
@@ -290,31 +293,54 @@ def _step(net: Network, numbers: np.ndarray, first: np.ndarray, size: np.ndarray
     grad["bias"] = flat.sum(0)
     grad["inputs"] = given.reshape(-1, 2 * WIDTH).T @ flat
     d_given = (d_gates @ net.inputs.T)
-    np.add.at(grad["words"], num[..., 0].ravel(), (d_given[..., :WIDTH] * seen).reshape(-1, WIDTH))
+    np.add.at(grad["words"], num[..., 0].ravel(), d_given[..., :WIDTH].reshape(-1, WIDTH))
     for column in range(1, 5):
         np.add.at(grad["pieces"], num[..., column].ravel(), d_given[..., WIDTH:].reshape(-1, WIDTH) * 0.25)
     return grad
 
 
-def _known(hashes: np.ndarray, owner: np.ndarray, label: np.ndarray, least: int) -> tuple[Forms, np.ndarray]:
+def _known(columns: list[np.ndarray], owner: np.ndarray, label: np.ndarray, least: int) -> tuple[Forms, np.ndarray]:
     """Forms that at least ``least`` texts hold, and the shrunken log odds of label 1 by row."""
-    distinct, number = np.unique(hashes.ravel(), return_inverse=True)
-    pairs = np.unique(number.reshape(hashes.shape) * len(label) + owner[:, None])
-    form, text = pairs // len(label), pairs % len(label)
-    ones = np.bincount(form, label[text], len(distinct))
-    all_ = np.bincount(form, minlength=len(distinct))
-    often = np.flatnonzero(all_ >= least)
-    forms, places = Forms.of(distinct[often], all_[often])
     share = label.mean()
-    odds = np.log((ones + 4 * share) / (all_ - ones + 4 * (1 - share))) - np.log(share / (1 - share))
-    return forms, np.concatenate(([0], odds[often[places]])).astype(np.float32)
-
-
-def train(texts: list[str], labels: list[int], bounds: TrainingBounds = TrainingBounds(), seed: int = 7) -> Network:
-    """Fit a network. Without texts, or with one label only, the base rate alone is learnt."""
+    kept, often, odds = [], [], []
+    for column in columns:
+        order = np.lexsort((owner, column))
+        form, text = column[order], owner[order]
+        once = np.concatenate(([True], (form[1:] != form[:-1]) | (text[1:] != text[:-1])))
+        form, text = form[once], text[once]
+        starts = np.flatnonzero(np.concatenate(([True], form[1:] != form[:-1])))
+        all_ = np.diff(np.append(starts, len(form)))
+        ones = np.add.reduceat(label[text], starts)
+        many = all_ >= least
+        kept.append(form[starts[many]])
+        often.append(all_[many])
+        odds.append(np.log((ones + 4 * share) / (all_ - ones + 4 * (1 - share)))[many] - np.log(share / (1 - share)))
+    forms, places = Forms.of(np.concatenate(kept), np.concatenate(often))
+    return forms, np.concatenate(([0], np.concatenate(odds)[places])).astype(np.float32)
+
+
+def _in_slices(texts: list[str], most: int = 1 << 18) -> tuple[np.ndarray, np.ndarray]:
+    """``word_hashes`` of many texts, a few at a time."""
+    parts, now, size = [], [], 0
+    for text in texts:
+        if now and size + len(text) > most:
+            parts.append(word_hashes(now))
+            now, size = [], 0
+        now.append(text)
+        size += len(text)
+    parts.append(word_hashes(now))
+    return np.concatenate([p[0] for p in parts]), np.concatenate([p[1] for p in parts])
+
+
+def train(texts: list[str], labels: list[int], bounds: TrainingBounds = TrainingBounds(), seed: int = 8,
+          share: float | None = None) -> Network:
+    """Fit a network. Without texts, or with one label only, the base rate alone is learnt.
+
+    ``share`` of label 1 among all labelled rows (if known) replaces that of the balanced steps at the end.
+    """
     rng = np.random.default_rng(seed)
     label = np.asarray(labels, np.float32)
-    hashes, counts = word_hashes(texts)
+    hashes, counts = _in_slices(texts)
     used = np.flatnonzero(counts > 0)
     if not len(used) or label[used].min() == label[used].max():
         nothing = Forms.of(np.zeros(0, np.uint64), np.zeros(0))[0]
@@ -325,15 +351,17 @@ def train(texts: list[str], labels: list[int], bounds: TrainingBounds = Training
         return net
     # Forms of too few texts teach nothing but those texts, so they stay unknown.
     owner = np.repeat(np.arange(len(counts)), counts)
-    words, word_odds = _known(hashes[:, :1], owner, label, bounds.least_texts)
-    pieces, piece_odds = _known(hashes[:, 1:], owner, label, bounds.least_texts)
+    words, word_odds = _known([hashes[:, 0]], owner, label, bounds.least_texts)
+    pieces, piece_odds = _known(list(hashes[:, 1:].T), owner, label, bounds.least_texts)
     net = Network.fresh(words, pieces, seed)
-    net.words[:, 0], net.pieces[:, 0] = word_odds, piece_odds
+    for value, odds in ((net.words, word_odds), (net.pieces, piece_odds)):
+        value[:, 0] = np.sign(odds) * np.maximum(np.abs(odds) - bounds.weak, 0)
     net.words[0], net.pieces[0] = 0, 0
     numbers = net.rows(hashes)
     offsets = np.concatenate(([0], np.cumsum(counts)))
     positive, negative = used[label[used] == 1], used[label[used] == 0]
     moments = {name: (np.zeros_like(getattr(net, name)), np.zeros_like(getattr(net, name))) for name in net.names}
+    means = {name: np.zeros(getattr(net, name).shape) for name in net.names}
     for step in range(1, bounds.steps + 1):
         third = bounds.texts_a_step // 3
         chosen = np.concatenate((rng.choice(positive, min(third, len(positive)), replace=False),
@@ -342,17 +370,25 @@ def train(texts: list[str], labels: list[int], bounds: TrainingBounds = Training
         first, size, text = windows(counts[chosen])
         logit = net.logits(net.gates(part), first, size)
         best = np.lexsort((-logit, text))[np.concatenate(([0], np.flatnonzero(np.diff(text)) + 1))]
-        grad = _step(net, part, first[best], size[best], label[chosen], np.ones(len(chosen), np.float32), rng)
-        rate = bounds.rate * min(1.0, step / 20) * (1 - 0.9 * step / bounds.steps)
+        grad = _step(net, part, first[best], size[best], label[chosen], np.ones(len(chosen), np.float32), rng,
+                     bounds.dropped)
+        rate = bounds.rate * min(1.0, step / 20) * (1 - 0.7 * step / bounds.steps)
         for name, (m, v) in moments.items():
             g = grad[name]
             m += 0.1 * (g - m)
             v += 0.002 * (g * g - v)
             value = getattr(net, name)
-            value -= rate * (m / (1 - 0.9**step) / (np.sqrt(v / (1 - 0.998**step)) + 1e-7)).astype(np.float32)
+            value -= rate * (bounds.forms_rate if name in ("words", "pieces") else 1) * (m / (1 - 0.9**step) / (np.sqrt(v / (1 - 0.998**step)) + 1e-7)).astype(np.float32)
             if name in ("words", "pieces"):
                 value *= 1 - 0.05 * rate
                 value[0] = 0
+        if 2 * step > bounds.steps:  # the weights used are the mean of those of the second half
+            for name in net.names:
+                means[name] += getattr(net, name)
+    for name in net.names:
+        setattr(net, name, (means[name] / (bounds.steps - bounds.steps // 2)).astype(np.float32))
+    if share is not None and 0 < share < 1:
+        net.base += np.float32(np.log(share / (1 - share)) - np.log(label[chosen].mean() / (1 - label[chosen].mean())))
     return net
 
 
@@ -361,7 +397,8 @@ def train(texts: list[str], labels: list[int], bounds: TrainingBounds = Training
 def fit(docs: DataFrame, labels: DataFrame, label_col: str = "toxic", bounds: TrainingBounds = TrainingBounds(),
         id_col: str = "doc_id", text_col: str = "text") -> Network:
     texts, ys = training_rows(docs, labels, label_col, bounds.toxic, bounds.other, bounds.chars, id_col, text_col)
-    return train(texts, ys, bounds)
+    share = labels.where(F.col(label_col).isin(0, 1)).agg(F.avg(F.col(label_col).cast("double"))).first()[0]
+    return train(texts, ys, bounds, share=share)
 
 
 def score_column(net: Network, text: Column) -> Column:

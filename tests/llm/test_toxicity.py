@@ -84,7 +84,7 @@ def test_gradients_by_differences(net, monkeypatch):
 
     class All:
         random = staticmethod(lambda shape: np.ones(shape))
-    grad = T._step(net, numbers, first, size, label, np.ones(6, np.float32), All)
+    grad = T._step(net, numbers, first, size, label, np.ones(6, np.float32), All, 0.0)
 
     def loss():
         logit = net.logits(net.gates(numbers), first, size).astype(float)
