@@ -8,7 +8,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from catalograph.schema import (RATING_CEILING, RECENT_SINCE, VOTES_ANY_YEAR, VOTES_RECENT,
+from catalograph.operators.lists import own_rows, whole_lists
+from catalograph.schema import (LIST_FIELDS, RATING_CEILING, RECENT_SINCE, VOTES_ANY_YEAR, VOTES_RECENT,
                                 YEAR_CEILING, YEAR_FLOOR)
 
 
@@ -22,7 +23,7 @@ def drop_rename(df: DataFrame, drop=(), rename: dict[str, str] | None = None) ->
 
 def match_all(items: DataFrame) -> DataFrame:
     """Every item with the constant score of a query that ranks nothing."""
-    return items.withColumn("score", F.lit(1.0))
+    return own_rows(items).withColumn("score", F.lit(1.0))
 
 
 def _is_array(df: DataFrame, field: str) -> bool:
@@ -100,8 +101,13 @@ def filter_category(df: DataFrame, field: str, values) -> DataFrame:
 
 
 def get_by_id(items: DataFrame, item_id: str) -> DataFrame:
-    """The item with this id, one row or none."""
-    return items.where(F.col("id") == item_id).limit(1)
+    """The item with this id, one row or none; lists that continue in further rows come back whole."""
+    rows = items.where(F.col("id") == item_id)
+    if "part" not in items.columns:
+        return rows.limit(1)
+    lists = [n for n in LIST_FIELDS if n in items.columns]
+    own = own_rows(rows).drop(*lists).join(whole_lists(rows, "id", lists), "id") if lists else own_rows(rows)
+    return own.select(*items.columns).limit(1)
 
 
 def starts_token(tokens: Column, prefix: str) -> Column:

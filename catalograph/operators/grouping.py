@@ -6,6 +6,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from catalograph.operators.lists import own_rows
+
 FACET_LIMIT = 20
 
 
@@ -24,13 +26,12 @@ def facet_terms(df: DataFrame, field: str, k: int = FACET_LIMIT, mincount: int =
 
 
 def num_found(df: DataFrame) -> DataFrame:
-    return df.agg(F.count("*").alias("num_found"))
+    return own_rows(df).agg(F.count("*").alias("num_found"))
 
 
 def collection_stats(items: DataFrame) -> DataFrame:
     """Items in the collection; continuation rows of oversized lists do not count."""
-    own = items.where("part = 0") if "part" in items.columns else items
-    return own.agg(F.count("*").alias("total_docs"))
+    return own_rows(items).agg(F.count("*").alias("total_docs"))
 
 
 def provenance(base: str, matched: dict[str, Column]) -> Column:

@@ -1,8 +1,9 @@
 """Ordered lists per key, with no row or task that grows with the largest key.
 
-A list is a set of rows ``(key, part, values)``: part 0 holds the first ``part_rows`` values, part 1
-the next ones, and so on. Almost every key has part 0 only; a key that owns a large share of the
-table is spread over many rows and tasks and loses nothing.
+A list is a set of rows ``(key, part, values)``. Parts ascend from 0 along the list; a part holds at most
+``part_rows`` values and about ``part_bytes`` bytes of them. Almost every key has part 0 only; a
+key that owns a large share of the table is spread over many rows and tasks and loses nothing. Lists of
+every size are made the same way.
 """
 
 from __future__ import annotations
@@ -10,65 +11,86 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from catalograph.session import materialize
 
 LIST_ROWS = 50_000
+LIST_BYTES = 16 << 20
 
 
-def _largest_group(df: DataFrame, keys: list[str]) -> int:
-    row = df.groupBy(*keys).count().agg(F.max("count").alias("n")).first()
-    return row["n"] or 0
-
-
-def numbered(df: DataFrame, keys: list[str], order: list[str]) -> DataFrame:
-    """Add ``_n``, the 0-based place of a row within its key, for keys of any size.
+def numbered(df: DataFrame, keys: list[str], order: list[str], size: Column | None = None) -> DataFrame:
+    """Add ``_n``, the 0-based place of a row within its key, and ``_bytes``, the sizes before it,
+    for keys of any size.
 
     The table is cut into ranges of (key, order), which also cuts the large keys; rows are numbered
     within (range, key), and a key that crosses a border gets the count of its rows in earlier
     ranges added. The ranges are written first: their borders come from a sample and must not move
     when a task runs again. ``order`` must be unique per key, and keys must not be null.
     """
-    ranged = materialize(df.repartitionByRange(*keys, *order)
+    size = F.lit(0) if size is None else size
+    ranged = materialize(df.withColumn("_size", size.cast("bigint")).repartitionByRange(*keys, *order)
                          .withColumn("_range", F.spark_partition_id()), "lists")
-    counts = ranged.groupBy(*keys, "_range").agg(F.count("*").alias("_rows"))
+    counts = ranged.groupBy(*keys, "_range").agg(
+        F.count("*").alias("_rows"), F.sum("_size").alias("_held"))
     spans = counts.groupBy(*keys).agg(F.count("*").alias("_ranges")).where("_ranges > 1")
-    before = F.coalesce(F.sum("_rows").over(
-        W.partitionBy(*keys).orderBy("_range").rowsBetween(W.unboundedPreceding, -1)), F.lit(0))
+    earlier = W.partitionBy(*keys).orderBy("_range").rowsBetween(W.unboundedPreceding, -1)
+    zero = F.lit(0).cast("bigint")
     # Only keys that cross a border are listed, once per range they touch: at most twice as many
     # rows as there are ranges, whatever the data. That bound makes this broadcast safe.
     offsets = counts.join(spans.select(*keys), keys, "left_semi").select(
-        *keys, "_range", before.alias("_before"))
-    place = F.row_number().over(W.partitionBy("_range", *keys).orderBy(*order)) - 1
-    placed = ranged.withColumn("_place", place).join(
+        *keys, "_range", F.coalesce(F.sum("_rows").over(earlier), zero).alias("_rows_before"),
+        F.coalesce(F.sum("_held").over(earlier), zero).alias("_held_before"))
+    within = W.partitionBy("_range", *keys).orderBy(*order)
+    held = F.sum("_size").over(within.rowsBetween(W.unboundedPreceding, -1))
+    placed = ranged.withColumns({"_place": F.row_number().over(within) - 1, "_held": held}).join(
         F.broadcast(offsets), [*keys, "_range"], "left")
-    return placed.withColumn("_n", F.col("_place") + F.coalesce("_before", F.lit(0))).select(
-        *df.columns, "_n")
+    return placed.withColumns({
+        "_n": F.col("_place") + F.coalesce("_rows_before", zero),
+        "_bytes": F.coalesce("_held", zero) + F.coalesce("_held_before", zero),
+    }).select(*df.columns, "_n", "_bytes")
+
+
+def _bytes_of(column: str, kind: T.DataType) -> Column:
+    """Bytes of a value's texts; other parts of a value are small."""
+    if isinstance(kind, T.StringType):
+        return F.coalesce(F.octet_length(column), F.lit(0))
+    if isinstance(kind, T.StructType):
+        texts = [f.name for f in kind.fields if isinstance(f.dataType, T.StringType)]
+        return sum((F.coalesce(F.octet_length(f"{column}.`{t}`"), F.lit(0)) for t in texts), F.lit(0))
+    return F.lit(0)
 
 
 def collect_in_order(df: DataFrame, key, value: Column | str, order: list[str],
-                     name: str = "values", part_rows: int = LIST_ROWS) -> DataFrame:
+                     name: str = "values", part_rows: int = LIST_ROWS,
+                     part_bytes: int = LIST_BYTES) -> DataFrame:
     """Values per key in order, nulls kept, as rows (key, part, values); rows without a key are
-    left out.
-
-    Group sizes are counted first, with partial aggregation. While every key has at most
-    ``part_rows`` rows one grouping collects them, and ``part`` is the literal 0, so that plans built
-    on the lists lose their branch for further parts. Otherwise rows are numbered by range and
-    grouped by (key, part).
-    """
+    left out."""
     keys = [key] if isinstance(key, str) else list(key)
     value = F.col(value) if isinstance(value, str) else value
     rows = df.select(*keys, *[c for c in order if c not in keys], value.alias("_v")).dropna(
         subset=keys)
-    if _largest_group(rows, keys) <= part_rows:
-        part, by, place = F.lit(0), keys, order
-    else:
-        rows = numbered(rows, keys, order).withColumn(
-            "part", F.floor(F.col("_n") / part_rows).cast("int"))
-        part, by, place = F.col("part"), [*keys, "part"], ["_n"]
-    lists = rows.groupBy(*by).agg(
-        F.array_sort(F.collect_list(F.struct(*place, "_v"))).alias("_l"))
-    return lists.select(*keys, part.alias("part"), F.transform("_l", lambda e: e["_v"]).alias(name))
+    rows = numbered(rows, keys, order, _bytes_of("_v", rows.schema["_v"].dataType))
+    # Both terms only grow along a list, and within a part both stand still.
+    part = F.floor(F.col("_n") / part_rows) + F.floor(F.col("_bytes") / part_bytes)
+    lists = rows.withColumn("part", part.cast("int")).groupBy(*keys, "part").agg(
+        F.array_sort(F.collect_list(F.struct("_n", "_v"))).alias("_l"))
+    return lists.select(*keys, "part", F.transform("_l", lambda e: e["_v"]).alias(name))
+
+
+def own_rows(items: DataFrame) -> DataFrame:
+    """Items without the rows that continue their lists: one row per item."""
+    return items.where("part = 0") if "part" in items.columns else items
+
+
+def whole_lists(rows: DataFrame, key: str, names: list[str]) -> DataFrame:
+    """One row per key with each list in full. For a few keys, such as those of a page: an item's list then
+    fits where its page does."""
+    def joined(name: str) -> Column:
+        parts = F.array_sort(F.collect_list(F.when(F.col(name).isNotNull(), F.struct("part", name))))
+        return F.when(F.size(parts) > 0, F.flatten(F.transform(parts, lambda p: p[name]))).alias(name)
+
+    return rows.groupBy(key).agg(*[joined(name) for name in names])
 
 
 def group_records(df: DataFrame, key: str, pos: str, part_rows: int = LIST_ROWS) -> DataFrame:

@@ -7,14 +7,6 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from catalograph.schema import CATALOGUE_LIMIT, PAGE_SIZE
-from catalograph.session import materialize
-
-# A top-k of at most this many rows is one heap per task; beyond it, or for a deep page, the rows
-# are cut by range instead, because every task would otherwise send k rows to a single one.
-HEAP_ROWS = 1_000
-# A frame of at most this many rows may be ordered by one task.
-ONE_TASK_ROWS = 1_000_000
-
 
 def sort_keys(order: str, key: str = "id") -> list[Column]:
     """``"rating desc"`` as sort keys; missing numbers sort lowest, ties go by key."""
@@ -41,45 +33,27 @@ def sort_random_seeded(df: DataFrame, seed: int) -> DataFrame:
     return df.orderBy(*random_keys(seed))
 
 
-def range_counts(ranged: DataFrame) -> list[tuple[int, int]]:
-    """Rows per range, in order; one row per range reaches the driver, so it is bounded by them."""
-    rows = ranged.groupBy("_range").count().collect()
-    return sorted((r["_range"], r["count"]) for r in rows)
+def first_rows(df: DataFrame, order: list[Column], limit: int, skip: int = 0) -> DataFrame:
+    """Rows ``skip+1 .. skip+limit`` of a total order, in that order."""
+    ordered = df.orderBy(*order)
+    return (ordered.offset(skip) if skip else ordered).limit(limit)
 
 
-def first_rows(df: DataFrame, order: list[Column], limit: int, skip: int = 0,
-               heap_rows: int = HEAP_ROWS, one_task_rows: int = ONE_TASK_ROWS) -> DataFrame:
-    """Rows ``skip+1 .. skip+limit`` of a total order.
+def above_cut(df: DataFrame, lead: str, k: int, accuracy: int = 10_000) -> DataFrame:
+    """Rows that can be among the ``k`` with the highest ``lead``: all of those, and few more.
 
-    A small window is a plain ordered limit. A large one over many rows is cut by range: whole
-    ranges before the cut are kept as they are and only the range that holds it is numbered, so no
-    task sees more than one range. The ranges are written first: their borders come from a sample
-    and must not move when a task runs again.
+    The cut is an approximate percentile whose rank is off by at most rows / ``accuracy``; twice that is
+    left as room, so a large k sends about k rows to the final order, not k rows per task. Rows
+    without ``lead`` are kept only where fewer than ``k`` rows have it.
     """
-    if skip + limit <= heap_rows or df.count() <= one_task_rows:
-        ordered = df.orderBy(*order)
-        return (ordered.offset(skip) if skip else ordered).limit(limit)
-    return _cut_by_range(df, order, limit, skip)
-
-
-def _cut_by_range(df: DataFrame, order: list[Column], limit: int, skip: int) -> DataFrame:
-    ranged = materialize(df.repartitionByRange(*order)
-                         .withColumn("_range", F.spark_partition_id()), "ranges")
-    whole, cut, before = [], [], 0
-    for place, rows in range_counts(ranged):
-        after = before + rows
-        if before >= skip and after <= skip + limit:
-            whole.append(place)
-        elif after > skip and before < skip + limit:
-            cut.append((place, skip - before, skip + limit - before))
-        before = after
-    kept = ranged.where(F.col("_range").isin(whole))
-    for place, low, high in cut:          # at most two ranges: where the window begins and ends
-        numbered = ranged.where(F.col("_range") == place).withColumn(
-            "_n", F.row_number().over(W.partitionBy("_range").orderBy(*order)))
-        kept = kept.unionByName(
-            numbered.where((F.col("_n") > low) & (F.col("_n") <= high)).drop("_n"))
-    return kept.drop("_range")
+    known = F.count(lead)
+    share = df.agg(known.alias("n"), F.count("*").alias("all")).first()
+    n = share["n"]
+    low = 1.0 - (k + 1) / n - 2.0 / accuracy if n else 0.0
+    if low <= 0:
+        return df
+    cut = df.agg(F.percentile_approx(lead, low, accuracy).alias("cut")).first()["cut"]
+    return df.where(F.col(lead) >= F.lit(cut))
 
 
 def paginate(df: DataFrame, order: list[Column], page: int, size: int = PAGE_SIZE) -> DataFrame:
@@ -90,8 +64,11 @@ def total_pages(found: Column | str, size: int = PAGE_SIZE) -> Column:
     return F.ceil(F.col(found) / size) if isinstance(found, str) else F.ceil(found / size)
 
 
-def top_k_global(df: DataFrame, order: list[Column], k: int = CATALOGUE_LIMIT) -> DataFrame:
-    return first_rows(df, order, k)
+def top_k_global(df: DataFrame, order: list[Column], k: int = CATALOGUE_LIMIT,
+                 lead: str | None = None) -> DataFrame:
+    """The first k rows. ``lead`` names the numeric column that ``order`` sorts by first, descending
+    with nulls last; with it a large k is cut before rows move."""
+    return first_rows(above_cut(df, lead, k) if lead else df, order, k)
 
 
 def top_n_per_group(df: DataFrame, key, order: list[Column], n: int) -> DataFrame:
@@ -113,10 +90,17 @@ def dedup_last_wins(df: DataFrame, key, pos: str) -> DataFrame:
 
 
 def _pick(df: DataFrame, key, pos: str, choose) -> DataFrame:
-    """One record per key by an aggregate that combines before the shuffle."""
+    """One record per key by an aggregate that combines before the shuffle.
+
+    A record without a position gives way to any with one; of several without, the greatest (or least) by its
+    other values is kept whole.
+    """
     keys = [key] if isinstance(key, str) else list(key)
     rest = [c for c in df.columns if c not in keys]
-    picked = df.groupBy(*keys).agg(choose(F.struct(*rest), F.col(pos)).alias("_r"))
+    placed = F.col(pos).isNotNull() if choose is F.max_by else F.col(pos).isNull()
+    digest = F.xxhash64(*[F.to_json(F.struct(*rest))])
+    picked = df.groupBy(*keys).agg(choose(F.struct(*rest), F.struct(
+        placed, pos, F.when(F.col(pos).isNull(), digest))).alias("_r"))
     return picked.select(*keys, "_r.*").select(*df.columns)
 
 

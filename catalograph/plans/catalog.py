@@ -22,7 +22,7 @@ def popular_titles(basics: DataFrame, ratings: DataFrame, types=(TITLE_TYPE,),
     rated = join_inner(titled, ratings, "tconst")
     dated = rated.withColumn("startYearNumber", F.col("startYear").try_cast("double"))
     chosen = filter_two_tier(dated, year="startYearNumber", **tiers).drop("startYearNumber")
-    return top_k_global(chosen, [F.col("numVotes").desc(), F.col("tconst").asc()], limit)
+    return top_k_global(chosen, [F.col("numVotes").desc(), F.col("tconst").asc()], limit, "numVotes")
 
 
 def director_lists(principals: DataFrame, names: DataFrame, order: list[str],

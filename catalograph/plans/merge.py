@@ -63,13 +63,27 @@ def merge_entities(items: DataFrame, enrich: DataFrame, reviews: DataFrame,
     hit = F.coalesce("reviewed", F.lit(False))
     before = F.col("reviews") if "reviews" in merged.columns else F.lit(None).cast(STRINGS)
 
+    # A review list that continues gets the review at its end, in the last row of the item.
+    listed = "reviews" in base.columns
+    last = base.groupBy("tconst").agg(F.max("part").alias("last")).where("last > 0")
+    merged = merged.join(last, "tconst", "left")
+    here = hit & F.col("last").isNull() if listed else hit
     merged = merged.withColumns({
-        "reviews": append_review(before, hit, F.col("critic_review")),
+        "reviews": append_review(before, here, F.col("critic_review")),
         "id": F.col("tconst"),
         "source": F.when(F.col("part") == 0, provenance(SOURCE_BASE, {
             SOURCE_ENRICH: F.col("enriched"),
             SOURCE_ARTICLES: F.coalesce("reported", F.lit(False)), SOURCE_REVIEWS: hit})),
-    }).drop("tconst", "enriched", "reported", "reviewed", pos)
-    further = base.where("part > 0").withColumn("id", F.col("tconst")).drop(
-        "tconst", pos, "source", "reviews")
+    }).drop("tconst", "enriched", "reported", "reviewed", "last", pos)
+    further = base.where("part > 0").drop(pos, "source")
+    if listed:
+        titles = own.select("tconst", F.col("title").alias("_title"), F.col("year").alias("_year"))
+        found = hits.select(F.col("title").alias("_title"), F.col("year").alias("_year"),
+                            F.lit(True).alias("_hit"), F.col("critic_review").alias("_review"))
+        matched = titles.join(found, ["_title", "_year"]).select("tconst", "_hit", "_review")
+        further = further.join(last, "tconst").join(matched, "tconst", "left")
+        ends = (F.col("part") == F.col("last")) & F.coalesce("_hit", F.lit(False))
+        further = further.withColumn("reviews", append_review(
+            F.col("reviews"), ends, F.col("_review"))).drop("last", "_hit", "_review")
+    further = further.withColumn("id", F.col("tconst")).drop("tconst")
     return merged.unionByName(further, allowMissingColumns=True)

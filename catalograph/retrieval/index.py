@@ -18,6 +18,8 @@ from pyspark.sql import types as T
 
 from catalograph.retrieval.analysis import (CATCH_ALL, CATCH_ALL_FIELD, KEYWORD_FIELDS, TEXT_FIELDS,
                                             Profile, positioned)
+from catalograph.operators.lists import own_rows, whole_lists
+from catalograph.schema import LIST_FIELDS
 from catalograph.session import scratch_path
 
 # Positions of continuation rows start at multiples of this.
@@ -201,6 +203,10 @@ def fetch_items(index: Index, top: DataFrame) -> DataFrame:
     ranked = index.spark.createDataFrame(
         [(i + 1, *r) for i, r in enumerate(rows)],
         T.StructType([T.StructField("rank", T.IntegerType()), *top.schema.fields]))
-    found = index.items.where(F.col("id").isin(ids) & (F.col("part") == 0))
+    found = index.items.where(F.col("id").isin(ids))
     rest = [c for c in found.columns if c == "id" or c not in top.columns]
-    return found.select(*rest).join(F.broadcast(ranked), "id")
+    own = own_rows(found).select(*rest)
+    if index.has_parts:
+        lists = [c for c in rest if c in LIST_FIELDS]
+        own = own.drop(*lists).join(whole_lists(found, "id", lists), "id").select(*rest)
+    return own.join(F.broadcast(ranked), "id")

@@ -8,7 +8,7 @@ from pyspark import StorageLevel
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from catalograph.operators.filters import condition, request_filters, starts_token
+from catalograph.operators.filters import condition, get_by_id, request_filters, starts_token
 from catalograph.operators.grouping import facet_terms, num_found
 from catalograph.operators.ordering import first_rows, paginate, random_keys, sort_keys
 from catalograph.retrieval.analysis import STOP_WORDS, analyze_title
@@ -130,7 +130,7 @@ def get_with_similar(index: Index, item_id: str, k: int = 5) -> DataFrame:
     similar = more_like_this(index, item_id, k=k, boost=True)
     ranked = similar.groupBy("seed").agg(F.array_sort(F.collect_list(F.struct(
         (-F.col("score")).alias("_order"), "id", "score"))).alias("_s"))
-    item = index.items.where((F.col("id") == item_id) & (F.col("part") == 0))
+    item = get_by_id(index.items, item_id)
     joined = item.join(ranked.withColumnRenamed("seed", "id"), "id", "left")
     empty = F.array().cast("array<struct<id:string,score:double>>")
     return joined.withColumn("similar", F.coalesce(F.transform("_s", lambda s: F.struct(

@@ -2,9 +2,13 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+
 def path_exists(spark: SparkSession, path: str) -> bool:
     jvm = spark.sparkContext._jvm
     target = jvm.org.apache.hadoop.fs.Path(path)
@@ -16,12 +20,22 @@ def empty(spark: SparkSession, schema: T.StructType) -> DataFrame:
     return spark.createDataFrame([], schema)
 
 
+CORRUPT = "_corrupt_record"
+
+
 def read_json_array(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
-    """Records of files that each hold one JSON array; a missing or unreadable file gives none."""
+    """Records of files that each hold one JSON array; a missing or unreadable file gives none.
+
+    A field of another type than the schema's is null; the record's other fields and all other records stay.
+    """
     if not path_exists(spark, path):
         return empty(spark, schema)
-    return (spark.read.schema(schema).option("multiLine", "true").option("mode", "DROPMALFORMED")
-            .json(path))
+    rows = (spark.read.schema(T.StructType([*schema.fields, T.StructField(CORRUPT, T.StringType())]))
+            .option("multiLine", "true").option("mode", "PERMISSIVE")
+            .option("columnNameOfCorruptRecord", CORRUPT).json(path))
+    # an unreadable file is one row of nulls
+    read = reduce(lambda a, b: a | b, [F.col(f"`{f.name}`").isNotNull() for f in schema.fields])
+    return rows.where(read | F.col(CORRUPT).isNull()).drop(CORRUPT)
 
 
 def read_json_lines(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:

@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from catalograph.operators.joins import require_unique
 from catalograph.operators.ordering import dedup_last_wins, first_per_group, first_rows
 from catalograph.operators.sets import union_append, unseen
 
@@ -16,8 +17,15 @@ def full_refresh(df: DataFrame, path: str) -> DataFrame:
 
 
 def upsert(base: DataFrame, delta: DataFrame, key: str = "id", pos: str | None = None) -> DataFrame:
-    """Stored records with those of the delta added or replaced; the delta's last record wins."""
-    latest = dedup_last_wins(delta, key, pos).drop(pos) if pos else delta
+    """Stored records with those of the delta added or replaced; the delta's last record by ``pos`` wins.
+
+    Without ``pos`` the delta has no last record, so a key that it repeats is refused.
+    """
+    if pos:
+        latest = dedup_last_wins(delta, key, pos).drop(pos)
+    else:
+        require_unique(delta, key, "delta")
+        latest = delta
     return union_append(unseen(base, latest, key), latest)
 
 

@@ -1,5 +1,8 @@
 from pyspark.sql import functions as F
 
+from catalograph.operators.filters import get_by_id
+from catalograph.operators.grouping import num_found
+from catalograph.operators.lists import own_rows, whole_lists
 from catalograph.plans.catalog import catalog_build
 from catalograph.plans.merge import format_enrichment, merge_entities
 from catalograph import schema as C
@@ -63,6 +66,23 @@ def test_merge(spark):
     assert got["t4"]["source"] == ["imdb"] and got["t4"]["reviews"] is None
 
 
+def test_merge_of_a_list_in_parts_equals_that_of_the_whole(spark):
+    names = "tconst string, part int, title string, year int, reviews array<string>, plot string, pos int"
+    whole = [("t1", 0, "One", 2001, ["r1", "r2", "r3"], "p", 0), ("t2", 0, "Two", 2002, ["s1"], "q", 1)]
+    parts = [("t1", 0, "One", 2001, ["r1", "r2"], "p", 0), ("t1", 1, None, None, ["r3"], None, None), whole[1]]
+    enrich = spark.createDataFrame([], "imdb_id string, metascore int, tomatometer int, poster string, plot string, pos int")
+    reviews = spark.createDataFrame([("One", 2001, "NEW", "Ann", 7.5, "u1", 0)],
+                                    "title string, year int, reviews string, critic string, rating double, url string, pos int")
+    merged = []
+    for rows in (whole, parts):
+        got = merge_entities(spark.createDataFrame(rows, names), enrich, reviews)
+        lists = {r["id"]: r["reviews"] for r in whole_lists(got, "id", ["reviews"]).collect()}
+        own = {r["id"]: (r["title"], r["critic"], r["source"]) for r in own_rows(got).collect()}
+        assert num_found(got).first()[0] == 2
+        merged.append((lists, own, get_by_id(got, "t1").first()["reviews"]))
+    assert merged[0] == merged[1] and merged[0][2] == ["r1", "r2", "r3", "NEW"]
+
+
 def test_merge_twice_keeps_one_row_per_key(spark):
     base = build(spark).withColumn("pos", F.lit(0))
     double = base.unionByName(base.withColumns({"pos": F.lit(1), "title": F.lit("later")}))

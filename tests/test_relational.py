@@ -35,6 +35,13 @@ def test_lists_are_whole_for_a_hot_key(spark, part_rows):
     assert got == expected_lists(rows)
 
 
+def test_lists_are_cut_by_bytes(spark):
+    df = spark.createDataFrame([("k", i, "x" * (40 if i == 3 else 9)) for i in range(12)], "k string, pos int, v string")
+    parts = L.collect_in_order(df, "k", "v", ["pos"], part_rows=100, part_bytes=30).orderBy("part").collect()
+    assert [v for p in parts for v in p["values"]] == ["x" * (40 if i == 3 else 9) for i in range(12)]
+    assert all(sum(map(len, p["values"][:-1])) < 30 for p in parts) and parts[0]["part"] == 0 and len(parts) > 3
+
+
 def test_group_records_keeps_load_order(spark):
     rows, df = hot_rows(spark, 90)
     lists = {r["k"]: [x["v"] for x in r["records"]]
@@ -55,13 +62,32 @@ def test_attach_lists_continues_in_further_rows(spark):
 
 
 @pytest.mark.parametrize("limit, skip", [(1, 0), (150, 0), (600, 0), (900, 0), (40, 333), (5, 599)])
-def test_first_rows_by_range_equals_ordered_limit(spark, limit, skip):
+def test_first_rows_come_in_order(spark, limit, skip):
     rows, df = hot_rows(spark)
-    order = [F.col("k").desc(), F.col("pos").asc()]
-    ranged = O.first_rows(df, order, limit, skip, heap_rows=0, one_task_rows=10)
     expected = sorted(sorted(rows, key=lambda r: r[1]), key=lambda r: r[0], reverse=True)
-    want = {(r[0], r[1]) for r in expected[skip:skip + limit]}
-    assert {(r["k"], r["pos"]) for r in ranged.collect()} == want
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    try:
+        got = O.first_rows(df, [F.col("k").desc(), F.col("pos").asc()], limit, skip).collect()
+    finally:
+        spark.conf.unset("spark.sql.adaptive.coalescePartitions.enabled")
+    assert [(r["k"], r["pos"]) for r in got] == [(r[0], r[1]) for r in expected[skip:skip + limit]]
+
+
+@pytest.mark.parametrize("k", [1, 17, 400, 990, 2000])
+def test_top_k_by_a_cut(spark, k):
+    df = spark.range(1000).select("id", F.when(F.col("id") % 50 != 0, F.col("id") * 7919 % 61).alias("votes"))
+    order = [F.col("votes").desc_nulls_last(), F.col("id").asc()]
+    plain = [tuple(r) for r in df.orderBy(*order).limit(k).collect()]
+    assert [tuple(r) for r in O.top_k_global(df, order, k, "votes").collect()] == plain
+    assert O.above_cut(df, "votes", k).count() >= min(k, 1000)
+
+
+def test_records_without_a_position(spark):
+    rows = [("a", None, "x"), ("a", 3, "y"), ("b", None, "z"), ("c", None, "p"), ("c", None, "q")]
+    df = spark.createDataFrame(rows, "k string, pos int, v string")
+    for pick in (O.dedup_last_wins, O.first_per_group):
+        got = {r["k"]: (r["pos"], r["v"]) for r in pick(df, "k", "pos").collect()}
+        assert got["a"] == (3, "y") and got["b"] == (None, "z") and got["c"] in ((None, "p"), (None, "q"))
 
 
 def test_pages_concatenate_to_the_full_order(spark):

@@ -1,9 +1,12 @@
 import gzip
 import json
 
+import pytest
+
 from pyspark.sql import functions as F
 
 from catalograph import schema as C
+from catalograph.operators.joins import KeyRepeats
 from catalograph.sources import records, store
 from catalograph.sources.tsv import read_tsv, scan_filtered
 
@@ -37,6 +40,12 @@ def test_json_arrays(spark, tmp_path):
     good.write_text(json.dumps([{"imdb_id": "tt1", "title": "é", "extra": 1}, {"imdb_id": "tt2"}],
                                indent=2))
     bad.write_text('[{"imdb_id": "tt1"')
+    odd = tmp_path / "odd.json"
+    odd.write_text(json.dumps([{"imdb_id": "tt1", "year": 2001}, {"imdb_id": "tt2", "year": "n/a", "title": "kept"},
+                               {"imdb_id": "tt3", "year": [1], "title": "too"}]))
+    typed = records.read_json_array(spark, str(odd), C.ENRICHMENT).orderBy("imdb_id").collect()
+    assert [(r["imdb_id"], r["year"], r["title"]) for r in typed] == [
+        ("tt1", 2001, None), ("tt2", None, "kept"), ("tt3", None, "too")]
     rows = records.read_json_array(spark, str(good), C.ENRICHMENT).orderBy("imdb_id").collect()
     assert [(r["imdb_id"], r["title"]) for r in rows] == [("tt1", "é"), ("tt2", None)]
     assert records.read_json_array(spark, str(bad), C.ENRICHMENT).count() == 0
@@ -68,6 +77,14 @@ def test_upsert_is_idempotent(spark):
     assert {tuple(r) for r in once.collect()} == want == {tuple(r) for r in twice.collect()}
 
 
+def test_upsert_without_position_refuses_repeated_keys(spark):
+    base = spark.createDataFrame([("a", 1)], "id string, x int")
+    delta = spark.createDataFrame([("a", 2), ("b", 3)], "id string, x int")
+    assert {tuple(r) for r in store.upsert(base, delta).collect()} == {("a", 2), ("b", 3)}
+    with pytest.raises(KeyRepeats):
+        store.upsert(base, delta.unionByName(delta))
+
+
 def test_incremental_loads(spark):
     stored = spark.createDataFrame([("a", 0), (None, 1)], "url string, n int")
     batch = spark.createDataFrame([("b", 5), ("a", 4), ("c", 3), ("b", 2)], "url string, n int")

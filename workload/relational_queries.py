@@ -338,7 +338,7 @@ def _(spark, sf):
     ORDER BY numVotes DESC, tconst LIMIT 5000""")
 def _(spark, sf):
     rows = T.ratings(spark, sf).select("tconst", "numVotes")
-    return O.top_k_global(rows, [F.col("numVotes").desc(), F.col("tconst")], 5000)
+    return O.top_k_global(rows, [F.col("numVotes").desc(), F.col("tconst")], 5000, "numVotes")
 
 
 @query("limit_new", """SELECT o_orderkey, o_custkey FROM orders ORDER BY o_orderkey LIMIT 800""")

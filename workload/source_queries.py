@@ -20,7 +20,7 @@ def _written_tsv(spark, sf):
     raw = T.basics(spark, sf).drop("pos").withColumn(
         "genres", F.when(F.col("titleType") == "F", "\\N").when(F.col("titleType") == "P", "NA")
         .otherwise(F.concat(F.lit('"'), "genres")))
-    (raw.coalesce(1).write.option("sep", "\t").option("header", "true").option("quote", "")
+    (raw.write.option("sep", "\t").option("header", "true").option("quote", "")
      .option("compression", "gzip").csv(path))
     return path
 
@@ -42,13 +42,19 @@ def _(spark, sf):
 REVIEW_COLUMNS = ("title", "year", "reviews", "critic", "rating", "url")
 
 
-@query("scan_json_array", f"WITH {T.SOURCES} SELECT {', '.join(REVIEW_COLUMNS)} FROM reviews")
+@query("scan_json_array", f"""WITH {T.SOURCES} SELECT {', '.join(c for c in REVIEW_COLUMNS if c != 'year')},
+    CASE WHEN pos % 7 <> 0 THEN year END AS year FROM reviews""")
 def _(spark, sf):
     path = scratch_path(spark, "array")
     rows = T.customer_reviews(spark, sf)
     # Each file holds one JSON array of at most 1,000 records, as the runs of a crawler leave them.
-    runs = rows.withColumn("run", F.floor(F.col("pos") / 1000)).groupBy("run").agg(
-        F.to_json(F.collect_list(F.struct(*rows.drop("pos").columns))).alias("value"))
+    # Some of its records have a word where a number belongs.
+    record = F.to_json(F.struct(*rows.drop("pos").columns))
+    mistyped = F.regexp_replace(record, '"year":[0-9]+', '"year":"n/a"')
+    runs = rows.select(F.floor(F.col("pos") / 1000).alias("run"),
+                       F.when(F.col("pos") % 7 == 0, mistyped).otherwise(record).alias("record"))
+    runs = runs.groupBy("run").agg(
+        F.concat(F.lit("["), F.array_join(F.collect_list("record"), ","), F.lit("]")).alias("value"))
     runs.write.partitionBy("run").text(path)
     return records.read_json_array(spark, path, C.REVIEW).select(*REVIEW_COLUMNS)
 
@@ -77,7 +83,8 @@ def _(spark, sf):
     base = T.table(spark, sf, "documents").select("doc_id", "lang")
     delta = T.table(spark, sf, "labels").select(
         "doc_id", F.concat(F.lit("label "), "quality").alias("lang"), F.col("doc_id").alias("pos"))
-    return store.upsert(base, delta, "doc_id", "pos")
+    earlier = delta.withColumns({"lang": F.lit("overwritten"), "pos": F.col("pos") - 1})
+    return store.upsert(base, earlier.unionByName(delta), "doc_id", "pos")
 
 
 @query("incremental_new", """SELECT o_orderkey, o_custkey FROM orders WHERE o_orderkey NOT IN (
