@@ -145,11 +145,11 @@ class Codec:
             place = np.cumsum(keep) - 1
             word, symbols, codes, rank, value = word[keep], symbols[keep], codes[keep], rank[keep], value[keep]
             now = place[merged]
-            near = np.unique(np.concatenate((now, now - 1)))
-            near = near[(near >= 0) & (near < len(word) - 1)]
-            fresh = near[word[near] == word[near + 1]]
             last = np.concatenate((word[1:] != word[:-1], [True]))
             rank[last] = _NEVER
+            near = np.zeros(len(word) + 1, bool)
+            near[now] = near[now - 1] = True  # before the first symbol is the spare place at the end
+            fresh = np.flatnonzero(near[:-1] & ~last)
         if not done:
             return tuple(np.zeros(0, np.int64) for _ in range(3))
         word, symbols, codes = (np.concatenate(part) for part in zip(*done))
@@ -210,7 +210,7 @@ class Codec:
         for number, text in enumerate(texts):
             for part in self._parts(text) if text else ():
                 found = self.words.findall(part)
-                if any(len(w) > _CACHED_CHARS for w in found):
+                if max(map(len, found)) > _CACHED_CHARS:
                     found = [p for w in found for p in (self._split(w) if len(w) > _CACHED_CHARS else (w,))]
                 waiting.append((number, found))
                 size += len(part)
@@ -223,10 +223,12 @@ class Codec:
     def _take(self, waiting: list[tuple[int, list[str]]], out: list[list[bytes]]) -> None:
         if len(self.known) > _CACHED_WORDS:
             self.known.clear()
-        new = {w for _, words in waiting for w in words} - self.known.keys()
+        seen: set[str] = set()
+        for _, words in waiting:
+            seen.update(words)
+        new = [w for w in seen if w not in self.known]
         if new:
-            words = list(new)
-            self.known.update(zip(words, self._ids(words)))
+            self.known.update(zip(new, self._ids(new)))
         for number, words in waiting:
             out[number].append(b"".join(map(self.known.__getitem__, words)))
         for word in [w for w in new if len(w) > _CACHED_CHARS]:
