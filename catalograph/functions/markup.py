@@ -88,6 +88,49 @@ def prepare(page: Column | str, all_entities: bool = False) -> Column:
     return _expand_references(page) if all_entities else page
 
 
+def links_in(page: str, kinds: tuple[Sel, ...]) -> list[tuple[int, int, int, int]]:
+    """Per link of a page: begin and end of its source, and of the source inside its block.
+
+    The block is the nearest open element of the first kind around the link, else of the second, and so on;
+    without one its end is -1. What is never closed ends with the page.
+    """
+    tags = "|".join(dict.fromkeys([*[sel.tag for sel in kinds], "a"]))
+    matches = [re.compile("(?is)" + sel.pattern()).fullmatch for sel in kinds]
+    open_: list[list[list]] = [[] for _ in kinds]      # per kind: [end of the opening tag, end, wanted]
+    links: list[list] = []                             # [begin, end, block]
+    for tag in re.finditer(f"(?is)<(/?)({tags})(?=[\\s/>])[^>]*>", page):
+        closing, name = tag[1], tag[2].lower()
+        for kind, sel in enumerate(kinds):
+            if sel.tag.lower() == name and not closing:
+                open_[kind].append([tag.end(), len(page), matches[kind](tag[0]) is not None])
+            elif sel.tag.lower() == name and open_[kind]:
+                open_[kind].pop()[1] = tag.start()
+        if name == "a" and closing:
+            if links and links[-1][1] < 0:
+                links[-1][1] = tag.end()
+        elif name == "a":
+            around = (block for blocks in open_ for block in reversed(blocks) if block[2])
+            links.append([tag.start(), -1, next(around, None)])
+    return [(begin, len(page) if end < 0 else end, *((block[0], block[1]) if block else (0, -1)))
+            for begin, end, block in links]
+
+
+def link_spans(page: Column, kinds: tuple[Sel, ...]) -> Column:
+    """``links_in`` as an array of (begin, end, block_begin, block_end): one Arrow pass per page, offsets only."""
+
+    @F.pandas_udf("array<struct<begin:int,end:int,block_begin:int,block_end:int>>")
+    def of(pages: pd.Series) -> pd.Series:
+        names = ("begin", "end", "block_begin", "block_end")
+        return pages.map(lambda p: [dict(zip(names, span)) for span in links_in(p, kinds)], na_action="ignore")
+
+    return of(page)
+
+
+def between(page: Column, begin: Column, end: Column) -> Column:
+    """Source from offset ``begin`` up to ``end``."""
+    return F.substr(page, begin + 1, end - begin)
+
+
 def first_tag(page: Column, sel: Sel) -> Column:
     """Opening tag of the first match, else null."""
     return F.nullif(F.regexp_extract(page, "(?is)" + sel.pattern(), 0), F.lit(""))

@@ -25,50 +25,35 @@ def prepared(pages: DataFrame, rules: PageRules) -> DataFrame:
 def page_links(pages: DataFrame, rules: PageRules) -> DataFrame:
     """Review links of each page, first occurrence per URL, in page order, capped per page.
 
-    The list of one page never leaves its row before the cap, so a page costs no shuffle.
+    The summary of a link is the teaser of the nearest block of the first kind around it, blocks inside blocks
+    counted, else of the nearest of the second kind. The list of one page never leaves its row before
+    the cap, so a page costs no shuffle, and only the links that are listed look for their teaser.
     """
-    base = F.lit(rules.base_url)
-
-    def teaser(block: Column) -> Column:
-        found = F.coalesce(*[M.inner_any(block, sel) for sel in rules.teaser])
-        return clean_text(M.text(found))
-
-    def entry(link: Column, summary: Column) -> Column:
-        href = M.attribute(F.regexp_extract(link, "(?s)^<[^>]*>", 0), "href")
-        title = clean_text(M.text(link))
-        return F.struct(resolve_url(base, href).alias("url"),
-                        falsy_fallback(title, F.lit(rules.untitled)).alias("title"),
-                        summary.alias("summary"))
-
-    page = F.col("page")
-    outer = rules.link_block[0]
-    # Cut the page where an outer block begins or ends: within a block every link shares its teaser.
-    marked = F.regexp_replace(page, f"(?is)({outer.pattern()})", M.NODE_BREAK + "$1")
-    marked = F.regexp_replace(marked, f"(?is)(</{outer.tag}\\s*>)", "$1" + M.NODE_BREAK)
-    pieces = F.split(marked, M.NODE_BREAK, -1)
-
-    def piece_links(piece: Column) -> Column:
-        in_block = piece.rlike("(?is)^" + outer.pattern())
-        block_teaser = F.when(in_block, teaser(piece))
-        return F.transform(
-            _links_of(piece, rules.link_contains),
-            lambda link: entry(link, F.coalesce(block_teaser, teaser(_inner_block(piece, link)))))
-
-    def _inner_block(piece: Column, link: Column) -> Column:
-        """Innermost block of the second kind around a link that has no outer block."""
-        if len(rules.link_block) < 2:
-            return F.lit(None).cast("string")
-        tag = rules.link_block[1].tag
-        flat = F.regexp_extract_all(
-            piece, F.lit(f"(?is)<{tag}(?:[\\s/][^>]*)?>(?:(?!</?{tag}[\\s/>]).)*+</{tag}\\s*>"),
-            F.lit(0))
-        return F.get(F.filter(flat, lambda block: F.contains(block, link)), F.lit(0))
-
-    found = F.flatten(F.transform(pieces, piece_links))
-    found = F.filter(found, lambda e: url_is_review(e["url"], rules.link_path, rules.link_hyphens))
-    listed = (prepared(pages, rules).select("page_id", found.alias("found"))
-              .select("page_id", F.posexplode(_first_by_url(F.col("found"),
-                                                            rules.links_per_page))))
+    base, page = F.lit(rules.base_url), F.col("page")
+
+    def entry(span: Column) -> Column:
+        found = M.let(F.get(_links_of(M.between(page, span["begin"], span["end"]), rules.link_contains), F.lit(0)),
+                      lambda link: F.struct(
+                          M.attribute(F.regexp_extract(link, "(?s)^<[^>]*>", 0), "href").alias("href"),
+                          clean_text(M.text(link)).alias("title")))
+        return M.let(found, lambda f: F.struct(
+            F.when(f["href"].isNotNull(), resolve_url(base, f["href"])).alias("url"),
+            falsy_fallback(f["title"], F.lit(rules.untitled)).alias("title"),
+            span["block_begin"].alias("block_begin"), span["block_end"].alias("block_end")))
+
+    def teaser(e: Column) -> Column:
+        block = F.when(e["block_end"] >= 0, M.between(page, e["block_begin"], e["block_end"]))
+        return M.let(block, lambda b: clean_text(M.text(
+            F.coalesce(*[M.inner_any(b, sel) for sel in rules.teaser]))))
+
+    spans = prepared(pages, rules).withColumn("spans", M.link_spans(page, rules.link_block))
+    found = spans.select("page_id", "page", F.transform("spans", entry).alias("found"))
+    found = found.withColumn("found", F.filter("found", lambda e: url_is_review(
+        e["url"], rules.link_path, rules.link_hyphens)))
+    found = found.withColumn("found", _first_by_url(F.col("found"), rules.links_per_page))
+    told = F.transform("found", lambda e: F.struct(
+        e["url"].alias("url"), e["title"].alias("title"), teaser(e).alias("summary")))
+    listed = found.select("page_id", told.alias("found")).select("page_id", F.posexplode("found"))
     return listed.select(
         "page_id", F.col("pos").alias("place"), "col.url", "col.title",
         falsy_fallback(extract_year("col.title"), extract_year("col.summary"),

@@ -149,3 +149,20 @@ def test_collect_reviews_from_stored_pages(spark):
     stored = first.where(F.col("url") == a["url"])
     assert collect_reviews(listing, pages, RULES, stored).count() == 2
     assert collect_reviews(listing, pages, RULES, limit=1).count() == 1
+
+
+def test_summary_of_the_nearest_enclosing_block(spark):
+    def summaries(html):
+        rows = H.page_links(spark.createDataFrame([(1, "u", html)], "page_id int, url string, html string"), RULES)
+        return {r["url"].rsplit("/", 1)[1]: r["summary"] for r in rows.collect()}
+    link = "<a href='/reviews/%s-a-2001'>Film</a>"
+    assert summaries(f"<div><div>img</div>{link % 'x'}<p>Teaser</p></div>") == {"x-a-2001": "Teaser"}
+    nested = f"<article><article><p>Inner</p>{link % 'i'}</article>{link % 'o'}<p>Outer</p></article>"
+    assert summaries(nested) == {"i-a-2001": "Inner", "o-a-2001": "Inner"}      # the first in the outer block's tree
+    assert summaries(f"<article><article>in</article>{link % 'o'}<p>Outer</p></article>") == {"o-a-2001": "Outer"}
+    both = f"<article><div><p>Div</p></div><div>{link % 'b'}</div><p class='review-stack__tease'>Tease</p></article>"
+    assert summaries(both) == {"b-a-2001": "Tease"}                              # an article comes before a nearer div
+    assert summaries(f"<div><p>Far</p><div>{link % 'n'}</div></div>") == {"n-a-2001": ""}
+    assert summaries(f"{link % 'r'}<div>{link % 'r'}<p>Second</p></div>") == {"r-a-2001": ""}
+    assert summaries(f"</div></article>{link % 's'}<p>x</p>") == {"s-a-2001": ""}
+    assert summaries("<div><p>T</p><a href='/reviews/w-a-2001'><div>Big</div> film</a></div>") == {"w-a-2001": "T"}
