@@ -167,6 +167,6 @@ def append_review(reviews: Column, matched: Column, review: Column) -> Column:
                                     F.array(review))).otherwise(reviews)
 
 
-def alternate(df: DataFrame, *names: str) -> Column:
+def alternate(df: DataFrame, *names: str, kind: str = "string") -> Column:
     """First truthy value among alternative column names that the frame really has."""
-    return falsy_fallback(*[n for n in names if n in df.columns])
+    return falsy_fallback(*[n for n in names if n in df.columns], kind=kind)

@@ -6,10 +6,10 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from catalograph.functions.scalars import (digits_int, item_url, parse_ratings, prefix_id,
-                                           split_list_field)
+                                           split_list_field, try_year)
 from catalograph.operators.filters import response_ok
 from catalograph.operators.grouping import provenance
-from catalograph.operators.joins import (append_review, article_lists, join_overlay, match_reviews)
+from catalograph.operators.joins import (alternate, append_review, article_lists, join_overlay, match_reviews)
 from catalograph.operators.lists import LIST_ROWS, attach_lists
 from catalograph.operators.ordering import dedup_last_wins
 from catalograph.schema import (SOURCE_ARTICLES, SOURCE_BASE, SOURCE_ENRICH, SOURCE_REVIEWS,
@@ -33,13 +33,26 @@ def format_enrichment(raw: DataFrame, extra=()) -> DataFrame:
         F.col("_r.rating").alias("rating"), *extra)
 
 
+def named_alike(items: DataFrame) -> DataFrame:
+    """Items with ``title`` and ``year`` from whichever of the sources' column names they have."""
+    if "primaryTitle" in items.columns:
+        items = items.withColumn("title", alternate(items, "primaryTitle", "title")).drop("primaryTitle")
+    if "startYear" in items.columns:
+        items = items.withColumn("startYear", try_year("startYear"))
+        items = items.withColumn("year", alternate(items, "startYear", "year", kind="int")).drop("startYear")
+    return items
+
+
 def merge_entities(items: DataFrame, enrich: DataFrame, reviews: DataFrame,
                    articles: DataFrame | None = None, pos: str = "pos",
                    part_rows: int = LIST_ROWS) -> DataFrame:
     """One left join per source, then id, provenance and review list.
 
-    ``items`` carries ``tconst`` and the load order ``pos``; the last base record of a key wins.
+    ``items`` carries ``tconst`` and the load order ``pos``; the last base record of a key wins. Its title and
+    year may be named ``primaryTitle`` and ``startYear``; where an item has both, the first that says something
+    counts. A review without a year counts as one of year 0, which matches any year.
     """
+    items = named_alike(items)
     part = [] if "part" not in items.columns else ["part"]
     base = dedup_last_wins(items.where(F.col("tconst").isNotNull()), ["tconst", *part], pos)
     # Written once: the items are read here for the joins and again for their titles.
@@ -56,7 +69,7 @@ def merge_entities(items: DataFrame, enrich: DataFrame, reviews: DataFrame,
         merged = merged.withColumn("reported", F.lit(False))
 
     hits = match_reviews(own, reviews.select(
-        "title", "year", F.col("reviews").alias("critic_review"), "critic",
+        "title", F.coalesce("year", F.lit(0)).alias("year"), F.col("reviews").alias("critic_review"), "critic",
         F.col("rating").alias("critic_rating"), F.col("url").alias("critic_url"), pos),
         ["critic_review", "critic", "critic_rating", "critic_url"], pos)
     merged = merged.join(hits.withColumn("reviewed", F.lit(True)), ["title", "year"], "left")

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from catalograph.functions.scalars import first_or_blank, poster_or_null, snippet
+from catalograph.functions.scalars import first_or_blank, snippet
 from catalograph.retrieval.analysis import TOKEN, Profile, tokenize
 from catalograph.retrieval.stemming import stem_all
 
@@ -56,7 +56,7 @@ def highlight_fragment(df: DataFrame, field: str, query: str, profile: Profile,
 
 
 def result_page(hits: DataFrame, query: str, profile: Profile) -> DataFrame:
-    """Display columns of one page of hits: marked plot and review, snippet, poster."""
+    """Display columns of one page of hits: marked plot and review, snippet."""
     shown = hits.withColumns({"_plot": F.coalesce("plot", F.lit("")),
                               "_review": first_or_blank("reviews")})
     if query not in ("", "*:*"):
@@ -71,6 +71,5 @@ def result_page(hits: DataFrame, query: str, profile: Profile) -> DataFrame:
     else:
         shown = shown.withColumns({"highlighted_plot": F.col("_plot"),
                                    "highlighted_reviews": F.col("_review")})
-    return shown.withColumns({
-        "snippet": snippet("highlighted_plot", "highlighted_reviews"),
-        "poster": poster_or_null("poster")}).drop("_plot", "_review")
+    return shown.withColumn(
+        "snippet", snippet("highlighted_plot", "highlighted_reviews")).drop("_plot", "_review")

@@ -28,8 +28,8 @@ def mlt_terms(index: Index, seeds: DataFrame | list[str], fields=SIMILAR_BY,
     """
     own = index.frequencies(("id", "field", "term", "tf")).where(F.col("field").isin(list(fields)))
     if isinstance(seeds, list):
-        # Reads the seeds' buckets only; the terms of the few named items are a small side.
-        own = F.broadcast(own.where(F.col("id").isin(seeds)))
+        # Reads the seeds' buckets only.
+        own = own.where(F.col("id").isin(seeds))
     else:
         # Written, so that Spark knows its size when it chooses the join with the term counts.
         own = materialize(own.join(seeds.select("id").distinct(), "id", "left_semi"), "seed-own")

@@ -105,3 +105,15 @@ def test_format_enrichment(spark):
     assert got["t1"]["genres"] == ["Drama", "War"] and got["t1"]["directors"] == ["A B", "C"]
     assert got["t1"]["cast"] == [] and got["t1"]["metascore"] == 74 and got["t1"]["year"] == 2001
     assert got["t3"]["year"] is None and got["t3"]["directors"] == [] and got["t3"]["rating"] is None
+
+
+def test_merge_takes_either_name_and_reviews_without_a_year(spark):
+    base = spark.createDataFrame(
+        [("t1", "One", None, "2001", None, 0), ("t2", "", "Two", None, 2002, 1), ("t3", None, "Three", "bad", 2003, 2)],
+        "tconst string, primaryTitle string, title string, startYear string, year int, pos int")
+    enrich = spark.createDataFrame([], "imdb_id string, metascore int, tomatometer int, poster string, plot string, pos int")
+    reviews = spark.createDataFrame(
+        [("one", None, "No year", "Ann", 7.5, "u1", 0), ("Two", 2003, "Near", "Bo", 5.0, "u2", 1), ("Three", 1990, "Far", "Cy", 5.0, "u3", 2)],
+        "title string, year int, reviews string, critic string, rating double, url string, pos int")
+    got = {r["id"]: (r["title"], r["year"], r["critic_review"]) for r in merge_entities(base, enrich, reviews).collect()}
+    assert got == {"t1": ("One", 2001, "No year"), "t2": ("Two", 2002, "Near"), "t3": ("Three", 2003, None)}

@@ -174,7 +174,7 @@ FACETED = SearchRequest.from_form(WORDS, year_min="1995", rating_min="2.0")
     UNION ALL SELECT 'genres', value, NULL, n FROM genre
     UNION ALL SELECT 'year', cast(value AS VARCHAR), NULL, n FROM years""")
 def _(spark, sf):
-    result = search(T.index(spark, sf), FACETED)
+    result = search(T.index(spark, sf), FACETED, keep=False)
     none, no_score = F.lit(None).cast("bigint"), F.lit(None).cast("double")
     parts = [result.page.select(F.lit("hit").alias("section"), F.col("id").alias("value"), "score",
                                 none.alias("n")),
@@ -254,7 +254,7 @@ def _(spark, sf):
 
 @query("entry_search_page")
 def _(spark, sf):
-    return search(T.index(spark, sf), SearchRequest(WORDS)).page.select(
+    return search(T.index(spark, sf), SearchRequest(WORDS), keep=False).page.select(
         "id", "title", "year", "rating", "snippet", "score")
 
 

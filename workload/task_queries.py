@@ -84,12 +84,13 @@ def _(spark, sf):
     return shown_items(_catalog(spark, sf))
 
 
-MERGED = """ty AS (SELECT lower(title) AS t, year, arg_max(reviews, pos) AS reviews,
+MERGED = """critics AS (SELECT * REPLACE (coalesce(year, 0) AS year) FROM reviews),
+    ty AS (SELECT lower(title) AS t, year, arg_max(reviews, pos) AS reviews,
       arg_max(critic, pos) AS critic, arg_max(rating, pos) AS rating, arg_max(url, pos) AS url
-      FROM reviews WHERE year IS NOT NULL GROUP BY ALL),
+      FROM critics GROUP BY ALL),
     near AS (SELECT i.tconst, r.*, row_number() OVER (PARTITION BY i.tconst ORDER BY r.pos) AS rn
-      FROM base i JOIN reviews r ON lower(trim(r.title)) = lower(trim(i.title))
-      AND (r.year IS NULL OR r.year = 0 OR abs(r.year - i.year) <= 1)),
+      FROM base i JOIN critics r ON lower(trim(r.title)) = lower(trim(i.title))
+      AND (r.year = 0 OR abs(r.year - i.year) <= 1)),
     heads AS (SELECT imdb_id AS tconst, string_agg(nullif(headline, ''), '|' ORDER BY pos) AS headlines,
       coalesce(string_agg(nullif(snippet, ''), '|' ORDER BY pos), '') AS snippets
       FROM articles GROUP BY imdb_id),
@@ -104,7 +105,7 @@ MERGED = """ty AS (SELECT lower(title) AS t, year, arg_max(reviews, pos) AS revi
       FROM base b LEFT JOIN enrichment e ON e.imdb_id = b.tconst
       LEFT JOIN heads h USING (tconst)
       LEFT JOIN ty ON ty.t = lower(b.title) AND ty.year = b.year
-      LEFT JOIN near n ON n.tconst = b.tconst AND n.rn = 1 AND n.year IS NOT NULL)"""
+      LEFT JOIN near n ON n.tconst = b.tconst AND n.rn = 1)"""
 
 
 def _merged(spark, sf, base):
@@ -122,8 +123,11 @@ MERGED_COLUMNS = ("id", "title", "year", "metascore", "tomatometer", "poster", "
 @query("merge_entities", f"""WITH {T.BULK}, {T.SOURCES}, base AS (SELECT tconst, primaryTitle AS title,
       cast(startYear AS INTEGER) AS year FROM basics), {MERGED} SELECT * FROM merged""")
 def _(spark, sf):
-    base = T.basics(spark, sf).select("tconst", F.col("primaryTitle").alias("title"),
-                                      F.col("startYear").cast("int").alias("year"), "pos")
+    # Half of the records name their columns as the bulk files do, half as the catalogue does.
+    bulk, title, year = F.col("pos") % 2 == 0, F.col("primaryTitle"), F.col("startYear")
+    base = T.basics(spark, sf).select(
+        "tconst", F.when(bulk, title).otherwise("").alias("primaryTitle"), F.when(~bulk, title).alias("title"),
+        F.when(bulk, year).alias("startYear"), F.when(~bulk, year.cast("int")).alias("year"), "pos")
     return _merged(spark, sf, base).select(*MERGED_COLUMNS)
 
 
