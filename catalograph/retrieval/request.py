@@ -15,7 +15,7 @@ from catalograph.retrieval.analysis import STOP_WORDS, analyze_title
 from catalograph.retrieval.highlight import result_page
 from catalograph.retrieval.index import Index, fetch_items
 from catalograph.retrieval.scoring import search_phrase_boost
-from catalograph.retrieval.similar import more_like_this
+from catalograph.retrieval.similar import similar_items
 from catalograph.schema import PAGE_SIZE, SEARCH_FIELDS
 
 MATCH_ALL = "*:*"
@@ -126,12 +126,15 @@ def autocomplete(index: Index, q: str, k: int = 10) -> DataFrame:
 
 
 def get_with_similar(index: Index, item_id: str, k: int = 5) -> DataFrame:
-    """One item with its k most similar items, weighted by term interest, as an ordered array."""
-    similar = more_like_this(index, item_id, k=k, boost=True)
+    """One item with its k most similar items, weighted by term interest, as an ordered array of their score
+    and display fields."""
+    similar = similar_items(index, item_id, k=k, boost=True)
+    fields = [c for c in similar.columns if c not in ("seed", "score", "id")]
     ranked = similar.groupBy("seed").agg(F.array_sort(F.collect_list(F.struct(
-        (-F.col("score")).alias("_order"), "id", "score"))).alias("_s"))
-    item = get_by_id(index.items, item_id)
-    joined = item.join(ranked.withColumnRenamed("seed", "id"), "id", "left")
-    empty = F.array().cast("array<struct<id:string,score:double>>")
-    return joined.withColumn("similar", F.coalesce(F.transform("_s", lambda s: F.struct(
-        s["id"].alias("id"), s["score"].alias("score"))), empty)).drop("_s")
+        (-F.col("score")).alias("_order"), "id", "score", F.struct(*fields).alias("_f")))).alias("_s"))
+    shown = F.transform("_s", lambda s: F.struct(
+        s["id"].alias("id"), s["score"].alias("score"), *[s["_f"][f].alias(f) for f in fields]))
+    ranked = ranked.select(F.col("seed").alias("id"), shown.alias("similar"))
+    joined = get_by_id(index.items, item_id).join(ranked, "id", "left")
+    return joined.withColumn("similar", F.coalesce(
+        "similar", F.array().cast(ranked.schema["similar"].dataType)))

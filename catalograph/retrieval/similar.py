@@ -8,10 +8,11 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
+from catalograph.operators.lists import own_rows
 from catalograph.operators.ordering import top_n_per_group
 from catalograph.retrieval.index import Index
 from catalograph.retrieval.scoring import SCORE_PLACES, idf, per_field, term_factor
-from catalograph.schema import SIMILAR_BY
+from catalograph.schema import SIMILAR_BY, SIMILAR_FIELDS
 from catalograph.session import materialize
 
 MAX_TERMS = 25
@@ -81,6 +82,20 @@ def more_like_this(index: Index, item_id: str, fields=SIMILAR_BY, k: int = 5,
     return _best(_sums(index, weighed, wanted, fields), k)
 
 
+def similar_items(index: Index, item_id: str, fields=SIMILAR_BY, k: int = 5, boost: bool = False,
+                  shown=SIMILAR_FIELDS) -> DataFrame:
+    """``more_like_this`` with the display fields of each similar item, best first.
+
+    The k ids come to the driver, and as literals they prune the read of the wide columns.
+    """
+    best = more_like_this(index, item_id, fields, k, boost).collect()
+    items = own_rows(index.items).where(F.col("id").isin([r["id"] for r in best]))
+    scored = index.spark.createDataFrame([tuple(r) for r in best], "seed string, id string, score double")
+    names = [n for n in shown if n in index.items.columns]
+    return (scored.join(items.select(*names), "id").select("seed", "score", *names)
+            .orderBy(F.col("score").desc(), F.col("id")))
+
+
 def more_like_this_batch(index: Index, seeds: DataFrame, fields=SIMILAR_BY, k: int = 5,
                          boost: bool = False, rare_items: int = RARE_ITEMS) -> DataFrame:
     """``more_like_this`` for a table of seed ids.

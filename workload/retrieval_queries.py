@@ -304,6 +304,15 @@ def _(spark, sf):
     return S.more_like_this(T.index(spark, sf), SEED, k=5, boost=True)
 
 
+@query("similar_items", f"""WITH {T.POSTINGS}, {ONE_SEED}, {_like(10)}
+    SELECT seed, score, i.id, title, year, rating, array_to_string(genres, '|') AS genres,
+      array_to_string(directors, '|') AS directors, array_to_string("cast", '|') AS "cast", plot, site
+    FROM liked JOIN items i ON i.id = liked.id""")
+def _(spark, sf):
+    found = S.similar_items(T.index(spark, sf), SEED, k=10).drop("url", "poster")
+    return found.withColumns({c: F.array_join(c, "|") for c in ("genres", "directors", "cast")})
+
+
 def _seeds(spark, sf):
     return T.table(spark, sf, "benchmark").select(F.col("item_id").cast("string").alias("id"))
 
@@ -320,10 +329,12 @@ def _(spark, sf):
 
 
 @query("get_with_similar", f"""WITH {T.POSTINGS}, {ONE_SEED}, {_like(5, 'weight / top')}
-    SELECT i.id, i.title, i.year, (SELECT string_agg(id || '=' || printf('%.3f', score), ' '
-      ORDER BY score DESC, id) FROM liked) AS similar FROM items i WHERE i.id = '{SEED}'""")
+    SELECT i.id, i.title, i.year, (SELECT string_agg(l.id || '=' || printf('%.3f', score) || '=' || o.year
+      || '=' || o.title, ' ' ORDER BY score DESC, l.id) FROM liked l JOIN items o ON o.id = l.id) AS similar
+    FROM items i WHERE i.id = '{SEED}'""")
 def _(spark, sf):
     found = get_with_similar(T.index(spark, sf), SEED)
     similar = F.transform("similar", lambda s: F.concat(
-        s["id"], F.lit("="), F.format_string("%.3f", s["score"])))
+        s["id"], F.lit("="), F.format_string("%.3f", s["score"]), F.lit("="), s["year"].cast("string"),
+        F.lit("="), s["title"]))
     return found.select("id", "title", "year", F.array_join(similar, " ").alias("similar"))
