@@ -22,11 +22,12 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from catalograph.llm.labelled import training_rows
-from catalograph.llm.tables import text_slices
+from catalograph.llm.tables import cut_at_space, text_slices
 
 WINDOW, STRIDE = 48, 32
 PIECES = (3, 4, 5, 6)         # first characters of a word that are inputs of their own
 HIDDEN, WIDTH = 8, 8          # states a direction; numbers of a word and of a character embedding
+_PART, _WINDOWS = 1 << 18, 4096  # characters read, and windows scored, at a time
 SLOT_BITS = 20                # of the table that finds a form's row
 _PRIME = np.uint64(0x9E3779B97F4A7C15 | 1)
 _INVERSE = np.uint64(pow(int(_PRIME), -1, 1 << 64))
@@ -102,6 +103,21 @@ def word_hashes(texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
     return out, counts
 
 
+def _some_at_a_time(texts: list[str]) -> Iterator[tuple[list[int], list[str]]]:
+    """Parts of about ``_PART`` characters in order, with the text each belongs to; no word is cut."""
+    owner, parts, size = [], [], 0
+    for number, text in enumerate(texts):
+        for part in cut_at_space(text, _PART):
+            owner.append(number)
+            parts.append(part)
+            size += len(part)
+            if size >= _PART:
+                yield owner, parts
+                owner, parts, size = [], [], 0
+    if parts:
+        yield owner, parts
+
+
 def windows(counts: np.ndarray, window: int = WINDOW, stride: int = STRIDE) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """Overlapping windows over texts of so many words: first word, number of words, text of each window.
 
@@ -224,12 +240,23 @@ class Network:
         return out
 
     def scores(self, texts: list[str]) -> np.ndarray:
-        """Score of each text, 0 to 1. A text without words scores as one window without evidence."""
-        hashes, counts = word_hashes(texts)
-        numbers = self.rows(hashes)
+        """Score of each text, 0 to 1. A text without words scores as one window without evidence.
+
+        Words are read and windows are scored a bounded number at a time, however long a text is.
+        """
+        numbers, counts = [], np.zeros(len(texts), np.int64)
+        for owner, parts in _some_at_a_time(texts):
+            hashes, number = word_hashes(parts)
+            numbers.append(self.rows(hashes))
+            np.add.at(counts, owner, number)
+        rows = np.concatenate(numbers) if numbers else np.zeros((0, 5), np.int32)
         first, size, text = windows(counts, self.window, self.stride)
         best = np.full(len(texts), -np.inf, np.float32)
-        np.maximum.at(best, text, self.logits(self.gates(numbers), first, size))
+        for at in range(0, len(first), _WINDOWS):
+            some = slice(at, at + _WINDOWS)
+            begin, end = int(first[at]), int((first[some] + size[some]).max())
+            logits = self.logits(self.gates(rows[begin:end]), first[some] - begin, size[some])
+            np.maximum.at(best, text[some], logits)
         best[np.isneginf(best)] = min(float(self.base[0]), -1.0)
         return 1 / (1 + np.exp(-best.astype(np.float64)))
 
@@ -319,17 +346,14 @@ def _known(columns: list[np.ndarray], owner: np.ndarray, label: np.ndarray, leas
     return forms, np.concatenate(([0], np.concatenate(odds)[places])).astype(np.float32)
 
 
-def _in_slices(texts: list[str], most: int = 1 << 18) -> tuple[np.ndarray, np.ndarray]:
+def _in_slices(texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
     """``word_hashes`` of many texts, a few at a time."""
-    parts, now, size = [], [], 0
-    for text in texts:
-        if now and size + len(text) > most:
-            parts.append(word_hashes(now))
-            now, size = [], 0
-        now.append(text)
-        size += len(text)
-    parts.append(word_hashes(now))
-    return np.concatenate([p[0] for p in parts]), np.concatenate([p[1] for p in parts])
+    found, counts = [], np.zeros(len(texts), np.int64)
+    for owner, parts in _some_at_a_time(texts):
+        hashes, number = word_hashes(parts)
+        found.append(hashes)
+        np.add.at(counts, owner, number)
+    return np.concatenate(found) if found else np.zeros((0, 5), np.uint64), counts
 
 
 def train(texts: list[str], labels: list[int], bounds: TrainingBounds = TrainingBounds(), seed: int = 8,

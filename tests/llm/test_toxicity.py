@@ -118,6 +118,14 @@ def test_scores_do_not_depend_on_the_batch(net):
     assert ((together >= 0) & (together <= 1)).all()
 
 
+def test_long_texts_are_scored_in_parts(net, monkeypatch):
+    texts = [sentence(1, 3000) + " vile " + sentence(2, 2000), "", sentence(3, 40)]
+    whole = net.scores(texts)
+    monkeypatch.setattr(T, "_PART", 300)
+    monkeypatch.setattr(T, "_WINDOWS", 7)
+    assert np.allclose(net.scores(texts), whole, atol=1e-5)
+
+
 def test_rows(spark, documents, net):
     frame = documents([(1, "a vile thing"), (1, "a vile thing"), (None, None), (3, ""), (4, sentence(1, 50000))], extra=True)
     rows = {(r.id, r.score, r.predicted) for r in T.score_toxicity(frame, net).collect()}
