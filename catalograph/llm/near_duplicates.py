@@ -15,6 +15,7 @@ to several tasks, each of bounded size, so all members of a list are compared at
 from __future__ import annotations
 
 import itertools
+import re
 from collections.abc import Iterator
 
 import numpy as np
@@ -30,13 +31,23 @@ SEED = 42
 BITS = 64
 QUADRUPLES = tuple(q for q in itertools.combinations(range(8), 4) if q[0] ^ q[1] ^ q[2] ^ q[3] == 0)
 BLOCK = 4096
-_STEP = 1 << 14  # hashes unpacked at a time
+_STEP, _PART = 1 << 14, 1 << 20  # hashes unpacked, and bytes of a text split, at a time
+_SPACE = re.compile(rb"[\x20\x09-\x0D]")
 
 
-def _hashes(text: bytes, width: int) -> np.ndarray:
-    words = text.lower().split()  # on bytes: A-Z only, and exactly the white space 0x20 and 0x09 to 0x0D
-    if not words:
-        return np.zeros(0, np.uint64)
+def _parts(text: bytes) -> Iterator[list[bytes]]:
+    """Words of a text, those of about ``_PART`` bytes at a time. On bytes, lower() changes A-Z only, and white
+    space is exactly 0x20 and 0x09 to 0x0D."""
+    start = 0
+    while start < len(text):
+        found = _SPACE.search(text, start + _PART)
+        end = found.start() if found else len(text)
+        yield text[start:end].lower().split()
+        start = end
+
+
+def _hashes(words: list[bytes], width: int) -> np.ndarray:
+    """Hashes of all shingles of ``width`` words, space-joined; of fewer words, that of the whole sequence."""
     joined = memoryview(b" ".join(words))
     ends = np.cumsum(np.fromiter(map(len, words), np.int64, len(words)) + 1) - 1
     starts = np.concatenate(([0], ends[:-1] + 1))
@@ -51,12 +62,23 @@ def _hashes(text: bytes, width: int) -> np.ndarray:
 
 def fingerprint(text: bytes, width: int = 3) -> int:
     """Bit by bit: set where more than half of the shingle hashes have it set; no word gives zero."""
-    hashes = _hashes(text, width)
-    votes = np.zeros(BITS, np.int64)
+    votes, number = np.zeros(BITS, np.int64), 0
+    words: list[bytes] = []  # not yet hashed, with the last words of what was
+    for part in _parts(text):
+        words += part
+        if len(words) >= width:
+            for hashes in _some(_hashes(words, width)):
+                votes += np.unpackbits(hashes.view(np.uint8).reshape(-1, 8), axis=1, bitorder="little").sum(0, np.int32)
+                number += len(hashes)
+            words = words[len(words) - width + 1:] if width > 1 else []
+    if words and not number:
+        return int(_hashes(words, width)[0])
+    return int.from_bytes(np.packbits(2 * votes > number, bitorder="little").tobytes(), "little")
+
+
+def _some(hashes: np.ndarray) -> Iterator[np.ndarray]:
     for at in range(0, len(hashes), _STEP):
-        part = hashes[at:at + _STEP].astype("<u8")
-        votes += np.unpackbits(part.view(np.uint8).reshape(-1, 8), axis=1, bitorder="little").sum(0, np.int32)
-    return int.from_bytes(np.packbits(2 * votes > len(hashes), bitorder="little").tobytes(), "little")
+        yield hashes[at:at + _STEP].astype("<u8")
 
 
 def fingerprint_column(text: Column, width: int = 3) -> Column:

@@ -53,6 +53,13 @@ def test_fingerprint(text):
     assert N.fingerprint((text or "").encode()) == plain_fingerprint(text)
 
 
+@pytest.mark.parametrize("part", [1, 7, 50])
+def test_fingerprint_of_parts(monkeypatch, part):
+    monkeypatch.setattr(N, "_PART", part)
+    for text in ("", " a", "one two", "a b c", " x y  z w \n v", sentence(4, 500)):
+        assert N.fingerprint(text.encode()) == plain_fingerprint(text)
+
+
 def test_hash_is_that_of_spark(spark):
     from pyspark.sql import functions as F
     row = spark.createDataFrame([("one two three",)], "t string").select(F.xxhash64("t")).first()
