@@ -203,9 +203,9 @@ def compare_edited(docs: DataFrame, task_bytes: int = 32 << 20, id_col: str = "d
     if not total["n"]:
         return spark.createDataFrame([], _EDITED)
     tasks = max(1, min(total["n"], -(-(total["bytes"] or 0) // task_bytes)))
-    borders = []
+    borders, ranges = [], 8 * tasks  # several ranges a task even out what hashing deals to the tasks
     if tasks > 1:
-        shares = [i / tasks for i in range(1, tasks)]
+        shares = [i / ranges for i in range(1, ranges)]
         borders = sorted(set(rows.agg(F.percentile_approx("key", shares, 10_000)).first()[0]))
     dest = F.size(F.filter(F.array(*[F.lit(b).cast("long") for b in borders]), lambda b: b <= F.col("key"))) if borders else F.lit(0)
     rows = rows.withColumn("own", dest)
