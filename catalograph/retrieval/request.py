@@ -19,6 +19,7 @@ from catalograph.retrieval.similar import similar_items
 from catalograph.schema import PAGE_SIZE, SEARCH_FIELDS
 
 MATCH_ALL = "*:*"
+LARGEST_PAGE = 1_000   # a page's ids come to the driver; larger results are read from ``matched``
 
 
 @dataclass(frozen=True)
@@ -30,6 +31,10 @@ class SearchRequest:
     size: int = PAGE_SIZE
     facets: tuple[str, ...] = ("genres", "year")
 
+    def __post_init__(self):
+        if self.page < 1 or not 0 <= self.size <= LARGEST_PAGE:
+            raise ValueError(f"pages count from 1 and hold at most {LARGEST_PAGE} items")
+
     @classmethod
     def from_form(cls, q: str = "", genres=(), year_min: str = "", year_max: str = "",
                   rating_min: str = "", sort: str = "", page: int = 1) -> SearchRequest:
