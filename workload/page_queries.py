@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from catalograph.functions import markup as M
 from catalograph.functions.markup import PageRules, Sel
 from catalograph.operators import pages as H
+from catalograph.plans.reviews import collect_reviews
 from workload import tables as T
 from workload.registry import query
 
@@ -256,3 +257,31 @@ def _(spark, sf):
         F.when(F.col("page_id") % 2 == 0, F.concat(F.lit("teaser "), key)).otherwise("").alias("summary"))
     made = H.review_documents(listing, H.page_details(pages, RULES))
     return made.withColumns({c: F.array_join(c, "|") for c in ("genres", "directors", "cast")})
+
+
+_LI = _clean(_text("regexp_extract(page, '(?is)<li>(.*?)</li>', 1)"))
+
+
+@query("collect_reviews", f"""WITH {PAGES}, {NAV_TEXTS}, {GENRES}, {CREDITS}, {DETAILS}, {LINKS},
+    stored AS (SELECT link AS url, max(page_id) AS stored_id FROM listed WHERE place = 0 GROUP BY link),
+    links AS (SELECT * FROM (SELECT link AS url, CASE WHEN title = '' THEN 'Untitled Review' ELSE title END AS title,
+        coalesce(try_cast(nullif(regexp_extract(title, '(?:19|20)[0-9]{{2}}', 0), '') AS INTEGER),
+          try_cast(nullif(regexp_extract({_LI}, '(?:19|20)[0-9]{{2}}', 0), '') AS INTEGER)) AS year,
+        {_LI} AS summary, row_number() OVER (PARTITION BY link ORDER BY page_id, place) AS rn
+      FROM listed JOIN prepared USING (page_id) WHERE place < 50) WHERE rn = 1),
+    docs AS (SELECT d.* EXCLUDE (url, rating_value), l.url, l.summary, coalesce(nullif(item_title, ''), l.title) AS title,
+      coalesce(nullif(item_year, 0), nullif(l.year, 0), 0) AS year, (stored_id % 8)::DOUBLE / 2 AS rating_value
+      FROM links l JOIN stored USING (url) JOIN details d ON d.page_id = stored_id)
+    SELECT 'rogerebert_' || substr(md5(title || '_' || year || '_rogerebert'), 1, 12) AS id, title, year,
+      'rogerebert' AS site, url, round_even(rating_value / 4 * 10, 1) AS rating, item_genres AS genres,
+      item_directors AS directors, item_cast AS "cast", coalesce(nullif(summary, ''), review_text) AS plot,
+      review_text AS reviews, cast(NULL AS INTEGER) AS num_reviews, nullif(critic, '') AS critic, review_date,
+      rating_value, 4.0::DOUBLE AS rating_scale, summary FROM docs""")
+def _(spark, sf):
+    """Every page is a listing; the first link of a page is where that page, with a rating, was stored."""
+    pages = _pages(spark, sf)
+    first = H.page_links(pages, RULES).where("place = 0").select("page_id", F.col("url").alias("stored_at"))
+    rating = F.concat(F.lit('<meta charset="utf-8" content="'), (F.col("page_id") % 8 / 2).cast("string"), F.lit('">'))
+    reviews = pages.join(first, "page_id").select("page_id", F.col("stored_at").alias("url"), F.concat(rating, "html").alias("html"))
+    made = collect_reviews(pages, reviews, RULES)
+    return made.withColumns({c: F.array_join(c, "|") for c in ("genres", "directors", "cast")})
