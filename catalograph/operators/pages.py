@@ -53,7 +53,10 @@ def page_links(pages: DataFrame, rules: PageRules) -> DataFrame:
     found = found.withColumn("found", _first_by_url(F.col("found"), rules.links_per_page))
     told = F.transform("found", lambda e: F.struct(
         e["url"].alias("url"), e["title"].alias("title"), teaser(e).alias("summary")))
-    listed = found.select("page_id", told.alias("found")).select("page_id", F.posexplode("found"))
+    # The outer form: from the inner one Spark infers a filter on the list's size, which evaluates the whole
+    # extraction a second time below the scan's repartitioning.
+    listed = (found.select("page_id", told.alias("found")).select("page_id", F.posexplode_outer("found"))
+              .where(F.col("col").isNotNull()))
     return listed.select(
         "page_id", F.col("pos").alias("place"), "col.url", "col.title",
         falsy_fallback(extract_year("col.title"), extract_year("col.summary"),
