@@ -1,9 +1,9 @@
 """Document fingerprints by SimHash, and all fingerprints within a Hamming radius.
 
 Every word votes with a weight that grows with its length, every pair of neighbouring words with weight one. A
-term's hash chooses a row of fixed signs and whether the row is turned; the row's 128 signs are the term's votes,
-and a bit of the fingerprint is 1 where the votes sum to more than zero. Votes add up, so a text of any length is
-read in parts.
+term has a hash of 128 bits of its own (two 64-bit mixes) and votes for each bit's value; a bit of the fingerprint
+is 1 where the votes sum to more than zero. Weights are counted by the value of each hash byte, which gives
+the sums of the bits at the end. Counts add up, so a text of any length is read in parts.
 
 Fingerprints within radius r of each other agree on at least one of r + 1 blocks of bits. Each table permutes
 one block to the front as its key, so the pairs of a table share a key; a pair counts in the first table
@@ -24,7 +24,8 @@ from pyspark.sql import functions as F
 
 from catalograph.llm.tables import cut_at_space, text_slices, written
 
-BITS, ROWS = 128, 2048
+BITS, BYTES = 128, 16
+ROWS = BYTES * 256  # one for each value of each hash byte
 RADIUS, TABLES = 3, 4
 BLOCK = 4096
 _PART = 1 << 20  # characters whose votes are counted at a time
@@ -35,9 +36,10 @@ _fixed: dict[str, np.ndarray] = {}
 
 
 def _signs() -> np.ndarray:
+    """Votes of each value of each hash byte, (ROWS, BITS); a byte votes for its own 8 bits only."""
     if "signs" not in _fixed:
-        raw = hashlib.shake_256(b"signs of the rows").digest(ROWS * BITS // 8)
-        _fixed["signs"] = np.unpackbits(np.frombuffer(raw, np.uint8)).reshape(ROWS, BITS).astype(np.float32) * 2 - 1
+        bits = np.unpackbits(np.arange(256, dtype=np.uint8)[:, None], axis=1) * 2.0 - 1
+        _fixed["signs"] = np.kron(np.eye(BYTES), bits)
     return _fixed["signs"]
 
 
@@ -81,10 +83,11 @@ def _votes(parts: list[str], owner: list[int], rows: np.ndarray) -> None:
     together = part[1:] == part[:-1]
     pair = _mixed(word[:-1] * np.uint64(3) + (word[1:] ^ np.uint64(0x5851F42D4C957F2D)))[together]
     for term, at, weight in ((word, whose, np.minimum(ends - starts, 10) * 0.05), (pair, whose[:-1][together], None)):
-        row = (term >> np.uint64(53)).astype(np.int64)  # 11 bits: one of ROWS
-        turned = 1.0 - 2.0 * (term & np.uint64(1)).astype(np.float64)
-        cell = at * ROWS + row
-        rows += np.bincount(cell, turned if weight is None else turned * weight, rows.size).reshape(rows.shape)
+        values = rows.reshape(len(rows), BYTES, 256)
+        for number, half in enumerate((term, _mixed(term + _PRIME))):
+            for byte in range(8):
+                cell = at * 256 + (half >> np.uint64(56 - 8 * byte) & np.uint64(255)).astype(np.int64)
+                values[:, 8 * number + byte] += np.bincount(cell, weight, len(rows) * 256).reshape(-1, 256)
 
 
 def fingerprints(texts: list[str]) -> np.ndarray:
@@ -105,7 +108,8 @@ def fingerprints(texts: list[str]) -> np.ndarray:
         if parts:
             _votes(parts, owner, rows)
         # weights are multiples of 1/20: whole numbers add up exactly, so the sums do not depend on the order
-        out[at:at + 64] = np.packbits((np.rint(rows * 20).astype(np.float32) @ _signs()) > 0.5, axis=1)
+        votes = np.rint(rows * 20).reshape(len(some), BYTES, 256) @ _signs()[:256, :8]
+        out[at:at + 64] = np.packbits(votes.reshape(len(some), BITS) > 0.5, axis=1)
     return out
 
 

@@ -34,6 +34,17 @@ def test_votes_are_those_of_the_terms(monkeypatch):
     assert (np.unpackbits(S.fingerprints([text])[0]) == (votes > 1e-9)).all()
 
 
+def test_short_texts_have_fingerprints_of_their_own():
+    texts = [f"w{i}" for i in range(10_000)] + [f"first{i} second{i}" for i in range(10_000)]
+    prints = S.fingerprints(texts)
+    assert len(set(map(bytes, prints))) == len(texts)
+    # unrelated texts are far apart, and every bit is used
+    far = S.likeness(prints, np.roll(prints, 1, 0))
+    assert 0.2 < far.min() and far.max() < 0.8 and 0.49 < far.mean() < 0.51
+    share = np.unpackbits(prints, axis=1).mean(0)
+    assert 0.47 < share.min() and share.max() < 0.53
+
+
 def test_equal_texts_and_batches():
     texts = [sentence(i, 3 + 40 * i) for i in range(20)] + ["", " .. ", sentence(3, 123), "ONE two", "one, TWO"]
     whole = S.fingerprints(texts)
