@@ -5,10 +5,13 @@ term has a hash of 128 bits of its own (two 64-bit mixes) and votes for each bit
 is 1 where the votes sum to more than zero. Weights are counted by the value of each hash byte, which gives
 the sums of the bits at the end. Counts add up, so a text of any length is read in parts.
 
-Fingerprints within radius r of each other agree on at least one of r + 1 blocks of bits. Each table permutes
-one block to the front as its key, so the pairs of a table share a key; a pair counts in the first table
-that finds it only. Only distinct fingerprints enter the tables, and a list of one key gives counts,
-one row per member, not pairs. Lists longer than ``block`` are dealt as pairs of blocks to several tasks.
+Fingerprints within radius r of each other agree on the key of at least one table. Up to radius 3 a key is one of
+r + 1 blocks of bits. Above that the bits are dealt to groups that tolerate 2 differing bits each (7 blocks, a
+key for each line of the Fano plane, the 4 blocks off the line: the line through the blocks that differ is spared), and
+one that tolerates the rest; not every group can exceed what it tolerates, as that takes r + 1 bits. Pairs of a
+table share a key; a pair counts in the first table that finds it only. Only distinct fingerprints enter the
+tables, and a list of one key gives counts, one row per member, not pairs. Keys with more than ``block`` members, as
+estimated from a share of the fingerprints, are dealt as pairs of blocks to several tasks.
 """
 
 from __future__ import annotations
@@ -26,7 +29,9 @@ from catalograph.llm.tables import cut_at_space, text_slices, written
 
 BITS, BYTES = 128, 16
 ROWS = BYTES * 256  # one for each value of each hash byte
-RADIUS, TABLES = 3, 4
+RADIUS = 3   # near_counts by itself: copies and all but copies
+EDITED = 13  # lightly edited texts: holds 9 of 10 texts of sf0.1 with three words replaced
+MOST = 20    # above that keys have too few bits to part unrelated texts
 BLOCK = 4096
 _PART = 1 << 20  # characters whose votes are counted at a time
 _PRIME = np.uint64(0x9E3779B97F4A7C15)
@@ -229,7 +234,32 @@ def compare_edited(docs: DataFrame, task_bytes: int = 32 << 20, id_col: str = "d
 
 # ---------------------------------------------------------------- permuted block tables
 
+_LINES = ((0, 1, 2), (0, 3, 4), (0, 5, 6), (1, 3, 5), (1, 4, 6), (2, 3, 6), (2, 4, 5))  # any two points are on one
+
+
+def key_masks(radius: int) -> list[tuple[int, int]]:
+    """Bits of the two words that are the key of each table, so that a pair within ``radius`` shares a key."""
+    if radius < 4:
+        groups = [(1, [{0}])] * (radius + 1)  # blocks, and the blocks of each key
+    else:
+        off = [set(range(7)) - set(line) for line in _LINES]
+        rest = {0: [], 1: [(1, [{0}])], 2: [(3, [{0, 1}, {0, 2}, {1, 2}])]}
+        groups = [(7, off)] * ((radius + 1) // 3) + rest[(radius + 1) % 3]
+    # keys of about one length in all groups
+    weights = [blocks / len(keys[0]) for blocks, keys in groups]
+    edges = np.rint(np.cumsum([0, *weights]) / sum(weights) * BITS).astype(int).tolist()
+    out = []
+    for (blocks, keys), start, end in zip(groups, edges, edges[1:]):
+        inner = np.rint(np.linspace(start, end, blocks + 1)).astype(int).tolist()
+        for key in keys:
+            mask = sum(1 << (BITS - 1 - bit) for block in key for bit in range(inner[block], inner[block + 1]))
+            out.append((mask >> 64, mask & (1 << 64) - 1))
+    return out
+
+
 def _near(radius: int):
+    masks = np.array(key_masks(radius), np.uint64)
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held = None
         for batch in itertools.chain(batches, (None,)):
@@ -238,60 +268,71 @@ def _near(radius: int):
                     return
                 rows, last = held, True
             else:
-                now = np.stack([batch.column(i).to_numpy(zero_copy_only=False).astype(np.int64) for i in range(8)])
+                now = np.stack([batch.column(i).to_numpy(zero_copy_only=False).astype(np.int64) for i in range(6)])
                 rows, last = (now if held is None else np.concatenate((held, now), axis=1)), False
             if not rows.shape[1]:
                 continue
-            starts = np.concatenate(([0], np.flatnonzero((rows[:4, 1:] != rows[:4, :-1]).any(0)) + 1))
+            starts = np.concatenate(([0], np.flatnonzero((rows[:2, 1:] != rows[:2, :-1]).any(0)) + 1))
             if not last:
                 held, rows, starts = rows[:, starts[-1]:], rows[:, :starts[-1]], starts[:-1]
-            found = np.zeros(rows.shape[1], np.int64)
-            for a, b in zip(starts.tolist(), [*starts[1:].tolist(), rows.shape[1]]):
-                found[a:b] = _counts(rows[:, a:b], radius)
+            found = _counts(rows, np.diff(np.append(starts, rows.shape[1])), masks, radius)
             some = found > 0
-            yield pa.RecordBatch.from_arrays([pa.array(rows[5][some]), pa.array(rows[6][some]), pa.array(found[some])],
+            yield pa.RecordBatch.from_arrays([pa.array(rows[3][some]), pa.array(rows[4][some]), pa.array(found[some])],
                                              ["high", "low", "near"])
 
     return run
 
 
-def _counts(group: np.ndarray, radius: int) -> np.ndarray:
-    """Rows of a group: table, key, a, b, block, high, low, n. Documents near each member, found first by this table."""
-    table, a, b = group[0, 0], group[2, 0], group[3, 0]
-    block, high, low, n = group[4], group[5].view(np.uint64), group[6].view(np.uint64), group[7]
-    out = np.zeros(group.shape[1], np.int64)
-    for i in range(group.shape[1]):
-        # of a pair of blocks the pairs across them, of one block all its pairs
-        other = block != block[i] if a != b else np.ones(len(n), bool)
-        other[i] = False
-        if not other.any():
+def _counts(rows: np.ndarray, sizes: np.ndarray, masks: np.ndarray, radius: int) -> np.ndarray:
+    """Rows list, blocks, second, high, low, n of groups of so many rows. Documents near each row, found first here."""
+    table, dealt, second = rows[0] >> 32, rows[1] > 0, rows[2]
+    high, low, n = rows[3].view(np.uint64), rows[4].view(np.uint64), rows[5]
+    out = np.zeros(rows.shape[1], np.int64)
+    after = np.repeat(np.cumsum(sizes), sizes) - np.arange(rows.shape[1]) - 1  # rows of the group after each
+    first, apart = np.arange(rows.shape[1]), 0
+    while True:  # each row with the one so far after it, for all groups at once
+        apart += 1
+        first = first[after[first] >= apart]
+        if not len(first):
+            return out
+        other = first + apart
+        x, y = high[first] ^ high[other], low[first] ^ low[other]
+        near = np.flatnonzero(np.bitwise_count(x) + np.bitwise_count(y) <= radius)
+        if not len(near):
             continue
-        x, y = high[other] ^ high[i], low[other] ^ low[i]
-        near = np.bitwise_count(x) + np.bitwise_count(y) <= radius
-        for earlier in range(table):
-            word = (x, y)[earlier // 2]
-            near &= (word >> np.uint64(32 * (1 - earlier % 2))) & np.uint64(0xFFFFFFFF) != 0
-        out[i] = n[other][near].sum()
-    return out
+        a, b, x, y = first[near], other[near], x[near], y[near]
+        # of a pair of blocks the pairs across them, of one block all its pairs; lists of one hash may mix keys
+        own = masks[table[a]]
+        good = (~dealt[a] | (second[a] != second[b])) & ((x & own[:, 0] | y & own[:, 1]) == 0)
+        for earlier, (left, right) in enumerate(masks):
+            good &= (table[a] <= earlier) | ((x & left | y & right) != 0)
+        a, b = a[good], b[good]
+        out[a] += n[b]
+        out[b] += n[a]
 
 
 def near_counts(prints: DataFrame, radius: int = RADIUS, block: int = BLOCK) -> DataFrame:
     """``(high, low, n, near)`` per distinct fingerprint of ``prints(high, low)``: rows that have it, and rows with
-    another fingerprint at ``radius`` or fewer differing bits."""
-    if not 0 <= radius < TABLES:
-        raise ValueError("four blocks guarantee a common one up to radius 3")
+    another fingerprint at ``radius`` or fewer differing bits. No pair within the radius is missed."""
+    if not 0 <= radius <= MOST:
+        raise ValueError(f"keys of tables are long enough up to radius {MOST}")
     classes = written(prints.groupBy("high", "low").agg(F.count("*").alias("n")), "classes")
-    words = [F.shiftrightunsigned("high", 32), F.col("high").bitwiseAND(F.lit(0xFFFFFFFF)),
-             F.shiftrightunsigned("low", 32), F.col("low").bitwiseAND(F.lit(0xFFFFFFFF))]
-    lists = F.array(*[F.struct(F.lit(t).alias("table"), w.alias("key")) for t, w in enumerate(words)])
-    posted = classes.select("high", "low", "n", F.explode(lists).alias("l")).select("l.table", "l.key", "high", "low", "n")
-    sizes = (posted.groupBy("table", "key").agg(F.count("*").alias("members")).where("members > 1")
-             .select("table", "key", F.ceil(F.col("members") / block).alias("blocks")))
-    dealt = (posted.join(sizes, ["table", "key"]).withColumn("block", F.pmod(F.xxhash64("high", "low"), F.col("blocks")))
-             .withColumn("other", F.explode(F.sequence(F.lit(0).cast("long"), F.col("blocks") - 1)))
-             .select("table", "key", F.least("block", "other").alias("a"), F.greatest("block", "other").alias("b"), "block", "high", "low", "n"))
-    keys = ("table", "key", "a", "b")
-    found = dealt.repartition(*keys).sortWithinPartitions(*keys).mapInArrow(_near(radius), "high long, low long, near long")
+    signed = [[v - (1 << 64) if v >> 63 else v for v in mask] for mask in key_masks(radius)]
+    lists = [F.lit(t << 32).cast("long") + F.xxhash64(F.col("high").bitwiseAND(F.lit(left).cast("long")), F.col("low").bitwiseAND(F.lit(right).cast("long")))
+             .bitwiseAND(F.lit(0xFFFFFFFF).cast("long")) for t, (left, right) in enumerate(signed)]
+    posted = classes.select("high", "low", "n", F.explode(F.array(*lists)).alias("list"))
+    # The share only decides how lists are dealt. At most about one key in ``block`` / 2 postings is long.
+    share = max(1, block // 64)
+    known = posted.where(F.pmod(F.xxhash64("low", "high"), F.lit(share)) == 0).groupBy("list").agg((F.count("*") * share).alias("members"))
+    long = written(known.where(F.col("members") > block).select(F.col("list").alias("long_list"), F.ceil(F.col("members") / block).alias("blocks")), "long-lists")
+    dealt = (posted.join(F.broadcast(long), F.col("list") == F.col("long_list"), "left").withColumn("blocks", F.coalesce("blocks", F.lit(1)))
+             .withColumn("block", F.pmod(F.xxhash64("high", "low"), F.col("blocks")))
+             .withColumn("other", F.explode(F.sequence(F.lit(0).cast("long"), F.col("blocks") - 1))))
+    a, b = F.least("block", "other"), F.greatest("block", "other")
+    # a block by itself is 0 or negative, a pair of blocks positive
+    dealt = dealt.select("list", F.when(a == b, -a).otherwise(F.shiftleft(a, 24) + b).alias("blocks"),
+                         (F.col("block") == b).cast("long").alias("second"), "high", "low", "n")
+    found = dealt.repartition("list", "blocks").sortWithinPartitions("list", "blocks").mapInArrow(_near(radius), "high long, low long, near long")
     near = found.groupBy("high", "low").agg(F.sum("near").alias("near"))
     return classes.join(near, ["high", "low"], "left").select("high", "low", "n", F.coalesce("near", F.lit(0)).alias("near"))
 

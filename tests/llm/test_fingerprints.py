@@ -123,3 +123,50 @@ def test_all_within_the_radius_are_counted(spark, block):
     frame = spark.createDataFrame([(i, signed(v >> 64), signed(v & 2**64 - 1)) for i, v in enumerate(values)], "id int, high long, low long")
     got = {r.id: r.n_near for r in S.with_near(frame, block=block).collect()}
     assert got == {i: sum(bin(v ^ w).count("1") <= 3 for w in values) - 1 for i, v in enumerate(values)}
+
+
+@pytest.mark.parametrize("radius", [0, 2, 3, 4, 5, 11, 12, 13, 20])
+def test_keys_are_shared_within_the_radius(radius):
+    masks = [left << 64 | right for left, right in S.key_masks(radius)]
+    assert min(bin(m).count("1") for m in masks) >= 10
+    rng = random.Random(radius)
+    for number in range(3000):
+        if number % 2:  # bits crowded into few places are the hard case
+            pool = [rng.randrange(128) // 8 * 8 + k for k in range(8) for _ in range(3)]
+        else:
+            pool = range(128)
+        flipped = sum(1 << p for p in set(rng.sample(pool, min(radius, len(pool)))))
+        assert any(flipped & m == 0 for m in masks)
+
+
+@pytest.mark.parametrize("block", [3, 4096])
+def test_all_within_the_radius_of_edited_texts(spark, block):
+    rng = random.Random(16)
+    values = []
+    for _ in range(8):
+        at = rng.getrandbits(128)
+        for _ in range(14):
+            values.append(at)
+            for p in rng.sample(range(128), rng.choice((0, 1, 4, 9, 13, 14))):
+                at ^= 1 << p
+    signed = lambda v: (v + 2**63) % 2**64 - 2**63
+    frame = spark.createDataFrame([(i, signed(v >> 64), signed(v & 2**64 - 1)) for i, v in enumerate(values)], "id int, high long, low long")
+    got = {r.id: r.n_near for r in S.with_near(frame, S.EDITED, block).collect()}
+    assert got == {i: sum(bin(v ^ w).count("1") <= S.EDITED for w in values) - 1 for i, v in enumerate(values)}
+
+
+def test_lightly_edited_copies_are_counted(spark, tmp_path):
+    from catalograph.llm.fingerprint_queries import op9_fingerprints
+
+    rng = random.Random(26)
+    words = [f"w{i}" for i in range(3000)]
+    given = []
+    for number in range(60):
+        text = [rng.choice(words) for _ in range(340)]
+        given.append((2 * number, " ".join(text)))
+        for place in rng.sample(range(340), 1 + number % 3):
+            text[place] = rng.choice(words)
+        given.append((2 * number + 1, " ".join(text)))
+    spark.createDataFrame(given, "doc_id long, text string").write.parquet(str(tmp_path / "documents.parquet"))
+    near = [r.n_near for r in op9_fingerprints(spark, str(tmp_path)).collect()]
+    assert len(near) == 120 and max(near) == 1 and sum(near) >= 0.9 * 120
