@@ -96,6 +96,19 @@ def card(key: bytes, text: str, step: int) -> str | None:
     return _refill(text, body + luhn_digit(body))
 
 
+def spaced_card(key: bytes, text: str, step: int) -> str | None:
+    """A card, or the card before a last group that is not part of it.
+
+    Pseudonyms that make a card with that group are passed over, so the same digits are found again.
+    """
+    if (new := card(key, text, step)) or text.count(" ") < 4:
+        return new
+    new, rest = text.rsplit(" ", 1)
+    while (new := card(key, new, step)) and card(key, f"{new} {rest}", step):
+        pass
+    return new
+
+
 def phone(key: bytes, text: str, step: int) -> str | None:
     """A country code after +, then 7 to 12 digits in groups (10 after +1); the code stays. Groups that follow
     a whole number are not part of it."""
@@ -170,11 +183,28 @@ def date(key: bytes, text: str, step: int) -> str | None:
     return None
 
 
+_IBAN_SIZES = dict(pair.split(":") for pair in (
+    "AD:24 AE:23 AL:28 AT:20 AZ:28 BA:20 BE:16 BG:22 BH:22 BI:27 BR:29 BY:28 CH:21 CR:22 CY:28 CZ:24 DE:22 DJ:27 DK:18 "
+    "DO:28 EE:20 EG:29 ES:24 FI:18 FK:18 FO:18 FR:27 GB:22 GE:22 GI:23 GL:18 GR:27 GT:28 HN:28 HR:21 HU:28 IE:22 IL:23 "
+    "IQ:23 IS:26 IT:27 JO:30 KW:30 KZ:20 LB:28 LC:32 LI:21 LT:20 LU:20 LV:21 LY:25 MC:27 MD:24 ME:22 MK:19 MN:20 MR:27 "
+    "MT:31 MU:30 NI:28 NL:18 NO:15 OM:23 PK:24 PL:28 PS:29 PT:25 QA:29 RO:24 RS:22 RU:33 SA:24 SC:31 SD:18 SE:24 SI:19 "
+    "SK:24 SM:27 SO:23 ST:25 SV:28 TL:23 TN:24 TR:26 UA:29 VA:22 VG:24 XK:20 YE:30").split())
+_IBAN_SIZES = {country: int(size) for country, size in _IBAN_SIZES.items()}
+
+
 def iban(key: bytes, text: str, step: int) -> str | None:
-    """Two letters, two check digits, 11 to 30 letters or digits, valid modulo 97; the check digits are computed."""
+    """Two letters, two check digits, 11 to 30 letters or digits, valid modulo 97; the check digits are computed.
+
+    Of a longer text the value of the country's length is taken if a space follows it.
+    """
     def check(country: str, body: str) -> str:
         return f"{98 - int(''.join(str(int(c, 36)) for c in body + country + '00')) % 97:02d}"
     plain = text.replace(" ", "")
+    if (size := _IBAN_SIZES.get(text[:2], len(plain))) < len(plain):
+        # the pattern took in what follows a value of this country
+        ends = [m.end() for m in re.finditer("[A-Z0-9]", text)]
+        end = ends[size - 1]
+        return iban(key, text[:end], step) if text[end] == " " else None
     country, body = plain[:2], plain[4:]
     if not 11 <= len(body) <= 30 or check(country, body) != plain[2:4]:
         return None
@@ -207,7 +237,8 @@ def _letters(key: bytes, tweak: str, text: str, step: int) -> str:
 def mail(key: bytes, text: str, step: int) -> str | None:
     """The local part moves; the domain is kept."""
     local, domain = text.rsplit("@", 1)
-    moved = _letters(key, "mail@" + domain.lower(), local, step)
+    moved = "".join(_letters(key, "mail@" + domain.lower() + (f"@{at}" if at else ""), local[at:at + 64], step)
+                    for at in range(0, len(local), 64))
     return None if moved == local else f"{moved}@{domain}"
 
 
@@ -227,9 +258,9 @@ _FOUND = re.compile(
     r"|(?P<date>(?<![\w./-])(?:\d{4}([-/.])\d{2}\4\d{2}|\d{2}([-/.])\d{2}\5\d{4})(?![\w/-]|\.\d))"
     r"|(?P<phone>(?<![\w+])\+\d{1,3}(?:[ .-]?\(\d{1,4}\)|[ .-]?\d{1,4})(?:[ .-]?\d{2,4}){1,4}(?!\w))"
     r"|(?P<local_phone>(?<![\w(-])(?:\(\d{3}\) ?\d{3}-\d{4}|\d{3}-\d{3}-\d{4}|\d{3}\.\d{3}\.\d{4})(?![\w-]))"
-    r"|(?P<card>(?<![\w-])(?:\d{4}([ -])\d{4}\9\d{4}\9\d{1,7}|\d{4}([ -])\d{6}\10\d{5}|\d{13,19})(?![\w-]))", re.ASCII)
+    r"|(?P<card>(?<![\w-])(?:\d{4}([ -])\d{4}\9\d{4}\9(?:\d{4}\9\d{1,3}|\d{1,7})|\d{4}([ -])\d{6}\10\d{5}|\d{13,19})(?![\w-]))", re.ASCII)
 _IBAN = re.compile(r"\b[A-Z]{2}\d{2}(?: ?[A-Z0-9]{4}){2,7}(?: ?[A-Z0-9]{1,3})?\b", re.ASCII)
-_LOCAL = re.compile(r"[A-Za-z0-9._%+-]+\Z", re.ASCII)
+_LOCAL = frozenset("ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789._%+-")
 _DOMAIN = re.compile(r"[A-Za-z0-9](?:[A-Za-z0-9-]*[A-Za-z0-9])?(?:\.[A-Za-z0-9](?:[A-Za-z0-9-]*[A-Za-z0-9])?)+", re.ASCII)
 _SECRET = re.compile(
     r"(?P<named>(?<![A-Za-z])(?i:token|secret|passwd|password|api[_-]?key|access[_-]?key|auth)[\"']?\s{0,3}[:=]\s{0,3}[\"']?)"
@@ -237,7 +268,7 @@ _SECRET = re.compile(
     r"|(?<![A-Za-z0-9_])(?P<known>(?:AKIA|ASIA)[A-Z0-9]{16}|gh[pousr]_[A-Za-z0-9]{36}|sk-[A-Za-z0-9]{20,64}|AIza[A-Za-z0-9_-]{35})"
     r"(?![A-Za-z0-9_])", re.ASCII)
 _NUMBERS: dict[str, Callable] = {"address": address, "social": social, "date": date, "phone": phone,
-                                 "local_phone": local_phone, "card": card}
+                                 "local_phone": local_phone, "card": spaced_card}
 _HINTS = ("oken", "OKEN", "ecret", "ECRET", "assw", "ASSW", "ey", "EY", "uth", "UTH", "AKIA", "ASIA", "gh", "sk-", "AIza")
 _DIGIT = re.compile("[0-9]")
 
@@ -257,9 +288,11 @@ def pseudonymise(text: str, key: bytes, step: int = 1) -> tuple[str, int]:
     at = text.find("@")
     while at >= 0:
         domain = _DOMAIN.match(text, at + 1)
-        local = _LOCAL.search(text, max(0, at - 64), at) if domain else None
-        if local and (new := mail(key, text[local.start():domain.end()], step)):
-            spans.append((local.start(), domain.end(), new))
+        start = at
+        while domain and start and text[start - 1] in _LOCAL:
+            start -= 1
+        if start < at and (new := mail(key, text[start:domain.end()], step)):
+            spans.append((start, domain.end(), new))
         at = text.find("@", at + 1)
     if _DIGIT.search(text):
         if any(hint in text for hint in _HINTS):
@@ -274,9 +307,12 @@ def pseudonymise(text: str, key: bytes, step: int = 1) -> tuple[str, int]:
             if new:  # as long as what it replaces
                 spans.append((m.start(), m.start() + len(new), new))
             m = _FOUND.search(text, m.start() + (len(new) if new else 1))
-        for m in _IBAN.finditer(text):
-            if new := iban(key, m[0], step):
-                spans.append((m.start(), m.end(), new))
+        m = _IBAN.search(text)
+        while m:
+            new = iban(key, m[0], step)
+            if new:
+                spans.append((m.start(), m.start() + len(new), new))
+            m = _IBAN.search(text, m.start() + (len(new) if new else 1))
     # where two values overlap the one that starts first counts, the longer of two that start together
     spans.sort(key=lambda s: (s[0], -s[1]))
     kept: list[tuple[int, int, str]] = []

@@ -102,3 +102,20 @@ def test_rows(documents):
     assert {(r.doc_id, r.text, r.n_chars) for r in kept.collect()} == \
         {(i, None if t is None else P.pseudonymise(t, KEY)[0], None if t is None else len(t)) for i, t in given}
     assert P.pseudonymised(documents([]), KEY).collect() == [] and P.with_pseudonyms(documents([]), KEY).collect() == []
+
+
+@pytest.mark.parametrize("value,rest", [
+    ("ES9121000418450200051332", " 2024 PAID"), ("ES91 2100 0418 4502 0005 1332", " 2024 PAID"), ("DE89370400440532013000", " DUE"),
+    ("NO9386011117947", " AB12 34"), ("ES9121000418450200051332", " DE89370400440532013000"), ("4111 1111 1111 1111", " 123 apples"),
+    ("4111 1111 1111 1111 110", " apples"), ("4111-1111-1111-1111-110", ""), ("x." * 40 + "y1@mail.example.com", " z")])
+def test_values_before_or_of_more_groups(value, rest):
+    for key in (KEY, b"other key", *(b"key %d" % k for k in range(20))):
+        text = f"to {value}{rest}"
+        new, number = P.pseudonymise(text, key)
+        assert number == 1 + rest.startswith(" DE89") and len(new) == len(text)
+        moved = new[3:3 + len(value)]
+        assert moved != value and (new.endswith(rest) or number == 2) and P.pseudonymise(new, key, -1) == (text, number)
+        if "@" in value:  # the beginning of a long local part moves as well
+            assert moved[:16] != value[:16] and moved.endswith("@mail.example.com")
+        elif value[0] == "4":
+            assert valid_card("".join(c for c in moved if c.isdigit()))
