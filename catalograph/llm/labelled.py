@@ -8,6 +8,18 @@ from pyspark.sql import functions as F
 from catalograph.llm.tables import held_out
 
 
+def known_labels(labels: DataFrame, label_col: str, id_col: str = "doc_id") -> DataFrame:
+    """``(i, y)``: the largest 0/1 label of each id outside the held-out fold."""
+    return (labels.select(F.col(id_col).alias("i"), F.col(label_col).cast("int").alias("y"))
+            .where(F.col("i").isNotNull() & F.col("y").isin(0, 1) & ~held_out(F.col("i")))
+            .groupBy("i").agg(F.max("y").alias("y")))
+
+
+def share_of_ones(labels: DataFrame, label_col: str, id_col: str = "doc_id") -> float | None:
+    """Share of label 1 among all ``known_labels``, None without any."""
+    return known_labels(labels, label_col, id_col).agg(F.avg("y")).first()[0]
+
+
 def training_rows(docs: DataFrame, labels: DataFrame, label_col: str, ones: int, zeros: int, chars: int,
                   id_col: str = "doc_id", text_col: str = "text") -> tuple[list[str], list[int]]:
     """Texts and 0/1 labels of up to ``ones`` and ``zeros`` labelled rows outside the held-out fold.
@@ -16,9 +28,7 @@ def training_rows(docs: DataFrame, labels: DataFrame, label_col: str, ones: int,
     read. Rows without id, text or label do not take part; an id labelled more than once has its largest label,
     repeated documents count once.
     """
-    known = (labels.select(F.col(id_col).alias("i"), F.col(label_col).cast("int").alias("y"))
-             .where(F.col("i").isNotNull() & F.col("y").isin(0, 1) & ~held_out(F.col("i")))
-             .groupBy("i").agg(F.max("y").alias("y")))
+    known = known_labels(labels, label_col, id_col)
     order = (F.xxhash64("i"), F.col("i"))
     ids = (known.where("y = 1").orderBy(*order).limit(ones)
            .unionByName(known.where("y = 0").orderBy(*order).limit(zeros)))

@@ -20,7 +20,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from catalograph.llm.labelled import training_rows
+from catalograph.llm.labelled import share_of_ones, training_rows
 from catalograph.llm.tables import cut_at_space, text_slices, written
 
 STEPS = 12          # a statistic is read in so many steps, borders are quantiles of the training rows
@@ -129,8 +129,7 @@ def fit(docs: DataFrame, labels: DataFrame, label_col: str = "quality", ones: in
         chars: int = 20_000, id_col: str = "doc_id", text_col: str = "text") -> Classifier:
     """Learn from at most ``ones`` + ``zeros`` labelled rows of up to ``chars`` characters (see ``training_rows``)."""
     texts, ys = training_rows(docs, labels, label_col, ones, zeros, chars, id_col, text_col)
-    share = labels.where(F.col(label_col).isin(0, 1)).agg(F.avg(F.col(label_col).cast("double"))).first()[0]
-    return train(texts, ys, share)
+    return train(texts, ys, share_of_ones(labels, label_col, id_col))
 
 
 def evidence_column(classifier: Classifier, text: Column) -> Column:

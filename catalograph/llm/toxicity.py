@@ -21,7 +21,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from catalograph.llm.labelled import training_rows
+from catalograph.llm.labelled import share_of_ones, training_rows
 from catalograph.llm.tables import cut_at_space, text_slices
 
 WINDOW, STRIDE = 48, 32
@@ -421,8 +421,7 @@ def train(texts: list[str], labels: list[int], bounds: TrainingBounds = Training
 def fit(docs: DataFrame, labels: DataFrame, label_col: str = "toxic", bounds: TrainingBounds = TrainingBounds(),
         id_col: str = "doc_id", text_col: str = "text") -> Network:
     texts, ys = training_rows(docs, labels, label_col, bounds.toxic, bounds.other, bounds.chars, id_col, text_col)
-    share = labels.where(F.col(label_col).isin(0, 1)).agg(F.avg(F.col(label_col).cast("double"))).first()[0]
-    return train(texts, ys, bounds, share=share)
+    return train(texts, ys, bounds, share=share_of_ones(labels, label_col, id_col))
 
 
 def score_column(net: Network, text: Column) -> Column:

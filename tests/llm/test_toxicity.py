@@ -6,8 +6,9 @@ import zlib
 import numpy as np
 import pytest
 
+from catalograph.llm import quality as Q
 from catalograph.llm import toxicity as T
-from catalograph.llm.labelled import training_rows
+from catalograph.llm.labelled import share_of_ones, training_rows
 from tests.llm.conftest import sentence
 
 BOUNDS = T.TrainingBounds(steps=60, texts_a_step=64)
@@ -154,3 +155,16 @@ def test_without_labels(spark, documents):
     assert [r.predicted for r in T.score_toxicity(docs, net).collect()] == [0, 0]
     one = T.fit(docs, spark.createDataFrame([(1, 0)], "doc_id long, toxic int"))
     assert [r.predicted for r in T.score_toxicity(docs, one).collect()] == [0, 0]
+
+
+def test_held_out_labels_do_not_enter_the_fit(spark, documents):
+    held = [i for i in range(200) if zlib.crc32(str(i).encode()) % 5 == 0]
+    rows = [(i, int(i % 4 == 0)) for i in range(200) if i not in held]
+    same = [spark.createDataFrame(rows + [(i, y) for i in held] + more, "doc_id long, toxic int")
+            for y, more in ((0, []), (1, rows[:1] * 50 + [(None, 1)]))]
+    shares = [share_of_ones(labels, "toxic") for labels in same]
+    assert shares == [sum(y for _, y in rows) / len(rows)] * 2
+    docs = documents([(i, sentence(i, 20) + " vile" * int(i % 4 == 0)) for i in range(200)])
+    bounds = T.TrainingBounds(steps=4)
+    assert len({float(T.fit(docs, labels, bounds=bounds).base[0]) for labels in same}) == 1
+    assert Q.fit(docs, same[0], "toxic").base == Q.fit(docs, same[1], "toxic").base
