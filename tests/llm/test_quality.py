@@ -106,6 +106,15 @@ def test_scores_equal_the_plain_computation(spark, documents, classifier):
     assert len(got) == len(given)
 
 
+def test_many_sparse_sites(documents, classifier):
+    given, _ = texts(300)
+    given = [(i, t, f"host{i % 170 if i % 3 else 0}", f"path{i % 7}") for i, t in enumerate(given)]
+    evidence = classifier.evidence([t for _, t, _, _ in given])
+    expected = plain([(h, p, e) for (_, _, h, p), e in zip(given, evidence)])
+    got = {r.id: (r.host_share, r.path_share) for r in Q.score_quality(documents(given), classifier).collect()}
+    assert len(got) == 300 and all(got[i] == pytest.approx(w, abs=1e-6) for (i, *_), w in zip(given, expected))
+
+
 def test_keep_good(documents, classifier):
     frame = documents(rows(), extra=True)
     kept = Q.keep_good(frame, classifier)
