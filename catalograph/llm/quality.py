@@ -20,7 +20,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from catalograph.llm.labelled import share_of_ones, training_rows
+from catalograph.llm.labelled import share_of_ones, training_values
 from catalograph.llm.tables import cut_at_space, text_slices, written
 
 STEPS = 12          # a statistic is read in so many steps, borders are quantiles of the training rows
@@ -100,14 +100,14 @@ class Classifier:
         return np.clip(1 / (1 + np.exp(-logit)), LEAST_SHARE, 1 - LEAST_SHARE)
 
 
-def train(texts: list[str], labels: list[int], prior: float | None = None, rounds: int = 400) -> Classifier:
-    """Penalised maximum likelihood. ``prior`` is the share of label 1 among all labelled rows."""
+def train(texts: list, labels: list[int], prior: float | None = None, rounds: int = 400) -> Classifier:
+    """Penalised maximum likelihood from texts or their ``statistics``. ``prior`` is the share of label 1 among all labelled rows."""
     label = np.asarray(labels, float)
     share = float(np.clip(label.mean() if prior is None and len(label) else 0.5 if prior is None else prior, 0.01, 0.99))
     n = len(FEATURES)
     if not len(label) or label.min() == label.max():
         return Classifier(np.zeros((n, STEPS - 1)), np.zeros((n, STEPS)), float(np.log(share / (1 - share))), share)
-    values = np.array([statistics(t) for t in texts])
+    values = np.array([statistics(t) if isinstance(t, str) else t for t in texts])
     borders = np.quantile(values, np.linspace(0, 1, STEPS + 1)[1:-1], axis=0).T
     step = np.stack([np.searchsorted(b, values[:, k]) for k, b in enumerate(borders)], 1)
     # rows are weighted to the true share of the labels
@@ -126,10 +126,20 @@ def train(texts: list[str], labels: list[int], prior: float | None = None, round
 
 
 def fit(docs: DataFrame, labels: DataFrame, label_col: str = "quality", ones: int = 3000, zeros: int = 3000,
-        chars: int = 20_000, id_col: str = "doc_id", text_col: str = "text") -> Classifier:
-    """Learn from at most ``ones`` + ``zeros`` labelled rows of up to ``chars`` characters (see ``training_rows``)."""
-    texts, ys = training_rows(docs, labels, label_col, ones, zeros, chars, id_col, text_col)
-    return train(texts, ys, share_of_ones(labels, label_col, id_col))
+        id_col: str = "doc_id", text_col: str = "text") -> Classifier:
+    """Learn from at most ``ones`` + ``zeros`` labelled rows (see ``training_values``): tasks read their whole texts,
+    the driver gathers ``FEATURES`` only."""
+    values, ys = training_values(docs, labels, label_col, ones, zeros, statistics_column, id_col, text_col)
+    return train(values, ys, share_of_ones(labels, label_col, id_col))
+
+
+def statistics_column(text: Column) -> Column:
+    @F.arrow_udf("array<double>")
+    def of(columns: Iterator[pa.Array]) -> Iterator[pa.Array]:
+        for column in columns:
+            yield pa.array([statistics(t) for texts in text_slices(column) for t in texts], pa.list_(pa.float64()))
+
+    return of(text)
 
 
 def evidence_column(classifier: Classifier, text: Column) -> Column:

@@ -36,7 +36,7 @@ _INVERSE = np.uint64(pow(int(_PRIME), -1, 1 << 64))
 @dataclass(frozen=True)
 class TrainingBounds:
     """What the driver may gather to learn from: so many toxic and so many other labelled rows, taken by a
-    hash of the id, of texts up to ``chars`` characters (longer ones are scored, not learnt from)."""
+    hash of the id; of a text of more than ``chars`` characters slices spread over all of it (see ``excerpts``)."""
 
     toxic: int = 1200
     other: int = 3600

@@ -168,3 +168,23 @@ def test_held_out_labels_do_not_enter_the_fit(spark, documents):
     bounds = T.TrainingBounds(steps=4)
     assert len({float(T.fit(docs, labels, bounds=bounds).base[0]) for labels in same}) == 1
     assert Q.fit(docs, same[0], "toxic").base == Q.fit(docs, same[1], "toxic").base
+
+
+def test_long_labelled_texts_are_learnt_from(spark, documents):
+    long = " ".join(f"word{i:05d}" for i in range(3000))
+    docs = documents([(i, long if i % 2 else f"text {i}") for i in range(40)])
+    labels = spark.createDataFrame([(i, i % 2) for i in range(40)], "doc_id long, toxic int")
+    fold = [i for i in range(40) if zlib.crc32(str(i).encode()) % 5]
+    got, ys = training_rows(docs, labels, "toxic", 100, 100, 1000)
+    assert ys == [i % 2 for i in fold] and len(training_rows(docs, labels, "toxic", 3, 100, 1000)[1]) == 3 + ys.count(0)
+    for text, y in zip(got, ys):
+        if y:  # whole words from the first to the last
+            places = [int(re.fullmatch(r"word(\d{5})", w)[1]) for w in text.split()]
+            assert 700 < len(text) <= 1000 and places == sorted(places) and (places[0], places[-1]) == (0, 2999)
+            assert max(np.diff(places)) < 3000 / 6
+    whole, _ = training_rows(docs, labels, "toxic", 100, 100, len(long))
+    assert long in whole
+    fitted = Q.fit(docs, labels, "toxic")
+    values = [Q.statistics(long if i % 2 else f"text {i}") for i in fold]
+    plain = Q.train(values, ys, sum(ys) / len(ys))
+    assert np.allclose(fitted.weights, plain.weights) and fitted.weights.any()
