@@ -5,7 +5,8 @@ from __future__ import annotations
 import importlib
 
 MODULES = ("toxicity_queries", "warc_queries", "token_count_queries", "near_duplicate_queries", "piece_queries", "neighbour_queries", "fingerprint_queries", "pii_queries", "packing_queries",
-           "quality_queries", "byte_pair_queries", "conversation_trie_queries")
+           "quality_queries", "byte_pair_queries", "conversation_trie_queries",
+           "centroid_queries")
 
 
 def load() -> tuple[dict, dict]:

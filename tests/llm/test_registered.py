@@ -24,6 +24,6 @@ def test_query(spark, con, name):
 
 
 def test_each_operator_has_a_query():
-    for number in range(1, 11):
+    for number in range(1, 14):
         assert sum(name.startswith(f"op{number}_") for name in QUERIES) == 1
     assert "pipeline" in QUERIES
