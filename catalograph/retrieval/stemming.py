@@ -3,13 +3,11 @@
 from __future__ import annotations
 
 import re
-from functools import lru_cache
+from functools import lru_cache, reduce
 
-import pandas as pd
+from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-from catalograph.schema import STRINGS
-
 _STEP2 = {"ational": "ate", "tional": "tion", "enci": "ence", "anci": "ance", "izer": "ize",
           "bli": "ble", "alli": "al", "entli": "ent", "eli": "e", "ousli": "ous",
           "ization": "ize", "ation": "ate", "ator": "ate", "alism": "al", "iveness": "ive",
@@ -96,8 +94,92 @@ def stem(word: str) -> str:
     return w[:-1] if _measure(w) > 1 and _double(w) and w.endswith("l") else w
 
 
-@F.pandas_udf(STRINGS)
-def stem_all(token_lists: pd.Series) -> pd.Series:
-    """Stem every token; nulls (removed words) stay. Words are stemmed once per worker."""
-    return token_lists.map(
-        lambda tokens: [None if t is None else stem(t) for t in tokens], na_action="ignore")
+# ---------------------------------------------------------------- the same rules over columns
+
+_CONSONANTS, _VOWELS = "[^aeiou][^aeiouy]*", "[aeiouy][aeiou]*"
+_ANY_VOWEL = f"^({_CONSONANTS})?[aeiouy]"
+_MORE_THAN_0 = f"^({_CONSONANTS})?{_VOWELS}{_CONSONANTS}"
+_EXACTLY_1 = f"^({_CONSONANTS})?{_VOWELS}{_CONSONANTS}({_VOWELS})?$"
+_MORE_THAN_1 = f"{_MORE_THAN_0}{_VOWELS}{_CONSONANTS}"
+_SHORT = f"^{_CONSONANTS}[aeiouy][^aeiouwxy]$"
+_LAST_Y_CONSONANT = "[aeiou]y(yy)*$|[^aeiouy](yy)+$"
+# A word too short to be stemmed ends in the first mark meanwhile, one that lost "ed" or "ing" in the second.
+_KEPT, _CUT = "\x00", "\x01"
+
+
+def _without(word: Column, last: int) -> Column:
+    return F.left(word, F.length(word) - last)
+
+
+def _ends(word: Column, *suffixes: str) -> Column:
+    return reduce(lambda a, b: a | b, [F.endswith(word, F.lit(s)) for s in suffixes])
+
+
+def _opened(w: Column) -> Column:
+    """A first y is a consonant: written as Y, which no vowel class holds."""
+    return F.when(F.length(w) < 3, F.concat(w, F.lit(_KEPT))).when(
+        F.startswith(w, F.lit("y")), F.concat(F.lit("Y"), F.substring(w, 2, _LONGEST))).otherwise(w)
+
+
+def _singular(w: Column) -> Column:
+    return F.when(~_ends(w, "s"), w).when(_ends(w, "sses", "ies"), _without(w, 2)).when(
+        ~_ends(w, "ss"), _without(w, 1)).otherwise(w)
+
+
+def _present(w: Column) -> Column:
+    return (F.when(~_ends(w, "ed", "ing"), w)
+            .when(_ends(w, "eed"), F.when(_without(w, 3).rlike(_MORE_THAN_0), _without(w, 1)).otherwise(w))
+            .when(_ends(w, "ed") & _without(w, 2).rlike(_ANY_VOWEL), F.concat(_without(w, 2), F.lit(_CUT)))
+            .when(_ends(w, "ing") & _without(w, 3).rlike(_ANY_VOWEL), F.concat(_without(w, 3), F.lit(_CUT)))
+            .otherwise(w))
+
+
+def _mended(w: Column) -> Column:
+    cut = _without(w, 1)
+    double = (F.right(cut, F.lit(1)) == F.left(F.right(cut, F.lit(2)), F.lit(1))) & (F.length(cut) > 1)
+    consonant = ~_ends(cut, *"aeioulsz") & (~_ends(cut, "y") | cut.rlike(_LAST_Y_CONSONANT))
+    return (F.when(~_ends(w, _CUT), w).when(_ends(cut, "at", "bl", "iz"), F.concat(cut, F.lit("e")))
+            .when(double & consonant, _without(w, 2)).when(cut.rlike(_SHORT), F.concat(cut, F.lit("e")))
+            .otherwise(cut))
+
+
+def _last_y(w: Column) -> Column:
+    return F.when(_ends(w, "y") & _without(w, 1).rlike(_ANY_VOWEL), F.concat(_without(w, 1), F.lit("i"))).otherwise(w)
+
+
+def _swapped(w: Column, table: dict[str, str], measure: str) -> Column:
+    """The longest suffix of the table that the word ends in, replaced if the rest measures enough."""
+    # Most words end in no suffix of the table: one look at their last two letters settles it.
+    choice = F.when(~F.substring(w, -2, 2).isin(sorted({s[-2:] for s in table})), w)
+    for suffix in sorted(table, key=len, reverse=True):
+        rest = _without(w, len(suffix))
+        enough = rest.rlike(measure)
+        if suffix == "ion":
+            enough = _ends(rest, "s", "t") & enough
+        new = F.concat(rest, F.lit(table[suffix])) if table[suffix] else rest
+        choice = choice.when(_ends(w, suffix), F.when(enough, new).otherwise(w))
+    return choice.otherwise(w)
+
+
+def _without_e(w: Column) -> Column:
+    rest = _without(w, 1)
+    return F.when(_ends(w, "e") & (rest.rlike(_MORE_THAN_1) | (rest.rlike(_EXACTLY_1) & ~rest.rlike(_SHORT))), rest).otherwise(w)
+
+
+def _closed(w: Column) -> Column:
+    w = F.when(_ends(w, _KEPT) | (_ends(w, "ll") & w.rlike(_MORE_THAN_1)), _without(w, 1)).otherwise(w)
+    return F.when(F.startswith(w, F.lit("Y")), F.concat(F.lit("y"), F.substring(w, 2, _LONGEST))).otherwise(w)
+
+
+_LONGEST = 2**31 - 1
+_STEPS = (_opened, _singular, _present, _mended, _last_y, lambda w: _swapped(w, _STEP2, _MORE_THAN_0),
+          lambda w: _swapped(w, _STEP3, _MORE_THAN_0), lambda w: _swapped(w, dict.fromkeys(_STEP4, ""), _MORE_THAN_1),
+          _without_e, _closed)
+
+
+def stem_all(tokens: Column) -> Column:
+    """Every token of an array column stemmed, as ``stem`` does it, in the JVM; nulls (removed words) stay.
+
+    Each step is one pass over the array, so no step's expression is written out inside the next one's.
+    """
+    return reduce(F.transform, _STEPS, tokens)

@@ -1,4 +1,5 @@
 import math
+import random
 import re
 
 import pytest
@@ -12,7 +13,7 @@ from catalograph.retrieval.highlight import highlight_fragment
 from catalograph.retrieval.index import build_index, open_index
 from catalograph.retrieval.request import (SearchRequest, autocomplete, get_with_similar,
                                            prefix_ids, prefix_match, search)
-from catalograph.retrieval.stemming import stem
+from catalograph.retrieval.stemming import stem, stem_all
 from workload import tables
 
 SF = "/root/testdata/sf0.001"
@@ -64,6 +65,21 @@ def test_stems(word, expected):
     assert stem(word) == expected
 
 
+def test_stems_over_columns_equal_those_of_words(spark):
+    """Every rule's suffix on stems of all shapes, y after vowels and consonants, and words with other letters."""
+    rng = random.Random(6)
+    ends = ["", "s", "es", "ies", "sses", "ed", "eed", "ing", "y", "yy", "e", "le", "ll", "at", "bl", "ational", "tional", "ization",
+            "fulness", "iviti", "icate", "ical", "ness", "ement", "ment", "ent", "sion", "tion", "ion", "able", "ou", "ive"]
+    words = ["".join(rng.choice("aeiouybclstz") for _ in range(rng.randint(0, 6))) + end for end in ends for _ in range(250)]
+    words += ["don't", "été", "über", "y", "yy", "yyy", "1st", "日本語", "a.b.c", ""]
+    df = spark.createDataFrame([(words, )], "t array<string>")
+    assert df.select(stem_all(F.col("t"))).first()[0] == [stem(w) for w in words]
+    frame = spark.createDataFrame([(["running", None, "the"],), (None,)], "t array<string>")
+    stemmed = frame.select(stem_all(F.col("t")).alias("s"))
+    assert [r["s"] for r in stemmed.collect()] == [["run", None, "the"], None]
+    assert "Python" not in stemmed._jdf.queryExecution().executedPlan().toString()
+
+
 def test_tokens(one):
     assert one(tokenize(F.lit("O'Neil’s U.S.A. end. ÉTÉ-2 snake_case"))) == [
         "o'neil’s", "u.s.a", "end", "été", "2", "snake_case"]

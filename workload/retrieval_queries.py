@@ -38,7 +38,9 @@ def _(spark, sf):
         F.count("*").alias("n"), F.min("pos").alias("first_pos"), F.max("pos").alias("last_pos"))
 
 
-@query("analyze_general_stemmed")
+@query("analyze_general_stemmed", f"""WITH {T.TOKENS_STEMMED}
+    SELECT i.id, coalesce(string_agg(term, ' ' ORDER BY pos), '') AS terms FROM items i
+    LEFT JOIN (SELECT * FROM tokens WHERE field = 'plot') t ON t.id = i.id GROUP BY i.id""")
 def _(spark, sf):
     return T.items(spark, sf).select("id", F.array_join(A.analyze_general("plot"), " ").alias("terms"))
 
@@ -145,7 +147,18 @@ def _(spark, sf):
     return X.search_weighted(T.index(spark, sf), "src3")
 
 
-@query("search_weighted_stemmed")
+def _weighted_stemmed(text: str) -> str:
+    """As ``_weighted`` where a word has a term of its own in each field."""
+    terms = ", ".join(f"('{f}', '{t}', '{p}', {boost})" for f, boost in (("title", 10), ("plot", 2), ("reviews", 2))
+                      for p, t in A.STEMMED.query_terms(text, f))
+    whole = ", ".join(f"('{f}', '{text}', '*', {boost})" for f, boost in (("cast", 5), ("directors", 5), ("genres", 1)))
+    return f"""wanted AS (SELECT * FROM (VALUES {terms}, {whole}) AS w(field, term, slot, boost)),
+    weighted_best AS (SELECT id, slot, max(boost * bm25) AS s FROM scored JOIN wanted USING (field, term) GROUP BY id, slot),
+    weighted AS (SELECT id, sum(s) AS base FROM weighted_best GROUP BY id)"""
+
+
+@query("search_weighted_stemmed", f"""WITH {T.POSTINGS_STEMMED}, {_weighted_stemmed(WORDS)}
+    SELECT id, round(base, 6) AS score FROM weighted""")
 def _(spark, sf):
     return X.search_weighted(T.index(spark, sf, stem=True), WORDS)
 
@@ -231,7 +244,22 @@ def _(spark, sf):
     return marked.select("id", "fragment")
 
 
-@query("highlight_fragment_stemmed")
+def _stemming_to(text: str) -> str:
+    """Words whose stem is one of the query's."""
+    stems = ", ".join(f"'{t}'" for _, t in A.STEMMED.query_terms(text, "plot"))
+    return f"(SELECT list(term) FROM stems WHERE stem IN ({stems}))"
+
+
+@query("highlight_fragment_stemmed", f"""WITH {T.TOKENS_STEMMED}, chosen AS (SELECT {_stemming_to(WORDS)} AS words),
+    marked_items AS (SELECT id, plot, words FROM items, chosen),
+    slices AS (SELECT id, i, words, substr(plot, i * 200 + 1, 200) AS slice FROM (SELECT *,
+        unnest(range(greatest(cast(ceil(length(plot) / 200) AS BIGINT), 1))) AS i FROM marked_items)),
+    counted_slices AS (SELECT id, i, slice, len(list_filter(regexp_extract_all(lower(slice), '{T.SQL_TOKEN}'),
+        lambda t: list_contains(words, t))) AS hits FROM slices),
+    best AS (SELECT id, arg_max(slice, hits * 1000000 - i) AS slice, max(hits) AS hits FROM counted_slices GROUP BY id)
+    SELECT id, CASE WHEN hits > 0 THEN array_to_string(list_transform(regexp_extract_all(slice, '(?s){T.SQL_TOKEN}|.'),
+        lambda p: CASE WHEN list_contains(words, lower(p)) THEN '<mark>' || p || '</mark>' ELSE p END), '') ELSE plot END
+      AS fragment FROM best JOIN marked_items USING (id)""")
 def _(spark, sf):
     marked = highlight_fragment(T.items(spark, sf), "plot", WORDS, A.STEMMED)
     return marked.select("id", "fragment")
@@ -288,7 +316,8 @@ def _(spark, sf):
     return S.mlt_terms(T.index(spark, sf), [SEED])
 
 
-@query("mlt_terms_stemmed")
+@query("mlt_terms_stemmed", f"""WITH {T.POSTINGS_STEMMED}, {ONE_SEED}
+    SELECT seed, field, term, df, weight FROM top_terms""")
 def _(spark, sf):
     return S.mlt_terms(T.index(spark, sf, stem=True), [SEED])
 
@@ -323,7 +352,7 @@ def _(spark, sf):
     return S.more_like_this_batch(T.index(spark, sf), _seeds(spark, sf), k=5)
 
 
-@query("more_like_this_stemmed")
+@query("more_like_this_stemmed", f"WITH {T.POSTINGS_STEMMED}, {ONE_SEED}, {_like(10)} SELECT * FROM liked")
 def _(spark, sf):
     return S.more_like_this(T.index(spark, sf, stem=True), SEED, k=10)
 

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from catalograph.retrieval.analysis import STOP_WORDS, TOKEN, Profile
 from catalograph.retrieval.index import Index, build_index
-from catalograph.operators.lists import attach_lists, collect_in_order
+from catalograph.operators.lists import attach_lists, ordered_lists
 from catalograph.session import tune
 from catalograph.sources.tables import read_table
 
@@ -27,7 +27,7 @@ def table(spark: SparkSession, sf: str, name: str) -> DataFrame:
 def items(spark: SparkSession, sf: str) -> DataFrame:
     turns = table(spark, sf, "conversations").select(
         F.col("conv_id").cast("string").alias("id"), "turn", "text")
-    reviews = collect_in_order(turns, "id", "text", ["turn"], "reviews")
+    reviews = ordered_lists(turns, "id", "text", ["turn"], "reviews")
     counts = turns.groupBy("id").agg(F.count("*").cast("int").alias("num_reviews"))
     docs = table(spark, sf, "documents")
     base = docs.select(
@@ -99,6 +99,59 @@ scored AS (
       ELSE p.tf / (p.tf + 1.2::DOUBLE * (0.25::DOUBLE + 0.75::DOUBLE * p.dl / f.avgdl)) END AS bm25
   FROM postings p JOIN term_stats t USING (field, term) JOIN field_stats f USING (field))"""
 
+# ---- the same with Porter's stems, over the distinct words ----
+
+_C, _V = "[^aeiou][^aeiouy]*", "[aeiouy][aeiou]*"
+_M0, _M1 = f"^({_C})?{_V}{_C}", f"^({_C})?{_V}{_C}{_V}{_C}"
+
+
+def _rules(word: str, pairs, measure: str) -> str:
+    """CASE that replaces the longest suffix of the (suffix, replacement) pairs that the word ends in."""
+    whens = []
+    for suffix, new in sorted(pairs, key=lambda p: -len(p[0])):
+        rest = f"left({word}, length({word}) - {len(suffix)})"
+        also = f" AND right({rest}, 1) IN ('s', 't')" if suffix == "ion" else ""
+        whens.append(f"WHEN suffix({word}, '{suffix}') THEN CASE WHEN regexp_matches({rest}, '{measure}'){also} "
+                     f"THEN {rest} || '{new}' ELSE {word} END")
+    return f"CASE {' '.join(whens)} ELSE {word} END"
+
+
+_SECOND = (("ational", "ate"), ("tional", "tion"), ("enci", "ence"), ("anci", "ance"), ("izer", "ize"), ("bli", "ble"),
+           ("alli", "al"), ("entli", "ent"), ("eli", "e"), ("ousli", "ous"), ("ization", "ize"), ("ation", "ate"),
+           ("ator", "ate"), ("alism", "al"), ("iveness", "ive"), ("fulness", "ful"), ("ousness", "ous"), ("aliti", "al"),
+           ("iviti", "ive"), ("biliti", "ble"), ("logi", "log"))
+_THIRD = (("icate", "ic"), ("ative", ""), ("alize", "al"), ("iciti", "ic"), ("ical", "ic"), ("ful", ""), ("ness", ""))
+_FOURTH = [(s, "") for s in ("al", "ance", "ence", "er", "ic", "able", "ible", "ant", "ement", "ment", "ent", "ion", "ou",
+                             "ism", "ate", "iti", "ous", "ive", "ize")]
+
+STEMS = f"""stem0 AS (SELECT DISTINCT term, CASE WHEN left(term, 1) = 'y' THEN 'Y' || substr(term, 2) ELSE term END AS w FROM unstemmed),
+stem1 AS (SELECT term, CASE WHEN suffix(w, 'sses') OR suffix(w, 'ies') THEN left(w, length(w) - 2)
+    WHEN suffix(w, 's') AND NOT suffix(w, 'ss') THEN left(w, length(w) - 1) ELSE w END AS w FROM stem0),
+stem2 AS (SELECT term, w, CASE WHEN suffix(w, 'eed') THEN NULL WHEN suffix(w, 'ed') THEN left(w, length(w) - 2)
+    WHEN suffix(w, 'ing') THEN left(w, length(w) - 3) END AS cut FROM stem1),
+stem3 AS (SELECT term, CASE
+    WHEN suffix(w, 'eed') THEN CASE WHEN regexp_matches(left(w, length(w) - 3), '{_M0}') THEN left(w, length(w) - 1) ELSE w END
+    WHEN cut IS NULL OR NOT regexp_matches(cut, '^({_C})?[aeiouy]') THEN w
+    WHEN suffix(cut, 'at') OR suffix(cut, 'bl') OR suffix(cut, 'iz') THEN cut || 'e'
+    WHEN length(cut) > 1 AND substr(cut, -1) = substr(cut, -2, 1) AND substr(cut, -1) NOT IN ('a', 'e', 'i', 'o', 'u', 'l', 's', 'z')
+      AND (substr(cut, -1) <> 'y' OR regexp_matches(cut, '[aeiou]y(yy)*$|[^aeiouy](yy)+$')) THEN left(cut, length(cut) - 1)
+    WHEN regexp_matches(cut, '^{_C}[aeiouy][^aeiouwxy]$') THEN cut || 'e' ELSE cut END AS w FROM stem2),
+stem4 AS (SELECT term, CASE WHEN suffix(w, 'y') AND regexp_matches(left(w, length(w) - 1), '^({_C})?[aeiouy]')
+    THEN left(w, length(w) - 1) || 'i' ELSE w END AS w FROM stem3),
+stem5 AS (SELECT term, {_rules('w', _SECOND, _M0)} AS w FROM stem4),
+stem6 AS (SELECT term, {_rules('w', _THIRD, _M0)} AS w FROM stem5),
+stem7 AS (SELECT term, {_rules('w', _FOURTH, _M1)} AS w FROM stem6),
+stem8 AS (SELECT term, CASE WHEN suffix(w, 'e') AND (regexp_matches(left(w, length(w) - 1), '{_M1}')
+    OR regexp_matches(left(w, length(w) - 1), '^({_C})?{_V}{_C}({_V})?$')
+      AND NOT regexp_matches(left(w, length(w) - 1), '^{_C}[aeiouy][^aeiouwxy]$')) THEN left(w, length(w) - 1) ELSE w END AS w FROM stem7),
+stem9 AS (SELECT term, CASE WHEN suffix(w, 'll') AND regexp_matches(w, '{_M1}') THEN left(w, length(w) - 1) ELSE w END AS w FROM stem8),
+stems AS (SELECT term, CASE WHEN length(term) < 3 THEN term WHEN left(w, 1) = 'Y' THEN 'y' || substr(w, 2) ELSE w END AS stem FROM stem9)"""
+
+TOKENS_STEMMED = TOKENS.replace("tokens AS (SELECT", "unstemmed AS (SELECT") + f""",
+{STEMS},
+tokens AS (SELECT id, field, CASE WHEN field = 'title' THEN term ELSE stem END AS term, pos FROM unstemmed JOIN stems USING (term))"""
+POSTINGS_STEMMED = POSTINGS.replace(TOKENS, TOKENS_STEMMED)
+
 _INDEXES: dict[tuple[str, str, bool], Index] = {}
 
 
