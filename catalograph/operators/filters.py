@@ -8,8 +8,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from catalograph.operators.lists import own_rows, whole_lists
-from catalograph.schema import (LIST_FIELDS, RATING_CEILING, RECENT_SINCE, VOTES_ANY_YEAR, VOTES_RECENT,
+from catalograph.operators.lists import list_columns, own_rows, whole_lists
+from catalograph.schema import (RATING_CEILING, RECENT_SINCE, VOTES_ANY_YEAR, VOTES_RECENT,
                                 YEAR_CEILING, YEAR_FLOOR)
 
 
@@ -105,7 +105,7 @@ def get_by_id(items: DataFrame, item_id: str) -> DataFrame:
     rows = items.where(F.col("id") == item_id)
     if "part" not in items.columns:
         return rows.limit(1)
-    lists = [n for n in LIST_FIELDS if n in items.columns]
+    lists = list_columns(items)
     own = own_rows(rows).drop(*lists).join(whole_lists(rows, "id", lists), "id") if lists else own_rows(rows)
     return own.select(*items.columns).limit(1)
 

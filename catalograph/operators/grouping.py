@@ -19,7 +19,7 @@ def facet_terms(df: DataFrame, field: str, k: int = FACET_LIMIT, mincount: int =
     """
     multi = isinstance(df.schema[field].dataType, T.ArrayType)
     value = F.explode(F.array_distinct(field)) if multi else F.col(field)
-    counts = (df.select(value.alias("value")).where(F.col("value").isNotNull())
+    counts = (df.where(F.col(field).isNotNull()).select(value.alias("value")).where(F.col("value").isNotNull())
               .groupBy("value").agg(F.count("*").alias("count"))
               .where(F.col("count") >= mincount))
     return counts.orderBy(F.col("count").desc(), F.col("value").asc()).limit(k)

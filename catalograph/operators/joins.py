@@ -11,7 +11,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from catalograph.functions.scalars import falsy_fallback, overlay_values, strip, try_year
-from catalograph.operators.lists import LIST_ROWS, attach_lists, collect_in_order
+from catalograph.operators.lists import LIST_ROWS, Lists, attach_lists, ordered_lists
 from catalograph.operators.ordering import dedup_last_wins
 from catalograph.operators.sets import unseen
 from catalograph.schema import STRINGS
@@ -74,16 +74,16 @@ def join_overlay(items: DataFrame, enrich: DataFrame, item_key: str = "tconst",
 
 
 def article_lists(recs: DataFrame, key: str, fields: list[str], pos: str,
-                  part_rows: int = LIST_ROWS) -> DataFrame:
+                  part_rows: int = LIST_ROWS) -> Lists:
     """Per key and part, one array per field in load order, empty values left out."""
     present = recs.where(F.col(key).isNotNull())
-    lists = collect_in_order(present, key, F.struct(*fields), [pos], "_recs", part_rows)
+    lists = ordered_lists(present, key, F.struct(*fields), [pos], "_recs", part_rows)
 
     def values(field: str) -> Column:
         xs = F.transform("_recs", lambda r: r[field])
         return F.filter(xs, lambda x: x.isNotNull() & (x != "")).alias(f"{field}s")
 
-    return lists.select(key, "part", *[values(f) for f in fields])
+    return lists.map(lambda rows: rows.select(key, "part", *[values(f) for f in fields]))
 
 
 def join_one_to_many(items: DataFrame, recs: DataFrame, on: str, fields: list[str], pos: str,

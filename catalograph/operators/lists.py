@@ -1,6 +1,6 @@
 """Ordered lists per key, with no row or task that grows with the largest key.
 
-A list is a set of rows ``(key, part, values)``. Parts ascend from 0 along the list; a part holds at most
+A list is a set of rows ``(key, part, values)``. Parts ascend along the list, the first is 0; a part holds at most
 ``part_rows`` values and about ``part_bytes`` bytes of them. Almost every key has part 0 only; a
 key that owns a large share of the table is spread over many rows and tasks and loses nothing. Lists of
 every size are made the same way.
@@ -8,6 +8,9 @@ every size are made the same way.
 
 from __future__ import annotations
 
+from collections.abc import Callable
+from dataclasses import dataclass
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
@@ -17,6 +20,7 @@ from catalograph.session import materialize
 
 LIST_ROWS = 50_000
 LIST_BYTES = 16 << 20
+_PARTS_OF_A_RANGE = 8192
 
 
 def numbered(df: DataFrame, keys: list[str], order: list[str], size: Column | None = None) -> DataFrame:
@@ -61,21 +65,69 @@ def _bytes_of(column: str, kind: T.DataType) -> Column:
     return F.lit(0)
 
 
+@dataclass(frozen=True)
+class Lists:
+    """Lists as two frames of rows (key, part, values): ``first`` has part 0, one row per key and grouped by it, so
+    that Catalyst drops its join where no list is read; ``more`` has all further parts."""
+    first: DataFrame
+    more: DataFrame
+
+    def map(self, change: Callable[[DataFrame], DataFrame]) -> Lists:
+        return Lists(change(self.first), change(self.more))
+
+    def rows(self) -> DataFrame:
+        return self.first.unionByName(self.more)
+
+
 def collect_in_order(df: DataFrame, key, value: Column | str, order: list[str],
                      name: str = "values", part_rows: int = LIST_ROWS,
                      part_bytes: int = LIST_BYTES) -> DataFrame:
-    """Values per key in order, nulls kept, as rows (key, part, values); rows without a key are
-    left out."""
+    """Values per key in order, nulls kept, as rows (key, part, values); see ``ordered_lists``."""
+    return ordered_lists(df, key, value, order, name, part_rows, part_bytes).rows()
+
+
+def ordered_lists(df: DataFrame, key, value: Column | str, order: list[str],
+                  name: str = "values", part_rows: int = LIST_ROWS,
+                  part_bytes: int = LIST_BYTES) -> Lists:
+    """Values per key in order, nulls kept; rows without a key are left out. ``order`` must be unique per key.
+
+    One lazy plan: nothing is written or run here, and a query that reads no list drops the whole of it. Counts per
+    key name the keys whose list outgrows a part (fewer than rows / ``part_rows``). All lists up to
+    that, and the first part of the longer ones, are one grouping by key. What is left of the longer ones is
+    cut into ranges of (key, order), so a hot key is spread, and each range into parts; their numbers ascend
+    along the list but have gaps, and another run of the plan may cut them elsewhere.
+    """
     keys = [key] if isinstance(key, str) else list(key)
     value = F.col(value) if isinstance(value, str) else value
-    rows = df.select(*keys, *[c for c in order if c not in keys], value.alias("_v")).dropna(
-        subset=keys)
-    rows = numbered(rows, keys, order, _bytes_of("_v", rows.schema["_v"].dataType))
-    # Both terms only grow along a list, and within a part both stand still.
-    part = F.floor(F.col("_n") / part_rows) + F.floor(F.col("_bytes") / part_bytes)
-    lists = rows.withColumn("part", part.cast("int")).groupBy(*keys, "part").agg(
-        F.array_sort(F.collect_list(F.struct("_n", "_v"))).alias("_l"))
-    return lists.select(*keys, "part", F.transform("_l", lambda e: e["_v"]).alias(name))
+    rows = df.select(*keys, *[c for c in order if c not in keys], value.alias("_v")).dropna(subset=keys)
+    size = _bytes_of("_v", rows.schema["_v"].dataType).cast("bigint")
+    place = F.struct(*order)
+    held = F.coalesce(F.sum("_size").over(W.partitionBy(*keys).orderBy(*order).rowsBetween(W.unboundedPreceding, -1)), F.lit(0))
+
+    # ---- the keys with further parts: the first part by a bounded window, then where it ends
+    rows = rows.withColumn("_size", size)
+    long = rows.groupBy(*keys).agg(F.count("*").alias("_rows"), F.sum("_size").alias("_held")).where(
+        (F.col("_rows") > part_rows) | (F.col("_held") >= part_bytes)).select(*keys, F.lit(True).alias("_long"))
+    first = (rows.join(long, keys, "left_semi")
+             .withColumn("_n", F.row_number().over(W.partitionBy(*keys).orderBy(*order))).where(F.col("_n") <= part_rows)
+             .withColumn("_before", held).where(F.col("_before") < part_bytes))
+    ends = first.groupBy(*keys).agg(F.max(place).alias("_end"))
+
+    listed = rows.join(long, keys, "left").where("_long IS NULL").drop("_long").unionByName(first.drop("_n", "_before"))
+    whole = listed.groupBy(*keys).agg(F.array_sort(F.collect_list(F.struct(place.alias("_p"), "_v"))).alias("_l")).select(
+        *keys, F.lit(0).alias("part"), F.transform("_l", lambda e: e["_v"]).alias(name))
+
+    ranged = (rows.join(ends, keys).where(place > F.col("_end")).drop("_end").repartitionByRange(*keys, *order)
+              .withColumn("_range", F.spark_partition_id()))
+    within = W.partitionBy("_range", *keys).orderBy(*order)
+    local = (F.floor((F.row_number().over(within) - 1) / part_rows)
+             + F.floor(F.coalesce(F.sum("_size").over(within.rowsBetween(W.unboundedPreceding, -1)), F.lit(0)) / part_bytes))
+    number = (1 + F.col("_range") * _PARTS_OF_A_RANGE + F.col("_local")).cast("int")
+    # The number is an aggregate so that "part > 0" stays beside a reader's "part = 0", which Catalyst sees to be empty.
+    more = ranged.withColumn("_local", local).groupBy("_range", *keys, "_local").agg(
+        F.min(number).alias("part"), F.array_sort(F.collect_list(F.struct(place.alias("_p"), "_v"))).alias("_l")).select(
+        *keys, "part", F.transform("_l", lambda e: e["_v"]).alias(name)).where("part > 0")
+    return Lists(whole, more)
 
 
 def own_rows(items: DataFrame) -> DataFrame:
@@ -83,6 +135,11 @@ def own_rows(items: DataFrame) -> DataFrame:
     return items.where("part = 0") if "part" in items.columns else items
 
 
+def list_columns(items: DataFrame) -> list[str]:
+    """Columns whose lists may continue in further rows: every array, whatever its name."""
+    return [f.name for f in items.schema if isinstance(f.dataType, T.ArrayType)]
+
+
 def whole_lists(rows: DataFrame, key: str, names: list[str]) -> DataFrame:
     """One row per key with each list in full. For a few keys, such as those of a page: an item's list then
     fits where its page does."""
@@ -110,14 +167,16 @@ def top_n_collect(df: DataFrame, key: str, value: Column | str, order: list[str]
     return lists.select(key, F.transform("_l", lambda e: e["_v"]).alias(name))
 
 
-def attach_lists(items: DataFrame, lists: DataFrame, key: str, names: list[str]) -> DataFrame:
+def attach_lists(items: DataFrame, lists: Lists | DataFrame, key: str, names: list[str]) -> DataFrame:
     """Add list columns to items that carry ``part``; absent lists stay null.
 
     Part 0 joins the item's own row. Later parts become continuation rows that hold the key, the
-    part and the list only, so an oversized list stays whole.
+    part and the list only, so an oversized list stays whole. Of ``Lists``, a query that reads no list column
+    keeps neither the join nor what makes the lists in its plan.
     """
-    own = lists.where("part = 0").drop("part")
-    joined = items.join(own, key, "left")
-    more = lists.where("part > 0").join(
+    if isinstance(lists, DataFrame):
+        lists = Lists(lists.where("part = 0"), lists.where("part > 0"))
+    joined = items.join(lists.first.drop("part"), key, "left")
+    more = lists.more.join(
         items.where("part = 0").select(key), key, "left_semi").select(key, "part", *names)
     return joined.unionByName(more, allowMissingColumns=True)

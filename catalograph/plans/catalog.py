@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from catalograph.functions.scalars import digits_int, prefix_id, split_list_field
 from catalograph.operators.filters import filter_category, filter_two_tier
 from catalograph.operators.joins import join_inner, join_lookup, join_semi, require_unique
-from catalograph.operators.lists import (LIST_ROWS, attach_lists, collect_in_order, top_n_collect)
+from catalograph.operators.lists import LIST_ROWS, Lists, attach_lists, ordered_lists, top_n_collect
 from catalograph.operators.ordering import top_k_global, top_n_per_group
 from catalograph.schema import (ACTOR_CATEGORIES, CATALOGUE_LIMIT, DIRECTOR_CATEGORIES,
                                 SOURCE_BASE, STRINGS, TITLE_TYPE, TOP_CREDITS)
@@ -26,11 +26,11 @@ def popular_titles(basics: DataFrame, ratings: DataFrame, types=(TITLE_TYPE,),
 
 
 def director_lists(principals: DataFrame, names: DataFrame, order: list[str],
-                   categories=DIRECTOR_CATEGORIES, part_rows: int = LIST_ROWS) -> DataFrame:
+                   categories=DIRECTOR_CATEGORIES, part_rows: int = LIST_ROWS) -> Lists:
     """Directors per title in file order; an unknown person stays as a null entry."""
     credits = filter_category(principals, "category", categories)
     named = join_lookup(credits, names, "nconst", "primaryName", "pos")
-    return collect_in_order(named, "tconst", "primaryName", order, "directors", part_rows)
+    return ordered_lists(named, "tconst", "primaryName", order, "directors", part_rows)
 
 
 def cast_lists(principals: DataFrame, names: DataFrame, order: list[str],
@@ -45,7 +45,7 @@ def cast_lists(principals: DataFrame, names: DataFrame, order: list[str],
     return top_n_collect(named, "tconst", "primaryName", [F.col(c) for c in order], n, "cast")
 
 
-def assemble_items(titles: DataFrame, directors: DataFrame, cast: DataFrame) -> DataFrame:
+def assemble_items(titles: DataFrame, directors: Lists | DataFrame, cast: DataFrame) -> DataFrame:
     """Base records; titles without credits get empty lists."""
     none = F.array().cast(STRINGS)
     base = titles.select(

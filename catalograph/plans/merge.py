@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from catalograph.functions.scalars import (digits_int, item_url, parse_ratings, prefix_id,
                                            split_list_field, try_year)
@@ -50,9 +51,13 @@ def merge_entities(items: DataFrame, enrich: DataFrame, reviews: DataFrame,
 
     ``items`` carries ``tconst`` and the load order ``pos``; the last base record of a key wins. Its title and
     year may be named ``primaryTitle`` and ``startYear``; where an item has both, the first that says something
-    counts. A review without a year counts as one of year 0, which matches any year.
+    counts. A review without a year counts as one of year 0, which matches any year. ``reviews`` of an item may be a
+    list or one text.
     """
     items = named_alike(items)
+    if "reviews" in items.columns and not isinstance(items.schema["reviews"].dataType, T.ArrayType):
+        # one text: a list of one, and an empty one is no review
+        items = items.withColumn("reviews", F.when(F.col("reviews") != "", F.array("reviews")))
     part = [] if "part" not in items.columns else ["part"]
     base = dedup_last_wins(items.where(F.col("tconst").isNotNull()), ["tconst", *part], pos)
     # Written once: the items are read here for the joins and again for their titles.
@@ -62,7 +67,7 @@ def merge_entities(items: DataFrame, enrich: DataFrame, reviews: DataFrame,
 
     if articles is not None:
         lists = article_lists(articles, "imdb_id", ARTICLE_FIELDS, pos, part_rows)
-        lists = lists.withColumnRenamed("imdb_id", "tconst").withColumn("reported", F.lit(True))
+        lists = lists.map(lambda rows: rows.withColumnRenamed("imdb_id", "tconst").withColumn("reported", F.lit(True)))
         names = [f"{f}s" for f in ARTICLE_FIELDS]
         merged = attach_lists(merged, lists, "tconst", [*names, "reported"])
     else:

@@ -18,8 +18,7 @@ from pyspark.sql import types as T
 
 from catalograph.retrieval.analysis import (CATCH_ALL, CATCH_ALL_FIELD, KEYWORD_FIELDS, TEXT_FIELDS,
                                             Profile, positioned)
-from catalograph.operators.lists import own_rows, whole_lists
-from catalograph.schema import LIST_FIELDS
+from catalograph.operators.lists import list_columns, own_rows, whole_lists
 from catalograph.session import scratch_path
 
 # Positions of continuation rows start at multiples of this.
@@ -207,6 +206,6 @@ def fetch_items(index: Index, top: DataFrame) -> DataFrame:
     rest = [c for c in found.columns if c == "id" or c not in top.columns]
     own = own_rows(found).select(*rest)
     if index.has_parts:
-        lists = [c for c in rest if c in LIST_FIELDS]
+        lists = [c for c in list_columns(found) if c in rest]
         own = own.drop(*lists).join(whole_lists(found, "id", lists), "id").select(*rest)
     return own.join(F.broadcast(ranked), "id")

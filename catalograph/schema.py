@@ -60,6 +60,3 @@ FIELD_BOOSTS = {"title": 10.0, "cast": 5.0, "directors": 5.0, "plot": 2.0, "revi
 PHRASE_BOOSTS = {"title": 25.0, "cast": 10.0, "directors": 10.0, "plot": 3.0, "reviews": 3.0}
 SIMILAR_BY = ("plot", "title", "genres", "cast", "directors", "reviews")
 # ---- end of fixed values ----
-
-# Fields whose lists may continue in further rows of an item.
-LIST_FIELDS = ("reviews", "directors")

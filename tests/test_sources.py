@@ -46,6 +46,12 @@ def test_json_arrays(spark, tmp_path):
     typed = records.read_json_array(spark, str(odd), C.ENRICHMENT).orderBy("imdb_id").collect()
     assert [(r["imdb_id"], r["year"], r["title"]) for r in typed] == [
         ("tt1", 2001, None), ("tt2", None, "kept"), ("tt3", None, "too")]
+    lost = tmp_path / "lost.json"
+    lost.write_text(json.dumps([{"year": "n/a"}, {"imdb_id": "tt1", "genres": "Drama", "rating": 7, "year": 1.5}, {}, {"year": 3}]))
+    kept = records.read_json_array(spark, str(lost), C.ENRICHMENT)
+    assert kept.count() == 4 and kept.schema == C.ENRICHMENT
+    assert sorted((r["imdb_id"] or "", r["year"] or 0, r["genres"], r["rating"]) for r in kept.collect()) == [
+        ("", 0, None, None), ("", 0, None, None), ("", 3, None, None), ("tt1", 0, ["Drama"], 7.0)]
     rows = records.read_json_array(spark, str(good), C.ENRICHMENT).orderBy("imdb_id").collect()
     assert [(r["imdb_id"], r["title"]) for r in rows] == [("tt1", "é"), ("tt2", None)]
     assert records.read_json_array(spark, str(bad), C.ENRICHMENT).count() == 0
