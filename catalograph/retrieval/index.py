@@ -90,9 +90,9 @@ def token_rows(items: DataFrame, profile: Profile) -> DataFrame:
         if values is not None:
             keywords.append(_entries(F.array_distinct(values), name))
     part = F.col("part") if "part" in items.columns else F.lit(0)
-    rows = items.select("id", part.alias("part"), *texts.values(),
-                        F.concat(*keywords).alias("_keywords"))
-    entries = F.concat(*[_entries(F.col(f"_{n}"), n) for n in texts], F.col("_keywords"))
+    values = [F.concat(*keywords).alias("_keywords")] if keywords else []
+    rows = items.select("id", part.alias("part"), *texts.values(), *values)
+    entries = F.concat(*[_entries(F.col(f"_{n}"), n) for n in texts], *[F.col("_keywords")] * len(values))
     return (rows.select("id", "part", F.inline(entries))
             .withColumn("pos", F.col("pos") + F.col("part").cast("bigint") * PART_SPAN))
 

@@ -46,11 +46,16 @@ def term_factor(index: Index, fields) -> Column:
 
 @dataclass(frozen=True)
 class Wanted:
-    """One term looked for in one field; hits of one slot compete, slots add up."""
+    """One term looked for in one field; hits of one slot compete, slots add up.
+
+    A term of a phrase has the phrase's number of terms as ``size`` and its distance from the first as ``shift``.
+    """
     slot: int
     field: str
     term: str
     boost: float = 1.0
+    shift: int = 0
+    size: int = 1
 
 
 def _any_of(wanted: list[Wanted]) -> Column:
@@ -67,65 +72,70 @@ def item_counts(index: Index, wanted: list[Wanted]) -> dict[tuple[str, str], int
     return {(r["field"], r["term"]): r["df"] for r in rows}
 
 
+def _weights(index: Index, wanted: list[Wanted]) -> list[tuple]:
+    """(slot, field, term, shift, size, w) of what the index can have. A phrase weighs the summed idf of its terms,
+    and a field that lacks one of them cannot have it."""
+    counts = item_counts(index, wanted)
+    phrases: dict[tuple[int, str], list[Wanted]] = {}
+    rows = []
+    for w in wanted:
+        if w.size > 1:
+            phrases.setdefault((w.slot, w.field), []).append(w)
+        elif (w.field, w.term) in counts:
+            rows.append((w.slot, w.field, w.term, 0, 1, w.boost * idf_value(index.fields[w.field].items, counts[w.field, w.term])))
+    for terms in phrases.values():
+        if all((w.field, w.term) in counts for w in terms):
+            weight = terms[0].boost * sum(idf_value(index.fields[w.field].items, counts[w.field, w.term]) for w in terms)
+            rows += [(w.slot, w.field, w.term, w.shift, w.size, weight) for w in terms]
+    return rows
+
+
 def slot_scores(index: Index, wanted: list[Wanted], ids: DataFrame | None = None) -> DataFrame:
-    """(id, slot, s): best boosted score over fields per item and slot.
+    """(id, slot, s): best boosted score over fields per item and slot, words and phrases in one scan.
 
-    The broadcast frame holds one row per query word and field. Grouping by id, and the restriction
-    to given ids, stay in the bucket.
+    The broadcast frame holds one row per query word and field. Places of phrases, scores and the restriction to given
+    ids stay in the item's bucket; positions are read only if there is a phrase.
     """
-    counts = item_counts(index, wanted)
-    rows = [(w.slot, w.field, w.term,
-             w.boost * idf_value(index.fields[w.field].items, counts[w.field, w.term]))
-            for w in wanted if (w.field, w.term) in counts]
+    rows = _weights(index, wanted)
     if not rows:
         return index.spark.createDataFrame([], "id string, slot int, s double")
-    weights = index.spark.createDataFrame(rows, "slot int, field string, term string, w double")
-    found = index.frequencies().where(_any_of([w for w in wanted if (w.field, w.term) in counts]))
+    weights = index.spark.createDataFrame(rows, "slot int, field string, term string, shift int, size int, w double")
+    phrases = any(size > 1 for *_, size, _ in rows)
+    found = index.postings.select("id", "field", "term", "tf", "dl", "positions") if phrases else index.frequencies()
+    found = found.where(_any_of([w for w in wanted if w.term in {r[2] for r in rows}]))
     if ids is not None:
         found = found.join(ids.select("id"), "id", "left_semi")
     hits = found.join(F.broadcast(weights), ["field", "term"])
-    score = F.col("w") * term_factor(index, {w.field for w in wanted})
+    if phrases:
+        # A phrase begins where all its terms point to; a word has one row whatever its places, summed over parts.
+        starts = F.when(F.col("size") > 1, F.transform("positions", lambda p: p - F.col("shift"))).otherwise(
+            F.array(F.lit(None).cast("bigint")))
+        met = hits.select("id", "slot", "field", "size", "w", "tf", "dl", F.explode(starts).alias("start")).groupBy(
+            "id", "slot", "field", "start").agg(F.count("*").alias("met"), F.max("size").alias("size"), F.max("w").alias("w"),
+                                                F.sum("tf").alias("tf"), F.max("dl").alias("dl"))
+        met = met.where((F.col("size") == 1) | (F.col("met") == F.col("size")))
+        hits = met.groupBy("id", "slot", "field").agg(
+            F.when(F.max("size") > 1, F.count("*")).otherwise(F.max("tf")).alias("tf"), F.max("dl").alias("dl"), F.max("w").alias("w"))
+    score = F.col("w") * term_factor(index, {field for _, field, *_ in rows})
     return hits.groupBy("id", "slot").agg(F.max(score).alias("s"))
 
 
-def phrase_hits(index: Index, phrases: dict[str, list[tuple[int, str]]]) -> DataFrame:
-    """(id, field, dl, tf): places where a field has the terms at their relative positions.
+def _phrase(index: Index, text: str, boosts: dict[str, float], slot: int) -> list[Wanted]:
+    """The text as a phrase of each text field; none for fewer than two terms."""
+    wanted = []
+    for field, boost in boosts.items():
+        terms = index.profile.query_terms(text, field) if field not in KEYWORD_FIELDS else []
+        if len(terms) > 1:
+            wanted += [Wanted(slot, field, term, boost, place - terms[0][0], len(terms)) for place, term in terms]
+    return wanted
 
-    All fields are read in one scan; places are counted within the bucket.
-    """
-    places = index.spark.createDataFrame(
-        [(field, term, place - terms[0][0], len(terms))
-         for field, terms in phrases.items() for place, term in terms],
-        "field string, term string, shift int, size int")
-    wanted = [Wanted(0, field, t) for field, terms in phrases.items() for _, t in terms]
-    rows = index.postings.where(_any_of(wanted)).select("id", "field", "term", "dl", "positions")
-    starts = (rows.join(F.broadcast(places), ["field", "term"])
-              .select("id", "field", "dl", "size", "shift", F.explode("positions").alias("pos"))
-              .groupBy("id", "field", (F.col("pos") - F.col("shift")).alias("start"))
-              .agg(F.count("*").alias("met"), F.max("size").alias("size"), F.max("dl").alias("dl"))
-              .where(F.col("met") == F.col("size")))
-    return starts.groupBy("id", "field").agg(F.max("dl").alias("dl"), F.count("*").alias("tf"))
-
-
-def phrase_scores(index: Index, text: str, boosts: dict[str, float]) -> DataFrame:
-    """(id, s): best boosted phrase score over text fields; none for fewer than two terms.
-
-    A phrase scores the summed idf of its terms times the frequency factor of its count.
-    """
-    phrases = {f: index.profile.query_terms(text, f) for f in boosts if f not in KEYWORD_FIELDS}
-    wanted = [Wanted(0, f, t) for f, terms in phrases.items() for _, t in terms]
-    counts = item_counts(index, wanted)
-    # A field that lacks one of the terms cannot have the phrase.
-    phrases = {f: terms for f, terms in phrases.items()
-               if len(terms) > 1 and all((f, t) in counts for _, t in terms)}
-    if not phrases:
-        return index.spark.createDataFrame([], "id string, s double")
-    weight = F.lit(None).cast("double")
-    for f, terms in phrases.items():
-        w = boosts[f] * sum(idf_value(index.fields[f].items, counts[f, t]) for _, t in terms)
-        weight = F.when(F.col("field") == f, w).otherwise(weight)
-    score = weight * term_factor(index, phrases)
-    return phrase_hits(index, phrases).groupBy("id").agg(F.max(score).alias("s"))
+
+def _phrase_or_value(index: Index, text: str, boosts: dict[str, float], slot: int) -> list[Wanted]:
+    """As ``_phrase``, and the whole text of several words as a value of the whole-value fields."""
+    wanted = _phrase(index, text, boosts, slot)
+    if len(index.profile.query_terms(text, "title")) > 1:
+        wanted += [Wanted(slot, f, text.strip(), b) for f, b in boosts.items() if f in KEYWORD_FIELDS]
+    return wanted
 
 
 def search_field(index: Index, field: str, text: str) -> DataFrame:
@@ -180,23 +190,23 @@ def search_weighted(index: Index, text: str, boosts: dict[str, float] = FIELD_BO
     return _ranked(_weighted_slots(index, text, boosts, people_tokenized, ids))
 
 
-def phrase_boost(index: Index, text: str, boosts: dict[str, float] = PHRASE_BOOSTS) -> DataFrame:
+PHRASE = -2              # slot of the phrase, which competes with no word
+
+
+def phrase_boost(index: Index, text: str, boosts: dict[str, float] = PHRASE_BOOSTS,
+                 ids: DataFrame | None = None) -> DataFrame:
     """(id, boost): best boosted phrase score over fields, for queries of at least two words."""
-    scores = phrase_scores(index, text, boosts)
-    if len(index.profile.query_terms(text, "title")) > 1:
-        whole = [Wanted(0, f, text.strip(), b) for f, b in boosts.items() if f in KEYWORD_FIELDS]
-        scores = scores.unionByName(slot_scores(index, whole).select("id", "s"))
-    return scores.groupBy("id").agg(F.max("s").alias("boost"))
+    return slot_scores(index, _phrase_or_value(index, text, boosts, PHRASE), ids).select("id", F.col("s").alias("boost"))
 
 
 def search_phrase_boost(index: Index, text: str, boosts: dict[str, float] = FIELD_BOOSTS,
                         phrases: dict[str, float] = PHRASE_BOOSTS,
                         ids: DataFrame | None = None) -> DataFrame:
     """Weighted search with the phrase boost added; phrases never change which items match."""
-    slots = slot_scores(index, _words(index, text, boosts), ids)
-    base = slots.groupBy("id").agg(F.sum("s").alias("base"))
-    boosted = base.join(phrase_boost(index, text, phrases), "id", "left")
-    return boosted.select("id", F.round(
+    slots = slot_scores(index, _words(index, text, boosts) + _phrase_or_value(index, text, phrases, PHRASE), ids)
+    boosted = F.col("slot") == PHRASE
+    sums = slots.groupBy("id").agg(F.sum(F.when(~boosted, F.col("s"))).alias("base"), F.max(F.when(boosted, F.col("s"))).alias("boost"))
+    return sums.where("base IS NOT NULL").select("id", F.round(
         F.col("base") + F.coalesce("boost", F.lit(0.0)), SCORE_PLACES).alias("score"))
 
 
@@ -208,29 +218,35 @@ class Clause:
     phrase: bool = False
 
 
-def _clause_scores(index: Index, number: int, clause: Clause, boosts) -> DataFrame:
+def _clause_slots(index: Index, clause: Clause, boosts, first: int) -> list[Wanted]:
+    """What a clause looks for, in slots from ``first`` on."""
     fields = {clause.field: 1.0} if clause.field else dict(boosts)
-    number = F.lit(number).alias("clause")
     if clause.phrase:
-        return phrase_scores(index, clause.text, fields).select("id", number, "s")
-    slots = slot_scores(index, _words(index, clause.text, fields))
-    return slots.groupBy("id").agg(F.sum("s").alias("s")).select("id", number, "s")
+        return _phrase(index, clause.text, fields, first)
+    return _words(index, clause.text, fields, first + 1)
 
 
 def boolean_terms(index: Index, must: list[Clause] = (), should: list[Clause] = (),
                   must_not: list[Clause] = (),
-                  boosts: dict[str, float] = FIELD_BOOSTS) -> DataFrame:
+                  boosts: dict[str, float] = FIELD_BOOSTS, ids: DataFrame | None = None) -> DataFrame:
     """Items with every required, no excluded and, if nothing is required, some optional clause.
 
-    One row per item and clause; one grouping settles all clauses of an item.
+    The words and phrases of all clauses are slots of one scan; one grouping settles the clauses of an item.
     """
     clauses = [*must, *should, *must_not]
-    parts = [_clause_scores(index, i, c, boosts) for i, c in enumerate(clauses)]
-    union = parts[0]
-    for part in parts[1:]:
-        union = union.unionByName(part)
+    wanted_slots: list[Wanted] = []
+    of_slot = F.lit(None).cast("int")
+    first = 0
+    for number, clause in enumerate(clauses):
+        found = _clause_slots(index, clause, boosts, first)
+        wanted_slots += found
+        after = max([w.slot for w in found], default=first) + 1
+        of_slot = F.when((F.col("slot") >= first) & (F.col("slot") < after), number).otherwise(of_slot)
+        first = after
+    slots = slot_scores(index, wanted_slots, ids).withColumn("clause", of_slot)
+    met = slots.groupBy("id", "clause").agg(F.sum("s").alias("s"))
     wanted = len(must) + len(should)
-    scored = union.groupBy("id").agg(
+    scored = met.groupBy("id").agg(
         F.count_if(F.col("clause") < len(must)).alias("required"),
         F.count_if(F.col("clause") >= wanted).alias("excluded"),
         F.count_if(F.col("clause") < wanted).alias("met"),

@@ -267,6 +267,32 @@ def test_scoring_stays_in_the_bucket(index):
     assert "positions" not in plan.split("ReadSchema")[1][:200]
 
 
+def test_phrases_and_clauses_stay_in_the_bucket(index):
+    """Words, phrases and clauses share one scan of the postings and move no hit."""
+    some = index.items.where("year > 2000")
+    clauses = {"must": [X.Clause("dark"), X.Clause("dark knight", phrase=True)], "should": [X.Clause("city", "plot")],
+               "must_not": [X.Clause("Sci-Fi", "genres")]}
+    for scored in (X.search_phrase_boost(index, "dark knight"), X.search_phrase_boost(index, "dark knight", ids=some),
+                   X.boolean_terms(index, **clauses)):
+        plan = scored._jdf.queryExecution().executedPlan().toString()
+        assert "Exchange hashpartitioning" not in plan
+        assert plan.count(index.postings_table) == 1
+    assert set(scores(X.search_phrase_boost(index, "dark knight", ids=some))) == {"1", "3"}
+    assert set(scores(X.boolean_terms(index, **clauses))) == {"1"}
+
+
+def test_phrases_of_repeated_words_and_items_in_parts(spark):
+    rows = [("1", 0, ["to go go far"]), ("1", 1, ["go go", "far go"]), ("2", 0, ["go far go"]), ("3", 0, ["go go go"])]
+    names = "id string, part int, reviews array<string>"
+    index = build_index(spark.createDataFrame(rows, names), PLAIN, buckets=2)
+    found = X.slot_scores(index, X._phrase(index, "go go", {"reviews": 1.0}, 0))
+    assert set(r["id"] for r in found.collect()) == {"1", "3"}
+    assert set(scores(X.boolean_terms(index, must=[X.Clause("go far", "reviews", True)]))) == {"1", "2"}
+    whole = build_index(spark.createDataFrame([("1", 0, ["to go go far", "go go", "far go"]), *rows[2:]], names), PLAIN, buckets=2)
+    assert scores(X.search_phrase_boost(index, "go go far", {"reviews": 2.0}, {"reviews": 3.0})) == scores(
+        X.search_phrase_boost(whole, "go go far", {"reviews": 2.0}, {"reviews": 3.0}))
+
+
 def test_tasks(index):
     assert K.task_known_item(index, "Inception").first()["rating"] == 8.8
     assert {r["id"] for r in K.task_faceted(index, "Sci-Fi", 8.0, 2010).collect()} == {"4"}
