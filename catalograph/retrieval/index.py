@@ -28,7 +28,11 @@ PART_SPAN = 2 ** 31
 @dataclass(frozen=True)
 class FieldStats:
     items: int          # items with at least one term in the field
-    average: float      # terms per such item
+    terms: int          # terms of all items in the field
+
+    @property
+    def average(self) -> float:
+        return self.terms / self.items
 
 
 @dataclass(frozen=True)
@@ -41,6 +45,9 @@ class Index:
     fields: dict[str, FieldStats]
     total: int
     has_parts: bool
+    path: str = ""
+    buckets: int = 0
+    generation: int = 0
 
     @property
     def items(self) -> DataFrame:
@@ -127,7 +134,7 @@ def field_stats(postings: DataFrame) -> DataFrame:
     """Items and mean length per field."""
     lengths = postings.groupBy("id", "field").agg(F.sum("tf").alias("dl"))
     return lengths.groupBy("field").agg(
-        F.count("*").alias("n"), (F.sum("dl") / F.count("*")).alias("avgdl"))
+        F.count("*").alias("n"), F.sum("dl").alias("terms"), (F.sum("dl") / F.count("*")).alias("avgdl"))
 
 
 def _create(spark: SparkSession, name: str, path: str, buckets: int, sort: str) -> None:
@@ -168,27 +175,42 @@ def build_index(items: DataFrame, profile: Profile, path: str | None = None,
     term_stats(postings, has_parts).sortWithinPartitions("field", "term").write.parquet(
         f"{path}/terms")
     # One row per field comes to the driver.
-    fields = {r["field"]: FieldStats(r["n"], r["avgdl"]) for r in field_stats(postings).collect()}
-    meta = [(profile.stem, list(profile.stop), profile.catch_all, buckets, sizes["n"], has_parts,
-             [(name, f.items, f.average) for name, f in fields.items()])]
-    spark.createDataFrame(meta, META).coalesce(1).write.json(f"{path}/meta")
-    return Index(spark, profile, items_table, postings_table, f"{path}/terms", fields, sizes["n"],
-                 has_parts)
+    fields = {r["field"]: FieldStats(r["n"], r["terms"]) for r in field_stats(postings).collect()}
+    index = Index(spark, profile, items_table, postings_table, f"{path}/terms", fields, sizes["n"],
+                  has_parts, path, buckets)
+    write_meta(index, f"{path}/meta/generation=0")
+    return index
+
+
+META = ("stem boolean, stop array<string>, catch_all boolean, buckets int, total bigint, has_parts boolean, generation int, "
+        "fields array<struct<field:string,items:bigint,terms:bigint>>")
 
 
-META = ("stem boolean, stop array<string>, catch_all boolean, buckets int, total bigint, has_parts boolean, "
-        "fields array<struct<field:string,items:bigint,average:double>>")
+def terms_path(path: str, generation: int) -> str:
+    return f"{path}/terms" if generation == 0 else f"{path}/terms-{generation}"
+
+
+def write_meta(index: Index, folder: str) -> None:
+    """The index's description, one small file per generation; the latest counts."""
+    p = index.profile
+    meta = [(p.stem, list(p.stop), p.catch_all, index.buckets, index.total, index.has_parts, index.generation,
+             [(name, f.items, f.terms) for name, f in index.fields.items()])]
+    index.spark.createDataFrame(meta, META).coalesce(1).write.mode("overwrite").json(folder)
 
 
 def open_index(spark: SparkSession, path: str) -> Index:
-    """An index that an earlier session has written."""
-    meta = spark.read.schema(META).json(f"{path}/meta").first()
+    """An index that an earlier session has written; a refresh that was cut off is finished first."""
+    from catalograph.retrieval.refresh import finish
+
+    finish(spark, path)
+    meta = spark.read.schema(META).json(f"{path}/meta").orderBy(F.desc("generation")).first()
     items_table, postings_table = _names()
     _create(spark, items_table, f"{path}/items", meta["buckets"], "id")
     _create(spark, postings_table, f"{path}/postings", meta["buckets"], "field, term")
-    fields = {f["field"]: FieldStats(f["items"], f["average"]) for f in meta["fields"]}
+    fields = {f["field"]: FieldStats(f["items"], f["terms"]) for f in meta["fields"]}
     return Index(spark, Profile(meta["stem"], tuple(meta["stop"]), meta["catch_all"]), items_table, postings_table,
-                 f"{path}/terms", fields, meta["total"], meta["has_parts"])
+                 terms_path(path, meta["generation"]), fields, meta["total"], meta["has_parts"], path, meta["buckets"],
+                 meta["generation"])
 
 
 def fetch_items(index: Index, top: DataFrame) -> DataFrame:

@@ -1,11 +1,14 @@
 import math
+import os
 import random
 import re
 
 import pytest
 from pyspark.sql import functions as F
 
+from catalograph.operators.joins import KeyRepeats
 from catalograph.plans import tasks as K
+from catalograph.retrieval import refresh as R
 from catalograph.retrieval import scoring as X
 from catalograph.retrieval import similar as S
 from catalograph.retrieval.analysis import PLAIN, STEMMED, Profile, analyze_general, tokenize
@@ -250,6 +253,52 @@ def test_reopened_index_answers_alike(spark, items, tmp_path):
         X.search_phrase_boost(built, "dark knight"))
 
 
+def _contents(index):
+    postings = [tuple(map(str, r)) for r in index.postings.select("id", "part", "field", "term", "tf", "dl", "positions").collect()]
+    return (sorted(tuple(map(str, r)) for r in index.items.collect()), sorted(postings),
+            sorted(map(tuple, index.term_stats.collect())), index.fields, index.total)
+
+
+def _bucket_files(path):
+    return {n for t in ("items", "postings") for n in os.listdir(f"{path}/{t}") if n.startswith("part-")}
+
+
+@pytest.mark.parametrize("cut_off", [False, True])
+def test_refresh_equals_a_rebuild(spark, items, tmp_path, monkeypatch, cut_off):
+    """Changed, new and removed items; only touched buckets are written, and a cut-off swap is finished on opening."""
+    path = str(tmp_path / "index")
+    old = build_index(items, PLAIN, path, buckets=7)
+    files = _bucket_files(path)
+    changed = [(*ROWS[1][:2], "Bright City", *ROWS[1][3:]), ("9", 0, "New arrival", 2020, *ROWS[0][4:])]
+    parts = [("9", 1, *[None] * 8, ["and one more knight"], *[None] * 4)]
+    removed = spark.createDataFrame([("3",), ("2",), ("none",), (None,)], "id string")
+    if cut_off:
+        monkeypatch.setattr(R, "finish", lambda spark, path: None)
+    new = R.refresh_index(old, spark.createDataFrame(changed + parts, DDL), removed)
+    monkeypatch.undo()
+    reopened = open_index(spark, path)
+    rebuilt = build_index(spark.createDataFrame([ROWS[0], *changed, *parts, ROWS[3], ROWS[4]], DDL), PLAIN, buckets=7)
+    assert _contents(reopened) == _contents(rebuilt)
+    assert reopened.has_parts and reopened.generation == new.generation == 1
+    if not cut_off:
+        assert _contents(new) == _contents(rebuilt)
+    touched = {r[0] for r in spark.createDataFrame([("2",), ("3",), ("9",), ("none",)], "id string").select(
+        F.pmod(F.hash("id"), F.lit(7))).collect()}
+    kept = {n for n in files if R._bucket_of(n) not in touched}
+    assert kept and kept <= _bucket_files(path) and not {n for n in files - kept} & _bucket_files(path)
+    assert not [n for n in os.listdir(path) if n.startswith(("staged", "journal")) and "crc" not in n]
+    assert scores(X.search_phrase_boost(reopened, "dark knight")) == scores(X.search_phrase_boost(rebuilt, "dark knight"))
+    plan = X.search_weighted(reopened, "dark knight")._jdf.queryExecution().executedPlan().toString()
+    assert "Exchange hashpartitioning(id" not in plan
+
+
+def test_refresh_without_changes_and_with_repeats(spark, items, tmp_path):
+    index = build_index(items, PLAIN, str(tmp_path / "index"), buckets=2)
+    assert R.refresh_index(index, items.limit(0)) is index
+    with pytest.raises(KeyRepeats):
+        R.refresh_index(index, items.unionByName(items))
+
+
 def test_items_in_parts_score_like_whole_items(spark, items):
     whole = build_index(items, PLAIN, buckets=2)
     split = [r if r[0] != "3" else (*r[:10], r[10][:1], *r[11:]) for r in ROWS]

@@ -9,7 +9,8 @@ from catalograph.retrieval import analysis as A
 from catalograph.retrieval import similar as S
 from catalograph.retrieval import scoring as X
 from catalograph.retrieval.highlight import highlight_fragment, result_page
-from catalograph.retrieval.index import fetch_items, field_stats, token_rows
+from catalograph.retrieval.index import build_index, fetch_items, field_stats, token_rows
+from catalograph.retrieval.refresh import refresh_index
 from catalograph.retrieval.request import SearchRequest, get_with_similar, search
 from workload import tables as T
 from workload.registry import query
@@ -77,6 +78,26 @@ def _(spark, sf):
         "field", "term", F.col("df").alias("n"), F.lit(None).cast("double").alias("avgdl")))
 
 
+# An index of the documents as they were, some of them with another text or not there yet, brought up to date.
+@query("index_refresh", f"""{POSTINGS} SELECT field, '' AS term, n, round(avgdl, 6) AS avgdl
+    FROM field_stats UNION ALL SELECT field, term, df, NULL FROM term_stats
+    UNION ALL SELECT field, id, cast(sum(tf) AS BIGINT), sum(hash_of) FROM (SELECT field, id, tf,
+      cast(list_sum(positions) AS DOUBLE) AS hash_of FROM postings) GROUP BY field, id""")
+def _(spark, sf):
+    items = T.items(spark, sf)
+    number = F.col("id").cast("long")
+    stale = items.withColumn("plot", F.when(number % 97 == 5, F.lit("an earlier text")).otherwise(F.col("plot"))).where(
+        (number % 89 != 7) | (F.col("part") > 0))
+    buckets = max(spark.sparkContext.defaultParallelism, T.table(spark, sf, "documents").rdd.getNumPartitions())
+    index = refresh_index(build_index(stale, A.PLAIN, buckets=buckets), items.where((number % 97 == 5) | (number % 89 == 7)))
+    fields = field_stats(index.postings).select(
+        "field", F.lit("").alias("term"), "n", F.round("avgdl", 6).alias("avgdl"))
+    terms = index.term_stats.select("field", "term", F.col("df").alias("n"), F.lit(None).cast("double").alias("avgdl"))
+    places = F.aggregate("positions", F.lit(0).cast("bigint"), lambda a, x: a + x).cast("double")
+    rows = index.postings.groupBy("field", F.col("id").alias("term")).agg(F.sum("tf").alias("n"), F.sum(places).alias("avgdl"))
+    return fields.unionByName(terms).unionByName(rows)
+
+
 # ---- ranked search ----
 
 def _terms(text: str) -> str:
