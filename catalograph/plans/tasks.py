@@ -10,7 +10,7 @@ from catalograph.operators.ordering import first_rows, paginate, random_keys, so
 from catalograph.retrieval.index import Index, fetch_items
 from catalograph.retrieval.request import SearchRequest, matched_items
 from catalograph.retrieval.scoring import Clause, boolean_terms, search_phrase_boost
-from catalograph.retrieval.similar import more_like_this
+from catalograph.retrieval.similar import similar_items
 from catalograph.schema import PAGE_SIZE
 
 
@@ -41,11 +41,9 @@ def task_genre_decade(index: Index, genre: str, year_from: int, year_to: int, ab
 
 
 def task_discovery(index: Index, title: str, k: int = 10) -> DataFrame:
-    """Items similar to the one a title search finds first."""
+    """Items similar to the one a title search finds first, with their display fields; none if it finds nothing."""
     best = task_known_item(index, title).select("id").first()      # one row: the seed
-    if best is None:
-        return index.spark.createDataFrame([], "seed string, id string, score double")
-    return more_like_this(index, best["id"], k=k)
+    return similar_items(index, best["id"] if best else "", k=k)
 
 
 def task_complex(index: Index, genre: str, word: str, year_from: int, year_to: int,

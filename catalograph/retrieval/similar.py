@@ -16,7 +16,7 @@ from catalograph.schema import SIMILAR_BY, SIMILAR_FIELDS
 from catalograph.session import materialize
 
 MAX_TERMS = 25
-RARE_ITEMS = 1_000_000   # items a seed's terms may reach before common terms are set apart
+FIRST_ITEMS = 2_000      # items that a seed's rarest terms reach before its floor is taken
 SLACK = 1e-5             # covers rounding of scores when they are compared with a floor
 WEIGHT_PLACES = 9
 
@@ -96,25 +96,31 @@ def similar_items(index: Index, item_id: str, fields=SIMILAR_BY, k: int = 5, boo
             .orderBy(F.col("score").desc(), F.col("id")))
 
 
+def similar_items_batch(index: Index, seeds: DataFrame, fields=SIMILAR_BY, k: int = 5, boost: bool = False,
+                        shown=SIMILAR_FIELDS) -> DataFrame:
+    """``more_like_this_batch`` with the display fields of each similar item. The k rows of each seed are dealt to the
+    items' buckets; the items do not move."""
+    names = [n for n in shown if n in index.items.columns]
+    best = more_like_this_batch(index, seeds, fields, k, boost)
+    return own_rows(index.items).select(*names).join(best, "id").select("seed", "score", *names)
+
+
 def more_like_this_batch(index: Index, seeds: DataFrame, fields=SIMILAR_BY, k: int = 5,
-                         boost: bool = False, rare_items: int = RARE_ITEMS) -> DataFrame:
+                         boost: bool = False, first_items: int = FIRST_ITEMS) -> DataFrame:
     """``more_like_this`` for a table of seed ids.
 
     Many seeds share common terms, and pairing each of them with every item that has such a term is
-    what would not scale. Where a seed's terms are in more than ``rare_items`` items together, its
-    rarest terms are scored first: their k-th best sum is a floor for the final top k. The most common
-    terms whose weights together stay below that floor cannot bring in an item alone, so only the
-    other terms look for candidates, candidates out of reach of the floor are dropped, and the
-    common terms are then added for the remaining ones. The result is the same as without.
+    what would not scale. Each seed first scores its rarest terms, as many as reach ``first_items`` items together:
+    the k-th best sum is a floor for the final top k. The most common terms whose weights together stay below that floor
+    cannot bring in an item alone, so only the other terms look for candidates, candidates out of reach of
+    the floor are dropped, and the common terms are then added for the remaining ones. ``first_items`` moves
+    work between the rounds and never changes the result.
 
     The seeds' terms are written first: then their size is known, and Spark broadcasts them only
     under its own threshold and shuffles both sides by term beyond it.
     """
     terms = materialize(_weighed(index, mlt_terms(index, seeds, fields), fields, boost), "seed-terms")
     own_fields = F.col("field").isin(list(fields))
-    widest = terms.groupBy("seed").agg(F.sum("df").alias("n")).agg(F.max("n")).first()[0] or 0
-    if widest <= rare_items:
-        return _best(_sums(index, terms, own_fields, fields), k)
 
     def running(value: str, *order: Column) -> Column:
         return F.sum(value).over(W.partitionBy("seed").orderBy(*order).rowsBetween(
@@ -124,7 +130,7 @@ def more_like_this_batch(index: Index, seeds: DataFrame, fields=SIMILAR_BY, k: i
     rarest = terms.withColumns({
         "_sum": running("df", F.col("df"), F.col("field"), F.col("term")),
         "_nth": F.row_number().over(first)}).where(
-        (F.col("_sum") <= rare_items) | (F.col("_nth") == 1)).drop("_sum", "_nth")
+        (F.col("_sum") <= first_items) | (F.col("_nth") == 1)).drop("_sum", "_nth")
     floors = (_best(_sums(index, rarest, own_fields, fields), k).groupBy("seed")
               .agg(F.count("*").alias("found"), F.min("score").alias("floor"))
               .where(F.col("found") == k).select("seed", (F.col("floor") - SLACK).alias("floor")))

@@ -209,17 +209,28 @@ def test_similar_items(index):
 
 
 @pytest.mark.parametrize("boost", [False, True])
-@pytest.mark.parametrize("rare_items", [0, 40, 400])
-def test_batch_similarity_is_exact_whatever_is_set_apart(spark, rare_items, boost):
+@pytest.mark.parametrize("first_items", [0, 40, 400])
+def test_batch_similarity_is_exact_whatever_is_set_apart(spark, first_items, boost):
     """Common terms are treated apart at any bound; the result must not change."""
     items = tables.items(spark, SF).where("id % 2 = 0")
     small = build_index(items, PLAIN, buckets=4)
     seeds = items.where("id % 10 = 0").select("id")
-    plain = S.more_like_this_batch(small, seeds, k=3, boost=boost)
-    apart = S.more_like_this_batch(small, seeds, k=3, boost=boost, rare_items=rare_items)
+    # with all terms in the first round no term is left to be set apart
+    plain = S._best(S._sums(small, S._weighed(small, S.mlt_terms(small, seeds), S.SIMILAR_BY, boost), F.lit(True), S.SIMILAR_BY), 3)
+    apart = S.more_like_this_batch(small, seeds, k=3, boost=boost, first_items=first_items)
     assert sorted(map(tuple, apart.collect())) == sorted(map(tuple, plain.collect()))
 
 
+def test_batch_similarity_shows_its_items(index, spark):
+    seeds = spark.createDataFrame([("1",), ("4",), ("none",)], "id string")
+    found = S.similar_items_batch(index, seeds, k=2)
+    assert {"seed", "id", "score", "title", "year", "genres"} <= set(found.columns)
+    assert sorted((r["seed"], r["id"], r["score"]) for r in found.collect()) == sorted(
+        map(tuple, S.more_like_this_batch(index, seeds, k=2).select("seed", "id", "score").collect()))
+    assert sorted((r["seed"], r["title"]) for r in found.where("seed = '1'").collect()) == sorted(
+        (r["seed"], r["title"]) for r in S.similar_items(index, "1", k=2).collect())
+
+
 def test_highlighting(spark):
     text = "x" * 199 + " dark dark " + "y" * 190 + " dark"
     df = spark.createDataFrame([("1", text), ("2", "Nothing here"), ("3", None)], "id string, plot string")

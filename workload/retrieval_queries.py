@@ -373,6 +373,21 @@ def _(spark, sf):
     return S.more_like_this_batch(T.index(spark, sf), _seeds(spark, sf), k=5)
 
 
+@query("similar_items_batch", f"""WITH {T.POSTINGS}, {BENCH_SEEDS}, {_like(5)}
+    SELECT seed, score, i.id, title, year, rating, array_to_string(genres, '|') AS genres, plot, site
+    FROM liked JOIN items i ON i.id = liked.id""")
+def _(spark, sf):
+    found = S.similar_items_batch(T.index(spark, sf), _seeds(spark, sf), k=5).withColumn("genres", F.array_join("genres", "|"))
+    return found.select("seed", "score", "id", "title", "year", "rating", "genres", "plot", "site")
+
+
+# every document is a seed
+@query("more_like_this_every", f"""WITH {T.POSTINGS}, {_seed_terms("SELECT id FROM items")}, {_like(3)}
+    SELECT * FROM liked""")
+def _(spark, sf):
+    return S.more_like_this_batch(T.index(spark, sf), T.items(spark, sf).where("part = 0").select("id"), k=3)
+
+
 @query("more_like_this_stemmed", f"WITH {T.POSTINGS_STEMMED}, {ONE_SEED}, {_like(10)} SELECT * FROM liked")
 def _(spark, sf):
     return S.more_like_this(T.index(spark, sf, stem=True), SEED, k=10)

@@ -34,9 +34,11 @@ def _(spark, sf):
 
 @query("task_discovery", f"""WITH {_full(PHRASE)},
     {_seed_terms("SELECT id FROM (SELECT id FROM ranked ORDER BY score DESC, id LIMIT 1)")},
-    {_like(10)} SELECT * FROM liked""")
+    {_like(10)} SELECT seed, i.id, score, title, year, rating, array_to_string(genres, '|') AS genres, plot, site
+    FROM liked JOIN items i ON i.id = liked.id""")
 def _(spark, sf):
-    return K.task_discovery(T.index(spark, sf), PHRASE, 10)
+    found = K.task_discovery(T.index(spark, sf), PHRASE, 10).withColumn("genres", F.array_join("genres", "|"))
+    return found.select("seed", "id", "score", "title", "year", "rating", "genres", "plot", "site")
 
 
 @query("task_complex", f"""WITH {T.TOKENS} SELECT id, title, year, rating FROM items
