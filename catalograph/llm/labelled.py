@@ -9,8 +9,6 @@ from pyspark.sql import functions as F
 
 from catalograph.llm.tables import held_out
 
-SLICES = 8
-
 
 def known_labels(labels: DataFrame, label_col: str, id_col: str = "doc_id") -> DataFrame:
     """``(i, y)``: the largest 0/1 label of each id outside the held-out fold."""
@@ -24,17 +22,13 @@ def share_of_ones(labels: DataFrame, label_col: str, id_col: str = "doc_id") ->
     return known_labels(labels, label_col, id_col).agg(F.avg("y")).first()[0]
 
 
-def excerpts(text: Column, chars: int) -> Column:
-    """A text of up to ``chars`` characters whole; of a longer one whole words of ``SLICES`` slices of equal size,
-    spread evenly from its beginning to its end, ``chars`` characters together at most."""
-    each = max(1, (chars - SLICES) // SLICES)
-    gap = (F.length(text) - each) / (SLICES - 1)
-    parts = []
-    for k in range(SLICES):
-        part = F.substr(text, (F.floor(gap * k) + 1).cast("int"), F.lit(each))
-        # the first and last word may be cut
-        parts.append(F.regexp_replace(part, r"\s\S*$" if not k else r"^\S*\s" if k == SLICES - 1 else r"^\S*\s|\s\S*$", ""))
-    return F.when(F.length(text) <= chars, text).otherwise(F.substr(F.concat_ws(" ", *parts), F.lit(1), F.lit(chars)))
+def _chosen(docs: DataFrame, labels: DataFrame, label_col: str, ones: int, zeros: int, id_col: str, text_col: str) -> tuple[DataFrame, DataFrame]:
+    """Ids ``(i, y)`` of the sample, chosen from ids alone by their hash, and all texts ``(i, t)``."""
+    known = known_labels(labels, label_col, id_col)
+    order = (F.xxhash64("i"), F.col("i"))
+    ids = (known.where("y = 1").orderBy(*order).limit(ones)
+           .unionByName(known.where("y = 0").orderBy(*order).limit(zeros)))
+    return ids, docs.select(F.col(id_col).alias("i"), F.col(text_col).alias("t")).where(F.col("t").isNotNull())
 
 
 def training_values(docs: DataFrame, labels: DataFrame, label_col: str, ones: int, zeros: int,
@@ -45,18 +39,31 @@ def training_values(docs: DataFrame, labels: DataFrame, label_col: str, ones: in
     id, text or label do not take part; an id labelled more than once has its largest label, repeated documents
     count once.
     """
-    known = known_labels(labels, label_col, id_col)
-    order = (F.xxhash64("i"), F.col("i"))
-    ids = (known.where("y = 1").orderBy(*order).limit(ones)
-           .unionByName(known.where("y = 0").orderBy(*order).limit(zeros)))
-    texts = docs.select(F.col(id_col).alias("i"), F.col(text_col).alias("t")).where(F.col("t").isNotNull())
+    ids, texts = _chosen(docs, labels, label_col, ones, zeros, id_col, text_col)
     # at most ones + zeros ids of 12 bytes are broadcast
     found = texts.join(F.broadcast(ids), "i").select("i", "y", value(F.col("t")).alias("v"))
     rows = found.groupBy("i").agg(F.min("v").alias("v"), F.max("y").alias("y")).toPandas().sort_values("i")
     return rows["v"].tolist(), rows["y"].tolist()
 
 
-def training_rows(docs: DataFrame, labels: DataFrame, label_col: str, ones: int, zeros: int, chars: int,
+def training_rows(docs: DataFrame, labels: DataFrame, label_col: str, ones: int, zeros: int, most_chars: int,
                   id_col: str = "doc_id", text_col: str = "text") -> tuple[list[str], list[int]]:
-    """``training_values`` of the texts; one of more than ``chars`` characters gives ``excerpts``."""
-    return training_values(docs, labels, label_col, ones, zeros, lambda text: excerpts(text, chars), id_col, text_col)
+    """Whole texts and 0/1 labels of up to ``ones`` and ``zeros`` labelled rows outside the held-out fold.
+
+    As ``training_values``, and of each label rows are taken only until their texts have half of ``most_chars``
+    characters together: a bound on rows, as a text is taken whole or not, whatever its own length up to that half.
+    """
+    ids, texts = _chosen(docs, labels, label_col, ones, zeros, id_col, text_col)
+    sized = (texts.join(F.broadcast(ids), "i").groupBy("i").agg(F.max(F.length("t")).alias("n"), F.max("y").alias("y"),
+                                                                F.min(F.xxhash64("i")).alias("h")).collect())
+    taken, held = [], [0, 0]
+    for row in sorted(sized, key=lambda r: (r["h"], r["i"])):
+        if held[row["y"]] + row["n"] <= most_chars // 2:
+            held[row["y"]] += row["n"]
+            taken.append((row["i"], row["y"]))
+    if not taken:
+        return [], []
+    kept = docs.sparkSession.createDataFrame(taken, ids.schema)
+    found = texts.join(F.broadcast(kept), "i").groupBy("i").agg(F.min("t").alias("t"), F.max("y").alias("y"))
+    rows = found.toPandas().sort_values("i")
+    return rows["t"].tolist(), rows["y"].tolist()

@@ -1,7 +1,8 @@
 """Toxicity: a bidirectional gated recurrent network with attention pooling over words.
 
-The input of a word is the embedding of the word joined with the mean embedding of its character pieces (its
-first 3, 4, 5 and 6 characters), so unseen forms of a known stem are recognised. A text is
+The input of a word is the embedding of the word joined with the mean embedding of all its character n-grams
+(``GRAMS`` characters from every position, those at the word's ends marked as such), so every character counts and unseen
+forms of known parts are recognised. A text is
 cut into overlapping windows of words; each window is read in both directions, the states are pooled by
 attention into one logit, and the text's score is the sigmoid of its largest window logit. All windows of
 a text are scored, whatever its length; the arithmetic is numpy over many windows at once.
@@ -25,7 +26,7 @@ from catalograph.llm.labelled import share_of_ones, training_rows
 from catalograph.llm.tables import cut_at_space, text_slices
 
 WINDOW, STRIDE = 48, 32
-PIECES = (3, 4, 5, 6)         # first characters of a word that are inputs of their own
+GRAMS = (3, 5)                # characters of an n-gram
 HIDDEN, WIDTH = 8, 8          # states a direction; numbers of a word and of a character embedding
 _PART, _WINDOWS = 1 << 18, 4096  # characters read, and windows scored, at a time
 SLOT_BITS = 20                # of the table that finds a form's row
@@ -36,11 +37,11 @@ _INVERSE = np.uint64(pow(int(_PRIME), -1, 1 << 64))
 @dataclass(frozen=True)
 class TrainingBounds:
     """What the driver may gather to learn from: so many toxic and so many other labelled rows, taken by a
-    hash of the id; of a text of more than ``chars`` characters slices spread over all of it (see ``excerpts``)."""
+    hash of the id, whole texts of ``chars`` characters together at most (see ``training_rows``)."""
 
     toxic: int = 1200
     other: int = 3600
-    chars: int = 8_000
+    chars: int = 48_000_000
     least_texts: int = 5  # a word or piece of fewer texts is unknown
     steps: int = 150
     texts_a_step: int = 192
@@ -71,17 +72,27 @@ def _powers(length: int) -> tuple[np.ndarray, np.ndarray]:
     return _classes["power"][:length], _classes["inverse"][:length]
 
 
-def _mixed(hashes: np.ndarray, salt: int) -> np.ndarray:
-    x = hashes ^ np.uint64(salt * 0x632BE59BD9B4E019 % 2**64)
+def _mixed(hashes: np.ndarray, salt: int | np.ndarray) -> np.ndarray:
+    x = hashes ^ (np.asarray(salt, np.uint64) * np.uint64(0x632BE59BD9B4E019))
     x = (x ^ (x >> np.uint64(29))) * np.uint64(0xBF58476D1CE4E5B9)
     return x ^ (x >> np.uint64(32))
 
 
-def word_hashes(texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
-    """Per word of all texts: hashes of the word and of its four pieces (5 columns); and words per text.
+@dataclass
+class Words:
+    """Words of texts by their distinct forms: the form of each word, words per text, hash of each form, and
+    the hashes of each form's n-grams one form after the other with their number."""
 
-    Words are runs of letters and digits of the lower-cased text.
-    """
+    form: np.ndarray
+    counts: np.ndarray
+    hashes: np.ndarray
+    grams: np.ndarray
+    lengths: np.ndarray
+
+
+def read_words(texts: list[str]) -> Words:
+    """Words are runs of letters and digits of the lower-cased text. An n-gram is hashed with whether it begins or ends
+    its word; a word shorter than the least size is one n-gram."""
     lowered = [t.lower() for t in texts]
     sizes = np.fromiter((len(t) + 1 for t in lowered), np.int64, len(lowered))
     codes = np.frombuffer(" ".join([*lowered, ""]).encode("utf-32-le", "surrogatepass"), np.uint32)
@@ -96,11 +107,26 @@ def word_hashes(texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
     def part(a, b, salt):
         return _mixed((sums[b] - sums[a]) * inverses[a], salt)
 
-    out = np.empty((len(starts), 5), np.uint64)
-    out[:, 0] = part(starts, ends, 1)
-    for column, size in enumerate(PIECES, 1):
-        out[:, column] = part(starts, np.minimum(starts + size, ends), 10 + size)
-    return out, counts
+    hashes, first, form = np.unique(part(starts, ends, 1), return_index=True, return_inverse=True)
+    starts, ends = starts[first], ends[first]
+    owners, grams = [], []
+    for size in GRAMS:
+        number = np.maximum(ends - starts - size + 1, int(size == GRAMS[0]))
+        owner = np.repeat(np.arange(len(starts)), number)
+        begin = starts[owner] + np.arange(len(owner)) - np.repeat(np.cumsum(number) - number, number)
+        end = np.minimum(begin + size, ends[owner])
+        owners.append(owner)
+        grams.append(part(begin, end, 10 * size + 2 * (begin == starts[owner]) + (end == ends[owner])))
+    owner, gram = np.concatenate(owners), np.concatenate(grams)
+    order = np.argsort(owner, kind="stable")
+    return Words(form.astype(np.int32), counts, hashes, gram[order], np.bincount(owner, minlength=len(starts)))
+
+
+def _means(values: np.ndarray, lengths: np.ndarray) -> np.ndarray:
+    """Mean of each run of ``lengths`` rows; every run has a row."""
+    if not len(lengths):
+        return np.zeros((0, values.shape[1]), np.float32)
+    return np.add.reduceat(values, np.cumsum(lengths) - lengths, axis=0) / lengths[:, None].astype(np.float32)
 
 
 def _some_at_a_time(texts: list[str]) -> Iterator[tuple[list[int], list[str]]]:
@@ -188,18 +214,14 @@ class Network:
                    normal(2, HIDDEN, 3 * HIDDEN, scale=0.3), normal(2, HIDDEN, scale=0.3),
                    normal(2, HIDDEN, scale=0.5), np.full(1, -1.0, np.float32))
 
-    def rows(self, hashes: np.ndarray) -> np.ndarray:
-        return np.concatenate((self.word_forms.rows(hashes[:, :1]), self.piece_forms.rows(hashes[:, 1:])), 1)
+    def given(self, words: Words) -> np.ndarray:
+        """Input of each form: the word's embedding and the mean one of its n-grams, (forms, 2 * WIDTH)."""
+        parts = _means(self.pieces[self.piece_forms.rows(words.grams)], words.lengths)
+        return np.concatenate((self.words[self.word_forms.rows(words.hashes)], parts), 1)
 
-    def gates(self, numbers: np.ndarray) -> np.ndarray:
+    def gates(self, given: np.ndarray, form: np.ndarray) -> np.ndarray:
         """Input part of all gates of each word, (words, 6 * HIDDEN)."""
-        given = np.empty((len(numbers), 2 * WIDTH), np.float32)
-        given[:, :WIDTH] = self.words[numbers[:, 0]]
-        given[:, WIDTH:] = self.pieces[numbers[:, 1]]
-        for column in (2, 3, 4):
-            given[:, WIDTH:] += self.pieces[numbers[:, column]]
-        given[:, WIDTH:] *= 0.25
-        return given @ self.inputs + self.bias
+        return given[form] @ self.inputs + self.bias
 
     def logits(self, gates: np.ndarray, first: np.ndarray, size: np.ndarray) -> np.ndarray:
         """One logit a window. Windows are sorted by size, so a step runs over a leading part of them."""
@@ -244,18 +266,21 @@ class Network:
 
         Words are read and windows are scored a bounded number at a time, however long a text is.
         """
-        numbers, counts = [], np.zeros(len(texts), np.int64)
+        given, form, counts, forms = [], [], np.zeros(len(texts), np.int64), 0
         for owner, parts in _some_at_a_time(texts):
-            hashes, number = word_hashes(parts)
-            numbers.append(self.rows(hashes))
-            np.add.at(counts, owner, number)
-        rows = np.concatenate(numbers) if numbers else np.zeros((0, 5), np.int32)
+            words = read_words(parts)
+            given.append(self.given(words))
+            form.append(words.form + forms)
+            forms += len(words.hashes)
+            np.add.at(counts, owner, words.counts)
+        given = np.concatenate(given) if given else np.zeros((0, 2 * WIDTH), np.float32)
+        form = np.concatenate(form) if form else np.zeros(0, np.int32)
         first, size, text = windows(counts, self.window, self.stride)
         best = np.full(len(texts), -np.inf, np.float32)
         for at in range(0, len(first), _WINDOWS):
             some = slice(at, at + _WINDOWS)
             begin, end = int(first[at]), int((first[some] + size[some]).max())
-            logits = self.logits(self.gates(rows[begin:end]), first[some] - begin, size[some])
+            logits = self.logits(self.gates(given, form[begin:end]), first[some] - begin, size[some])
             np.maximum.at(best, text[some], logits)
         best[np.isneginf(best)] = min(float(self.base[0]), -1.0)
         return 1 / (1 + np.exp(-best.astype(np.float64)))
@@ -263,15 +288,39 @@ class Network:
 
 # ---------------------------------------------------------------- training
 
-def _step(net: Network, numbers: np.ndarray, first: np.ndarray, size: np.ndarray, label: np.ndarray,
+def _runs(lengths: np.ndarray, chosen: np.ndarray) -> np.ndarray:
+    """Places of the chosen ones of runs that lie one after the other."""
+    size = lengths[chosen]
+    begin = (np.cumsum(lengths) - lengths)[chosen]
+    return np.repeat(begin - (np.cumsum(size) - size), size) + np.arange(size.sum())
+
+
+@dataclass
+class Known:
+    """Words of training texts as rows of the embeddings: the form of each word, and of each form the word's row and
+    the rows of its n-grams one form after the other with their number."""
+
+    form: np.ndarray
+    word: np.ndarray
+    grams: np.ndarray
+    lengths: np.ndarray
+
+    def part(self, form: np.ndarray) -> Known:
+        """These words alone, with the forms they have."""
+        forms, form = np.unique(form, return_inverse=True)
+        return Known(form, self.word[forms], self.grams[_runs(self.lengths, forms)], self.lengths[forms])
+
+
+def _step(net: Network, words: Known, first: np.ndarray, size: np.ndarray, label: np.ndarray,
           weight: np.ndarray, rng, dropped: float) -> dict[str, np.ndarray]:
     """Gradients of the weighted log loss over one window per text; a share of the words is unknown."""
     n, longest = len(first), int(size.max())
-    place = np.minimum(first[None, :] + np.arange(longest)[:, None], len(numbers) - 1)
+    place = np.minimum(first[None, :] + np.arange(longest)[:, None], len(words.form) - 1)
     live = (np.arange(longest)[:, None] < size).astype(np.float32)  # (T, n)
-    num = numbers[place]
-    num[..., 0][rng.random((longest, n)) < dropped] = 0
-    given = np.concatenate((net.words[num[..., 0]], net.pieces[num[..., 1:]].mean(2)), 2)
+    form = words.form[place]
+    row = words.word[form]
+    row[rng.random((longest, n)) < dropped] = 0
+    given = np.concatenate((net.words[row], _means(net.pieces[words.grams], words.lengths)[form]), 2)
     gates = given @ net.inputs + net.bias
     states = np.zeros((2, longest, n, HIDDEN), np.float32)
     kept = {}
@@ -320,40 +369,34 @@ def _step(net: Network, numbers: np.ndarray, first: np.ndarray, size: np.ndarray
     grad["bias"] = flat.sum(0)
     grad["inputs"] = given.reshape(-1, 2 * WIDTH).T @ flat
     d_given = (d_gates @ net.inputs.T)
-    np.add.at(grad["words"], num[..., 0].ravel(), d_given[..., :WIDTH].reshape(-1, WIDTH))
-    for column in range(1, 5):
-        np.add.at(grad["pieces"], num[..., column].ravel(), d_given[..., WIDTH:].reshape(-1, WIDTH) * 0.25)
+    np.add.at(grad["words"], row.ravel(), d_given[..., :WIDTH].reshape(-1, WIDTH))
+    d_form = np.zeros((len(words.lengths), WIDTH), np.float32)
+    np.add.at(d_form, form.ravel(), d_given[..., WIDTH:].reshape(-1, WIDTH))
+    np.add.at(grad["pieces"], words.grams, np.repeat(d_form / words.lengths[:, None], words.lengths, 0))
     return grad
 
 
-def _known(columns: list[np.ndarray], owner: np.ndarray, label: np.ndarray, least: int) -> tuple[Forms, np.ndarray]:
+def _known(hashes: np.ndarray, all_: np.ndarray, ones: np.ndarray, share: float, least: int) -> tuple[Forms, np.ndarray]:
     """Forms that at least ``least`` texts hold, and the shrunken log odds of label 1 by row."""
-    share = label.mean()
-    kept, often, odds = [], [], []
-    for column in columns:
-        order = np.lexsort((owner, column))
-        form, text = column[order], owner[order]
-        once = np.concatenate(([True], (form[1:] != form[:-1]) | (text[1:] != text[:-1])))
-        form, text = form[once], text[once]
-        starts = np.flatnonzero(np.concatenate(([True], form[1:] != form[:-1])))
-        all_ = np.diff(np.append(starts, len(form)))
-        ones = np.add.reduceat(label[text], starts)
-        many = all_ >= least
-        kept.append(form[starts[many]])
-        often.append(all_[many])
-        odds.append(np.log((ones + 4 * share) / (all_ - ones + 4 * (1 - share)))[many] - np.log(share / (1 - share)))
-    forms, places = Forms.of(np.concatenate(kept), np.concatenate(often))
-    return forms, np.concatenate(([0], np.concatenate(odds)[places])).astype(np.float32)
-
-
-def _in_slices(texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
-    """``word_hashes`` of many texts, a few at a time."""
-    found, counts = [], np.zeros(len(texts), np.int64)
-    for owner, parts in _some_at_a_time(texts):
-        hashes, number = word_hashes(parts)
-        found.append(hashes)
-        np.add.at(counts, owner, number)
-    return np.concatenate(found) if found else np.zeros((0, 5), np.uint64), counts
+    many = all_ >= least
+    odds = np.log((ones + 4 * share) / (all_ - ones + 4 * (1 - share)))[many] - np.log(share / (1 - share))
+    forms, places = Forms.of(hashes[many], all_[many])
+    return forms, np.concatenate(([0], odds[places])).astype(np.float32)
+
+
+def _in_slices(texts: list[str]) -> Words:
+    """``read_words`` of many texts, a few at a time."""
+    parts, counts = [], np.zeros(len(texts), np.int64)
+    for owner, some in _some_at_a_time(texts):
+        parts.append(read_words(some))
+        np.add.at(counts, owner, parts[-1].counts)
+    if not parts:
+        return Words(np.zeros(0, np.int32), counts, np.zeros(0, np.uint64), np.zeros(0, np.uint64), np.zeros(0, np.int64))
+    hashes, first, place = np.unique(np.concatenate([p.hashes for p in parts]), return_index=True, return_inverse=True)
+    before = np.cumsum([0, *(len(p.hashes) for p in parts)])
+    form = np.concatenate([place[before[k]:before[k + 1]][p.form] for k, p in enumerate(parts)])
+    lengths, grams = (np.concatenate([getattr(p, name) for p in parts]) for name in ("lengths", "grams"))
+    return Words(form.astype(np.int32), counts, hashes, grams[_runs(lengths, first)], lengths[first])
 
 
 def train(texts: list[str], labels: list[int], bounds: TrainingBounds = TrainingBounds(), seed: int = 8,
@@ -364,7 +407,8 @@ def train(texts: list[str], labels: list[int], bounds: TrainingBounds = Training
     """
     rng = np.random.default_rng(seed)
     label = np.asarray(labels, np.float32)
-    hashes, counts = _in_slices(texts)
+    found = _in_slices(texts)
+    counts = found.counts
     used = np.flatnonzero(counts > 0)
     if not len(used) or label[used].min() == label[used].max():
         nothing = Forms.of(np.zeros(0, np.uint64), np.zeros(0))[0]
@@ -375,13 +419,20 @@ def train(texts: list[str], labels: list[int], bounds: TrainingBounds = Training
         return net
     # Forms of too few texts teach nothing but those texts, so they stay unknown.
     owner = np.repeat(np.arange(len(counts)), counts)
-    words, word_odds = _known([hashes[:, 0]], owner, label, bounds.least_texts)
-    pieces, piece_odds = _known(list(hashes[:, 1:].T), owner, label, bounds.least_texts)
+    pairs = np.unique(owner * len(found.hashes) + found.form)  # text and form, once each
+    of, form = pairs // len(found.hashes), pairs % len(found.hashes)
+    all_ = np.bincount(form, minlength=len(found.hashes))
+    ones = np.bincount(form, label[of], minlength=len(found.hashes))
+    grams, gram = np.unique(found.grams, return_inverse=True)
+    share_ = float(label.mean())
+    words, word_odds = _known(found.hashes, all_, ones, share_, bounds.least_texts)
+    pieces, piece_odds = _known(grams, np.bincount(gram, np.repeat(all_, found.lengths)), np.bincount(gram, np.repeat(ones, found.lengths)),
+                                share_, bounds.least_texts)
     net = Network.fresh(words, pieces, seed)
     for value, odds in ((net.words, word_odds), (net.pieces, piece_odds)):
         value[:, 0] = np.sign(odds) * np.maximum(np.abs(odds) - bounds.weak, 0)
     net.words[0], net.pieces[0] = 0, 0
-    numbers = net.rows(hashes)
+    known = Known(found.form, words.rows(found.hashes), pieces.rows(found.grams), found.lengths)
     offsets = np.concatenate(([0], np.cumsum(counts)))
     positive, negative = used[label[used] == 1], used[label[used] == 0]
     moments = {name: (np.zeros_like(getattr(net, name)), np.zeros_like(getattr(net, name))) for name in net.names}
@@ -390,11 +441,15 @@ def train(texts: list[str], labels: list[int], bounds: TrainingBounds = Training
         third = bounds.texts_a_step // 3
         chosen = np.concatenate((rng.choice(positive, min(third, len(positive)), replace=False),
                                  rng.choice(negative, min(2 * third, len(negative)), replace=False)))
-        part = np.concatenate([numbers[offsets[i]:offsets[i + 1]] for i in chosen])
+        part = known.part(np.concatenate([known.form[offsets[i]:offsets[i + 1]] for i in chosen]))
         first, size, text = windows(counts[chosen])
-        logit = net.logits(net.gates(part), first, size)
+        given = np.concatenate((net.words[part.word], _means(net.pieces[part.grams], part.lengths)), 1)
+        logit = net.logits(net.gates(given, part.form), first, size)
         best = np.lexsort((-logit, text))[np.concatenate(([0], np.flatnonzero(np.diff(text)) + 1))]
-        grad = _step(net, part, first[best], size[best], label[chosen], np.ones(len(chosen), np.float32), rng,
+        # the gradient runs through the chosen windows alone
+        first, size = first[best], size[best]
+        inside = part.part(part.form[np.repeat(first - (np.cumsum(size) - size), size) + np.arange(size.sum())])
+        grad = _step(net, inside, np.cumsum(size) - size, size, label[chosen], np.ones(len(chosen), np.float32), rng,
                      bounds.dropped)
         rate = bounds.rate * min(1.0, step / 20) * (1 - 0.7 * step / bounds.steps)
         for name, (m, v) in moments.items():

@@ -30,13 +30,40 @@ def net():
     return T.train(*sample(600), BOUNDS)
 
 
-def test_words_are_hashed_by_text(net):
-    hashes, counts = T.word_hashes(["Ab cd, ab", "", "...", "ab-CD é"])
-    assert counts.tolist() == [3, 0, 0, 3]
-    assert (hashes[0] == hashes[2]).all() and (hashes[0] == hashes[3]).all() and (hashes[1] == hashes[4]).all()
-    assert (hashes[0] != hashes[1]).any()
-    one, _ = T.word_hashes(["grotesk grotte"])
-    assert one[0, 1] == one[1, 1] and one[0, 2] == one[1, 2] and one[0, 0] != one[1, 0] and one[0, 3] != one[1, 3]
+def grams_of(words, number):
+    """n-gram hashes of the form of a word."""
+    ends = np.cumsum(words.lengths)
+    form = words.form[number]
+    return words.grams[ends[form] - words.lengths[form]:ends[form]].tolist()
+
+
+def test_words_are_read_by_form():
+    words = T.read_words(["Ab cd, ab", "", "...", "ab-CD é"])
+    assert words.counts.tolist() == [3, 0, 0, 3] and len(words.hashes) == 3
+    assert words.form[0] == words.form[2] == words.form[3] and words.form[1] == words.form[4] != words.form[5]
+    assert words.lengths.tolist() == [1, 1, 1]
+
+
+def test_every_character_of_a_word_is_an_input():
+    """Also those after the sixth: n-grams at every position, those at the ends apart from those inside."""
+    words = T.read_words(["prefixgood prefixevil prefixgood abc xabcx abcx"])
+    good, evil = grams_of(words, 0), grams_of(words, 1)
+    assert set(good) != set(evil) and set(good) & set(evil) and good == grams_of(words, 2)
+    assert len(good) == (10 - 3 + 1) + (10 - 5 + 1)
+    whole, inner, begins = (set(grams_of(words, n)) for n in (3, 4, 5))
+    assert not whole & inner and not whole & begins
+    for place in range(10):
+        other = "prefixgood"[:place] + "z" + "prefixgood"[place + 1:]
+        assert set(grams_of(T.read_words([other]), 0)) != set(good)
+
+
+def test_slices_read_the_same_words(monkeypatch):
+    texts = [sentence(n, 200) + f" word{n}" for n in range(9)] + [""]
+    whole = T.read_words(texts)
+    monkeypatch.setattr(T, "_PART", 100)
+    parts = T._in_slices(texts)
+    for name in ("form", "counts", "hashes", "grams", "lengths"):
+        assert (getattr(whole, name) == getattr(parts, name)).all()
 
 
 @pytest.mark.parametrize("count", [0, 1, 47, 48, 49, 80, 81, 1000])
@@ -53,10 +80,10 @@ def test_windows_cover_and_overlap(count):
 
 def test_logits_equal_a_plain_network(net):
     texts = [sentence(4, 70), "vile words here", "one"]
-    hashes, counts = T.word_hashes(texts)
-    first, size, _ = T.windows(counts)
-    numbers = net.rows(hashes)
-    got = net.logits(net.gates(numbers), first, size)
+    words = T.read_words(texts)
+    first, size, _ = T.windows(words.counts)
+    got = net.logits(net.gates(net.given(words), words.form), first, size)
+    word = net.word_forms.rows(words.hashes)
     sigmoid = lambda x: 1 / (1 + np.exp(-x))
     H = T.HIDDEN
     for k, (f, s) in enumerate(zip(first, size)):
@@ -64,8 +91,8 @@ def test_logits_equal_a_plain_network(net):
         for side in (0, 1):
             h = np.zeros(H)
             for t in range(s) if side == 0 else range(s - 1, -1, -1):
-                n = numbers[f + t]
-                x = np.concatenate((net.words[n[0]], net.pieces[n[1:]].mean(0))) @ net.inputs + net.bias
+                grams = net.piece_forms.rows(np.array(grams_of(words, f + t), np.uint64))
+                x = np.concatenate((net.words[word[words.form[f + t]]], net.pieces[grams].mean(0))) @ net.inputs + net.bias
                 x, b = x[side * 3 * H:(side + 1) * 3 * H], h @ net.recurrent[side]
                 z, r = sigmoid(x[:H] + b[:H]), sigmoid(x[H:2 * H] + b[H:2 * H])
                 h = z * h + (1 - z) * np.tanh(x[2 * H:] + r * b[2 * H:])
@@ -77,18 +104,18 @@ def test_logits_equal_a_plain_network(net):
 
 def test_gradients_by_differences(net, monkeypatch):
     texts, labels = sample(6)
-    hashes, counts = T.word_hashes(texts)
-    numbers = net.rows(hashes)
-    first = np.concatenate(([0], np.cumsum(counts)[:-1]))
-    size = np.minimum(counts, T.WINDOW)
+    words = T.read_words(texts)
+    known = T.Known(words.form, net.word_forms.rows(words.hashes), net.piece_forms.rows(words.grams), words.lengths)
+    first = np.concatenate(([0], np.cumsum(words.counts)[:-1]))
+    size = np.minimum(words.counts, T.WINDOW)
     label = np.array(labels, np.float32)
 
     class All:
         random = staticmethod(lambda shape: np.ones(shape))
-    grad = T._step(net, numbers, first, size, label, np.ones(6, np.float32), All, 0.0)
+    grad = T._step(net, known, first, size, label, np.ones(6, np.float32), All, 0.0)
 
     def loss():
-        logit = net.logits(net.gates(numbers), first, size).astype(float)
+        logit = net.logits(net.gates(net.given(words), words.form), first, size).astype(float)
         return (np.logaddexp(0, logit) - label * logit).mean()
     rng = np.random.default_rng(0)
     for name in net.names:
@@ -175,15 +202,12 @@ def test_long_labelled_texts_are_learnt_from(spark, documents):
     docs = documents([(i, long if i % 2 else f"text {i}") for i in range(40)])
     labels = spark.createDataFrame([(i, i % 2) for i in range(40)], "doc_id long, toxic int")
     fold = [i for i in range(40) if zlib.crc32(str(i).encode()) % 5]
-    got, ys = training_rows(docs, labels, "toxic", 100, 100, 1000)
-    assert ys == [i % 2 for i in fold] and len(training_rows(docs, labels, "toxic", 3, 100, 1000)[1]) == 3 + ys.count(0)
-    for text, y in zip(got, ys):
-        if y:  # whole words from the first to the last
-            places = [int(re.fullmatch(r"word(\d{5})", w)[1]) for w in text.split()]
-            assert 700 < len(text) <= 1000 and places == sorted(places) and (places[0], places[-1]) == (0, 2999)
-            assert max(np.diff(places)) < 3000 / 6
-    whole, _ = training_rows(docs, labels, "toxic", 100, 100, len(long))
-    assert long in whole
+    every, ys = training_rows(docs, labels, "toxic", 100, 100, 100 * len(long))
+    assert ys == [i % 2 for i in fold] and every == [long if y else f"text {i}" for i, y in zip(fold, ys)]
+    # the bound takes whole rows: four of the long texts fit its half
+    some, ys = training_rows(docs, labels, "toxic", 100, 100, 2 * (4 * len(long) + 5))
+    assert [t for t, y in zip(some, ys) if y] == [long] * 4 and ys.count(0) == [i % 2 for i in fold].count(0)
+    ys = [i % 2 for i in fold]
     fitted = Q.fit(docs, labels, "toxic")
     values = [Q.statistics(long if i % 2 else f"text {i}") for i in fold]
     plain = Q.train(values, ys, sum(ys) / len(ys))
