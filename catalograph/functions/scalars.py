@@ -122,23 +122,37 @@ def item_url(key: Column | str, root: str = ITEM_URL) -> Column:
     return F.concat(F.lit(root), _col(key), F.lit("/"))
 
 
+def without_dots(path: Column) -> Column:
+    """A path that begins with ``/`` without its ``.`` and ``..`` segments; one above the root is left out."""
+    def step(kept: Column, piece: Column) -> Column:
+        return (F.when(piece == ".", kept).when(piece == "..", F.slice(kept, 1, F.greatest(F.size(kept) - 1, F.lit(0))))
+                .otherwise(F.concat(kept, F.array(piece))))
+
+    pieces = F.split(F.substring(path, 2, 2**31 - 1), "/")
+    last = F.element_at(pieces, -1)
+    pieces = F.when(last.isin(".", ".."), F.concat(pieces, F.array(F.lit("")))).otherwise(pieces)
+    folded = F.concat(F.lit("/"), F.array_join(F.aggregate(pieces, F.array().cast("array<string>"), step), "/"))
+    return F.when(F.contains(path, F.lit("/.")), folded).otherwise(path)
+
+
 def resolve_url(base: Column | str, href: Column | str) -> Column:
-    """Absolute form of a link. Dot segments (``../``) are kept as they are."""
+    """Absolute form of a link. Dot segments of a path (``../``) are followed; links with a scheme or host stay as they are."""
     base, href = _col(base), _col(href)
     scheme = F.regexp_extract(base, "^([A-Za-z][A-Za-z0-9+.-]*):", 1)
     origin = F.regexp_extract(base, "^[A-Za-z][A-Za-z0-9+.-]*://[^/?#]*", 0)
     bare = F.regexp_replace(base, "[?#].*\\z", "")
     without_fragment = F.regexp_replace(base, "#.*\\z", "")
     path = F.substring(bare, F.char_length(origin) + 1, F.char_length(bare))
-    folder = F.concat(origin, F.when(path == "", F.lit("/")).otherwise(
-        F.regexp_replace(path, "[^/]*\\z", "")))
+    folder = F.when(path == "", F.lit("/")).otherwise(F.regexp_replace(path, "[^/]*\\z", ""))
+    own_path = F.regexp_extract(href, "^[^?#]*", 0)
+    rest = F.substring(href, F.char_length(own_path) + 1, F.char_length(href))
     return (F.when(href == "", base)
             .when(href.rlike("^[A-Za-z][A-Za-z0-9+.-]*:"), href)
             .when(href.startswith("//"), F.concat(scheme, F.lit(":"), href))
-            .when(href.startswith("/"), F.concat(origin, href))
+            .when(href.startswith("/"), F.concat(origin, without_dots(own_path), rest))
             .when(href.startswith("#"), F.concat(without_fragment, href))
             .when(href.startswith("?"), F.concat(bare, href))
-            .otherwise(F.concat(folder, href)))
+            .otherwise(F.concat(origin, without_dots(F.concat(folder, own_path)), rest)))
 
 
 def url_path(url: Column | str) -> Column:

@@ -11,6 +11,7 @@ from catalograph.functions.scalars import (clean_text, extract_year, falsy_fallb
 from catalograph.functions.markup import PageRules, Sel
 from catalograph.operators.sets import unseen
 from catalograph.schema import REVIEW_RATING_SCALE, SOURCE_REVIEWS, STRINGS
+from catalograph.session import materialize
 
 
 def _links_of(fragment: Column, contains: str) -> Column:
@@ -100,6 +101,25 @@ def expand_frontier(pages: DataFrame, frontier: DataFrame, rules: PageRules) ->
     return unseen(unseen(found, frontier.select("url"), "url"), pages.select("url"), "url")
 
 
+def crawl(pages: DataFrame, start: DataFrame, rules: PageRules) -> DataFrame:
+    """``(url, hop)`` of all pages that next-page links reach from ``start(url)``, ``hop`` links away at least.
+
+    Links are read once from the stored pages; a round follows those of the last round's new pages only, so each
+    page is expanded once and cycles end. Pages that are not stored are reached but lead no further. Each round is
+    written to the shared folder, and there are as many rounds as the longest shortest chain has links.
+    """
+    links = materialize(prepared(pages, rules).select("url", F.explode(next_page_urls(rules)).alias("next")).distinct(), "links")
+    last = start.select("url").where("url IS NOT NULL").distinct().withColumn("hop", F.lit(0))
+    reached = last = materialize(last, "reached")
+    hop = 0
+    while not last.isEmpty():
+        hop += 1
+        found = links.join(last, "url").select(F.col("next").alias("url")).distinct()
+        last = materialize(unseen(found, reached.select("url"), "url").withColumn("hop", F.lit(hop)), "reached")
+        reached = reached.unionByName(last)
+    return reached
+
+
 def page_details(pages: DataFrame, rules: PageRules) -> DataFrame:
     """All fields of each review page. Pieces that several fields need are cut out once per page."""
     page = F.col("page")

@@ -24,19 +24,22 @@ GENERAL_FIELDS = ("plot", "reviews")
 TEXT_FIELDS = TITLE_FIELDS + GENERAL_FIELDS
 KEYWORD_FIELDS = ("genres", "directors", "cast", "site", "poster")
 CATCH_ALL_FIELD = "text"
+EVERY_FIELD = "_text_"
 CATCH_ALL = ("title", "plot", "reviews", "genres", "directors", "cast")
 
 
 @dataclass(frozen=True)
 class Profile:
-    """How text becomes terms: stop words, whether general text is stemmed (titles never), and
-    whether all fields together are indexed once more as the general field ``text``."""
+    """How text becomes terms: stop words, whether general text is stemmed (titles never), whether the main fields
+    together are indexed once more as the general field ``text``, and whether all fields, numbers
+    included, are as ``_text_``."""
     stem: bool = True
     stop: tuple[str, ...] = field(default=STOP_WORDS)
     catch_all: bool = False
+    every_field: bool = False
 
     def stems(self, name: str) -> bool:
-        return self.stem and (name in GENERAL_FIELDS or name == CATCH_ALL_FIELD)
+        return self.stem and (name in GENERAL_FIELDS or name in (CATCH_ALL_FIELD, EVERY_FIELD))
 
     def query_terms(self, text: str, name: str) -> list[tuple[int, str]]:
         """(position, term) of a query text for one field; a handful of words, on the driver."""

@@ -16,7 +16,7 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from catalograph.retrieval.analysis import (CATCH_ALL, CATCH_ALL_FIELD, KEYWORD_FIELDS, TEXT_FIELDS,
+from catalograph.retrieval.analysis import (CATCH_ALL, CATCH_ALL_FIELD, EVERY_FIELD, KEYWORD_FIELDS, TEXT_FIELDS,
                                             Profile, positioned)
 from catalograph.operators.lists import list_columns, own_rows, whole_lists
 from catalograph.session import scratch_path
@@ -78,7 +78,7 @@ def _values(items: DataFrame, name: str) -> Column | None:
     column = F.col(name)
     if not isinstance(items.schema[name].dataType, T.ArrayType):
         column = F.array(column)
-    return F.array_compact(F.coalesce(column, F.array().cast("array<string>")))
+    return F.array_compact(F.coalesce(column.cast("array<string>"), F.array().cast("array<string>")))
 
 
 def token_rows(items: DataFrame, profile: Profile) -> DataFrame:
@@ -92,6 +92,12 @@ def token_rows(items: DataFrame, profile: Profile) -> DataFrame:
         every = [v for v in (_values(items, name) for name in CATCH_ALL) if v is not None]
         texts[CATCH_ALL_FIELD] = positioned(F.concat(*every), profile, CATCH_ALL_FIELD).alias(
             f"_{CATCH_ALL_FIELD}")
+    if profile.every_field:
+        # a row that continues a list repeats the id, which is the item's own row's to hold
+        first = F.col("part") == 0 if "part" in items.columns else F.lit(True)
+        every = [F.when(first | F.lit(name != "id"), _values(items, name)).otherwise(F.array().cast("array<string>"))
+                 for name in items.columns if name != "part"]
+        texts[EVERY_FIELD] = positioned(F.concat(*every), profile, EVERY_FIELD).alias(f"_{EVERY_FIELD}")
     for name in KEYWORD_FIELDS:
         values = _values(items, name)
         if values is not None:
@@ -182,7 +188,7 @@ def build_index(items: DataFrame, profile: Profile, path: str | None = None,
     return index
 
 
-META = ("stem boolean, stop array<string>, catch_all boolean, buckets int, total bigint, has_parts boolean, generation int, "
+META = ("stem boolean, stop array<string>, catch_all boolean, every_field boolean, buckets int, total bigint, has_parts boolean, generation int, "
         "fields array<struct<field:string,items:bigint,terms:bigint>>")
 
 
@@ -193,7 +199,7 @@ def terms_path(path: str, generation: int) -> str:
 def write_meta(index: Index, folder: str) -> None:
     """The index's description, one small file per generation; the latest counts."""
     p = index.profile
-    meta = [(p.stem, list(p.stop), p.catch_all, index.buckets, index.total, index.has_parts, index.generation,
+    meta = [(p.stem, list(p.stop), p.catch_all, p.every_field, index.buckets, index.total, index.has_parts, index.generation,
              [(name, f.items, f.terms) for name, f in index.fields.items()])]
     index.spark.createDataFrame(meta, META).coalesce(1).write.mode("overwrite").json(folder)
 
@@ -208,7 +214,7 @@ def open_index(spark: SparkSession, path: str) -> Index:
     _create(spark, items_table, f"{path}/items", meta["buckets"], "id")
     _create(spark, postings_table, f"{path}/postings", meta["buckets"], "field, term")
     fields = {f["field"]: FieldStats(f["items"], f["terms"]) for f in meta["fields"]}
-    return Index(spark, Profile(meta["stem"], tuple(meta["stop"]), meta["catch_all"]), items_table, postings_table,
+    return Index(spark, Profile(meta["stem"], tuple(meta["stop"]), meta["catch_all"], meta["every_field"]), items_table, postings_table,
                  terms_path(path, meta["generation"]), fields, meta["total"], meta["has_parts"], path, meta["buckets"],
                  meta["generation"])
 

@@ -11,11 +11,12 @@ from catalograph.schema import NULL_TOKENS
 
 
 def read_tsv(spark: SparkSession, path: str, schema: T.StructType, null_tokens=NULL_TOKENS,
-             position: str | None = None, partitions: int | None = None) -> DataFrame:
+             position: str | None = None, partitions: int | None = None, spread: bool = False) -> DataFrame:
     """Read an unquoted table with a header; any of the null tokens means null, in every column.
 
     Columns are read as text and cast afterwards, so that a null token is never a malformed number.
-    A gzip file is one partition whatever its size: ``partitions`` spreads it before further work.
+    A gzip file is one partition whatever its size: ``spread`` deals it out before further work, in as many partitions
+    as its size asks for (``partitions`` fixes their number).
     ``position`` adds a load-order column that compares by file name, then by place in the file.
     """
     raw = (spark.read.option("sep", "\t").option("header", "true").option("quote", "")
@@ -36,7 +37,9 @@ def read_tsv(spark: SparkSession, path: str, schema: T.StructType, null_tokens=N
             F.col("_metadata.file_path").alias("file"), F.col("_metadata.file_block_start").alias(
                 "block"), F.monotonically_increasing_id().alias("row")).alias(position))
     typed = raw.select(*columns)
-    return typed.repartition(partitions) if partitions else typed
+    if partitions:
+        return typed.repartition(partitions)
+    return typed.hint("rebalance") if spread else typed
 
 
 def scan_filtered(df: DataFrame, key: str, ids: DataFrame | None = None) -> DataFrame:

@@ -166,3 +166,14 @@ def test_summary_of_the_nearest_enclosing_block(spark):
     assert summaries(f"{link % 'r'}<div>{link % 'r'}<p>Second</p></div>") == {"r-a-2001": ""}
     assert summaries(f"</div></article>{link % 's'}<p>x</p>") == {"s-a-2001": ""}
     assert summaries("<div><p>T</p><a href='/reviews/w-a-2001'><div>Big</div> film</a></div>") == {"w-a-2001": "T"}
+
+
+def test_crawl_follows_chains_and_ends_cycles(spark):
+    rules = PageRules(base_url="https://h.org")
+    links = {0: 1, 1: 2, 2: 3, 3: 0, 4: 5, 5: 99, 7: 7, 8: 1}
+    rows = [(i, f"https://h.org/{i}", f'<head><link rel="next" href="/{n}"></head>') for i, n in links.items()]
+    pages = spark.createDataFrame(rows + rows[:2] + [(6, "https://h.org/6", None), (None, None, "<p>")], "page_id long, url string, html string")
+    start = spark.createDataFrame([("https://h.org/8",), ("https://h.org/4",), ("https://h.org/7",), ("https://h.org/4",), (None,)], "url string")
+    got = {r["url"].removeprefix("https://h.org/"): r["hop"] for r in H.crawl(pages, start, rules).collect()}
+    assert got == {"8": 0, "4": 0, "7": 0, "1": 1, "5": 1, "2": 2, "99": 2, "3": 3, "0": 4}
+    assert H.crawl(pages, start.limit(0), rules).count() == 0

@@ -78,6 +78,18 @@ def test_resolve_url(one, href, expected):
     assert one(S.resolve_url(lit("https://h.org/x/y?q=1#z"), lit(href))) == expected
 
 
+@pytest.mark.parametrize("href, expected", [
+    ("g:h", "g:h"), ("g", "http://a/b/c/g"), ("./g", "http://a/b/c/g"), ("g/", "http://a/b/c/g/"), ("/g", "http://a/g"),
+    ("//g", "http://g"), ("?y", "http://a/b/c/d;p?y"), ("g?y", "http://a/b/c/g?y"), ("#s", "http://a/b/c/d;p?q#s"),
+    ("g#s", "http://a/b/c/g#s"), ("g?y#s", "http://a/b/c/g?y#s"), (";x", "http://a/b/c/;x"), ("g;x", "http://a/b/c/g;x"),
+    ("", "http://a/b/c/d;p?q"), (".", "http://a/b/c/"), ("./", "http://a/b/c/"), ("..", "http://a/b/"), ("../", "http://a/b/"),
+    ("../g", "http://a/b/g"), ("../..", "http://a/"), ("../../", "http://a/"), ("../../g", "http://a/g"),
+    ("../../../g", "http://a/g"), ("/./g", "http://a/g"), ("/../g", "http://a/g"), ("g.", "http://a/b/c/g."), ("..g", "http://a/b/c/..g"),
+    ("./../g", "http://a/b/g"), ("./g/.", "http://a/b/c/g/"), ("g/../h", "http://a/b/c/h"), ("g?y/../x", "http://a/b/c/g?y/../x")])
+def test_resolve_url_by_the_published_examples(one, href, expected):
+    assert one(S.resolve_url(lit("http://a/b/c/d;p?q"), lit(href))) == expected
+
+
 def test_url_is_review(one):
     assert one(S.url_is_review(lit("https://h.org/reviews/a-b-2010?x=1")))
     assert not one(S.url_is_review(lit("https://h.org/reviews/a-b")))

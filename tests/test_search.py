@@ -255,6 +255,13 @@ def test_catch_all_field(items):
     assert "text" not in build_index(items, PLAIN, buckets=2).fields
 
 
+def test_every_field_with_numbers(spark, items, tmp_path):
+    index = build_index(items, Profile(stem=True, every_field=True), str(tmp_path / "index"), buckets=2)
+    for words, found in (("2010", {"3", "4"}), ("9.0", {"1"}), ("94", {"1"}), ("nolan", {"1", "4"}), ("knights", {"1", "3"}), ("5", {"5"})):
+        assert set(scores(X.search_field(index, "_text_", words))) == found
+    assert open_index(spark, str(tmp_path / "index")).profile == index.profile
+
+
 def test_reopened_index_answers_alike(spark, items, tmp_path):
     path = str(tmp_path / "index")
     built = build_index(items, PLAIN, path, buckets=3)

@@ -142,6 +142,20 @@ def _(spark, sf):
     return H.expand_frontier(pages, frontier, NEXT_RULES)
 
 
+# Listings made from the stored pages: each names a page of half its number as next, and page 0 names itself.
+@query("crawl", """WITH RECURSIVE listed AS (SELECT DISTINCT page_id, page_id // 2 AS next_id FROM pages),
+    reached AS (SELECT page_id, 0 AS hop FROM listed WHERE page_id % 3 = 1
+      UNION SELECT next_id, hop + 1 FROM reached JOIN listed USING (page_id) WHERE hop < 64)
+    SELECT 'http://list.example.org/' || page_id AS url, cast(min(hop) AS INTEGER) AS hop FROM reached GROUP BY page_id""")
+def _(spark, sf):
+    number = F.col("page_id")
+    listing = _pages(spark, sf).select(
+        "page_id", F.concat(F.lit("http://list.example.org/"), number).alias("url"),
+        F.concat(F.lit('<html><head><link rel="next" href="/x/../'), F.floor(number / 2), F.lit('"></head><body>'),
+                 F.substring("html", 1, 200), F.lit("</body></html>")).alias("html"))
+    return H.crawl(listing, listing.where("page_id % 3 = 1").select("url"), PageRules(base_url="http://list.example.org"))
+
+
 @query("page_rating", """SELECT page_id, cast(NULL AS DOUBLE) AS rating FROM pages""")
 def _(spark, sf):
     return _field(spark, sf, "rating", M.page_rating)

@@ -78,6 +78,27 @@ def _(spark, sf):
         "field", "term", F.col("df").alias("n"), F.lit(None).cast("double").alias("avgdl")))
 
 
+EVERY = "src3 1999 de 4.2"
+
+
+# All fields once more as one general field, numbers included, searched for words of several of them.
+@query("catch_all_every", f"""WITH {T.ITEMS},
+    every AS (SELECT id, unnest(list_filter([id, title, cast(year AS VARCHAR), site, cast(rating AS VARCHAR), plot,
+      cast(num_reviews AS VARCHAR)] || genres || directors || "cast" || coalesce(reviews, []), lambda v: v IS NOT NULL)) AS v FROM items),
+    terms AS (SELECT id, unnest(regexp_extract_all(lower(v), '{T.SQL_TOKEN}')) AS term FROM every),
+    counted AS (SELECT id, term, count(*) AS tf FROM terms WHERE term NOT IN {T.SQL_STOPS} GROUP BY id, term),
+    measured AS (SELECT *, sum(tf) OVER (PARTITION BY id) AS dl, count(*) OVER (PARTITION BY term) AS df FROM counted),
+    whole AS (SELECT count(DISTINCT id) AS n, cast(sum(tf) AS DOUBLE) / count(DISTINCT id) AS avgdl FROM counted)
+    SELECT id, round(sum(ln(1 + (n - df + 0.5::DOUBLE) / (df + 0.5::DOUBLE))
+      * tf / (tf + 1.2::DOUBLE * (0.25::DOUBLE + 0.75::DOUBLE * dl / avgdl))), 6) AS score
+    FROM measured, whole WHERE term IN ('src3', '1999', 'de', '4.2') GROUP BY id""")
+def _(spark, sf):
+    items = T.items(spark, sf)
+    buckets = max(spark.sparkContext.defaultParallelism, T.table(spark, sf, "documents").rdd.getNumPartitions())
+    index = build_index(items, A.Profile(stem=False, every_field=True), buckets=buckets)
+    return X.search_field(index, A.EVERY_FIELD, EVERY)
+
+
 # An index of the documents as they were, some of them with another text or not there yet, brought up to date.
 @query("index_refresh", f"""{POSTINGS} SELECT field, '' AS term, n, round(avgdl, 6) AS avgdl
     FROM field_stats UNION ALL SELECT field, term, df, NULL FROM term_stats

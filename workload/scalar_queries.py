@@ -197,7 +197,9 @@ def _(spark, sf):
     SELECT page_id, origin || '/a/' || page_id AS rooted,
     regexp_replace(bare, '[^/]*\z', '') || 'next.html' AS relative,
     regexp_extract(url, '^([a-z]+):', 1) || '://cdn.example.org/x' AS other_host,
-    bare || '?page=2' AS query_only, 'mailto:a@example.org' AS absolute FROM p""")
+    bare || '?page=2' AS query_only, 'mailto:a@example.org' AS absolute,
+    origin || regexp_replace(regexp_replace(regexp_replace(substr(bare, length(origin) + 1), '[^/]*\z', ''), '[^/]+/\z', ''), '^\z', '/')
+      || 'up.html?x=../y' AS above, origin || '/c' || page_id || '/' AS dotted FROM p""")
 def _(spark, sf):
     base = F.col("url")
     return T.table(spark, sf, "pages").select(
@@ -205,7 +207,9 @@ def _(spark, sf):
         S.resolve_url(base, F.lit("next.html")).alias("relative"),
         S.resolve_url(base, F.lit("//cdn.example.org/x")).alias("other_host"),
         S.resolve_url(base, F.lit("?page=2")).alias("query_only"),
-        S.resolve_url(base, F.lit("mailto:a@example.org")).alias("absolute"))
+        S.resolve_url(base, F.lit("mailto:a@example.org")).alias("absolute"),
+        S.resolve_url(base, F.lit("./../up.html?x=../y")).alias("above"),
+        S.resolve_url(base, F.concat(F.lit("/a/./b/../../../c"), F.col("page_id"), F.lit("/x/.."))).alias("dotted"))
 
 
 @query("url_is_review", r"""SELECT page_id, regexp_matches(regexp_extract(url,

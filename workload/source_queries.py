@@ -28,14 +28,14 @@ def _written_tsv(spark, sf):
 @query("scan_tsv", f"""WITH {T.BULK} SELECT tconst, titleType, primaryTitle, startYear,
     CASE WHEN titleType = 'O' THEN '"' || genres END AS genres FROM basics""")
 def _(spark, sf):
-    return read_tsv(spark, _written_tsv(spark, sf), C.TITLE_BASICS, partitions=8)
+    return read_tsv(spark, _written_tsv(spark, sf), C.TITLE_BASICS, spread=True)
 
 
 @query("scan_semi_filter", f"""WITH {T.BULK} SELECT tconst, titleType, primaryTitle FROM basics
     WHERE tconst IN (SELECT tconst FROM ratings WHERE numVotes > 3000)""")
 def _(spark, sf):
     ids = T.ratings(spark, sf).where("numVotes > 3000").select("tconst")
-    read = read_tsv(spark, _written_tsv(spark, sf), C.TITLE_BASICS, partitions=8)
+    read = read_tsv(spark, _written_tsv(spark, sf), C.TITLE_BASICS, spread=True)
     return scan_filtered(read, "tconst", ids).select("tconst", "titleType", "primaryTitle")
 
 
