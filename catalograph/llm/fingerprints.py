@@ -25,7 +25,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from catalograph.llm.tables import cut_at_space, text_slices, written
+from catalograph.llm.tables import cut_at_space, join_classes, text_slices, written
 
 BITS, BYTES = 128, 16
 ROWS = BYTES * 256  # one for each value of each hash byte
@@ -173,26 +173,51 @@ def _compared(rows: list[tuple], following: list[str]) -> pa.RecordBatch:
         [part.split()[0] for part in _EDITED.split(", ")])
 
 
+_READ = f"{_EDITED}, part int, ends string, text string"
+
+
 def _in_order(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Rows (dest, copy, id, text) in order: each needs the one after it; the copy ends its destination."""
+    """Rows (part, id, text) of a range in order: each needs the text after it. The first and the last row of the range
+    come as they are too, marked in ``ends``, as what follows the last one lies in another range."""
     rows: list[tuple] = []
     after: list[str] = []
-    size, last, dest = 0, None, None
+    size, last, part = 0, None, None
+
+    def compared() -> pa.RecordBatch:
+        batch = _compared(rows, after)
+        none = [pa.nulls(len(rows), kind) for kind in (pa.int32(), pa.string(), pa.string())]
+        return pa.RecordBatch.from_arrays([*batch.columns, *none], [c.split()[0] for c in _READ.split(", ")])
+
+    def end(which: str, row: tuple) -> pa.RecordBatch:
+        values = [row[0], *[None] * (len(_EDITED.split(", ")) - 1), part, which, row[1]]
+        kinds = [pa.int64(), pa.int64(), pa.string(), *[pa.int64()] * 4, pa.float64(), pa.float64(), pa.int32(), pa.string(), pa.string()]
+        return pa.RecordBatch.from_arrays([pa.array([v], k) for v, k in zip(values, kinds)], [c.split()[0] for c in _READ.split(", ")])
+
     for batch in batches:
-        for to, copy, number, text in zip(*(batch.column(i) for i in range(4))):
-            to, copy, number, text = to.as_py(), copy.as_py(), number.as_py(), text.as_py() or ""
-            if to != dest:
-                dest, last = to, None
-            if last is not None:
+        for number, text in zip(batch.column("id"), batch.column("text")):
+            row = (number.as_py(), text.as_py() or "")
+            if last is None:
+                part = batch.column("part")[0].as_py()
+                yield end("first", row)
+            else:
                 rows.append(last)
-                after.append(text)
+                after.append(row[1])
                 size += len(last[1])
                 if size > _PART:
-                    yield _compared(rows, after)
+                    yield compared()
                     rows, after, size = [], [], 0
-            last = None if copy else (number, text)
+            last = row
     if rows:
-        yield _compared(rows, after)
+        yield compared()
+    if last is not None:
+        yield end("last", last)
+
+
+def _pairs(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Rows (id, text, following), one at a time."""
+    for batch in batches:
+        for number, text, following in zip(*(batch.column(c) for c in ("id", "text", "following"))):
+            yield _compared([(number.as_py(), text.as_py())], [following.as_py()])
 
 
 def compare_edited(docs: DataFrame, task_bytes: int = 32 << 20, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -200,9 +225,9 @@ def compare_edited(docs: DataFrame, task_bytes: int = 32 << 20, id_col: str = "d
     each, ``near_edited`` and ``near_next``.
 
     The next document is the one after it by id, after the last the first; null ids come first, rows of one id are
-    in the order of their text's hash. A null text is empty. Texts move once, to the range of ids they belong to;
-    the first row of each range is sent to the range before it as well. Other columns are not read; an empty table
-    gives no row.
+    in the order of their text's hash, by which a large group of one id is spread too. A null text is empty. Texts move once, to
+    ranges of (id, hash) that Spark cuts; of each range the first and the last text are kept beside the narrow results and
+    meet afterwards, whatever the number of ranges. Other columns are not read; an empty table gives no row.
     """
     spark = docs.sparkSession
     rows = docs.select(F.col(id_col).cast("long").alias("id"), F.coalesce(F.col(text_col), F.lit("")).alias("text"))
@@ -212,24 +237,16 @@ def compare_edited(docs: DataFrame, task_bytes: int = 32 << 20, id_col: str = "d
     if not total["n"]:
         return spark.createDataFrame([], _EDITED)
     tasks = max(1, min(total["n"], -(-(total["bytes"] or 0) // task_bytes)))
-    borders, ranges = [], 8 * tasks  # several ranges a task even out what hashing deals to the tasks
-    if tasks > 1:
-        shares = [i / ranges for i in range(1, ranges)]
-        borders = sorted(set(rows.agg(F.percentile_approx("key", shares, 10_000)).first()[0]))
-    dest = F.size(F.filter(F.array(*[F.lit(b).cast("long") for b in borders]), lambda b: b <= F.col("key"))) if borders else F.lit(0)
-    rows = rows.withColumn("own", dest)
-    # one row per range of ids: its first document, which the range before it needs as well
-    heads = sorted(tuple(r) for r in rows.groupBy("own").agg(F.min(F.struct("key", "hash")).alias("h")).select("own", "h.key", "h.hash").collect())
-    before = [(heads[i - 1][0], heads[i][1], heads[i][2]) for i in range(len(heads))]
-    known = spark.createDataFrame(before, "before int, head_key long, head_hash long")
-    first = (F.col("key") == F.col("head_key")) & (F.col("hash") == F.col("head_hash"))
-    sent = rows.join(F.broadcast(known), first, "left")  # as many rows as there are ranges
-    own = F.struct(F.col("own").alias("dest"), F.lit(0).alias("copy"))
-    more = F.struct(F.col("before").alias("dest"), F.lit(1).alias("copy"))
-    sent = sent.select("id", "text", "key", "hash", F.explode(F.when(F.col("before").isNull(), F.array(own)).otherwise(F.array(own, more))).alias("to"))
-    sent = sent.select(F.col("to.dest").alias("dest"), F.col("to.copy").alias("copy"), "id", "text", "key", "hash")
-    return (sent.repartition(tasks, "dest").sortWithinPartitions("dest", "copy", "key", "hash")
-            .select("dest", "copy", "id", "text").mapInArrow(_in_order, _EDITED))
+    ordered = (rows.repartitionByRange(tasks, "key", "hash").sortWithinPartitions("key", "hash")
+               .select(F.spark_partition_id().alias("part"), "id", "text"))
+    read = written(ordered.mapInArrow(_in_order, _READ), "ordered")
+    # the numbers of the ranges that hold rows, one a task
+    parts = [r.part for r in read.where("ends = 'first'").select("part").orderBy("part").collect()]
+    follows = spark.createDataFrame(list(zip(parts, parts[1:] + parts[:1])), "part int, next int")
+    firsts = read.where("ends = 'first'").select(F.col("part").alias("next"), F.col("text").alias("following"))
+    lasts = read.where("ends = 'last'").select("part", "id", "text").join(follows, "part").join(firsts, "next")
+    joined = lasts.select("id", "text", "following").mapInArrow(_pairs, _EDITED)
+    return read.where("ends IS NULL").select(*joined.columns).unionByName(joined)
 
 
 # ---------------------------------------------------------------- permuted block tables
@@ -313,10 +330,11 @@ def _counts(rows: np.ndarray, sizes: np.ndarray, masks: np.ndarray, radius: int)
 
 def near_counts(prints: DataFrame, radius: int = RADIUS, block: int = BLOCK) -> DataFrame:
     """``(high, low, n, near)`` per distinct fingerprint of ``prints(high, low)``: rows that have it, and rows with
-    another fingerprint at ``radius`` or fewer differing bits. No pair within the radius is missed."""
+    another fingerprint at ``radius`` or fewer differing bits. No pair within the radius is missed. Rows without a
+    fingerprint take no part."""
     if not 0 <= radius <= MOST:
         raise ValueError(f"keys of tables are long enough up to radius {MOST}")
-    classes = written(prints.groupBy("high", "low").agg(F.count("*").alias("n")), "classes")
+    classes = written(prints.where("high IS NOT NULL AND low IS NOT NULL").groupBy("high", "low").agg(F.count("*").alias("n")), "classes")
     signed = [[v - (1 << 64) if v >> 63 else v for v in mask] for mask in key_masks(radius)]
     lists = [F.lit(t << 32).cast("long") + F.xxhash64(F.col("high").bitwiseAND(F.lit(left).cast("long")), F.col("low").bitwiseAND(F.lit(right).cast("long")))
              .bitwiseAND(F.lit(0xFFFFFFFF).cast("long")) for t, (left, right) in enumerate(signed)]
@@ -338,7 +356,8 @@ def near_counts(prints: DataFrame, radius: int = RADIUS, block: int = BLOCK) ->
 
 
 def with_near(rows: DataFrame, radius: int = RADIUS, block: int = BLOCK) -> DataFrame:
-    """``rows(high, low, ...)`` with ``n_near``: other rows within ``radius``, copies included."""
+    """``rows(high, low, ...)`` with ``n_near``: other rows within ``radius``, copies included; null for a row without
+    a fingerprint. Rows of a fingerprint that many share stay where they are."""
     counts = near_counts(rows.select("high", "low"), radius, block)
-    known = counts.select(F.col("high").alias("h"), F.col("low").alias("l"), (F.col("n") - 1 + F.col("near")).alias("n_near"))
-    return rows.join(known, (F.col("high") == F.col("h")) & (F.col("low") == F.col("l"))).drop("h", "l")
+    known = written(counts.select("high", "low", F.col("n").alias("_copies"), (F.col("n") - 1 + F.col("near")).alias("n_near")), "near")
+    return join_classes(rows, known, ["high", "low"], "_copies", "left").drop("_copies")

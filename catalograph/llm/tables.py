@@ -29,6 +29,22 @@ def written(df: DataFrame, label: str) -> DataFrame:
     return materialize(df, f"llm-{label}")
 
 
+LARGE = 1000  # a class with more than this part of all rows is large: there are fewer than that
+
+
+def join_classes(rows: DataFrame, classes: DataFrame, on: list[str], size: str, how: str = "inner") -> DataFrame:
+    """``rows`` with the columns of their class; ``classes`` has a row per key ``on`` with its number of rows, ``size``.
+
+    The large classes, fewer than ``LARGE`` by their sizes, are broadcast, so the rows of a hot key stay where they are;
+    the others are joined by shuffles. ``classes`` is read several times: write it first.
+    """
+    total = classes.agg(F.sum(size)).first()[0] or 0
+    large = F.col(size) * LARGE > total
+    hot = rows.join(F.broadcast(classes.where(large).withColumn("_large", F.lit(True))), on, "left")
+    rest = hot.where("_large IS NULL").select(*rows.columns).join(classes.where(~large), on, how)
+    return hot.where("_large").drop("_large").unionByName(rest)
+
+
 def text_slices(column: pa.Array, most_bytes: int = 4_000_000) -> Iterator[list[str]]:
     """Values of a string array, null as empty, in lists of about ``most_bytes``; a longer text is alone."""
     sizes = pc.fill_null(pc.binary_length(column), 0).to_numpy(zero_copy_only=False)

@@ -7,6 +7,7 @@ from collections import Counter
 
 import numpy as np
 import pytest
+from pyspark.sql import functions as F
 
 from catalograph.llm import fingerprints as S
 from tests.llm.conftest import sentence
@@ -170,3 +171,47 @@ def test_lightly_edited_copies_are_counted(spark, tmp_path):
     spark.createDataFrame(given, "doc_id long, text string").write.parquet(str(tmp_path / "documents.parquet"))
     near = [r.n_near for r in op9_fingerprints(spark, str(tmp_path)).collect()]
     assert len(near) == 120 and max(near) == 1 and sum(near) >= 0.9 * 120
+
+
+def test_a_large_group_of_one_id_is_spread(documents, spark, monkeypatch):
+    """Equal ids are ranged by their text's hash; the ends of the ranges meet whatever their number."""
+    written, kept = S.written, []
+    monkeypatch.setattr(S, "written", lambda df, label: kept.append(written(df, label)) or kept[-1])
+    given = [(5, sentence(n, 6) + f" {n}") for n in range(300)] + [(None, sentence(n, 5)) for n in range(20)] + [(9, "last")]
+    got = S.compare_edited(documents(given), 400).collect()
+    assert len(got) == len(given)
+    parts = kept[0].where("ends = 'first'").count()
+    assert parts > 10
+    # each text is followed by one text, and follows one
+    halves = Counter(r.edited_sha256 for r in got)
+    rows = sorted(((r[0] if r[0] is not None else -1, spark_hash(spark, r[1]), r[1]) for r in given))
+    texts = [t for *_, t in rows]
+    assert halves == Counter(hashlib.sha256(S.edited(t, n).encode()).hexdigest() for t, n in zip(texts, texts[1:] + texts[:1]))
+
+
+_hashes: dict[str, int] = {}
+
+
+def spark_hash(spark, text):
+    if text not in _hashes:
+        texts = [sentence(n, 6) + f" {n}" for n in range(300)] + [sentence(n, 5) for n in range(20)] + ["last"]
+        frame = spark.createDataFrame([(t,) for t in texts], "t string")
+        _hashes.update({r.t: r.h for r in frame.selectExpr("t", "xxhash64(t) AS h").collect()})
+    return _hashes[text]
+
+
+def test_rows_without_a_fingerprint_keep_their_place(spark):
+    rows = spark.createDataFrame([(1, 5, 6), (2, 5, 6), (3, None, 6), (4, None, None)] + [(n, 77, 88) for n in range(10, 60)],
+                                 "id long, high long, low long")
+    got = {r.id: r.n_near for r in S.with_near(rows).collect()}
+    assert got == {1: 1, 2: 1, 3: None, 4: None} | {n: 49 for n in range(10, 60)}
+
+
+def test_large_classes_are_joined_apart(spark):
+    from catalograph.llm.tables import join_classes
+    rows = spark.createDataFrame([("hot",)] * 50 + [(f"k{n}",) for n in range(2000)] + [("none",), (None,)], "k string")
+    classes = rows.where("k <> 'none'").groupBy("k").count().withColumn("v", F.length("k"))
+    inner = join_classes(rows, classes, ["k"], "count")
+    assert inner.count() == 2050 and inner.where("k = 'hot' AND v = 3 AND count = 50").count() == 50
+    left = join_classes(rows, classes, ["k"], "count", "left")
+    assert left.count() == 2052 and left.where("v IS NULL").count() == 2
