@@ -25,7 +25,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from catalograph.llm.components import components
-from catalograph.llm.tables import written
+from catalograph.llm.tables import join_classes, written
 
 SEED = 42
 BITS = 64
@@ -203,15 +203,15 @@ def with_components(prints: DataFrame, radius: int = 3) -> DataFrame:
     Equal fingerprints are linked at distance 0. Null ids do not count for the least id; a component with
     null ids only has a null ``component_id``. Repeated rows stay repeated; an empty table gives no row.
     """
-    classes = written(prints.groupBy("fingerprint").agg(F.min("id").alias("least_id")), "classes")
+    classes = written(prints.groupBy("fingerprint").agg(F.min("id").alias("least_id"), F.count("*").alias("copies")), "classes")
     roots = components(fingerprint_links(classes.select("fingerprint"), radius))
     linked = roots.join(classes, roots.node == classes.fingerprint).select("root", "node", "least_id")
     least = linked.groupBy("root").agg(F.min("least_id").alias("root_id"))
     moved = linked.join(least, "root").select(F.col("node").alias("fingerprint"), "root", "root_id")
     known = (classes.join(moved, "fingerprint", "left")
-             .select("fingerprint", F.coalesce("root", "fingerprint").alias("component"),
+             .select("fingerprint", "copies", F.coalesce("root", "fingerprint").alias("component"),
                      F.coalesce("root_id", "least_id").alias("component_id")))
-    return prints.join(known, "fingerprint")
+    return join_classes(prints, written(known, "components"), ["fingerprint"], "copies").drop("copies")
 
 
 def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", width: int = 3,
