@@ -101,10 +101,11 @@ def spaced_card(key: bytes, text: str, step: int) -> str | None:
 
     Pseudonyms that make a card with that group are passed over, so the same digits are found again.
     """
-    if (new := card(key, text, step)) or text.count(" ") < 4:
+    if (new := card(key, text, step)) or len(re.findall(_BLANK, text)) < 4:
         return new
-    new, rest = text.rsplit(" ", 1)
-    while (new := card(key, new, step)) and card(key, f"{new} {rest}", step):
+    cut = len(text) - re.search(_BLANK, text[::-1]).end()
+    new, rest = text[:cut], text[cut:]
+    while (new := card(key, new, step)) and card(key, new + rest, step):
         pass
     return new
 
@@ -118,14 +119,23 @@ def phone(key: bytes, text: str, step: int) -> str | None:
         digits = _only_digits(text)[len(code[1]):]
         if low <= len(digits) <= high:
             return _refill(text, code[1] + _digits(key, "phone" + code[1], digits, step))
-        shorter = re.sub(r"[ .-]\(?\d+\)?\Z", "", text)
+        shorter = re.sub(r"[ \u00a0.-]\(?\d+\)?\Z", "", text)
         text = shorter if shorter != text else ""
     return None
 
 
 def local_phone(key: bytes, text: str, step: int) -> str:
-    """Three, three and four digits with brackets or one kind of separator."""
-    return _refill(text, _digits(key, "phone1", _only_digits(text), step))
+    """Three, three and four digits with brackets or one kind of separator.
+
+    Parted by blanks, the first two groups begin with 2 to 9, as area and exchange codes do, and stay so.
+    """
+    digits = _only_digits(text)
+    if not re.search(_BLANK, text) or "(" in text:
+        return _refill(text, _digits(key, "phone1", digits, step))
+    rank = ((int(digits[:3]) - 200) * 800 + int(digits[3:6]) - 200) * 10_000 + int(digits[6:])
+    rank, line = divmod(permute(key, "phone1 blanks", 800 * 800 * 10_000, rank, step), 10_000)
+    area, exchange = divmod(rank, 800)
+    return _refill(text, f"{area + 200}{exchange + 200}{line:04d}")
 
 
 def social(key: bytes, text: str, step: int) -> str | None:
@@ -136,7 +146,7 @@ def social(key: bytes, text: str, step: int) -> str | None:
     rank = ((area - 1 - (area > 666)) * 99 + group - 1) * 9999 + serial - 1
     rank, serial = divmod(permute(key, "social", 898 * 99 * 9999, rank, step), 9999)
     area, group = divmod(rank, 99)
-    return f"{area + 1 + (area >= 665):03d}-{group + 1:02d}-{serial + 1:04d}"
+    return f"{area + 1 + (area >= 665):03d}{text[3]}{group + 1:02d}{text[3]}{serial + 1:04d}"
 
 
 def address(key: bytes, text: str, step: int) -> str | None:
@@ -183,6 +193,33 @@ def date(key: bytes, text: str, step: int) -> str | None:
     return None
 
 
+@lru_cache(maxsize=None)
+def _short_days(first: int, second: int) -> tuple[list[tuple[int, int, int]], dict[tuple[int, int, int], int]]:
+    """All (first, second, year) with numbers of so many digits that are a day and month in either order."""
+    def real(year, month, day):
+        try:
+            return bool(datetime.date(year, month, day))
+        except ValueError:
+            return False
+
+    spans = [range(1, 10) if digits == 1 else range(10, 32) for digits in (first, second)]
+    days = [(a, b, y) for y in range(1900, 2100) for a in spans[0] for b in spans[1] if real(y, b, a) or real(y, a, b)]
+    return days, {day: n for n, day in enumerate(days)}
+
+
+def short_date(key: bytes, text: str, step: int) -> str | None:
+    """Day and month in either order, at least one without a leading zero, and the year: moves among those of its widths."""
+    first, mark, second, year = re.fullmatch(r"(\d{1,2})(\D)(\d{1,2})\D(\d{4})", text).groups()
+    if "0" in (first[0], second[0]):
+        return None
+    days, places = _short_days(len(first), len(second))
+    place = places.get((int(first), int(second), int(year)))
+    if place is None:
+        return None
+    a, b, y = days[permute(key, f"date{len(first)}{len(second)}", len(days), place, step)]
+    return f"{a}{mark}{b}{mark}{y}"
+
+
 _IBAN_SIZES = dict(pair.split(":") for pair in (
     "AD:24 AE:23 AL:28 AT:20 AZ:28 BA:20 BE:16 BG:22 BH:22 BI:27 BR:29 BY:28 CH:21 CR:22 CY:28 CZ:24 DE:22 DJ:27 DK:18 "
     "DO:28 EE:20 EG:29 ES:24 FI:18 FK:18 FO:18 FR:27 GB:22 GE:22 GI:23 GL:18 GR:27 GT:28 HN:28 HR:21 HU:28 IE:22 IL:23 "
@@ -195,22 +232,25 @@ _IBAN_SIZES = {country: int(size) for country, size in _IBAN_SIZES.items()}
 def iban(key: bytes, text: str, step: int) -> str | None:
     """Two letters, two check digits, 11 to 30 letters or digits, valid modulo 97; the check digits are computed.
 
-    Of a longer text the value of the country's length is taken if a space follows it.
+    Of a longer text the value of the country's length is taken if a space follows it. In lower case the country must
+    be a known one.
     """
     def check(country: str, body: str) -> str:
         return f"{98 - int(''.join(str(int(c, 36)) for c in body + country + '00')) % 97:02d}"
-    plain = text.replace(" ", "")
-    if (size := _IBAN_SIZES.get(text[:2], len(plain))) < len(plain):
+    plain = re.sub(_BLANK, "", text)
+    if text != text.upper() and (text[:2].upper() not in _IBAN_SIZES or text[:2] != text[:2].lower()):
+        return None
+    if (size := _IBAN_SIZES.get(text[:2].upper(), len(plain))) < len(plain):
         # the pattern took in what follows a value of this country
-        ends = [m.end() for m in re.finditer("[A-Z0-9]", text)]
+        ends = [m.end() for m in re.finditer("[A-Za-z0-9]", text)]
         end = ends[size - 1]
-        return iban(key, text[:end], step) if text[end] == " " else None
+        return iban(key, text[:end], step) if re.match(_BLANK, text[end]) else None
     country, body = plain[:2], plain[4:]
     if not 11 <= len(body) <= 30 or check(country, body) != plain[2:4]:
         return None
-    moved = _letters(key, "iban" + country, body, step)
+    moved = _letters(key, "iban" + country.upper(), body, step)
     left = iter(country + check(country, moved) + moved)
-    return "".join(c if c == " " else next(left) for c in text)
+    return "".join(c if re.match(_BLANK, c) else next(left) for c in text)
 
 
 def _letters(key: bytes, tweak: str, text: str, step: int) -> str:
@@ -254,20 +294,24 @@ def secret(key: bytes, text: str, step: int) -> str | None:
 # One pass over the text; the alternatives begin with a character that is rare in prose.
 _FOUND = re.compile(
     r"(?P<address>(?<![\w.])\d{1,3}(?:\.\d{1,3}){3}(?![\w]|\.\d))"
-    r"|(?P<social>(?<![\w-])\d{3}-\d{2}-\d{4}(?![\w-]))"
-    r"|(?P<date>(?<![\w./-])(?:\d{4}([-/.])\d{2}\4\d{2}|\d{2}([-/.])\d{2}\5\d{4})(?![\w/-]|\.\d))"
-    r"|(?P<phone>(?<![\w+])\+\d{1,3}(?:[ .-]?\(\d{1,4}\)|[ .-]?\d{1,4})(?:[ .-]?\d{2,4}){1,4}(?!\w))"
-    r"|(?P<local_phone>(?<![\w(-])(?:\(\d{3}\) ?\d{3}-\d{4}|\d{3}-\d{3}-\d{4}|\d{3}\.\d{3}\.\d{4})(?![\w-]))"
-    r"|(?P<card>(?<![\w-])(?:\d{4}([ -])\d{4}\9\d{4}\9(?:\d{4}\9\d{1,3}|\d{1,7})|\d{4}([ -])\d{6}\10\d{5}|\d{13,19})(?![\w-]))", re.ASCII)
-_IBAN = re.compile(r"\b[A-Z]{2}\d{2}(?: ?[A-Z0-9]{4}){2,7}(?: ?[A-Z0-9]{1,3})?\b", re.ASCII)
+    r"|(?P<social>(?<![\w-])\d{3}(?P<a>[- \u00a0])\d{2}(?P=a)\d{4}(?![\w-]))"
+    r"|(?P<date>(?<![\w./-])(?:\d{4}(?P<b>[-/.])\d{2}(?P=b)\d{2}|\d{2}(?P<c>[-/.])\d{2}(?P=c)\d{4})(?!(?!T\d\d:\d)[\w/-]|\.\d))"
+    r"|(?P<short_date>(?<![\w./-])\d{1,2}(?P<d>[-/.])\d{1,2}(?P=d)\d{4}(?!(?!T\d\d:\d)[\w/-]|\.\d))"
+    r"|(?P<phone>(?<![\w+])\+\d{1,3}(?:[ \u00a0.-]?\(\d{1,4}\)|[ \u00a0.-]?\d{1,4})(?:[ \u00a0.-]?\d{2,4}){1,4}(?!\w))"
+    r"|(?P<local_phone>(?<![\w(-])(?:\(\d{3}\)[ \u00a0]?\d{3}-\d{4}|\d{3}-\d{3}-\d{4}|\d{3}\.\d{3}\.\d{4}"
+    r"|(?<!\d[ \u00a0])[2-9]\d\d(?P<e>[ \u00a0])[2-9]\d\d(?P=e)\d{4}(?![ \u00a0]\d))(?![\w-]))"
+    r"|(?P<card>(?<![\w-])(?:\d{4}(?P<f>[ \u00a0-])\d{4}(?P=f)\d{4}(?P=f)(?:\d{4}(?P=f)\d{1,3}|\d{1,7})"
+    r"|\d{4}(?P<g>[ \u00a0-])\d{6}(?P=g)\d{5}|\d{13,19})(?![\w-]))", re.ASCII)
+_BLANK = "[ \u00a0]"
+_IBAN = re.compile(r"\b[A-Za-z]{2}\d{2}(?:[ \u00a0]?[A-Za-z0-9]{4}){2,7}(?:[ \u00a0]?[A-Za-z0-9]{1,3})?\b", re.ASCII)
 _LOCAL = frozenset("ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789._%+-")
-_DOMAIN = re.compile(r"[A-Za-z0-9](?:[A-Za-z0-9-]*[A-Za-z0-9])?(?:\.[A-Za-z0-9](?:[A-Za-z0-9-]*[A-Za-z0-9])?)+", re.ASCII)
+_DOMAIN = re.compile(r"[^\W_]+(?:-+[^\W_]+)*(?:\.[^\W_]+(?:-+[^\W_]+)*)+")
 _SECRET = re.compile(
     r"(?P<named>(?<![A-Za-z])(?i:token|secret|passwd|password|api[_-]?key|access[_-]?key|auth)[\"']?\s{0,3}[:=]\s{0,3}[\"']?)"
     r"(?P<value>[A-Za-z0-9_\-]{16,128})(?![A-Za-z0-9_])"
     r"|(?<![A-Za-z0-9_])(?P<known>(?:AKIA|ASIA)[A-Z0-9]{16}|gh[pousr]_[A-Za-z0-9]{36}|sk-[A-Za-z0-9]{20,64}|AIza[A-Za-z0-9_-]{35})"
     r"(?![A-Za-z0-9_])", re.ASCII)
-_NUMBERS: dict[str, Callable] = {"address": address, "social": social, "date": date, "phone": phone,
+_NUMBERS: dict[str, Callable] = {"address": address, "social": social, "date": date, "short_date": short_date, "phone": phone,
                                  "local_phone": local_phone, "card": spaced_card}
 _HINTS = ("oken", "OKEN", "ecret", "ECRET", "assw", "ASSW", "ey", "EY", "uth", "UTH", "AKIA", "ASIA", "gh", "sk-", "AIza")
 _DIGIT = re.compile("[0-9]")
@@ -344,12 +388,19 @@ def pseudonym_column(text: Column, key: bytes) -> Column:
 
 
 def pseudonymised(docs: DataFrame, key: bytes, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """``(id, text, replaced)`` per row of ``docs``; repeated rows stay, an empty table gives none."""
+    """``(id, text, replaced)`` per row of ``docs``; repeated rows stay, an empty table gives none.
+
+    A null text stays null, an empty one empty, with 0 replaced. A text of any length is read whole. Of overlapping
+    values the one that starts first counts, of two that start together the longer.
+    """
     return (docs.select(F.col(id_col).alias("id"), pseudonym_column(F.col(text_col), key).alias("p"))
             .select("id", "p.text", "p.replaced"))
 
 
 def with_pseudonyms(docs: DataFrame, key: bytes, text_col: str = "text") -> DataFrame:
-    """``docs`` with values in ``text_col`` replaced; all other columns and the length of the texts are unchanged."""
+    """``docs`` with values in ``text_col`` replaced; all other columns and the length of the texts are unchanged.
+
+    Null, empty, long and overlapping values as in ``pseudonymised``; repeated rows stay, an empty table gives none.
+    """
     return docs.select(*[pseudonym_column(F.col(f"`{c}`"), key)["text"].alias(c) if c == text_col else F.col(f"`{c}`")
                          for c in docs.columns])
