@@ -220,6 +220,24 @@ def _null_safe(left: DataFrame, host: Column, path: Column, known: DataFrame) ->
     return left.join(known, host.eqNullSafe(known["site_host"]) & path.eqNullSafe(known["site_path"]))
 
 
+BROADCAST_SITES = 100_000  # rows of about 100 bytes
+
+
+def _with_sites(docs: DataFrame, host: Column, path: Column, known: DataFrame) -> DataFrame:
+    """``docs`` with the columns of their site; texts of a site that many documents share never move.
+
+    Up to ``BROADCAST_SITES`` sites are broadcast. Of more than that the fewer than 1,000 that hold over a thousandth of all
+    documents each are, and the others' documents meet their site by a shuffle without a hot key.
+    """
+    if known.count() <= BROADCAST_SITES:
+        return _null_safe(docs, host, path, F.broadcast(known))
+    large = F.col("site_n") * 1000 > known.agg(F.sum("site_n")).first()[0]
+    same = host.eqNullSafe(known["site_host"]) & path.eqNullSafe(known["site_path"])
+    hot = docs.join(F.broadcast(known.where(large)), same, "left")
+    rest = hot.where("site_n IS NULL").select(*[docs[f"`{c}`"] for c in docs.columns])
+    return hot.where("site_n IS NOT NULL").unionByName(_null_safe(rest, host, path, known.where(~large)))
+
+
 def _named(known: DataFrame) -> DataFrame:
     return known.select(*[F.col(c).alias(f"site_{c}") for c in known.columns])
 
@@ -244,19 +262,20 @@ def keep_good(docs: DataFrame, classifier: Classifier, threshold: float = 0.5, h
               path_col: str = "lang", text_col: str = "text") -> DataFrame:
     """Rows of ``docs`` whose score is at least ``threshold``, all columns unchanged.
 
-    The text is scored once for the site sums and once for the decision, so it is never shuffled.
+    The text is scored once for the site sums and once for the decision, so that of a large site is never shuffled.
+    Null and empty texts, null hosts and paths and repeated rows count as in ``score_quality``; an empty table gives none.
     """
     rows = docs.select(F.col(host_col).alias("host"), F.col(path_col).alias("path"),
                        evidence_column(classifier, F.col(text_col)).alias("evidence"))
     known, priors = sites(rows)
     known = _named(known)
-    joined = _null_safe(docs, docs[host_col], docs[path_col], known)
+    joined = _with_sites(docs, docs[host_col], docs[path_col], known)
     own = evidence_column(classifier, docs[text_col])
     carried = "site_of_row"
     while carried in docs.columns:
         carried += "_"
-    scored = joined.select(*[docs[f"`{c}`"] for c in docs.columns], F.struct(own.alias("e"), known["site_n"].alias("n"), known["site_s"].alias("s"),
-                                                                      known["site_host_n"].alias("hn"), known["site_host_s"].alias("hs")).alias(carried))
+    scored = joined.select(*[docs[f"`{c}`"] for c in docs.columns], F.struct(own.alias("e"), joined["site_n"].alias("n"), joined["site_s"].alias("s"),
+                                                                      joined["site_host_n"].alias("hn"), joined["site_host_s"].alias("hs")).alias(carried))
     part = F.col(carried)
     _, _, score = _posterior(part["e"], part["n"], part["s"], part["hn"], part["hs"], priors, classifier.prior)
     return scored.where(score >= threshold).select(*[F.col(f"`{c}`") for c in docs.columns])

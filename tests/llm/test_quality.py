@@ -134,3 +134,14 @@ def test_held_out_fold_of_the_given_tables(spark):
     from catalograph.llm.quality_queries import op10_quality_classifier
     found = op10_quality_classifier(spark, sf).join(table(spark, sf, "labels"), "doc_id").where("held_out")
     assert found.selectExpr("avg(int(predicted = quality))").first()[0] > 0.9
+
+
+def test_keep_good_of_many_sites(documents, classifier, monkeypatch):
+    """Beyond the broadcast bound large sites are joined apart; the same rows stay."""
+    rows = [(n, ("good words here " if n % 3 else "x9 x9 ") * (n % 7), f"host{n % 40}" if n % 4 else None, None if n % 5 == 0 else "en")
+            for n in range(200)]
+    frame = documents(rows, extra=True)
+    near = Q.keep_good(frame, classifier)
+    monkeypatch.setattr(Q, "BROADCAST_SITES", 0)
+    apart = Q.keep_good(frame, classifier)
+    assert apart.columns == near.columns and sorted(map(str, apart.collect())) == sorted(map(str, near.collect()))
