@@ -9,7 +9,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from catalograph.operators.filters import condition, get_by_id, request_filters, starts_token
-from catalograph.operators.grouping import facet_terms, num_found
+from catalograph.operators.grouping import facet_summary, facet_terms, num_found
 from catalograph.operators.ordering import first_rows, paginate, random_keys, sort_keys
 from catalograph.retrieval.analysis import STOP_WORDS, analyze_title
 from catalograph.retrieval.highlight import result_page
@@ -52,6 +52,7 @@ class SearchResult:
     page: DataFrame                  # display columns of the requested page, with rank
     num_found: DataFrame
     facets: dict[str, DataFrame]
+    summary: DataFrame               # count and all facets in one pass: facet ('' for the count), value, count
 
     def release(self) -> None:
         """Give back the storage of the matched set."""
@@ -100,7 +101,7 @@ def search(index: Index, request: SearchRequest, keep: bool = True) -> SearchRes
     page = shown.select("rank", *columns, "highlighted_plot", "highlighted_reviews", "snippet",
                         "score").orderBy("rank")
     facets = {f: facet_terms(matched, f) for f in request.facets}
-    return SearchResult(matched, page, num_found(matched), facets)
+    return SearchResult(matched, page, num_found(matched), facets, facet_summary(matched, request.facets))
 
 
 def facet_values(items: DataFrame, name: str, k: int = 20) -> DataFrame:

@@ -167,6 +167,16 @@ def test_filters_do_not_change_scores(index):
     every.release(), some.release()
 
 
+def test_summary_equals_count_and_facets(index):
+    for request in (SearchRequest("dark"), SearchRequest(), SearchRequest("nothing like it"), SearchRequest(facets=("directors", "cast", "rating"))):
+        result = search(index, request, keep=False)
+        rows = [tuple(r) for r in result.summary.collect()]
+        found = result.num_found.first()[0]
+        assert [r for r in rows if not r[0]] == ([("", "", found)] if found else [])
+        for name, facet in result.facets.items():
+            assert sorted((v, n) for f, v, n in rows if f == name) == sorted((str(r["value"]), r["count"]) for r in facet.collect())
+
+
 def test_search_page_order_and_columns(index):
     result = search(index, SearchRequest("dark", size=2))
     rows = result.page.collect()

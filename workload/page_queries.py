@@ -175,6 +175,20 @@ def _(spark, sf):
         "page_id", M.page_rating(F.col("page"), rules).alias("rating"))
 
 
+# Every third page has no star image but a star span, whose number is a word on every seventh page.
+@query("page_rating_span", """SELECT page_id, CASE WHEN page_id % 3 <> 0 THEN cast(page_id % 50 AS DOUBLE) / cast(10 AS DOUBLE)
+    WHEN page_id % 7 <> 0 THEN cast(page_id % 9 AS DOUBLE) / cast(2 AS DOUBLE) END AS rating FROM pages""")
+def _(spark, sf):
+    number = F.col("page_id")
+    box = F.concat(F.lit('<div class="star-box"><img class="filled star'), (number % 50).cast("string"), F.lit('"></div>'))
+    value = F.when(number % 7 == 0, F.lit("n/a")).otherwise((number % 9 / F.lit(2.0)).cast("string"))
+    starred = _pages(spark, sf).select("page_id", "url", F.concat(
+        "html", F.when(number % 3 != 0, box).otherwise(F.lit("")), F.lit('<p><span data-rating="'), value,
+        F.lit('" class="big star-rating">stars</span>')).alias("html"))
+    rules = PageRules()
+    return H.prepared(starred, rules).select("page_id", M.page_rating(F.col("page"), rules).alias("rating"))
+
+
 @query("page_date", f"WITH {PAGES} SELECT page_id, {FOOTER} AS review_date FROM prepared")
 def _(spark, sf):
     return _field(spark, sf, "review_date", M.page_date)

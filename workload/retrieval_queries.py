@@ -231,17 +231,9 @@ FACETED = SearchRequest.from_form(WORDS, year_min="1995", rating_min="2.0")
 def _(spark, sf):
     result = search(T.index(spark, sf), FACETED, keep=False)
     none, no_score = F.lit(None).cast("bigint"), F.lit(None).cast("double")
-    parts = [result.page.select(F.lit("hit").alias("section"), F.col("id").alias("value"), "score",
-                                none.alias("n")),
-             result.num_found.select(F.lit("found").alias("section"), F.lit("").alias("value"),
-                                     no_score.alias("score"), F.col("num_found").alias("n"))]
-    parts += [facet.select(F.lit(name).alias("section"), F.col("value").cast("string"),
-                           no_score.alias("score"), F.col("count").alias("n"))
-              for name, facet in result.facets.items()]
-    out = parts[0]
-    for part in parts[1:]:
-        out = out.unionByName(part)
-    return out
+    hits = result.page.select(F.lit("hit").alias("section"), F.col("id").alias("value"), "score", none.alias("n"))
+    section = F.when(F.col("facet") == "", F.lit("found")).otherwise(F.col("facet")).alias("section")
+    return hits.unionByName(result.summary.select(section, "value", no_score.alias("score"), F.col("count").alias("n")))
 
 
 @query("boolean_terms", f"""WITH {T.POSTINGS}, {_weighted('ndstnd', 'need')},
