@@ -52,7 +52,8 @@ def _kind_of_codes() -> np.ndarray:
 
 
 def statistics(text: str) -> list[float]:
-    """The values of ``FEATURES``, over the whole text, read in parts of bounded size."""
+    """The values of ``FEATURES``, over the whole text, read in parts of about a million characters that end before white
+    space. A run of odd characters or a line that lies in two parts counts as two."""
     kinds = np.zeros(6, np.int64)
     words, lines = Counter(), set()
     number = length = repeated = line_count = run = 0

@@ -118,7 +118,8 @@ def write_archives(pages: DataFrame, folder: str | None = None, least_bytes: int
     """Write a record per row of ``pages`` and return the manifest ``(archive, records, bytes)``, itself written.
 
     ``archive`` is a full path. A null html is an empty payload, a null url ``urn:unknown``. Rows that repeat the
-    least page id of a payload are all responses; a null id refers to the least id if there is one. An
+    least page id of a payload are all responses; a null id refers to the least id if there is one. Record ids are made
+    of page ids, so rows of one page id, and all rows without one, share a record id: ids are unique where page ids are. An
     empty table gives no archive. Other columns are not read.
     """
     spark = pages.sparkSession
