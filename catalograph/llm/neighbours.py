@@ -33,10 +33,10 @@ _CHUNK = 256         # queries compared at a time
 
 @dataclass(frozen=True)
 class Hashing:
-    tables: int = 6
+    tables: int = 8
     functions: int = 6
     width: float = 1.6
-    probes: int = 80
+    probes: int = 100
     part_rows: int = 20_000
     seed: int = 11
 
