@@ -62,6 +62,11 @@ class Index:
         return self.spark.read.schema("field string, term string, df bigint").parquet(
             self.terms_path)
 
+    def close(self) -> None:
+        """Take the index's table names out of the session; its files stay and can be opened again."""
+        for table in (self.items_table, self.postings_table):
+            self.spark.sql(f"DROP TABLE IF EXISTS {table}")
+
     def frequencies(self, columns=("id", "field", "term", "tf", "dl")) -> DataFrame:
         """Postings as one row per item, field and term, whatever the item's number of parts."""
         rows = self.postings

@@ -48,8 +48,26 @@ def scratch_dir(spark: SparkSession) -> str:
     return folder
 
 
+_scratch: dict[str, list[str]] = {}  # folders written by each application of this process
+
+
 def scratch_path(spark: SparkSession, label: str) -> str:
-    return f"{scratch_dir(spark).rstrip('/')}/{label}-{uuid.uuid4().hex}"
+    path = f"{scratch_dir(spark).rstrip('/')}/{label}-{uuid.uuid4().hex}"
+    _scratch.setdefault(spark.sparkContext.applicationId, []).append(path)
+    return path
+
+
+def release_scratch(spark: SparkSession) -> int:
+    """Delete the intermediate tables this application wrote to the shared folder, and return their number.
+
+    For the end of a job: results that have not been written read them lazily, and so do indexes without a path.
+    """
+    paths = _scratch.pop(spark.sparkContext.applicationId, [])
+    hadoop = spark.sparkContext._jvm.org.apache.hadoop.fs.Path
+    deleted = 0
+    for path in map(hadoop, paths):
+        deleted += path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(path, True)
+    return deleted
 
 
 def materialize(df: DataFrame, label: str) -> DataFrame:

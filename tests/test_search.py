@@ -327,6 +327,14 @@ def test_refresh_without_changes_and_with_repeats(spark, items, tmp_path):
         R.refresh_index(index, items.unionByName(items))
 
 
+def test_close_keeps_the_files(spark, items, tmp_path):
+    index = build_index(items, PLAIN, str(tmp_path / "index"), buckets=2)
+    before = scores(X.search_weighted(index, "dark"))
+    index.close()
+    assert not {t.name for t in spark.catalog.listTables()} & {index.items_table, index.postings_table}
+    assert scores(X.search_weighted(open_index(spark, str(tmp_path / "index")), "dark")) == before
+
+
 def test_items_in_parts_score_like_whole_items(spark, items):
     whole = build_index(items, PLAIN, buckets=2)
     split = [r if r[0] != "3" else (*r[:10], r[10][:1], *r[11:]) for r in ROWS]

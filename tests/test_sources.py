@@ -6,6 +6,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from catalograph import schema as C
+from catalograph import session
 from catalograph.operators.joins import KeyRepeats
 from catalograph.sources import records, store
 from catalograph.sources.tsv import read_tsv, scan_filtered
@@ -100,3 +101,12 @@ def test_incremental_loads(spark):
     grown = store.append_unseen(stored, batch, "url", "n", 1)
     assert {tuple(r) for r in grown.collect()} == {("a", 0), (None, 1), ("b", 2)}
     assert store.append_unseen(stored, batch, "url", "n").where(F.col("url") == "c").count() == 1
+
+
+def test_scratch_is_released(spark, monkeypatch):
+    monkeypatch.setattr(session, "_scratch", {})
+    kept = session.materialize(spark.range(3).toDF("n"), "released")
+    (path,) = session._scratch[spark.sparkContext.applicationId]
+    assert kept.count() == 3 and records.path_exists(spark, path)
+    assert session.release_scratch(spark) == 1 and not records.path_exists(spark, path)
+    assert session.release_scratch(spark) == 0
