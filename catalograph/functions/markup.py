@@ -10,7 +10,9 @@ import html as html_text
 import re
 from dataclasses import dataclass
 
+import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -118,10 +120,14 @@ def links_in(page: str, kinds: tuple[Sel, ...]) -> list[tuple[int, int, int, int
 def link_spans(page: Column, kinds: tuple[Sel, ...]) -> Column:
     """``links_in`` as an array of (begin, end, block_begin, block_end): one Arrow pass per page, offsets only."""
 
-    @F.pandas_udf("array<struct<begin:int,end:int,block_begin:int,block_end:int>>")
-    def of(pages: pd.Series) -> pd.Series:
-        names = ("begin", "end", "block_begin", "block_end")
-        return pages.map(lambda p: [dict(zip(names, span)) for span in links_in(p, kinds)], na_action="ignore")
+    @F.arrow_udf("array<struct<begin:int,end:int,block_begin:int,block_end:int>>")
+    def of(pages: pa.Array) -> pa.Array:
+        found = [links_in(page, kinds) if page is not None else [] for page in pages.to_pylist()]
+        flat = np.array([span for spans in found for span in spans], np.int32).reshape(-1, 4)
+        offsets = np.cumsum([0, *map(len, found)])
+        spans = pa.StructArray.from_arrays([pa.array(column) for column in flat.T], ["begin", "end", "block_begin", "block_end"])
+        mask = pages.is_null() if pages.null_count else None
+        return pa.ListArray.from_arrays(pa.array(offsets, pa.int32()), spans, mask=mask)
 
     return of(page)
 

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from functools import lru_cache
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -23,13 +25,9 @@ def prepared(pages: DataFrame, rules: PageRules) -> DataFrame:
     return pages.select("page_id", "url", M.prepare("html", rules.all_entities).alias("page"))
 
 
-def page_links(pages: DataFrame, rules: PageRules) -> DataFrame:
-    """Review links of each page, first occurrence per URL, in page order, capped per page.
-
-    The summary of a link is the teaser of the nearest block of the first kind around it, blocks inside blocks
-    counted, else of the nearest of the second kind. The list of one page never leaves its row before
-    the cap, so a page costs no shuffle, and only the links that are listed look for their teaser.
-    """
+@lru_cache(maxsize=16)
+def _link_columns(rules: PageRules, gateway: int) -> tuple[Column, Column, Column]:
+    """Entries of a page's spans, those of reviews, and what is told of each; see ``_detail_columns``."""
     base, page = F.lit(rules.base_url), F.col("page")
 
     def entry(span: Column) -> Column:
@@ -47,13 +45,23 @@ def page_links(pages: DataFrame, rules: PageRules) -> DataFrame:
         return M.let(block, lambda b: clean_text(M.text(
             F.coalesce(*[M.inner_any(b, sel) for sel in rules.teaser]))))
 
-    spans = prepared(pages, rules).withColumn("spans", M.link_spans(page, rules.link_block))
-    found = spans.select("page_id", "page", F.transform("spans", entry).alias("found"))
-    found = found.withColumn("found", F.filter("found", lambda e: url_is_review(
-        e["url"], rules.link_path, rules.link_hyphens)))
+    return (F.transform("spans", entry),
+            F.filter("found", lambda e: url_is_review(e["url"], rules.link_path, rules.link_hyphens)),
+            F.transform("found", lambda e: F.struct(
+                e["url"].alias("url"), e["title"].alias("title"), teaser(e).alias("summary"))))
+
+
+def page_links(pages: DataFrame, rules: PageRules) -> DataFrame:
+    """Review links of each page, first occurrence per URL, in page order, capped per page.
+
+    The summary of a link is the teaser of the nearest block of the first kind around it, blocks inside blocks
+    counted, else of the nearest of the second kind. The list of one page never leaves its row before
+    the cap, so a page costs no shuffle, and only the links that are listed look for their teaser.
+    """
+    entries, reviews, told = _link_columns(rules, id(pages.sparkSession.sparkContext._gateway))
+    spans = prepared(pages, rules).withColumn("spans", M.link_spans("page", rules.link_block))
+    found = spans.select("page_id", "page", entries.alias("found")).withColumn("found", reviews)
     found = found.withColumn("found", _first_by_url(F.col("found"), rules.links_per_page))
-    told = F.transform("found", lambda e: F.struct(
-        e["url"].alias("url"), e["title"].alias("title"), teaser(e).alias("summary")))
     # The outer form: from the inner one Spark infers a filter on the list's size, which evaluates the whole
     # extraction a second time below the scan's repartitioning.
     listed = (found.select("page_id", told.alias("found")).select("page_id", F.posexplode_outer("found"))
@@ -120,22 +128,28 @@ def crawl(pages: DataFrame, start: DataFrame, rules: PageRules) -> DataFrame:
     return reached
 
 
+@lru_cache(maxsize=16)
+def _detail_columns(rules: PageRules, gateway: int) -> tuple[list[Column], list[Column]]:
+    """Pieces that several fields need, and the fields made from them. They depend on the rules alone; making their
+    thousands of expressions anew for each query would cost more than reading a small table."""
+    page, infos, columns = F.col("page"), F.col("infos"), F.col("columns")
+    pieces = [M.page_title(page, rules).alias("item_title"), M.page_body(page, rules).alias("body"),
+              M.page_summary(page, rules).alias("deck"), M.credit_columns(page, rules).alias("columns"),
+              M.info_items(page, rules).alias("infos")]
+    fields = [falsy_fallback("body", "deck").alias("review_text"), M.page_rating(page, rules).alias("rating_value"),
+              M.page_date(page, rules).alias("review_date"), M.page_author(page, rules).alias("critic"),
+              extract_year("item_title").alias("item_year"), F.col("item_title"),
+              M.genres_of(infos, columns, rules).alias("item_genres"),
+              M.metadata_of(infos, columns, rules, rules.director_labels).alias("item_directors"),
+              M.credits_of(columns, rules, rules.cast_labels).alias("item_cast")]
+    return pieces, fields
+
+
 def page_details(pages: DataFrame, rules: PageRules) -> DataFrame:
     """All fields of each review page. Pieces that several fields need are cut out once per page."""
-    page = F.col("page")
-    cut = prepared(pages, rules).select(
-        "page_id", "url", "page", M.page_title(page, rules).alias("item_title"),
-        M.page_body(page, rules).alias("body"), M.page_summary(page, rules).alias("deck"),
-        M.credit_columns(page, rules).alias("columns"), M.info_items(page, rules).alias("infos"))
-    infos, columns = F.col("infos"), F.col("columns")
-    return cut.select(
-        "page_id", "url", falsy_fallback("body", "deck").alias("review_text"),
-        M.page_rating(page, rules).alias("rating_value"),
-        M.page_date(page, rules).alias("review_date"), M.page_author(page, rules).alias("critic"),
-        extract_year("item_title").alias("item_year"), "item_title",
-        M.genres_of(infos, columns, rules).alias("item_genres"),
-        M.metadata_of(infos, columns, rules, rules.director_labels).alias("item_directors"),
-        M.credits_of(columns, rules, rules.cast_labels).alias("item_cast"))
+    pieces, fields = _detail_columns(rules, id(pages.sparkSession.sparkContext._gateway))
+    cut = prepared(pages, rules).select("page_id", "url", "page", *pieces)
+    return cut.select("page_id", "url", *fields)
 
 
 def make_document(df: DataFrame, site: str) -> DataFrame:
