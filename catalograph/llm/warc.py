@@ -42,26 +42,34 @@ def base32_sha1(digest: bytes) -> str:
     return base64.b32encode(digest).decode("ascii")
 
 
-def record_id(page_id: int | None) -> str:
-    return f"<urn:uuid:{uuid.uuid5(_SPACE, str(page_id))}>"
+def record_id(page_id: int | None, digest: str) -> str:
+    """The id of the one record of a page id and payload."""
+    return f"<urn:uuid:{uuid.uuid5(_SPACE, f'{page_id} {digest}')}>"
 
 
 # ---------------------------------------------------------------- writing
 
-def record(page_id: int | None, url: str | None, payload: bytes, refers_to: int | None, revisit: bool) -> bytes:
-    """One record as a gzip member. A revisit has the response's header only, with the full payload's length."""
+def record(page_id: int | None, url: str | None, payload: bytes, refers_to: int | None, revisit: bool,
+           repeated: bool = False, vague: bool = False) -> bytes:
+    """One record as a gzip member. A revisit has the response's header only, with the full payload's length.
+
+    A ``repeated`` record, one of several with its page id and payload, has a random id. Where the response is such a
+    one (``vague``), a revisit names its page but no record.
+    """
+    digest = base32_sha1(hashlib.sha1(payload).digest())
     head = f"HTTP/1.1 200 OK\r\nContent-Type: text/html; charset=utf-8\r\nContent-Length: {len(payload)}\r\n\r\n".encode()
     block = head if revisit else head + payload
-    fields = [("WARC-Type", "revisit" if revisit else "response"), ("WARC-Record-ID", record_id(page_id)),
+    fields = [("WARC-Type", "revisit" if revisit else "response"), ("WARC-Record-ID", f"<urn:uuid:{uuid.uuid4()}>" if repeated else record_id(page_id, digest)),
               ("WARC-Date", _DATE),
               ("WARC-Target-URI", urllib.parse.quote(url, safe=":/?#[]@!$&'()*+,;=%~") if url else "urn:unknown"),
               ("Content-Type", "application/http; msgtype=response"),
               ("WARC-Block-Digest", "sha1:" + base32_sha1(hashlib.sha1(block).digest())),
-              ("WARC-Payload-Digest", "sha1:" + base32_sha1(hashlib.sha1(payload).digest()))]
+              ("WARC-Payload-Digest", "sha1:" + digest)]
     if page_id is not None:
         fields.append(("Page-ID", str(page_id)))
     if revisit:
-        fields += [("WARC-Profile", _PROFILE), ("WARC-Refers-To", record_id(refers_to)), ("Refers-To-Page-ID", str(refers_to))]
+        fields += [("WARC-Profile", _PROFILE), ("Refers-To-Page-ID", str(refers_to))]
+        fields += [] if vague else [("WARC-Refers-To", record_id(refers_to, digest))]
     fields.append(("Content-Length", str(len(block))))
     head = "WARC/1.1\r\n" + "".join(f"{name}: {value}\r\n" for name, value in fields) + "\r\n"
     pack = zlib.compressobj(6, zlib.DEFLATED, 31)
@@ -79,12 +87,12 @@ def _writer(folder: str, archive_bytes: int):
         done: list[tuple[str, int, int]] = []
         stream, name, records, size = None, "", 0, 0
         for batch in batches:
-            for page_id, url, html, revisit, refers_to in zip(*(column for column in batch.columns)):
+            for page_id, url, html, *role in zip(*(column for column in batch.columns)):
                 if stream is None:
                     name = f"{uuid.uuid4().hex}.warc.gz"
                     stream, records, size = store.open_output_stream(f"{root}/{name}", compression=None), 0, 0
                 payload = (html.as_py() or "").encode()
-                member = record(page_id.as_py(), url.as_py(), payload, refers_to.as_py(), revisit.as_py())
+                member = record(page_id.as_py(), url.as_py(), payload, *(value.as_py() for value in role))
                 stream.write(member)
                 records, size = records + 1, size + len(member)
                 if size >= archive_bytes:
@@ -101,16 +109,22 @@ def _writer(folder: str, archive_bytes: int):
 
 
 def roles(pages: DataFrame, least_bytes: int = 0, id_col: str = "page_id", html_col: str = "html") -> DataFrame:
-    """``(page, payload, first)`` of all revisits: the payload's hash and the least page id with that payload.
+    """``(page, payload, first, repeated, vague)`` of all records that are more than a response of their own: the payload's
+    hash; of a revisit the least page id with that payload, else null; whether several rows have this page id and payload,
+    and whether several have the least page id.
 
     Payloads below ``least_bytes`` never refer to another. The payload itself is hashed and not moved.
     """
     hashes = pages.select(F.col(id_col).alias("page"), F.sha2(F.coalesce(html_col, F.lit("")), 256).alias("payload"),
                           F.octet_length(F.coalesce(html_col, F.lit(""))).alias("n"))
-    known = hashes.where(F.col("n") >= least_bytes).select("page", "payload")
-    first = known.groupBy("payload").agg(F.min("page").alias("first"), F.count("*").alias("n")).where("n > 1").drop("n")
-    return written(known.join(first, "payload").where("first is not null and not (page <=> first)").distinct()
-                   .select("page", "payload", "first"), "revisits")
+    copies = hashes.groupBy("page", "payload").agg(F.count("*").alias("copies"), F.max("n").alias("n"))
+    first = copies.where(F.col("n") >= least_bytes).groupBy("payload").agg(
+        F.min("page").alias("first"), F.min_by("copies", "page").alias("first_copies"), F.count("*").alias("pages")).where("pages > 1")
+    known = copies.join(first.drop("pages"), "payload", "left")
+    revisit = F.col("first").isNotNull() & ~F.col("page").eqNullSafe(F.col("first")) & (F.col("n") >= least_bytes)
+    known = known.select("page", "payload", F.when(revisit, F.col("first")).alias("first"), (F.col("copies") > 1).alias("repeated"),
+                         F.coalesce(revisit & (F.col("first_copies") > 1), F.lit(False)).alias("vague"))
+    return written(known.where("first IS NOT NULL OR repeated"), "revisits")
 
 
 def write_archives(pages: DataFrame, folder: str | None = None, least_bytes: int = 0, archive_bytes: int = ARCHIVE_BYTES,
@@ -118,9 +132,8 @@ def write_archives(pages: DataFrame, folder: str | None = None, least_bytes: int
     """Write a record per row of ``pages`` and return the manifest ``(archive, records, bytes)``, itself written.
 
     ``archive`` is a full path. A null html is an empty payload, a null url ``urn:unknown``. Rows that repeat the
-    least page id of a payload are all responses; a null id refers to the least id if there is one. Record ids are made
-    of page ids, so rows of one page id, and all rows without one, share a record id: ids are unique where page ids are. An
-    empty table gives no archive. Other columns are not read.
+    least page id of a payload are all responses; a null id refers to the least id if there is one. Record ids are unique:
+    made of page id and payload, random for rows that repeat both. An empty table gives no archive. Other columns are not read.
     """
     spark = pages.sparkSession
     folder = (folder or scratch_path(spark, "llm-warc")).rstrip("/")
@@ -131,7 +144,8 @@ def write_archives(pages: DataFrame, folder: str | None = None, least_bytes: int
                         F.sha2(F.coalesce(html_col, F.lit("")), 256).alias("hash"))
     # the table of revisits is read with its true size, so Spark broadcasts it only where it is small
     joined = rows.join(known, F.col("page_id").eqNullSafe(F.col("page")) & (F.col("hash") == F.col("payload")), "left")
-    rows = joined.select("page_id", "url", "html", F.col("payload").isNotNull().alias("revisit"), F.col("first").alias("refers_to"))
+    rows = joined.select("page_id", "url", "html", F.col("first").alias("refers_to"), F.col("first").isNotNull().alias("revisit"),
+                         F.coalesce("repeated", F.lit(False)).alias("repeated"), F.coalesce("vague", F.lit(False)).alias("vague"))
     manifest = rows.mapInArrow(_writer(folder, archive_bytes), "archive string, records long, bytes long")
     return written(manifest.withColumn("archive", F.concat(F.lit(folder + "/"), "archive")), "manifest")
 

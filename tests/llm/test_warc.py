@@ -96,6 +96,24 @@ def test_tables(spark, tmp_path, least):
     assert all((r.page_id, r.payload.decode()) in texts for r in got if r.record_type == "response")
 
 
+def test_record_ids_are_unique_and_name_the_response(spark, tmp_path):
+    given = pages() + [(None, "w", "only without id"), (None, "x", "another without id"), (60, "v", "other payload")]
+    frame = spark.createDataFrame(given, "page_id long, url string, html string").repartition(3)
+    fields = []
+    for row in W.write_archives(frame, str(tmp_path / "w")).collect():
+        with open(row.archive.removeprefix("file:"), "rb") as stream:
+            fields += [r.fields for r in W.read_records(stream)]
+    ids = [f["warc-record-id"] for f in fields]
+    assert len(ids) == len(given) == len(set(ids))
+    responses = {f["warc-record-id"]: f for f in fields if f["warc-type"] == "response"}
+    revisits = [f for f in fields if f["warc-type"] == "revisit"]
+    named = [f for f in revisits if "warc-refers-to" in f]
+    assert named and all(responses[f["warc-refers-to"]]["page-id"] == f["refers-to-page-id"] for f in named)
+    assert all(responses[f["warc-refers-to"]]["warc-payload-digest"] == f["warc-payload-digest"] for f in named)
+    # two rows of page 40 are the response of one payload: its revisits name the page only
+    assert {f["refers-to-page-id"] for f in revisits if "warc-refers-to" not in f} == {"40"}
+
+
 def test_empty(spark, tmp_path):
     frame = spark.createDataFrame([], "page_id long, url string, html string")
     assert W.read_archives(W.write_archives(frame, str(tmp_path / "w"))).collect() == []
