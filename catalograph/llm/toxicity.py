@@ -385,18 +385,23 @@ def _known(hashes: np.ndarray, all_: np.ndarray, ones: np.ndarray, share: float,
 
 
 def _in_slices(texts: list[str]) -> Words:
-    """``read_words`` of many texts, a few at a time."""
-    parts, counts = [], np.zeros(len(texts), np.int64)
+    """``read_words`` of many texts, a few at a time; the n-grams of a form are kept once."""
+    words, hashes, grams, lengths = [], [], [], []
+    counts, known = np.zeros(len(texts), np.int64), np.zeros(0, np.uint64)
     for owner, some in _some_at_a_time(texts):
-        parts.append(read_words(some))
-        np.add.at(counts, owner, parts[-1].counts)
-    if not parts:
-        return Words(np.zeros(0, np.int32), counts, np.zeros(0, np.uint64), np.zeros(0, np.uint64), np.zeros(0, np.int64))
-    hashes, first, place = np.unique(np.concatenate([p.hashes for p in parts]), return_index=True, return_inverse=True)
-    before = np.cumsum([0, *(len(p.hashes) for p in parts)])
-    form = np.concatenate([place[before[k]:before[k + 1]][p.form] for k, p in enumerate(parts)])
-    lengths, grams = (np.concatenate([getattr(p, name) for p in parts]) for name in ("lengths", "grams"))
-    return Words(form.astype(np.int32), counts, hashes, grams[_runs(lengths, first)], lengths[first])
+        part = read_words(some)
+        np.add.at(counts, owner, part.counts)
+        words.append(part.hashes[part.form])
+        new = np.flatnonzero(~np.isin(part.hashes, known))
+        hashes.append(part.hashes[new])
+        lengths.append(part.lengths[new])
+        grams.append(part.grams[_runs(part.lengths, new)])
+        known = np.union1d(known, hashes[-1])
+    if not words:
+        return Words(np.zeros(0, np.int32), counts, known, np.zeros(0, np.uint64), np.zeros(0, np.int64))
+    order, size = np.argsort(np.concatenate(hashes)), np.concatenate(lengths)
+    form = np.searchsorted(known, np.concatenate(words)).astype(np.int32)
+    return Words(form, counts, known, np.concatenate(grams)[_runs(size, order)], size[order])
 
 
 def train(texts: list[str], labels: list[int], bounds: TrainingBounds = TrainingBounds(), seed: int = 8,
