@@ -33,10 +33,10 @@ _CHUNK = 256         # queries compared at a time
 
 @dataclass(frozen=True)
 class Hashing:
-    tables: int = 8
+    tables: int = 6
     functions: int = 6
     width: float = 1.6
-    probes: int = 100
+    probes: int = 160
     part_rows: int = 20_000
     seed: int = 11
 
