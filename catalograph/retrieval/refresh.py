@@ -17,7 +17,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from catalograph.operators.joins import require_unique
-from catalograph.retrieval.index import (FieldStats, Index, _bucketed, build_postings, field_stats, term_stats, terms_path,
+from catalograph.retrieval.index import (FieldStats, Index, _bucketed, count_rows, field_stats, term_stats, terms_path,
                                          write_meta)
 
 _BUCKET = re.compile(r"_(\d+)(?:\..*)?$")
@@ -104,16 +104,12 @@ def refresh_index(index: Index, changed: DataFrame, removed: DataFrame | None =
     new = old_items.join(ids, "id", "left_anti").unionByName(changed, allowMissingColumns=True).select(
         *[F.col(f"`{f.name}`").cast(f.dataType).alias(f.name) for f in index.items.schema])
     _bucketed(new.repartition(index.buckets, "id"), names["items"], f"{stage}/items", index.buckets, ["id"])
-    _bucketed(build_postings(spark.table(names["items"]), index.profile), names["postings"], f"{stage}/postings",
+    before, after = old_items.where("part = 0").count(), count_rows(spark.table(names["items"]))
+    _bucketed(after.postings(spark.table(names["items"]), index.profile), names["postings"], f"{stage}/postings",
               index.buckets, ["field", "term"])
-    new_items, new_postings = (spark.table(names[t]) for t in TABLES)
+    new_postings = spark.table(names["postings"])
 
     # ---- statistics by difference
-    def counted(items: DataFrame) -> tuple[int, int]:
-        row = items.agg(F.count_if(F.col("part") == 0), F.max("part")).first()
-        return row[0], row[1] or 0
-
-    (before, _), (after, parts) = counted(old_items), counted(new_items)
     fields = {name: [f.items, f.terms] for name, f in index.fields.items()}
     for sign, postings in ((-1, old_postings), (1, new_postings)):
         for r in field_stats(postings).collect():
@@ -125,9 +121,9 @@ def refresh_index(index: Index, changed: DataFrame, removed: DataFrame | None =
     terms = (index.term_stats.unionByName(minus).unionByName(term_stats(new_postings)).groupBy("field", "term")
              .agg(F.sum("df").alias("df")).where("df > 0"))
     terms.sortWithinPartitions("field", "term").write.parquet(terms_path(path, generation))
-    refreshed = replace(index, terms_path=terms_path(path, generation), total=index.total - before + after, generation=generation,
+    refreshed = replace(index, terms_path=terms_path(path, generation), total=index.total - before + after.items, generation=generation,
                         fields={name: FieldStats(n, total) for name, (n, total) in fields.items() if n},
-                        has_parts=index.has_parts or parts > 0)
+                        has_parts=index.has_parts or after.parts > 0)
 
     # ---- the swap
     journal = {"stage": stage, "swap": {t: {

@@ -13,7 +13,8 @@ from catalograph.retrieval import scoring as X
 from catalograph.retrieval import similar as S
 from catalograph.retrieval.analysis import PLAIN, STEMMED, Profile, analyze_general, tokenize
 from catalograph.retrieval.highlight import highlight_fragment
-from catalograph.retrieval.index import build_index, open_index
+from catalograph.retrieval.index import (BUCKET_BYTES, bucket_count, build_index, build_postings, count_rows,
+                                         open_index)
 from catalograph.retrieval.request import (SearchRequest, autocomplete, get_with_similar,
                                            prefix_ids, prefix_match, search)
 from catalograph.retrieval.stemming import stem, stem_all
@@ -398,3 +399,36 @@ def test_a_page_is_bounded():
     for wrong in ({"size": 1001}, {"size": -1}, {"page": 0}):
         with pytest.raises(ValueError):
             SearchRequest(**wrong)
+
+
+def _counted(rows):
+    return {(r["id"], r["part"], r["field"], r["term"]): (r["tf"], r["dl"], list(r["positions"])) for r in rows}
+
+
+def test_postings_are_made_inside_the_item_row(spark):
+    rows = [("a", "red blue red", ["x"]), ("b", None, ["y", "y"]), ("c", "the", None), ("d", "blue", [None, "z"])]
+    items = spark.createDataFrame(rows, "id string, plot string, genres array<string>")
+    postings = build_postings(items, PLAIN, one_row=True)
+    plan = postings._jdf.queryExecution().executedPlan().toString()
+    assert not any(step in plan for step in ("Aggregate", "Exchange", "Window", "Sort "))
+    wanted = {("a", 0, "plot", "red"): (2, 3, [0, 2]), ("a", 0, "plot", "blue"): (1, 3, [1]), ("a", 0, "genres", "x"): (1, 1, [0]),
+              ("b", 0, "genres", "y"): (1, 1, [0]), ("d", 0, "plot", "blue"): (1, 1, [0]), ("d", 0, "genres", "z"): (1, 1, [0])}
+    assert _counted(postings.collect()) == wanted
+    assert _counted(build_postings(items, PLAIN).collect()) == wanted
+
+
+def test_postings_of_repeated_and_continued_rows(spark):
+    rows = [("a", 0, "red blue"), ("a", 0, "red"), ("a", 1, "red"), (None, 0, "red"), (None, 0, "red blue")]
+    items = spark.createDataFrame(rows, "id string, part int, plot string")
+    span = 2 ** 31
+    wanted = {("a", 0, "plot", "red"): (2, 4, [0, 0]), ("a", 0, "plot", "blue"): (1, 4, [1]), ("a", 1, "plot", "red"): (1, 4, [span]),
+              (None, 0, "plot", "red"): (2, 3, [0, 0]), (None, 0, "plot", "blue"): (1, 3, [1])}
+    assert _counted(build_postings(items, PLAIN).collect()) == wanted
+    rows = count_rows(items)
+    assert (rows.items, rows.parts, rows.most) == (4, 1, 2)
+    assert _counted(rows.postings(items, PLAIN).collect()) == wanted
+
+
+def test_buckets_grow_with_the_text(spark):
+    cores = spark.sparkContext.defaultParallelism
+    assert [bucket_count(spark, n) for n in (0, BUCKET_BYTES, 1000 * BUCKET_BYTES + 1)] == [cores, cores, 1001]
