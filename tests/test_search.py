@@ -432,3 +432,9 @@ def test_postings_of_repeated_and_continued_rows(spark):
 def test_buckets_grow_with_the_text(spark):
     cores = spark.sparkContext.defaultParallelism
     assert [bucket_count(spark, n) for n in (0, BUCKET_BYTES, 1000 * BUCKET_BYTES + 1)] == [cores, cores, 1001]
+
+
+def test_a_bucket_is_one_task(items):
+    index = build_index(items, PLAIN, buckets=40)
+    assert [t.select("id").rdd.getNumPartitions() for t in (index.items, index.postings)] == [40, 40]
+    index.close()
