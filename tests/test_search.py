@@ -3,6 +3,7 @@ import os
 import random
 import re
 
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
@@ -232,6 +233,34 @@ def test_batch_similarity_is_exact_whatever_is_set_apart(spark, first_items, boo
     assert sorted(map(tuple, apart.collect())) == sorted(map(tuple, plain.collect()))
 
 
+def test_batch_similarity_meets_in_blocks(spark, monkeypatch):
+    """No row is made for a seed and an item that meet in a term; blocks of any size give the same rows."""
+    monkeypatch.setattr(S, "BLOCK_HITS", 2_000)
+    monkeypatch.setattr(S, "BLOCK_TERMS", 200)
+    items = tables.items(spark, SF).where("id % 4 = 0")
+    small = build_index(items, PLAIN, buckets=4)
+    seeds = items.select("id")
+    plain = S._best(S._sums(small, S._weighed(small, S.mlt_terms(small, seeds), S.SIMILAR_BY, False), F.lit(True), S.SIMILAR_BY), 3)
+    blocks = S.more_like_this_batch(small, seeds, k=3)
+    plan = blocks._jdf.queryExecution().executedPlan().toString()
+    assert "CoGroup" in plan and plan.count("Join") == 2     # terms with their numbers, postings with their numbers
+    assert sorted(map(tuple, blocks.collect())) == sorted(map(tuple, plain.collect()))
+
+
+@pytest.mark.parametrize("cells", [1, 7, 1 << 20])
+def test_best_of_a_block(cells):
+    postings = pa.table({"id": ["b", "a", "c", "b", "a", "d"], "code": [1, 1, 1, 2, 3, 9], "part": [0.5, 0.5, 0.25, 1.0, 1.0, 1.0]})
+    wanted = pa.table({"seed": ["a", "x", "y", "z"], "codes": [[1, 3], [1, 2], [7], []], "ws": [[1.0, 2.0], [1.0, 2.0], [1.0], []]},
+                      schema=pa.schema({"seed": pa.string(), "codes": pa.list_(pa.int64()), "ws": pa.list_(pa.float64())}))
+    best = lambda k, p=postings, w=wanted: sorted(map(tuple, (r.values() for r in S.best_of_block(k, cells)(p, w).to_pylist())))
+    assert best(1) == [("a", "b", 0.5), ("x", "b", 2.5)]
+    assert best(2) == [("a", "b", 0.5), ("a", "c", 0.25), ("x", "a", 0.5), ("x", "b", 2.5)]
+    assert best(9) == [("a", "b", 0.5), ("a", "c", 0.25), ("x", "a", 0.5), ("x", "b", 2.5), ("x", "c", 0.25)]
+    assert best(2, w=wanted.slice(0, 0)) == best(2, p=postings.slice(0, 0)) == []
+    equal = pa.table({"id": ["b", "a", "c"], "code": [1, 1, 1], "part": [0.5, 0.5, 0.5]})
+    assert best(2, p=equal, w=wanted.slice(1, 1)) == [("x", "a", 0.5), ("x", "b", 0.5)]
+
+
 def test_batch_similarity_shows_its_items(index, spark):
     seeds = spark.createDataFrame([("1",), ("4",), ("none",)], "id string")
     found = S.similar_items_batch(index, seeds, k=2)
