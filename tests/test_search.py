@@ -15,7 +15,7 @@ from catalograph.retrieval import similar as S
 from catalograph.retrieval.analysis import PLAIN, STEMMED, Profile, analyze_general, tokenize
 from catalograph.retrieval.highlight import highlight_fragment
 from catalograph.retrieval.index import (BUCKET_BYTES, bucket_count, build_index, build_postings, count_rows,
-                                         open_index)
+                                         open_index, token_rows)
 from catalograph.retrieval.request import (SearchRequest, autocomplete, get_with_similar,
                                            prefix_ids, prefix_match, search)
 from catalograph.retrieval.stemming import stem, stem_all
@@ -446,6 +446,27 @@ def test_postings_are_made_inside_the_item_row(spark):
     assert _counted(build_postings(items, PLAIN).collect()) == wanted
 
 
+def test_postings_come_sorted_as_they_are_stored(spark):
+    """The sort of a bucket merges runs; a batch's postings are one run a field."""
+    words = [f"w{(i * 7919) % 1000:03d}" for i in range(3000)]
+    items = spark.createDataFrame([(str(n), " ".join(words[n::3] * 2), words[n::3][:5]) for n in range(3)],
+                                  "id string, plot string, genres array<string>").coalesce(1)
+    rows = build_postings(items, PLAIN, one_row=True).collect()
+    terms = [(r["field"], r["term"], int(r["id"])) for r in rows]
+    assert terms == sorted(terms) and len(terms) > 3000
+    spots = [(r["field"], r["term"], p) for r in rows if r["id"] == "1" for p in r["positions"]]
+    assert sorted(spots) == sorted((r["field"], r["term"], r["pos"]) for r in token_rows(items, PLAIN).where("id = '1'").collect())
+
+
+@pytest.mark.parametrize("stem", [False, True])
+def test_places_in_the_field_of_all_fields(spark, stem):
+    items = spark.createDataFrame([("7", "The reds", "blues", ["x y"])], "id string, title string, plot string, genres array<string>")
+    rows = build_postings(items, Profile(stem=stem, every_field=True), one_row=True).where("field = '_text_'").collect()
+    red, blue = ("red", "blue") if stem else ("reds", "blues")
+    assert {r["term"]: r["positions"] for r in rows} == {"7": [0], red: [102], blue: [203], "x": [304], "y": [305]}
+    assert {r["dl"] for r in rows} == {5}
+
+
 def test_postings_of_repeated_and_continued_rows(spark):
     rows = [("a", 0, "red blue"), ("a", 0, "red"), ("a", 1, "red"), (None, 0, "red"), (None, 0, "red blue")]
     items = spark.createDataFrame(rows, "id string, part int, plot string")
