@@ -261,6 +261,45 @@ def test_best_of_a_block(cells):
     assert best(2, p=equal, w=wanted.slice(1, 1)) == [("x", "a", 0.5), ("x", "b", 0.5)]
 
 
+def test_seeds_go_to_the_postings(spark, index):
+    """The postings of the seeds' items are neither shuffled nor written before their terms are weighed."""
+    seeds = spark.createDataFrame([("1",), ("4",), ("4",), (None,)], "id string")
+    terms = S.mlt_terms(index, seeds)
+    plan = terms._jdf.queryExecution().executedPlan().toString()
+    postings = plan[plan.index("LeftSemi"):]
+    assert "Exchange" not in postings[:postings.index("FileScan")] and index.postings_table in postings
+    alone = S.mlt_terms(index, ["1", "4"])
+    assert terms.count() and sorted(map(tuple, terms.collect())) == sorted(map(tuple, alone.collect()))
+
+
+@pytest.mark.parametrize("n", [1, 2, 48])
+def test_blocks_are_dealt_apart(spark, n):
+    """Two meetings of blocks never share a task while another has none."""
+    numbers = S.dealt_apart(spark, n)
+    rows = spark.createDataFrame([(b,) for b in numbers], "b int").repartition(n, "b")
+    assert [r[0] for r in rows.groupBy(F.spark_partition_id().alias("p")).count().orderBy("p").select("count").collect()] == [1] * n
+
+
+@pytest.mark.parametrize("cells", [1, 5_000])
+def test_best_of_a_block_of_many_items(cells):
+    """More items than stretches are made for; equal scores and scores that only rounding makes equal go by id."""
+    rng = random.Random(7)
+    k, items, terms = 3, 700, range(40)
+    held = {(f"i{n:03d}", t): rng.choice([0.25, 0.5, 0.5 + 1e-8, 0.5 - 1e-8]) for n in range(items) for t in terms if rng.random() < 0.1}
+    asked = {f"i{s:03d}" if s % 2 else f"x{s}": {t: rng.choice([1.0, 2.0]) for t in rng.sample(terms, 4)} for s in range(30)}
+    rows = list(held.items())
+    rng.shuffle(rows)
+    postings = pa.table({"id": [i for (i, _), _ in rows], "code": [t for (_, t), _ in rows], "part": [p for _, p in rows]})
+    wanted = pa.Table.from_batches([pa.RecordBatch.from_pydict(
+        {"seed": [s], "codes": [sorted(ts)], "ws": [[ts[t] for t in sorted(ts)]]}) for s, ts in asked.items()])
+    plain = []
+    for seed, ts in asked.items():
+        sums = {f"i{n:03d}": sum(ts[t] * held.get((f"i{n:03d}", t), 0) for t in sorted(ts)) for n in range(items)}
+        best = sorted((-math.floor(v * 1e6 + 0.5), i) for i, v in sums.items() if v > 0 and i != seed)[:k]
+        plain += [(seed, i, -v / 1e6) for v, i in best]
+    assert sorted(map(tuple, (r.values() for r in S.best_of_block(k, cells)(postings, wanted).to_pylist()))) == sorted(plain)
+
+
 def test_batch_similarity_shows_its_items(index, spark):
     seeds = spark.createDataFrame([("1",), ("4",), ("none",)], "id string")
     found = S.similar_items_batch(index, seeds, k=2)
