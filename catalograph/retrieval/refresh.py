@@ -1,7 +1,8 @@
 """Refresh of an index for changed items: only the buckets that hold one are written again.
 
-The new content of the touched buckets is staged beside the tables, first its items, then the postings made from them.
-Counts of items, terms and field lengths are adjusted by what those buckets held before and hold now. A journal
+The new content of the touched buckets is staged beside the tables, first its items, then the postings made from them; neither
+leaves its bucket on the way, only what changed is shuffled. Counts of terms and field lengths are adjusted by what the changed
+items held before and hold now. A journal
 then names the files to remove and to move in, and the swap follows it; one that is cut off is done again from the
 journal when the index is next opened. One writer at a time; readers open the index again afterwards.
 """
@@ -71,11 +72,12 @@ def _bucket_of(name: str) -> int | None:
 
 
 def _by_buckets(index: Index, files: _Files, table: str, touched: set[int]) -> DataFrame:
-    """Rows of the touched buckets, read from their files alone."""
-    folder = f"{index.path}/{table}"
-    names = [f"{folder}/{n}" for n in files.names(folder) if _bucket_of(n) in touched]
-    whole = index.items if table == "items" else index.postings
-    return index.spark.read.schema(whole.schema).parquet(*names) if names else whole.limit(0)
+    """Rows of the touched buckets, read from their files alone and dealt by id as the buckets are."""
+    rows = index.items if table == "items" else index.postings
+    if len(touched) == index.buckets:
+        return rows
+    names = [n for n in files.names(f"{index.path}/{table}") if _bucket_of(n) in touched]
+    return rows.where(F.col("_metadata.file_name").isin(names))
 
 
 def refresh_index(index: Index, changed: DataFrame, removed: DataFrame | None = None) -> Index:
@@ -93,32 +95,39 @@ def refresh_index(index: Index, changed: DataFrame, removed: DataFrame | None =
     require_unique(changed.select(F.struct("id", "part").alias("row")), "row", "changed")
     ids = changed.select("id")
     ids = (ids if removed is None else ids.unionByName(removed.select("id").where("id IS NOT NULL"))).distinct()
+    stage = f"{path}/staged-{uuid.uuid4().hex}"
+    # Written, as the ids are read for each table; they go to the buckets, whose rows stay where they are.
+    ids.write.parquet(f"{stage}/ids")
+    ids = spark.read.schema(ids.schema).parquet(f"{stage}/ids")
     # the bucket numbers, never the ids, come to the driver
     touched = {r[0] for r in ids.select(F.pmod(F.hash("id"), F.lit(index.buckets))).distinct().collect()}
     if not touched:
+        files.remove(stage)
         return index
+    ids = ids.repartition(index.buckets, "id")
+    for table in (index.items_table, index.postings_table):
+        spark.catalog.refreshTable(table)
     old_items, old_postings = (_by_buckets(index, files, t, touched) for t in TABLES)
 
-    stage = f"{path}/staged-{uuid.uuid4().hex}"
     names = {t: f"catalograph_{uuid.uuid4().hex}_{t}" for t in TABLES}
-    new = old_items.join(ids, "id", "left_anti").unionByName(changed, allowMissingColumns=True).select(
-        *[F.col(f"`{f.name}`").cast(f.dataType).alias(f.name) for f in index.items.schema])
-    _bucketed(new.repartition(index.buckets, "id"), names["items"], f"{stage}/items", index.buckets, ["id"])
+    columns = [F.col(f"`{f.name}`").cast(f.dataType).alias(f.name) for f in index.items.schema]
+    new = old_items.join(ids, "id", "left_anti").unionByName(changed.repartition(index.buckets, "id"), allowMissingColumns=True)
+    _bucketed(new.select(*columns), names["items"], f"{stage}/items", index.buckets, ["id"])
     before, after = old_items.where("part = 0").count(), count_rows(spark.table(names["items"]))
     _bucketed(after.postings(spark.table(names["items"]), index.profile), names["postings"], f"{stage}/postings",
               index.buckets, ["field", "term"])
-    new_postings = spark.table(names["postings"])
 
-    # ---- statistics by difference
+    # ---- statistics by difference: of the postings that left and those that came, as all others are as before
+    left, came = (p.join(ids, "id", "left_semi") for p in (old_postings, spark.table(names["postings"])))
     fields = {name: [f.items, f.terms] for name, f in index.fields.items()}
-    for sign, postings in ((-1, old_postings), (1, new_postings)):
+    for sign, postings in ((-1, left), (1, came)):
         for r in field_stats(postings).collect():
             entry = fields.setdefault(r["field"], [0, 0])
             entry[0] += sign * r["n"]
             entry[1] += sign * r["terms"]
     generation = index.generation + 1
-    minus = term_stats(old_postings).withColumn("df", -F.col("df"))
-    terms = (index.term_stats.unionByName(minus).unionByName(term_stats(new_postings)).groupBy("field", "term")
+    minus = term_stats(left, index.has_parts).withColumn("df", -F.col("df"))
+    terms = (index.term_stats.unionByName(minus).unionByName(term_stats(came, after.parts > 0)).groupBy("field", "term")
              .agg(F.sum("df").alias("df")).where("df > 0"))
     terms.sortWithinPartitions("field", "term").write.parquet(terms_path(path, generation))
     refreshed = replace(index, terms_path=terms_path(path, generation), total=index.total - before + after.items, generation=generation,

@@ -389,6 +389,36 @@ def test_refresh_equals_a_rebuild(spark, items, tmp_path, monkeypatch, cut_off):
     assert "Exchange hashpartitioning(id" not in plan
 
 
+@pytest.mark.parametrize("held", [["1"], ["2", "4"], []])
+def test_refresh_leaves_rows_in_their_buckets(spark, items, tmp_path, held):
+    """What a refresh reads of the touched buckets comes from their files alone and is met with the changed ids without a shuffle."""
+    path = str(tmp_path / "index")
+    index = build_index(items, PLAIN, path, buckets=7)
+    bucket = F.pmod(F.hash("id"), F.lit(7))
+    touched = {r[0] for r in items.where(F.col("id").isin(held)).select(bucket).collect()} or set(range(7))
+    ids = items.select("id").where("id > 2").repartition(7, "id")
+    for table, whole in (("items", index.items), ("postings", index.postings)):
+        rows = R._by_buckets(index, R._Files(spark, path), table, touched)
+        met = rows.join(ids, "id", "left_anti").groupBy("id").count()
+        plan = met._jdf.queryExecution().executedPlan().toString()
+        assert plan.count("Exchange") == 1 and "REPARTITION_BY_NUM" in plan        # that of the ids
+        inside = whole.where(bucket.isin(list(touched)))
+        assert sorted(map(str, rows.collect())) == sorted(map(str, inside.collect()))
+        assert {R._bucket_of(r[0]) for r in rows.select("_metadata.file_name").collect()} <= touched
+    fresh = R.refresh_index(index, items.where("id = 1").withColumn("title", F.lit("Another")))
+    assert "another" in {r["term"] for r in fresh.term_stats.collect()} and not [n for n in os.listdir(path) if n.startswith("staged")]
+
+
+def test_refresh_counts_an_item_in_parts_once(spark, items, tmp_path):
+    """Terms that an item has in several of its rows count once, before and after it leaves."""
+    parts = spark.createDataFrame([("1", 1, *[None] * 8, ["dark again", "night"], *[None] * 4)], DDL)
+    index = build_index(items.unionByName(parts), PLAIN, str(tmp_path / "index"), buckets=3)
+    kept = R.refresh_index(index, items.where("id = 2"))
+    assert _contents(kept) == _contents(build_index(items.unionByName(parts), PLAIN, buckets=3))
+    gone = R.refresh_index(kept, items.limit(0), spark.createDataFrame([("1",)], "id string"))
+    assert _contents(gone)[1:] == _contents(build_index(items.where("id <> 1"), PLAIN, buckets=3))[1:]
+
+
 def test_refresh_without_changes_and_with_repeats(spark, items, tmp_path):
     index = build_index(items, PLAIN, str(tmp_path / "index"), buckets=2)
     assert R.refresh_index(index, items.limit(0)) is index
