@@ -261,8 +261,10 @@ def test_best_of_a_block(cells):
     assert best(2, p=equal, w=wanted.slice(1, 1)) == [("x", "a", 0.5), ("x", "b", 0.5)]
 
 
-def test_seeds_go_to_the_postings(spark, index):
-    """The postings of the seeds' items are neither shuffled nor written before their terms are weighed."""
+@pytest.mark.parametrize("common", [1, 5, 100_000])
+def test_seeds_go_to_the_postings(spark, index, monkeypatch, common):
+    """The postings of the seeds' items are neither shuffled nor written before their terms are weighed, but for rare terms."""
+    monkeypatch.setattr(S, "COMMON_TERMS", common)
     seeds = spark.createDataFrame([("1",), ("4",), ("4",), (None,)], "id string")
     terms = S.mlt_terms(index, seeds)
     plan = terms._jdf.queryExecution().executedPlan().toString()
